@@ -55,3 +55,186 @@ def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total / passed / failed / pass rate of the screen."""
     ev = standards.evaluate(fx.cases_raw(fx.tables(spark, sf_dir)))
     return report.totals(ev, verdict_col="verdict")
+
+
+# ------------------------------------------------------------------ store & reports ----
+
+from casegauge.operators import store  # noqa: E402
+
+FILTERS = dict(tribe="All", product="All", capability="All", verdict="Needs Improvement",
+               start="2024-01-20", end="2024-01-31", search="customer#0+1")
+
+
+def _latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fx.tables(spark, sf_dir)
+    return store.records_with_latest(fx.cases(t), fx.scores(t), fx.runs(t))
+
+
+@query("verdict_frequency")
+def verdict_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each verdict was given over all scoring attempts."""
+    return report.verdict_frequency(fx.scores(fx.tables(spark, sf_dir)))
+
+
+@query("verdict_counters")
+def verdict_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G5 (+N11): counters of the latest view; errors include never-scored records."""
+    return report.verdict_counters(_latest_view(spark, sf_dir),
+                                   never_scored=F.col("never_scored"))
+
+
+@query("run_counters")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-run verdict counters in one grouped aggregate."""
+    t = fx.tables(spark, sf_dir)
+    return store.run_counters(fx.runs(t), fx.scores(t))
+
+
+@query("latest_per_case")
+def latest_per_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest score per record (ties kept)."""
+    return store.latest_per_key(fx.scores(fx.tables(spark, sf_dir)))
+
+
+@query("latest_with_ties")
+def latest_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator where equal newest timestamps exist (orders per customer)."""
+    o = fx.tables(spark, sf_dir).orders.select("o_custkey", "o_orderkey", "o_orderdate")
+    return store.latest_per_key(o, key="o_custkey", ts="o_orderdate")
+
+
+@query("latest_dedup")
+def latest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N7 dedup option: exactly one newest row per key, ties broken by the higher id."""
+    o = fx.tables(spark, sf_dir).orders.select("o_custkey", "o_orderkey", "o_orderdate")
+    return store.latest_per_key(o, key="o_custkey", ts="o_orderdate", dedup=True,
+                                tie_break=["o_orderkey"])
+
+
+@query("cases_with_latest")
+def cases_with_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its latest score and that score's run metadata."""
+    return _latest_view(spark, sf_dir).orderBy("case_id")
+
+
+@query("case_history")
+def case_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scoring attempt with run metadata, newest first per record."""
+    t = fx.tables(spark, sf_dir)
+    return store.history(fx.scores(t), fx.runs(t))
+
+
+@query("runs_newest_first")
+def runs_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: run summaries with their counters, newest first."""
+    t = fx.tables(spark, sf_dir)
+    return store.runs_newest_first(store.run_counters(fx.runs(t), fx.scores(t)))
+
+
+@query("facets")
+def facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct tribe / product / capability values of the latest view."""
+    return report.facets(_latest_view(spark, sf_dir))
+
+
+@query("date_extent")
+def date_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last scoring date in the latest view."""
+    return report.date_extent(_latest_view(spark, sf_dir), "validated_at")
+
+
+@query("filtered_view")
+def filtered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All filters combined (All = off) over the latest view."""
+    import datetime as dt
+    f = FILTERS
+    v = _latest_view(spark, sf_dir)
+    return report.apply_filters(
+        v,
+        report.verdict_filter(f["verdict"]),
+        report.equals_unless_all("tribe", f["tribe"]),
+        report.equals_unless_all("product", f["product"]),
+        report.equals_unless_all("capability", f["capability"]),
+        report.date_range("validated_at", dt.date.fromisoformat(f["start"]),
+                          dt.date.fromisoformat(f["end"])),
+        report.search(f["search"]),
+    ).select("case_id", "title", "tribe", "product", "capability", "verdict", "validated_at")
+
+
+@query("display_labels")
+def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Badges for verdicts and flags, dashes for blank metadata."""
+    v = _latest_view(spark, sf_dir)
+    return v.select(
+        "case_id",
+        report.verdict_badge(F.col("verdict")).alias("verdict_label"),
+        report.flag_badge(F.col("preconditions_passed")).alias("preconditions_label"),
+        report.flag_badge(F.col("test_steps_passed")).alias("test_steps_label"),
+        report.flag_badge(F.col("expected_results_passed")).alias("expected_results_label"),
+        report.blank_as_dash(F.col("provider")).alias("provider_label"),
+    )
+
+
+def _snapshots(spark: SparkSession, sf_dir: str):
+    c = fx.tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment")
+    k = F.col("c_custkey")
+    old = c.where((k % 2 == 0) | (k % 3 == 0)).select(
+        k.alias("case_id"), F.col("c_name").alias("title"),
+        F.col("c_mktsegment").alias("capability"),
+        F.lit("2024-01-01T00:00:00+00:00").alias("first_seen_at"),
+        F.lit("2024-01-01T00:00:00+00:00").alias("last_updated_at"))
+    new = c.where((k % 2 == 1) | (k % 3 == 0)).select(
+        k.alias("case_id"), F.concat("c_name", F.lit(" v2")).alias("title"),
+        F.when(k % 5 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("capability"),
+        F.lit("2024-02-01T00:00:00+00:00").alias("first_seen_at"),
+        F.lit("2024-02-01T00:00:00+00:00").alias("last_updated_at"))
+    return old, new
+
+
+def _run_snapshots(spark: SparkSession, sf_dir: str):
+    s = fx.scores(fx.tables(spark, sf_dir))
+    day = F.dayofmonth("validated_at")
+
+    def runs_of(df, model):
+        return (df.groupBy("run_id").agg(F.count(F.lit(1)).alias("total_cases"),
+                                         F.min("validated_at").alias("run_at"))
+                .select("run_id", F.lit(fx.PROVIDER).alias("provider"),
+                        F.lit(model).alias("model"), "total_cases", "run_at"))
+    return runs_of(s.where(day <= 20), "standards-v1"), runs_of(s.where(day >= 15), "standards-v2")
+
+
+@query("upsert_cases")
+def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert a new snapshot of records, keeping first_seen_at."""
+    old, new = _snapshots(spark, sf_dir)
+    return store.upsert(old, new, "case_id", keep_first=["first_seen_at"])
+
+
+@query("insert_if_absent")
+def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open runs that do not exist yet; existing run rows are left alone."""
+    old, new = _run_snapshots(spark, sf_dir)
+    return store.insert_if_absent(old, new, "run_id")
+
+
+@query("replace_run")
+def replace_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4: new run rows replace the stored rows with the same run id."""
+    old, new = _run_snapshots(spark, sf_dir)
+    return store.replace_by_key(old, new, "run_id")
+
+
+@query("orphans")
+def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores that reference an unknown record or run."""
+    t = fx.tables(spark, sf_dir)
+    return store.orphans(fx.scores(t), fx.cases(t), fx.runs(t)).select(
+        "score_id", "case_id", "run_id", "reason")
+
+
+@query("resume_remaining")
+def resume_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents not scored yet (no label row) -- what a resumed run still has to do."""
+    t = fx.tables(spark, sf_dir)
+    return store.remaining(t.documents.select("doc_id", "lang", "source"),
+                           t.labels.select("doc_id"), key="doc_id")

@@ -119,3 +119,192 @@ SELECT CAST(count(*) AS BIGINT) AS total,
   printf('%d%%', CAST(round_even(100.0 * count_if(verdict = 'Passed') / count(*), 0) AS BIGINT)) AS pass_rate_text
 FROM evaluated
 """
+
+# ------------------------------------------------------------------ store & reports ----
+
+STORE = """
+cases AS (
+  SELECT c_custkey AS case_id, c_name AS title, r_name AS tribe, n_name AS product,
+         concat_ws('/', n_name, c_mktsegment) AS capability
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+),
+scores AS (
+  SELECT event_id AS score_id, user_id AS case_id, strftime(ts, '%Y-%m-%d') AS run_id,
+    CASE WHEN event_type = 'purchase' THEN 'Passed'
+         WHEN event_type IN ('view', 'click') THEN 'Needs Improvement'
+         WHEN event_type = 'signup' THEN 'Failed' END AS verdict,
+    CASE WHEN event_type <> 'error' THEN value >= 5 END AS preconditions_passed,
+    CASE WHEN event_type <> 'error' THEN value >= 10 END AS test_steps_passed,
+    CASE WHEN event_type <> 'error' THEN value >= 2 END AS expected_results_passed,
+    ts AS validated_at
+  FROM events
+),
+runs AS (
+  SELECT run_id, 'rule-screen' AS provider, 'standards-v1' AS model,
+         count(*) AS total_cases, min(validated_at) AS run_at
+  FROM scores GROUP BY run_id
+),
+latest AS (
+  SELECT a.* FROM scores a
+  JOIN (SELECT case_id, max(validated_at) AS max_ts FROM scores GROUP BY case_id) b
+    ON a.case_id = b.case_id AND a.validated_at = b.max_ts
+),
+view AS (
+  SELECT c.*, l.score_id, l.run_id, l.verdict, l.preconditions_passed, l.test_steps_passed,
+         l.expected_results_passed, l.validated_at, r.provider, r.model,
+         l.case_id IS NULL AS never_scored
+  FROM cases c LEFT JOIN latest l ON c.case_id = l.case_id
+  LEFT JOIN runs r ON l.run_id = r.run_id
+),
+counters AS (
+  SELECT r.run_id, r.provider, r.model, r.total_cases,
+    CAST(count_if(s.verdict = 'Passed') AS BIGINT) AS passed_count,
+    CAST(count_if(s.verdict = 'Needs Improvement') AS BIGINT) AS needs_improvement_count,
+    CAST(count_if(s.verdict = 'Failed') AS BIGINT) AS failed_count,
+    CAST(count_if(s.score_id IS NOT NULL AND s.verdict IS NULL) AS BIGINT) AS error_count,
+    r.run_at
+  FROM runs r LEFT JOIN scores s ON s.run_id = r.run_id
+  GROUP BY r.run_id, r.provider, r.model, r.total_cases, r.run_at
+)"""
+
+SQL["verdict_frequency"] = f"""
+WITH {STORE}
+SELECT verdict, count(*) AS n FROM scores WHERE verdict IS NOT NULL
+GROUP BY verdict ORDER BY n DESC, verdict
+"""
+
+SQL["verdict_counters"] = f"""
+WITH {STORE}
+SELECT count(*) AS total,
+  CAST(count_if(verdict = 'Passed') AS BIGINT) AS passed,
+  CAST(count_if(verdict = 'Needs Improvement') AS BIGINT) AS needs_improvement,
+  CAST(count_if(verdict = 'Failed') AS BIGINT) AS failed,
+  CAST(count_if(verdict IS NULL) AS BIGINT) AS errors,
+  CAST(count_if(never_scored) AS BIGINT) AS never_scored
+FROM view
+"""
+
+SQL["run_counters"] = f"WITH {STORE} SELECT * FROM counters"
+
+SQL["latest_per_case"] = f"WITH {STORE} SELECT * FROM latest"
+
+SQL["latest_with_ties"] = """
+SELECT a.o_custkey, a.o_orderkey, a.o_orderdate FROM orders a
+JOIN (SELECT o_custkey, max(o_orderdate) AS m FROM orders GROUP BY o_custkey) b
+  ON a.o_custkey = b.o_custkey AND a.o_orderdate = b.m
+"""
+
+SQL["latest_dedup"] = """
+SELECT o_custkey, max(o_orderkey) AS o_orderkey, o_orderdate FROM orders a
+WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders b WHERE b.o_custkey = a.o_custkey)
+GROUP BY o_custkey, o_orderdate
+"""
+
+SQL["cases_with_latest"] = f"WITH {STORE} SELECT * FROM view ORDER BY case_id"
+
+SQL["case_history"] = f"""
+WITH {STORE}
+SELECT s.*, r.provider, r.model FROM scores s JOIN runs r ON s.run_id = r.run_id
+ORDER BY s.case_id, s.validated_at DESC, s.score_id DESC
+"""
+
+SQL["runs_newest_first"] = f"WITH {STORE} SELECT * FROM counters ORDER BY run_at DESC, run_id"
+
+SQL["facets"] = f"""
+WITH {STORE}
+SELECT DISTINCT * FROM (
+  SELECT 'tribe' AS facet, tribe AS value FROM view WHERE tribe IS NOT NULL
+  UNION ALL SELECT 'product', product FROM view WHERE product IS NOT NULL
+  UNION ALL SELECT 'capability', capability FROM view WHERE capability IS NOT NULL)
+ORDER BY facet, value
+"""
+
+SQL["date_extent"] = f"""
+WITH {STORE}
+SELECT coalesce(min(CAST(validated_at AS DATE)), current_date - 365) AS min_date,
+       coalesce(max(CAST(validated_at AS DATE)), current_date) AS max_date
+FROM view
+"""
+
+SQL["filtered_view"] = f"""
+WITH {STORE}
+SELECT case_id, title, tribe, product, capability, verdict, validated_at FROM view
+WHERE verdict = 'Needs Improvement'
+  AND CAST(validated_at AS DATE) BETWEEN DATE '2024-01-20' AND DATE '2024-01-31'
+  AND (regexp_matches(lower(coalesce(title, '')), 'customer#0+1')
+       OR regexp_matches(lower(CAST(case_id AS VARCHAR)), 'customer#0+1'))
+"""
+
+SQL["display_labels"] = f"""
+WITH {STORE}
+SELECT case_id,
+  CASE verdict WHEN 'Passed' THEN '✅ Passed' WHEN 'Needs Improvement' THEN '🔧 Needs Improvement'
+       WHEN 'Failed' THEN '❌ Failed' ELSE '⚠️ Error' END AS verdict_label,
+  CASE WHEN preconditions_passed IS NULL THEN '⚠️ Error' WHEN preconditions_passed THEN '✅ Pass' ELSE '❌ Fail' END AS preconditions_label,
+  CASE WHEN test_steps_passed IS NULL THEN '⚠️ Error' WHEN test_steps_passed THEN '✅ Pass' ELSE '❌ Fail' END AS test_steps_label,
+  CASE WHEN expected_results_passed IS NULL THEN '⚠️ Error' WHEN expected_results_passed THEN '✅ Pass' ELSE '❌ Fail' END AS expected_results_label,
+  coalesce(nullif(trim(provider), ''), '—') AS provider_label
+FROM view
+"""
+
+SNAPSHOTS = """
+old AS (
+  SELECT c_custkey AS case_id, c_name AS title, c_mktsegment AS capability,
+         '2024-01-01T00:00:00+00:00' AS first_seen_at, '2024-01-01T00:00:00+00:00' AS last_updated_at
+  FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0
+),
+new AS (
+  SELECT c_custkey AS case_id, c_name || ' v2' AS title,
+         CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS capability,
+         '2024-02-01T00:00:00+00:00' AS first_seen_at, '2024-02-01T00:00:00+00:00' AS last_updated_at
+  FROM customer WHERE c_custkey % 2 = 1 OR c_custkey % 3 = 0
+)"""
+
+SQL["upsert_cases"] = f"""
+WITH {SNAPSHOTS}
+SELECT coalesce(n.case_id, o.case_id) AS case_id,
+  CASE WHEN n.case_id IS NOT NULL THEN n.title ELSE o.title END AS title,
+  CASE WHEN n.case_id IS NOT NULL THEN n.capability ELSE o.capability END AS capability,
+  coalesce(o.first_seen_at, n.first_seen_at) AS first_seen_at,
+  CASE WHEN n.case_id IS NOT NULL THEN n.last_updated_at ELSE o.last_updated_at END AS last_updated_at
+FROM old o FULL OUTER JOIN new n ON o.case_id = n.case_id
+"""
+
+RUN_SNAPSHOTS = f"""
+{STORE},
+old_runs AS (
+  SELECT run_id, 'rule-screen' AS provider, 'standards-v1' AS model, count(*) AS total_cases,
+         min(validated_at) AS run_at
+  FROM scores WHERE day(validated_at) <= 20 GROUP BY run_id
+),
+new_runs AS (
+  SELECT run_id, 'rule-screen' AS provider, 'standards-v2' AS model, count(*) AS total_cases,
+         min(validated_at) AS run_at
+  FROM scores WHERE day(validated_at) >= 15 GROUP BY run_id
+)"""
+
+SQL["insert_if_absent"] = f"""
+WITH {RUN_SNAPSHOTS}
+SELECT * FROM old_runs
+UNION ALL SELECT * FROM new_runs WHERE run_id NOT IN (SELECT run_id FROM old_runs)
+"""
+
+SQL["replace_run"] = f"""
+WITH {RUN_SNAPSHOTS}
+SELECT * FROM old_runs WHERE run_id NOT IN (SELECT run_id FROM new_runs)
+UNION ALL SELECT * FROM new_runs
+"""
+
+SQL["orphans"] = f"""
+WITH {STORE}
+SELECT score_id, case_id, run_id, 'unknown record' AS reason FROM scores
+WHERE case_id NOT IN (SELECT case_id FROM cases)
+UNION ALL
+SELECT score_id, case_id, run_id, 'unknown run' FROM scores
+WHERE run_id NOT IN (SELECT run_id FROM runs)
+"""
+
+SQL["resume_remaining"] = """
+SELECT doc_id, lang, source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+"""
