@@ -238,3 +238,96 @@ def resume_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fx.tables(spark, sf_dir)
     return store.remaining(t.documents.select("doc_id", "lang", "source"),
                            t.labels.select("doc_id"), key="doc_id")
+
+
+# ------------------------------------------------------------------ text & scoring -----
+
+from casegauge.functions import html, text  # noqa: E402
+from casegauge.operators import score  # noqa: E402
+from casegauge.sources import files  # noqa: E402
+
+
+@query("html_text")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """visible text of every page."""
+    p = fx.html_pages(fx.tables(spark, sf_dir))
+    return p.select("page_id", html.html_to_text(F.col("html")).alias("text"))
+
+
+@query("numbered_list")
+def numbered_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: every list item of every page as numbered lines."""
+    p = fx.html_pages(fx.tables(spark, sf_dir))
+    return p.select("page_id", html.numbered_list(F.col("html")).alias("items"))
+
+
+@query("endpoint_from_link")
+def endpoint_from_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id from each link, its endpoint, and the rows rejected for no id."""
+    pages = fx.tables(spark, sf_dir).pages.select("page_id", "url")
+    rid = text.extract_id(F.col("url"), "/([0-9]+)")
+    return pages.select("page_id", rid.alias("record_id"),
+                        text.endpoint(rid).alias("endpoint"),
+                        F.when(rid.isNull(), "rejected").otherwise("ok").alias("status"))
+
+
+@query("link_builder")
+def link_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link from an id column (digits kept, '' when none)."""
+    c = fx.tables(spark, sf_dir).customer.select("c_custkey", "c_name")
+    return c.select("c_custkey", F.col("c_name").alias("ID"),
+                    text.build_link(F.col("c_name")).alias("link"))
+
+
+@query("steps_join")
+def steps_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """step contents / expected parts of each nested record joined by newline."""
+    from casegauge.operators import standards
+    r = fx.conversation_records(fx.tables(spark, sf_dir))
+    return r.select("conv_id",
+                    standards.steps_text(F.col("custom_steps_separated"), "content").alias("steps"),
+                    standards.steps_text(F.col("custom_steps_separated"), "expected")
+                    .alias("expected"))
+
+
+@query("json_result_parse")
+def json_result_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON out of free-text replies, typed and validated."""
+    r = fx.replies(fx.tables(spark, sf_dir))
+    p = r.select("event_id", text.parse_result(F.col("reply"), F.col("request_id")).alias("r"))
+    ok = F.col("r.valid")
+    return p.select("event_id", ok.alias("is_valid"),
+                    F.when(ok, F.col("r.test_case_id")).alias("test_case_id"),
+                    F.when(ok, F.col("r.verdict")).alias("verdict"),
+                    F.when(ok, F.col("r.preconditions.passed")).alias("preconditions_passed"),
+                    F.when(ok, F.col("r.test_steps.passed")).alias("test_steps_passed"),
+                    F.when(ok, F.col("r.expected_results.passed")).alias("expected_results_passed"),
+                    F.when(ok, F.col("r.overall_remarks")).alias("overall_remarks"))
+
+
+@query("legacy_upgrade")
+def legacy_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old-format report upgraded to the current columns."""
+    legacy = fx.legacy_report(fx.tables(spark, sf_dir))
+    up = files.normalize_validation(legacy)
+    return up.select(F.col("Test Case ID").alias("test_case_id"), F.col("Verdict").alias("verdict"),
+                     F.col("Overall Remarks").alias("overall_remarks"),
+                     F.col("Improvements").alias("improvements"),
+                     text.flag_to_int(F.col("Overall Passed")).alias("overall_passed_int"))
+
+
+@query("rule_screen")
+def rule_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deterministic standards screen over every document, as report rows."""
+    cases = fx.documents_as_cases(fx.tables(spark, sf_dir))
+    return score.result_rows(score.rule_screen(cases))
+
+
+@query("score_batch")
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pluggable Python evaluator over Arrow batches; replies parsed natively."""
+    cases = fx.documents_as_cases(fx.tables(spark, sf_dir))
+    scored = score.score(cases.select(F.col("case_id").cast("string").alias("case_id"), "title",
+                                      "pre_conditions", "test_steps", "expected_result"),
+                         score.completeness_evaluator)
+    return score.result_rows(scored, title_col=None)

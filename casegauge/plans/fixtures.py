@@ -98,3 +98,73 @@ def html_pages(t: Tables) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
+
+
+def documents_as_cases(t: Tables) -> DataFrame:
+    """Documents read as test cases: first line = preconditions, last line = expected
+    result, the lines between = steps (whole texts, every line)."""
+    d = t.documents.select("doc_id", "text", "lang", "source")
+    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
+    n = F.size(lines)
+    return d.select(
+        F.col("doc_id").alias("case_id"),
+        F.concat_ws("/", "lang", "source").alias("title"),
+        F.element_at(lines, 1).alias("pre_conditions"),
+        F.when(n >= 3, F.array_join(F.slice(lines, 2, n - 2), "\n")).otherwise(F.lit(""))
+        .alias("test_steps"),
+        F.when(n >= 2, F.element_at(lines, -1)).otherwise(F.lit("")).alias("expected_result"),
+    )
+
+
+def replies(t: Tables) -> DataFrame:
+    """Free-text evaluator replies built from ``events``: fenced, prose-wrapped, bare, or
+    without any JSON; some miss the verdict key, some carry a verdict outside the enum."""
+    e = t.events.select("event_id", "user_id", "event_type", "value", "props")
+    b = lambda c: F.when(c, F.lit("true")).otherwise(F.lit("false"))
+    verdict = (F.when(F.col("event_type") == "purchase", '"verdict": "Passed", ')
+               .when(F.col("event_type").isin("view", "click"), '"verdict": "Needs Improvement", ')
+               .when(F.col("event_type") == "signup", '"verdict": "Failed", ')
+               .when(F.col("value") >= 20, '"verdict": "Maybe", ')
+               .otherwise(""))
+    body = F.concat(
+        F.lit('{"test_case_id": "C'), F.col("user_id").cast("string"),
+        F.lit('", "preconditions": {"passed": '), b(F.col("value") >= 5),
+        F.lit(', "remarks": ""}, "test_steps": {"passed": '), b(F.col("value") >= 10),
+        F.lit(', "remarks": "steps"}, "expected_results": {"passed": '), b(F.col("value") >= 2),
+        F.lit(', "remarks": ""}, '), verdict,
+        F.lit('"overall_remarks": "event '), F.col("event_type"),
+        F.lit('", "improvements": "", "context": '), F.col("props"), F.lit("}"))
+    k = F.col("event_id") % 4
+    reply = (F.when(k == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+             .when(k == 1, F.concat(F.lit("Here is my evaluation:\n```\n"), body,
+                                    F.lit("\n```\nDone.")))
+             .when(k == 2, F.concat(F.lit("Result: "), body, F.lit(" -- end")))
+             .otherwise(F.lit("I could not evaluate this case.")))
+    return e.select("event_id", F.concat(F.lit("C"), F.col("user_id").cast("string"))
+                    .alias("request_id"), reply.alias("reply"))
+
+
+def legacy_report(t: Tables) -> DataFrame:
+    """An old-format validation report: ``Overall Passed`` / ``Summary`` instead of
+    ``Verdict`` / ``Overall Remarks`` / ``Improvements``; unlabeled documents = NULL flag."""
+    d = t.documents.select("doc_id", "source")
+    lab = t.labels.select("doc_id", "quality", "toxic")
+    j = d.join(lab, "doc_id", "left")
+    return j.select(
+        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("Test Case ID"),
+        F.col("source").alias("Title"),
+        (F.col("quality") == 1).alias("Overall Passed"),
+        F.when(F.col("toxic") == 1, F.lit("flagged as toxic"))
+        .when(F.col("toxic") == 0, F.lit("")).alias("Summary"),
+    )
+
+
+def conversation_records(t: Tables) -> DataFrame:
+    """Nested records with a steps array (D4 ``custom_steps_separated``): each
+    conversation's turns in order, content = text, expected = role."""
+    c = t.conversations.select("conv_id", "turn", "role", "text")
+    steps = F.sort_array(F.collect_list(F.struct("turn", "text", "role")))
+    return (c.groupBy("conv_id").agg(steps.alias("s"))
+            .select("conv_id", F.transform("s", lambda x: F.struct(
+                x["text"].alias("content"), x["role"].alias("expected")))
+                .alias("custom_steps_separated")))

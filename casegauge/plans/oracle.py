@@ -308,3 +308,223 @@ SQL["resume_remaining"] = """
 SELECT doc_id, lang, source FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """
+
+# ------------------------------------------------------------------ text & scoring -----
+
+from casegauge.functions import html as _h  # noqa: E402
+from casegauge.functions import text as _t  # noqa: E402
+from casegauge.operators import score as _s  # noqa: E402
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _unescape(x: str) -> str:
+    for ent, ch in _h.ENTITIES:
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    return x
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, {_q(_h.STRIP_RE)}, '', 'g')"
+
+
+def _nodes(x: str) -> str:
+    parts = f"string_split(regexp_replace({x}, {_q(_h.TAG_RE)}, chr(1), 'g'), chr(1))"
+    return (f"list_filter(list_transform({parts}, lambda p: {_strip(_unescape('p'))}), "
+            f"lambda p: p <> '')")
+
+
+CLEAN_PAGES = f"""
+cleaned AS (
+  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      {_q(_h.HIDDEN_RE)}, '', 'g'), {_q(_h.COMMENT_RE)}, '', 'g'), {_q(_h.DECL_RE)}, '', 'g') AS h
+  FROM pages
+)"""
+
+SQL["html_text"] = f"""
+WITH {CLEAN_PAGES}
+SELECT page_id, array_to_string({_nodes('h')}, chr(10)) AS text FROM cleaned
+"""
+
+SQL["numbered_list"] = f"""
+WITH {CLEAN_PAGES}
+SELECT page_id, array_to_string(list_transform(regexp_extract_all(h, {_q(_h.LI_RE)}, 1),
+    lambda x, i: CAST(i AS VARCHAR) || '. ' || array_to_string({_nodes('x')}, ' ')), chr(10)) AS items
+FROM cleaned
+"""
+
+SQL["endpoint_from_link"] = f"""
+SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS record_id,
+  {_q(_t.DEFAULT_API_BASE)} || nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS endpoint,
+  CASE WHEN nullif(regexp_extract(url, '/([0-9]+)', 1), '') IS NULL THEN 'rejected' ELSE 'ok' END AS status
+FROM pages
+"""
+
+SQL["link_builder"] = f"""
+SELECT c_custkey, c_name AS "ID",
+  CASE WHEN regexp_replace(c_name, '[^\\p{{Nd}}]', '', 'g') <> ''
+       THEN {_q(_t.DEFAULT_VIEW_BASE)} || regexp_replace(c_name, '[^\\p{{Nd}}]', '', 'g') ELSE '' END AS link
+FROM customer
+"""
+
+SQL["steps_join"] = """
+SELECT conv_id, string_agg(coalesce(text, ''), chr(10) ORDER BY turn) AS steps,
+       string_agg(coalesce(role, ''), chr(10) ORDER BY turn) AS expected
+FROM conversations GROUP BY conv_id
+"""
+
+SQL["json_result_parse"] = f"""
+WITH b AS (
+  SELECT event_id, 'C' || CAST(user_id AS VARCHAR) AS request_id,
+    '{{"test_case_id": "C' || CAST(user_id AS VARCHAR) ||
+    '", "preconditions": {{"passed": ' || CASE WHEN value >= 5 THEN 'true' ELSE 'false' END ||
+    ', "remarks": ""}}, "test_steps": {{"passed": ' || CASE WHEN value >= 10 THEN 'true' ELSE 'false' END ||
+    ', "remarks": "steps"}}, "expected_results": {{"passed": ' || CASE WHEN value >= 2 THEN 'true' ELSE 'false' END ||
+    ', "remarks": ""}}, ' ||
+    CASE WHEN event_type = 'purchase' THEN '"verdict": "Passed", '
+         WHEN event_type IN ('view', 'click') THEN '"verdict": "Needs Improvement", '
+         WHEN event_type = 'signup' THEN '"verdict": "Failed", '
+         WHEN value >= 20 THEN '"verdict": "Maybe", ' ELSE '' END ||
+    '"overall_remarks": "event ' || event_type || '", "improvements": "", "context": ' || props || '}}' AS body
+  FROM events
+),
+r AS (
+  SELECT event_id, request_id,
+    CASE event_id % 4
+      WHEN 0 THEN '```json' || chr(10) || body || chr(10) || '```'
+      WHEN 1 THEN 'Here is my evaluation:' || chr(10) || '```' || chr(10) || body || chr(10) || '```' || chr(10) || 'Done.'
+      WHEN 2 THEN 'Result: ' || body || ' -- end'
+      ELSE 'I could not evaluate this case.' END AS reply
+  FROM b
+),
+j AS (
+  SELECT event_id, request_id,
+    coalesce(nullif(regexp_extract(reply, {_q(_t.FENCED_JSON_RE)}, 1), ''),
+             nullif(regexp_extract(reply, {_q(_t.BRACED_JSON_RE)}, 0), '')) AS js
+  FROM r
+),
+p AS (
+  SELECT event_id, js,
+    CASE WHEN json_exists(js, '$.verdict') THEN json_extract_string(js, '$.verdict') ELSE 'Failed' END AS verdict,
+    CASE WHEN json_exists(js, '$.test_case_id') THEN json_extract_string(js, '$.test_case_id') ELSE request_id END AS tcid,
+    CASE WHEN json_exists(js, '$.overall_remarks') THEN json_extract_string(js, '$.overall_remarks') ELSE '' END AS overall,
+    CASE WHEN json_exists(js, '$.improvements') THEN json_extract_string(js, '$.improvements') ELSE '' END AS impr,
+    TRY_CAST(json_extract_string(js, '$.preconditions.passed') AS BOOLEAN) AS pre_p,
+    json_extract_string(js, '$.preconditions.remarks') AS pre_r,
+    TRY_CAST(json_extract_string(js, '$.test_steps.passed') AS BOOLEAN) AS st_p,
+    json_extract_string(js, '$.test_steps.remarks') AS st_r,
+    TRY_CAST(json_extract_string(js, '$.expected_results.passed') AS BOOLEAN) AS ex_p,
+    json_extract_string(js, '$.expected_results.remarks') AS ex_r
+  FROM j WHERE js IS NOT NULL AND json_valid(js)
+),
+v AS (
+  SELECT j.event_id, p.*,
+    coalesce(p.verdict IN ('Passed', 'Needs Improvement', 'Failed')
+      AND pre_p IS NOT NULL AND pre_r IS NOT NULL AND st_p IS NOT NULL AND st_r IS NOT NULL
+      AND ex_p IS NOT NULL AND ex_r IS NOT NULL AND overall IS NOT NULL AND impr IS NOT NULL
+      AND tcid IS NOT NULL, false) AS ok
+  FROM j LEFT JOIN p ON j.event_id = p.event_id
+)
+SELECT event_id, ok AS is_valid,
+  CASE WHEN ok THEN tcid END AS test_case_id, CASE WHEN ok THEN verdict END AS verdict,
+  CASE WHEN ok THEN pre_p END AS preconditions_passed, CASE WHEN ok THEN st_p END AS test_steps_passed,
+  CASE WHEN ok THEN ex_p END AS expected_results_passed, CASE WHEN ok THEN overall END AS overall_remarks
+FROM v
+"""
+
+SQL["legacy_upgrade"] = """
+SELECT 'D' || CAST(d.doc_id AS VARCHAR) AS test_case_id,
+  CASE WHEN l.quality = 1 THEN 'Passed' WHEN l.quality IS NOT NULL THEN 'Failed' END AS verdict,
+  CASE WHEN l.toxic = 1 THEN 'flagged as toxic' WHEN l.toxic = 0 THEN '' END AS overall_remarks,
+  '' AS improvements,
+  CAST(l.quality = 1 AS INT) AS overall_passed_int
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+DOC_CASES = """
+doc_lines AS (
+  SELECT doc_id, lang, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+),
+doc_cases AS (
+  SELECT doc_id AS case_id, concat_ws('/', lang, source) AS title, lines[1] AS pre_conditions,
+    CASE WHEN len(lines) >= 3 THEN array_to_string(lines[2:len(lines) - 1], chr(10)) ELSE '' END AS test_steps,
+    CASE WHEN len(lines) >= 2 THEN lines[len(lines)] ELSE '' END AS expected_result
+  FROM doc_lines
+)"""
+
+SQL["rule_screen"] = f"""
+WITH {DOC_CASES},
+parts AS (
+  SELECT case_id, title, lower(coalesce(pre_conditions, '')) AS p,
+    list_filter(string_split(coalesce(test_steps, ''), chr(10)), lambda s: {_strip('s')} <> '') AS step_lines,
+    {_strip("coalesce(expected_result, '')")} AS e
+  FROM doc_cases
+),
+low AS (
+  SELECT *, list_transform(step_lines, lambda s: lower({_strip('s')})) AS low_steps FROM parts
+),
+f AS (
+  SELECT case_id, title,
+    regexp_matches(p, {_q(_s.URL_RE)}) OR regexp_matches(coalesce(low_steps[1], ''), {_q(_s.URL_RE)}) AS has_url,
+    regexp_matches(p, {_q(_s.CREDENTIAL_RE)}) AS has_cred,
+    regexp_matches(p, {_q(_s.ENVIRONMENT_RE)}) AS env_word,
+    len(step_lines) > 0 AS has_steps,
+    coalesce(list_bool_and(list_transform(low_steps, lambda s: regexp_matches(s, {_q(_s.IMPERATIVE_RE)}))), true) AS imperative,
+    coalesce(list_bool_and(list_transform(low_steps, lambda s: NOT regexp_matches(s, {_q(_s.COMPOUND_RE)}))), true) AS atomic,
+    coalesce(list_bool_and(list_transform(low_steps, lambda s: NOT regexp_matches(s, {_q(_s.INPUT_RE)})
+                                                   OR regexp_matches(s, {_q(_s.DATA_RE)}))), true) AS with_data,
+    e <> '' AS has_expected
+  FROM low
+),
+g AS (
+  SELECT *, env_word OR has_url AS has_env FROM f
+),
+h AS (
+  SELECT *,
+    has_url AND has_cred AND has_env AS pre_ok,
+    has_steps AND imperative AND atomic AND with_data AS steps_ok,
+    concat_ws('; ', CASE WHEN NOT has_url THEN 'URL missing' END,
+                    CASE WHEN NOT has_cred THEN 'credentials missing' END,
+                    CASE WHEN NOT has_env THEN 'environment missing' END) AS pre_rm,
+    concat_ws('; ', CASE WHEN NOT has_steps THEN 'no test steps' END,
+                    CASE WHEN has_steps AND NOT imperative THEN 'steps not imperative' END,
+                    CASE WHEN has_steps AND NOT atomic THEN 'steps not atomic' END,
+                    CASE WHEN has_steps AND NOT with_data THEN 'input steps lack data' END) AS steps_rm,
+    CASE WHEN NOT has_expected THEN 'expected result missing' ELSE '' END AS exp_rm
+  FROM g
+),
+k AS (
+  SELECT *,
+    CASE WHEN pre_ok AND steps_ok AND has_expected THEN 'Passed'
+         WHEN (NOT has_url AND NOT has_cred) OR NOT has_steps OR NOT has_expected THEN 'Failed'
+         ELSE 'Needs Improvement' END AS verdict,
+    concat_ws('; ', nullif(pre_rm, ''), nullif(steps_rm, ''), nullif(exp_rm, '')) AS overall
+  FROM h
+)
+SELECT CAST(case_id AS VARCHAR) AS "Test Case ID", title AS "Title",
+  pre_ok AS "Preconditions Passed", pre_rm AS "Preconditions Remarks",
+  steps_ok AS "Test Steps Passed", steps_rm AS "Test Steps Remarks",
+  has_expected AS "Expected Results Passed", exp_rm AS "Expected Results Remarks",
+  verdict AS "Verdict", overall AS "Overall Remarks",
+  CASE WHEN verdict = 'Passed' THEN '' ELSE 'Address: ' || overall END AS "Improvements"
+FROM k
+"""
+
+SQL["score_batch"] = f"""
+WITH {DOC_CASES},
+f AS (
+  SELECT case_id, coalesce(pre_conditions, '') <> '' AS a, coalesce(test_steps, '') <> '' AS b,
+         coalesce(expected_result, '') <> '' AS c
+  FROM doc_cases
+),
+n AS (SELECT *, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) AS n FROM f)
+SELECT CAST(case_id AS VARCHAR) AS "Test Case ID", CAST(NULL AS VARCHAR) AS "Title",
+  a AS "Preconditions Passed", CASE WHEN a THEN '' ELSE 'empty' END AS "Preconditions Remarks",
+  b AS "Test Steps Passed", CASE WHEN b THEN '' ELSE 'empty' END AS "Test Steps Remarks",
+  c AS "Expected Results Passed", CASE WHEN c THEN '' ELSE 'empty' END AS "Expected Results Remarks",
+  CASE n WHEN 3 THEN 'Passed' WHEN 0 THEN 'Failed' ELSE 'Needs Improvement' END AS "Verdict",
+  CAST(n AS VARCHAR) || ' of 3 criteria present' AS "Overall Remarks", '' AS "Improvements"
+FROM n
+"""
