@@ -331,3 +331,24 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "pre_conditions", "test_steps", "expected_result"),
                          score.completeness_evaluator)
     return score.result_rows(scored, title_col=None)
+
+
+# ------------------------------------------------------------------ similar examples ---
+
+from casegauge.operators import similar  # noqa: E402
+
+SIMILAR = dict(target=5, min_per_level=3, seed="seed")
+
+
+def _scored_records(t) -> DataFrame:
+    """J7 + P21: records whose latest score (one per record) has a verdict."""
+    latest = store.latest_per_key(fx.scores(t), dedup=True, tie_break=["score_id"])
+    return (fx.cases(t).join(latest.where(F.col("verdict").isNotNull())
+                             .select("case_id", "verdict"), "case_id", "inner"))
+
+
+@query("similar_examples")
+def similar_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 5 similar scored examples for every record."""
+    t = fx.tables(spark, sf_dir)
+    return similar.similar_examples(fx.cases(t), _scored_records(t), **SIMILAR)

@@ -528,3 +528,53 @@ SELECT CAST(case_id AS VARCHAR) AS "Test Case ID", CAST(NULL AS VARCHAR) AS "Tit
   CAST(n AS VARCHAR) || ' of 3 criteria present' AS "Overall Remarks", '' AS "Improvements"
 FROM n
 """
+
+# ------------------------------------------------------------------ similar examples ---
+
+SQL["similar_examples"] = f"""
+WITH {STORE},
+latest1 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY validated_at DESC, score_id DESC) AS rn
+                 FROM scores) WHERE rn = 1
+),
+pool AS (
+  SELECT c.case_id, nullif(c.capability, '') AS cap, nullif(c.product, '') AS prod,
+         nullif(c.tribe, '') AS trb, l.verdict, md5('seed|' || CAST(c.case_id AS VARCHAR)) AS okey
+  FROM cases c JOIN latest1 l ON c.case_id = l.case_id WHERE l.verdict IS NOT NULL
+),
+rec AS (
+  SELECT case_id, nullif(capability, '') AS cap, nullif(product, '') AS prod, nullif(tribe, '') AS trb
+  FROM cases
+),
+cand AS (
+  SELECT r.case_id, p.case_id AS example_id, 1 AS level, p.okey, p.verdict
+  FROM rec r JOIN pool p ON p.cap = r.cap AND p.case_id <> r.case_id
+  UNION ALL
+  SELECT r.case_id, p.case_id, 2, p.okey, p.verdict
+  FROM rec r JOIN pool p ON p.prod = r.prod AND p.case_id <> r.case_id
+  UNION ALL
+  SELECT r.case_id, p.case_id, 3, p.okey, p.verdict
+  FROM rec r JOIN pool p ON p.trb = r.trb AND p.case_id <> r.case_id
+),
+dedup AS (
+  SELECT case_id, example_id, min(level) AS level, any_value(okey) AS okey, any_value(verdict) AS verdict
+  FROM cand GROUP BY case_id, example_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY okey, example_id) AS r,
+    sum(CASE WHEN level = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY case_id) AS c1,
+    sum(CASE WHEN level = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY case_id) AS c2,
+    sum(CASE WHEN level = 3 THEN 1 ELSE 0 END) OVER (PARTITION BY case_id) AS c3
+  FROM dedup
+),
+q1 AS (SELECT *, least(c1, 5) AS t1 FROM ranked),
+q2 AS (SELECT *, CASE WHEN t1 < 3 THEN least(c2, 5 - t1) ELSE 0 END AS t2 FROM q1),
+q3 AS (SELECT *, CASE WHEN t1 + t2 < 3 THEN least(c3, 5 - t1 - t2) ELSE 0 END AS t3 FROM q2),
+kept AS (
+  SELECT * FROM q3
+  WHERE r <= CASE level WHEN 1 THEN t1 WHEN 2 THEN t2 ELSE t3 END
+)
+SELECT case_id, example_id, level,
+  row_number() OVER (PARTITION BY case_id ORDER BY level, r) AS ordinal, verdict
+FROM kept
+"""
