@@ -352,3 +352,40 @@ def similar_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to 5 similar scored examples for every record."""
     t = fx.tables(spark, sf_dir)
     return similar.similar_examples(fx.cases(t), _scored_records(t), **SIMILAR)
+
+
+# ------------------------------------------------------------------ streaming ----------
+
+from casegauge.session import scratch_path  # noqa: E402
+from casegauge.streaming import incremental as inc  # noqa: E402
+
+
+def _land_scores(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
+    s = fx.scores(fx.tables(spark, sf_dir))
+    day = F.dayofmonth("validated_at")
+    inc.land_files(s.where(day <= 15) if part == "first" else s.where(day > 15), src, 2,
+                   "validated_at")
+
+
+@query("stream_counters")
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run counters maintained by a streaming aggregate over landed score files
+    (4 micro-batches, two arrivals); must equal the batch aggregate."""
+    base = scratch_path(spark, "stream-counters")
+    src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    for part in ("first", "second"):
+        _land_scores(spark, sf_dir, src, part)
+        inc.run_to_completion(inc.run_counters_stream(spark, src, sink, ckpt))
+    return inc.read_merged(spark, sink, "run_id")
+
+
+@query("stream_upsert")
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores persisted incrementally; the second run resumes from the checkpoint
+    and only processes the new files -- every score stored exactly once."""
+    base = scratch_path(spark, "stream-upsert")
+    src, sink, ckpt = f"{base}/in", f"{base}/facts", f"{base}/ckpt"
+    for part in ("first", "second"):
+        _land_scores(spark, sf_dir, src, part)
+        inc.run_to_completion(inc.save_scores_stream(spark, src, sink, ckpt))
+    return spark.read.parquet(sink).drop("batch_id")
