@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,36 +90,46 @@ def extract_json(text: Column) -> Column:
     return F.coalesce(fenced, braced)
 
 
-def parse_result(reply: Column, request_id: Column) -> Column:
+def parse_replies(df: DataFrame, reply_col: str, request_id_col: str, out: str = "r") -> DataFrame:
     """reply text -> typed evaluator result with an explicit validity check.
 
     Missing keys take the contract defaults (verdict ``Failed``, texts ``''``, id = the
     request id); a present-but-invalid value (verdict outside the enum, a criterion
-    without ``passed``/``remarks``, NULL text) makes the reply invalid.
-    Returns ``struct(valid, error, result...)``.
+    without ``passed``/``remarks``, NULL text) makes the reply invalid. Adds ``out`` =
+    ``struct(valid, error, test_case_id, preconditions, test_steps, expected_results,
+    verdict, overall_remarks, improvements)``.
+
+    Written as three projections (extract -> parse -> check) so the JSON is extracted
+    and parsed once per row; the optimizer keeps projections apart when collapsing them
+    would repeat an expensive expression.
     """
-    js = extract_json(reply)
-    parsed = F.from_json(js, RESULT_SCHEMA)
-    keys = F.json_object_keys(js)
-    has = lambda k: F.coalesce(F.array_contains(keys, k), F.lit(False))
-    verdict = F.when(has("verdict"), parsed["verdict"]).otherwise(F.lit("Failed"))
-    text_of = lambda k: F.when(has(k), parsed[k]).otherwise(F.lit(""))
-    tcid = F.when(has("test_case_id"), parsed["test_case_id"]).otherwise(request_id)
-    crit_ok = [parsed[c]["passed"].isNotNull() & parsed[c]["remarks"].isNotNull()
+    base = df.columns
+    s1 = df.withColumn("__js", extract_json(F.col(reply_col)))
+    s2 = s1.withColumn("__p", F.from_json("__js", RESULT_SCHEMA)) \
+           .withColumn("__k", F.coalesce(F.json_object_keys("__js"), F.array().cast("array<string>")))
+    has = lambda k: F.array_contains(F.col("__k"), k)
+    p = F.col("__p")
+    s3 = s2.select(
+        *base, "__js", "__p",
+        F.when(has("verdict"), p["verdict"]).otherwise(F.lit("Failed")).alias("__verdict"),
+        F.when(has("overall_remarks"), p["overall_remarks"]).otherwise(F.lit("")).alias("__overall"),
+        F.when(has("improvements"), p["improvements"]).otherwise(F.lit("")).alias("__impr"),
+        F.when(has("test_case_id"), p["test_case_id"]).otherwise(F.col(request_id_col)).alias("__tcid"))
+    crit_ok = [p[c]["passed"].isNotNull() & p[c]["remarks"].isNotNull()
                for c in ("preconditions", "test_steps", "expected_results")]
     valid = F.coalesce(
-        js.isNotNull() & parsed.isNotNull() & verdict.isin(*VERDICT_ENUM)
-        & crit_ok[0] & crit_ok[1] & crit_ok[2]
-        & text_of("overall_remarks").isNotNull() & text_of("improvements").isNotNull()
-        & tcid.isNotNull(), F.lit(False))
-    error = (F.when(js.isNull(), F.lit("no JSON object found in reply"))
-             .when(~valid, F.lit("reply does not match the result contract")))
-    return F.struct(valid.alias("valid"), error.alias("error"), tcid.alias("test_case_id"),
-                    parsed["preconditions"].alias("preconditions"),
-                    parsed["test_steps"].alias("test_steps"),
-                    parsed["expected_results"].alias("expected_results"),
-                    verdict.alias("verdict"), text_of("overall_remarks").alias("overall_remarks"),
-                    text_of("improvements").alias("improvements"))
+        F.col("__js").isNotNull() & p.isNotNull() & F.col("__verdict").isin(*VERDICT_ENUM)
+        & crit_ok[0] & crit_ok[1] & crit_ok[2] & F.col("__overall").isNotNull()
+        & F.col("__impr").isNotNull() & F.col("__tcid").isNotNull(), F.lit(False))
+    s4 = s3.withColumn("__valid", valid)
+    error = (F.when(F.col("__js").isNull(), F.lit("no JSON object found in reply"))
+             .when(~F.col("__valid"), F.lit("reply does not match the result contract")))
+    return s4.select(*base, F.struct(
+        F.col("__valid").alias("valid"), error.alias("error"), F.col("__tcid").alias("test_case_id"),
+        p["preconditions"].alias("preconditions"), p["test_steps"].alias("test_steps"),
+        p["expected_results"].alias("expected_results"), F.col("__verdict").alias("verdict"),
+        F.col("__overall").alias("overall_remarks"), F.col("__impr").alias("improvements"),
+    ).alias(out))
 
 
 def prompt_lines(*lines: Column) -> Column:

@@ -4,7 +4,7 @@
   predicates over whole texts -- no Python, no network, whole-stage codegen.
 * ``score`` (X1) runs any *pluggable* Python evaluator over Arrow batches with
   ``mapInPandas``: one call per batch, errors isolated per row and kept as rows.
-  Its replies are parsed natively (``text.parse_result``).
+  Its replies are parsed natively (``text.parse_replies``).
 * ``result_rows`` (X3) projects either result to the 11-column report.
 """
 
@@ -53,22 +53,33 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
     Verdict: every criterion holds -> Passed; required content absent (no URL and no
     credentials, no steps, or no expected result) -> Failed; otherwise Needs Improvement.
     """
-    p = F.lower(F.coalesce(F.col(pre), F.lit("")))
-    step_lines = F.filter(F.split(F.coalesce(F.col(steps), F.lit("")), "\n"),
-                          lambda s: text.py_strip(s) != "")
-    low_steps = F.transform(step_lines, lambda s: F.lower(text.py_strip(s)))
-    first_step = F.coalesce(F.try_element_at(low_steps, F.lit(1)), F.lit(""))
-    e = text.py_strip(F.coalesce(F.col(expected), F.lit("")))
-
-    has_url = p.rlike(URL_RE) | first_step.rlike(URL_RE)
-    has_cred = p.rlike(CREDENTIAL_RE)
-    has_env = p.rlike(ENVIRONMENT_RE) | has_url
-    has_steps = F.size(step_lines) > 0
-    imperative = F.forall(low_steps, lambda s: s.rlike(IMPERATIVE_RE))
-    atomic = F.forall(low_steps, lambda s: ~s.rlike(COMPOUND_RE))
-    with_data = F.forall(low_steps, lambda s: ~s.rlike(INPUT_RE) | s.rlike(DATA_RE))
-    has_expected = e != ""
-
+    base = cases.columns
+    # 1) normalise the three texts once per row
+    s1 = cases.select(
+        *base,
+        F.lower(F.coalesce(F.col(pre), F.lit(""))).alias("__p"),
+        F.filter(F.transform(F.split(F.coalesce(F.col(steps), F.lit("")), "\n"),
+                             lambda s: F.lower(text.py_strip(s))), lambda s: s != "").alias("__low"),
+        text.py_strip(F.coalesce(F.col(expected), F.lit(""))).alias("__e"))
+    # 2) the predicates
+    p, low = F.col("__p"), F.col("__low")
+    first_step = F.coalesce(F.try_element_at(low, F.lit(1)), F.lit(""))
+    s2 = s1.select(
+        *base,
+        (p.rlike(URL_RE) | first_step.rlike(URL_RE)).alias("has_url"),
+        p.rlike(CREDENTIAL_RE).alias("has_cred"),
+        p.rlike(ENVIRONMENT_RE).alias("env_word"),
+        (F.size(low) > 0).alias("has_steps"),
+        F.forall(low, lambda s: s.rlike(IMPERATIVE_RE)).alias("imperative"),
+        F.forall(low, lambda s: ~s.rlike(COMPOUND_RE)).alias("atomic"),
+        F.forall(low, lambda s: ~s.rlike(INPUT_RE) | s.rlike(DATA_RE)).alias("with_data"),
+        (F.col("__e") != "").alias("has_expected"))
+    # 3) verdict and remarks from the flags
+    c = F.col
+    has_url, has_cred, has_steps = c("has_url"), c("has_cred"), c("has_steps")
+    has_env = c("env_word") | has_url
+    imperative, atomic, with_data, has_expected = (c("imperative"), c("atomic"), c("with_data"),
+                                                   c("has_expected"))
     pre_ok = has_url & has_cred & has_env
     steps_ok = has_steps & imperative & atomic & with_data
     pre_rm = F.concat_ws("; ", F.when(~has_url, "URL missing"),
@@ -82,17 +93,20 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
     failed = (~has_url & ~has_cred) | ~has_steps | ~has_expected
     verdict = (F.when(pre_ok & steps_ok & has_expected, "Passed")
                .when(failed, "Failed").otherwise("Needs Improvement"))
-    overall = F.concat_ws("; ", F.nullif(pre_rm, F.lit("")), F.nullif(steps_rm, F.lit("")),
-                          F.nullif(exp_rm, F.lit("")))
-    crit = lambda ok, rm: F.struct(ok.alias("passed"), rm.alias("remarks"))
-    return cases.withColumn("evaluation", F.struct(
-        crit(pre_ok, pre_rm).alias("preconditions"),
-        crit(steps_ok, steps_rm).alias("test_steps"),
-        crit(has_expected, exp_rm).alias("expected_results"),
-        verdict.alias("verdict"),
+    s3 = s2.select(*base, pre_ok.alias("pre_ok"), steps_ok.alias("steps_ok"), "has_expected",
+                   pre_rm.alias("pre_rm"), steps_rm.alias("steps_rm"), exp_rm.alias("exp_rm"),
+                   verdict.alias("verdict"))
+    overall = F.concat_ws("; ", F.nullif(c("pre_rm"), F.lit("")), F.nullif(c("steps_rm"), F.lit("")),
+                          F.nullif(c("exp_rm"), F.lit("")))
+    crit = lambda ok, rm: F.struct(c(ok).alias("passed"), c(rm).alias("remarks"))
+    return s3.select(*base, F.struct(
+        crit("pre_ok", "pre_rm").alias("preconditions"),
+        crit("steps_ok", "steps_rm").alias("test_steps"),
+        crit("has_expected", "exp_rm").alias("expected_results"),
+        c("verdict").alias("verdict"),
         overall.alias("overall_remarks"),
-        F.when(verdict == "Passed", F.lit("")).otherwise(
-            F.concat(F.lit("Address: "), overall)).alias("improvements")))
+        F.when(c("verdict") == "Passed", F.lit("")).otherwise(
+            F.concat(F.lit("Address: "), overall)).alias("improvements")).alias("evaluation"))
 
 
 # ------------------------------------------------------------------ pluggable path -------
@@ -144,7 +158,7 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
     if parallelism:
         src = src.repartition(parallelism)
     replies = src.mapInPandas(_run_evaluator(evaluator, id_col), REPLY_SCHEMA)
-    parsed = replies.withColumn("r", text.parse_result(F.col("reply"), F.col("case_id")))
+    parsed = text.parse_replies(replies, "reply", "case_id", out="r")
     err = F.coalesce(F.col("call_error"), F.col("r.error"))
     ok = F.col("call_error").isNull() & F.col("r.valid")
     pick = lambda c: F.when(ok, c)

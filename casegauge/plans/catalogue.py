@@ -294,7 +294,7 @@ def steps_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_result_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON out of free-text replies, typed and validated."""
     r = fx.replies(fx.tables(spark, sf_dir))
-    p = r.select("event_id", text.parse_result(F.col("reply"), F.col("request_id")).alias("r"))
+    p = text.parse_replies(r, "reply", "request_id", out="r")
     ok = F.col("r.valid")
     return p.select("event_id", ok.alias("is_valid"),
                     F.when(ok, F.col("r.test_case_id")).alias("test_case_id"),

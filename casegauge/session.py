@@ -33,6 +33,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         shuffle_partitions = int(cores) if cores.isdigit() else os.cpu_count() or 8
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("CASEGAUGE_DRIVER_MEMORY", "16g")))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
