@@ -45,7 +45,6 @@ ENVELOPE = T.StructType([
     T.StructField("ID", T.StringType()),
     T.StructField("status_code", T.IntegerType()),
     T.StructField("response", RAW_RECORD),
-    T.StructField("_corrupt", T.StringType()),
 ])
 
 
@@ -99,13 +98,16 @@ def add_link_column(df: DataFrame, base: str = text.DEFAULT_VIEW_BASE,
 def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Landed fetch results (JSON lines ``{ID, status_code, response}``).
 
-    Returns ``(envelopes, quarantine)``; malformed lines land in the quarantine with the
-    raw text instead of aborting the batch.
+    Returns ``(envelopes, quarantine)``: lines are read as text, checked with
+    ``try_parse_json`` and parsed with the fixed envelope schema; malformed lines land in
+    the quarantine with their raw text instead of aborting the batch.
     """
-    raw = (spark.read.schema(ENVELOPE).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    good = raw.where(F.col("_corrupt").isNull()).drop("_corrupt")
-    bad = raw.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("line"))
+    lines = (spark.read.text(path).select(F.col("value").alias("line"))
+             .where(F.trim("line") != ""))
+    checked = lines.withColumn("__ok", F.try_parse_json("line").isNotNull())
+    good = (checked.where("__ok")
+            .select(F.from_json("line", ENVELOPE).alias("e")).select("e.*"))
+    bad = checked.where(~F.col("__ok")).select("line")
     return good, bad
 
 
