@@ -389,3 +389,57 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land_scores(spark, sf_dir, src, part)
         inc.run_to_completion(inc.save_scores_stream(spark, src, sink, ckpt))
     return spark.read.parquet(sink).drop("batch_id")
+
+
+# ------------------------------------------------------------------ ingest & export ----
+
+def _land_responses(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "landed-responses")
+    fx.landed_response_lines(fx.tables(spark, sf_dir)).write.text(path)
+    return path
+
+
+@query("ingest_screen")
+def ingest_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed fetch results -> status-200 records -> screened report rows."""
+    env, _bad = files.read_responses(spark, _land_responses(spark, sf_dir))
+    rep = standards.flatten(files.fetched_records(env))
+    return rep.select("General Standards", "Remarks", "Test Case ID", "Priority",
+                      "Automatability", "Automation Status", "Testing Type", "Status",
+                      "Testing Phase")
+
+
+@query("ingest_counts")
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G11 + quarantine: fetched ok / failed envelopes and torn lines, in one pass."""
+    path = _land_responses(spark, sf_dir)
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    parsed = lines.select(F.try_parse_json("line").isNotNull().alias("ok_json"),
+                          F.get_json_object("line", "$.status_code").alias("status"))
+    return parsed.agg(
+        F.count_if(F.col("ok_json") & (F.col("status") == "200")).alias("ok"),
+        F.count_if(F.col("ok_json") & F.coalesce(F.col("status") != "200", F.lit(True))).alias("failed"),
+        F.count_if(~F.col("ok_json")).alias("quarantined"))
+
+
+@query("csv_snapshot_roundtrip")
+def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-line text exported as CSV snapshots; the newest snapshot is
+    found from file names alone and read back under its column contract."""
+    base = scratch_path(spark, "csv-snapshots")
+    pages = fx.html_pages(fx.tables(spark, sf_dir))
+    older = pages.select("page_id", html.numbered_list(F.col("html")).alias("text"))
+    newer = pages.select("page_id", html.html_to_text(F.col("html")).alias("text"))
+    files.write_snapshot(older, base, "20240101_090000", fmt="csv")
+    files.write_snapshot(newer, base, "20240102_090000", fmt="csv")
+    return files.read_latest_report(spark, base, fmt="csv", required=["page_id", "text"])
+
+
+@query("few_shot_context")
+def few_shot_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the calibration text built from each record's similar examples."""
+    t = fx.tables(spark, sf_dir)
+    ex = similar.similar_examples(fx.cases(t), _scored_records(t), **SIMILAR)
+    latest = store.latest_per_key(fx.scores(t), dedup=True, tie_break=["score_id"])
+    details = fx.cases(t).join(latest.drop("run_id", "validated_at", "score_id"), "case_id", "inner")
+    return similar.few_shot_context(ex, details)

@@ -168,3 +168,16 @@ def conversation_records(t: Tables) -> DataFrame:
             .select("conv_id", F.transform("s", lambda x: F.struct(
                 x["text"].alias("content"), x["role"].alias("expected")))
                 .alias("custom_steps_separated")))
+
+
+def landed_response_lines(t: Tables) -> DataFrame:
+    """Fetch results as JSON lines (one envelope per record): most fetched with status
+    200, some 404, some with no status (network failure) and some torn lines."""
+    raw = cases_raw(t)
+    k = F.col("id")
+    status = (F.when(k % 10 == 9, F.lit(404)).when(k % 50 == 7, F.lit(None))
+              .otherwise(F.lit(200)).cast("int"))
+    line = F.to_json(F.struct(F.col("id").cast("string").alias("ID"), status.alias("status_code"),
+                              F.when(status == 200, F.struct(*[F.col(c) for c in raw.columns]))
+                              .alias("response")))
+    return raw.select(F.when(k % 97 == 5, F.substring(line, 1, 25)).otherwise(line).alias("value"))
