@@ -152,3 +152,17 @@ def orphans(facts: DataFrame, records: DataFrame, runs: DataFrame) -> DataFrame:
     no_run = (facts.join(runs.select("run_id"), "run_id", "left_anti")
               .withColumn("reason", F.lit("unknown run")))
     return reduce(DataFrame.unionByName, [no_rec, no_run])
+
+
+def save_run(records: DataFrame, runs: DataFrame, facts: DataFrame, new_records: DataFrame,
+             run_row: DataFrame, new_facts: DataFrame,
+             keep_first: tuple[str, ...] = ("first_seen_at",)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One whole run persisted -- records upserted (U2), the run row replaced (U4),
+    the run's scores appended (U5, idempotent by ``(run_id, case_id, score_id)`` when a
+    ``score_id`` exists). Returns the three new table states; write each to a new
+    version folder (never over the folder being read)."""
+    recs = upsert(records, new_records, "case_id", keep_first=list(keep_first))
+    rns = replace_by_key(runs, run_row, "run_id")
+    keys = [k for k in ("run_id", "case_id", "score_id") if k in facts.columns]
+    fcts = facts.unionByName(append_new(facts, new_facts, keys))
+    return recs, rns, fcts

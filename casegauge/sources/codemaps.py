@@ -125,15 +125,14 @@ def load_dimension(spark: SparkSession, path: str) -> DataFrame:
     ``_`` are ignored. The file is read as one whole text (it is a single JSON document).
     """
     doc = spark.read.text(path, wholetext=True)
-    nested = doc.select(F.from_json("value", "map<string,map<string,string>>").alias("s"))
-    sections = nested.select(F.explode("s").alias("section", "maps_json"))
+    as_map = "map<string,string>"  # nested objects stay as their JSON text, one level at a time
+    sections = doc.select(F.explode(F.from_json("value", as_map)).alias("section", "maps_json"))
     maps = (sections.where(~F.col("section").startswith("_"))
-            .select("section", F.explode(F.from_json("maps_json", "map<string,string>"))
+            .select("section", F.explode(F.from_json("maps_json", as_map))
                     .alias("map_name", "entries_json"))
             .where(~F.col("map_name").startswith("_")))
     entries = maps.select("section", "map_name",
-                          F.explode(F.from_json("entries_json", "map<string,string>"))
-                          .alias("k", "label"))
+                          F.explode(F.from_json("entries_json", as_map)).alias("k", "label"))
     return (entries.select("section", "map_name", F.expr("try_cast(k AS INT)").alias("id"), "label")
             .where(F.col("id").isNotNull()))
 

@@ -67,3 +67,18 @@ def test_resume_skips_completed(spark):
     todo = spark.createDataFrame([(1,), (2,), (3,)], "case_id long")
     facts = spark.createDataFrame([(1, "r"), (2, "other")], "case_id long, run_id string")
     assert [r[0] for r in store.remaining(todo, facts, run_id="r").orderBy("case_id").collect()] == [2, 3]
+
+
+def test_save_run_composes_writes(spark):
+    recs = spark.createDataFrame([(1, "a", "t0")], "case_id long, title string, first_seen_at string")
+    runs = spark.createDataFrame([("r1", 1)], "run_id string, total_cases long")
+    facts = spark.createDataFrame([("r1", 1, 10, "Passed")],
+                                  "run_id string, case_id long, score_id long, verdict string")
+    new_recs = spark.createDataFrame([(1, "A", "t1"), (2, "b", "t1")], recs.schema)
+    run_row = spark.createDataFrame([("r2", 2)], runs.schema)
+    new_facts = spark.createDataFrame([("r2", 1, 11, None), ("r2", 2, 12, "Failed"),
+                                       ("r1", 1, 10, "Passed")], facts.schema)
+    r, n, f = store.save_run(recs, runs, facts, new_recs, run_row, new_facts)
+    assert sorted(tuple(x) for x in r.collect()) == [(1, "A", "t0"), (2, "b", "t1")]
+    assert sorted(x[0] for x in n.collect()) == ["r1", "r2"]
+    assert f.count() == 3  # the replayed r1 row is not appended twice
