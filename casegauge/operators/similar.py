@@ -89,7 +89,7 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     quota = F.when(F.col("level") == 1, t1).when(F.col("level") == 2, t2).otherwise(t3)
     kept = ranked.where(F.col("r") <= quota)
     ordinal = F.row_number().over(Window.partitionBy("case_id").orderBy("level", "r"))
-    return kept.select("case_id", "example_id", "level", ordinal.alias("ordinal"), "verdict")
+    return kept.select("case_id", "example_id", "level", ordinal.cast("long").alias("ordinal"), "verdict")
 
 
 def few_shot_context(examples: DataFrame, details: DataFrame) -> DataFrame:
