@@ -133,10 +133,11 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     todo = store.remaining(_passed_as_records(passed), facts, run_id=run_id)
     latest = store.latest_per_key(facts, dedup=True, tie_break=["score_id"])
     scored_pool = records.join(latest.where(F.col("verdict").isNotNull())
-                               .select("case_id", "verdict"), "case_id", "inner")
-    examples = similar.similar_examples(todo, scored_pool, target, min_per_level, seed=run_id)
-    details = records.join(latest.drop("run_id", "validated_at", "score_id", "verdict"), "case_id")
-    context = similar.few_shot_context(examples, details)
+                               .select("case_id", "verdict", *similar.EXAMPLE_DETAILS[1:]),
+                               "case_id", "inner")
+    examples = similar.similar_examples(todo, scored_pool, target, min_per_level, seed=run_id,
+                                        carry=similar.EXAMPLE_DETAILS)
+    context = similar.few_shot_context(examples)
     work = todo.join(context, "case_id", "left")
     if evaluator is None:
         scored = score.rule_screen(work)

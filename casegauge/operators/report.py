@@ -91,10 +91,16 @@ def verdict_counters(df: DataFrame, col: str = "verdict",
 
 
 def facets(df: DataFrame, cols=("tribe", "product", "capability")) -> DataFrame:
-    """The distinct non-null values of each facet column, as ``(facet, value)``."""
-    parts = [df.select(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value"))
-             .where(F.col("value").isNotNull()) for c in cols]
-    return reduce(DataFrame.unionByName, parts).distinct().orderBy("facet", "value")
+    """The distinct non-null values of each facet column, as ``(facet, value)``.
+
+    One pass over ``df``: every row is unpivoted into its ``(facet, value)`` pairs and the
+    distinct is a single grouped aggregate with map-side partial aggregation (a union of
+    one projection per column would plan -- and compute -- ``df`` once per column).
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("facet"),
+                                         F.col(c).cast("string").alias("value")) for c in cols]))
+    return (df.select(pairs.alias("p")).select("p.facet", "p.value")
+            .where(F.col("value").isNotNull()).distinct().orderBy("facet", "value"))
 
 
 def lenient_date(c: Column) -> Column:

@@ -36,35 +36,43 @@ def order_key(seed: str, id_col: str = "case_id"):
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string")))
 
 
-def pools(scored: DataFrame, k: int, seed: str, levels=LEVELS) -> DataFrame:
+def pools(scored: DataFrame, k: int, seed: str, levels=LEVELS, carry=()) -> DataFrame:
     """The first ``k`` scored records of every group of every level:
-    ``(level, grp, example_id, okey, verdict)``."""
+    ``(level, grp, example_id, okey, verdict, *carry)``."""
+    carry = [c for c in carry if c not in ("case_id", "verdict")]
     parts = []
     for i, col in enumerate(levels, start=1):
         g = (scored.select(F.col("case_id").alias("example_id"),
-                           F.nullif(F.col(col), F.lit("")).alias("grp"), "verdict")
+                           F.nullif(F.col(col), F.lit("")).alias("grp"), "verdict", *carry)
              .where(F.col("grp").isNotNull())
              .withColumn("okey", order_key(seed, "example_id")))
         w = Window.partitionBy("grp").orderBy("okey", "example_id")
         parts.append(g.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k)
-                     .select(F.lit(i).alias("level"), "grp", "example_id", "okey", "verdict"))
+                     .select(F.lit(i).alias("level"), "grp", "example_id", "okey", "verdict",
+                             *carry))
     return reduce(DataFrame.unionByName, parts)
 
 
 def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
                      min_per_level: int = 3, seed: str = "seed", levels=LEVELS,
-                     max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``(case_id, example_id, level, ordinal, verdict)`` for every record.
+                     max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS,
+                     carry=()) -> DataFrame:
+    """``(case_id, example_id, level, ordinal, verdict, *carry)`` for every record.
 
     ``records``: ``case_id`` + the level columns. ``scored``: the same for records whose
     latest score has a verdict, plus ``verdict`` (see ``store.latest_per_key``; use the
-    dedup form so a record is one candidate).
+    dedup form so a record is one candidate) and any ``carry`` columns -- the example's
+    own details (title, flags), which ride along in the bounded pools. Carrying them is
+    what keeps the use of the examples skew-free: every record of a hot group is given the
+    same few pool members, so joining details back on ``example_id`` afterwards would
+    send a third of all example rows to one key.
     """
     if min_per_level > target:
         raise ValueError("min_per_level must not exceed target")
     k = target + min_per_level
-    pool, broadcast = joins.broadcast_if_small(joins.materialize(pools(scored, k, seed, levels)),
-                                               max_broadcast_rows)
+    carry = [c for c in carry if c not in ("case_id", "verdict")]
+    pool, broadcast = joins.broadcast_if_small(
+        joins.materialize(pools(scored, k, seed, levels, carry)), max_broadcast_rows)
     rec = records.select("case_id", F.explode(F.array(*[
         F.struct(F.lit(i).alias("level"), F.nullif(F.col(c), F.lit("")).alias("grp"))
         for i, c in enumerate(levels, start=1)])).alias("l")).select(
@@ -89,18 +97,28 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     quota = F.when(F.col("level") == 1, t1).when(F.col("level") == 2, t2).otherwise(t3)
     kept = ranked.where(F.col("r") <= quota)
     ordinal = F.row_number().over(Window.partitionBy("case_id").orderBy("level", "r"))
-    return kept.select("case_id", "example_id", "level", ordinal.cast("long").alias("ordinal"), "verdict")
+    return kept.select("case_id", "example_id", "level", ordinal.cast("long").alias("ordinal"),
+                       "verdict", *carry)
 
 
-def few_shot_context(examples: DataFrame, details: DataFrame) -> DataFrame:
+EXAMPLE_DETAILS = ("title", "preconditions_passed", "test_steps_passed", "expected_results_passed")
+
+
+def few_shot_context(examples: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """the calibration text per record, examples in ordinal order.
 
-    ``details``: ``case_id, title, verdict, preconditions_passed, test_steps_passed,
-    expected_results_passed``. Each record has at most ``target`` examples, so the
-    per-record collection is bounded.
+    ``examples`` should carry the ``EXAMPLE_DETAILS`` columns (``similar_examples(...,
+    carry=EXAMPLE_DETAILS)``); then this is one grouped aggregate by record. ``details``
+    (``case_id`` + those columns) is the fallback for examples without them: a join on
+    ``example_id``, left to AQE's skew split. Each record has at most ``target``
+    examples, so the per-record collection is bounded.
     """
-    d = details.select(F.col("case_id").alias("example_id"), "title",
-                       "preconditions_passed", "test_steps_passed", "expected_results_passed")
+    if details is None:
+        j = examples
+    else:
+        d = details.select(F.col("case_id").alias("example_id"), *EXAMPLE_DETAILS)
+        j = examples.drop(*[c for c in EXAMPLE_DETAILS if c in examples.columns]) \
+            .join(d, "example_id", "left")
     icon = lambda c: F.when(F.coalesce(F.col(c), F.lit(False)), "✓").otherwise("✗")
     block = F.concat_ws(
         "\n",
@@ -112,7 +130,6 @@ def few_shot_context(examples: DataFrame, details: DataFrame) -> DataFrame:
         F.concat(F.lit("- Test Steps: "), icon("test_steps_passed")),
         F.concat(F.lit("- Expected Results: "), icon("expected_results_passed")),
         F.concat(F.lit("- **Verdict: "), F.coalesce(F.col("verdict"), F.lit("ERROR")), F.lit("**")))
-    j = examples.join(d, "example_id", "left")
     return (j.groupBy("case_id")
             .agg(F.sort_array(F.collect_list(F.struct("ordinal", block.alias("b")))).alias("bs"))
             .select("case_id", F.array_join(F.transform("bs", lambda x: x["b"]), "\n\n")

@@ -108,6 +108,34 @@ def steps_text(steps: Column, part: str) -> Column:
                                     lambda s: F.coalesce(s[part], F.lit(""))), "\n")
 
 
+def steps_text_by_key(rows: DataFrame, key: str, order: str, parts: dict[str, str],
+                      chunk: int = 1024) -> DataFrame:
+    """F10 when the steps arrive one row per step (a long table) instead of nested in
+    the record: for each output name in ``parts`` (``{output: step column}``), that column
+    of every step joined by newline in ``order`` order (integral), per ``key``.
+
+    Two grouped aggregates instead of one collect per key: steps are first gathered per
+    ``(key, order // chunk)`` into nested step arrays (the D4 shape) and joined by
+    :func:`steps_text`, so the steps of a record holding a third of all rows are sorted
+    and joined by many tasks in parallel; the second aggregate only concatenates each
+    key's chunk texts in chunk order. Joining chunk texts by newline equals joining all
+    steps (empty fields stay as empty lines).
+    """
+    fields = list(parts.values())
+    step = F.struct(F.col(order).alias("__o"), *[F.col(c).alias(c) for c in fields])
+    chunks = (rows.groupBy(key, F.floor(F.col(order) / chunk).alias("__chunk"))
+              .agg(F.sort_array(F.collect_list(step)).alias("__steps")))
+    texts = chunks.select(key, "__chunk", *[steps_text(F.col("__steps"), c).alias(c)
+                                             for c in dict.fromkeys(fields)])
+    per_key = (texts.groupBy(key)
+               .agg(F.sort_array(F.collect_list(F.struct("__chunk", *dict.fromkeys(fields))))
+                    .alias("__c")))
+    def field(c: str):
+        return lambda x: x[c]
+    return per_key.select(key, *[F.array_join(F.transform("__c", field(c)), "\n").alias(out)
+                                 for out, c in parts.items()])
+
+
 def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None = None,
             capability: Column | None = None) -> DataFrame:
     """One raw record -> the 17-column report row (plus ``failures``).

@@ -281,13 +281,11 @@ def link_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("steps_join")
 def steps_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """step contents / expected parts of each nested record joined by newline."""
-    from casegauge.operators import standards
-    r = fx.conversation_records(fx.tables(spark, sf_dir))
-    return r.select("conv_id",
-                    standards.steps_text(F.col("custom_steps_separated"), "content").alias("steps"),
-                    standards.steps_text(F.col("custom_steps_separated"), "expected")
-                    .alias("expected"))
+    """every conversation's turns as a record's steps (content = text, expected =
+    role), each part joined by newline in turn order; skew-safe two-level gather."""
+    c = fx.tables(spark, sf_dir).conversations.select("conv_id", "turn", "role", "text")
+    return standards.steps_text_by_key(c, "conv_id", "turn",
+                                       {"steps": "text", "expected": "role"})
 
 
 @query("json_result_parse")
@@ -340,11 +338,13 @@ from casegauge.operators import similar  # noqa: E402
 SIMILAR = dict(target=5, min_per_level=3, seed="seed")
 
 
-def _scored_records(t) -> DataFrame:
-    """J7 + P21: records whose latest score (one per record) has a verdict."""
+def _scored_records(t, details: bool = False) -> DataFrame:
+    """J7 + P21: records whose latest score (one per record) has a verdict; with
+    ``details`` also the latest score's criterion flags (shown in few-shot examples)."""
     latest = store.latest_per_key(fx.scores(t), dedup=True, tie_break=["score_id"])
+    flags = list(similar.EXAMPLE_DETAILS[1:]) if details else []
     return (fx.cases(t).join(latest.where(F.col("verdict").isNotNull())
-                             .select("case_id", "verdict"), "case_id", "inner"))
+                             .select("case_id", "verdict", *flags), "case_id", "inner"))
 
 
 @query("similar_examples")
@@ -439,7 +439,6 @@ def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def few_shot_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """the calibration text built from each record's similar examples."""
     t = fx.tables(spark, sf_dir)
-    ex = similar.similar_examples(fx.cases(t), _scored_records(t), **SIMILAR)
-    latest = store.latest_per_key(fx.scores(t), dedup=True, tie_break=["score_id"])
-    details = fx.cases(t).join(latest.drop("run_id", "validated_at", "score_id"), "case_id", "inner")
-    return similar.few_shot_context(ex, details)
+    ex = similar.similar_examples(fx.cases(t), _scored_records(t, details=True),
+                                  carry=similar.EXAMPLE_DETAILS, **SIMILAR)
+    return similar.few_shot_context(ex)

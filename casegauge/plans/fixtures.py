@@ -47,14 +47,16 @@ def cases_raw(t: Tables) -> DataFrame:
 def cases(t: Tables) -> DataFrame:
     """Store records (D7 subset): customer joined to its nation and region.
 
-    ``nation`` (25 rows) and ``region`` (5 rows) are fixed-size dimensions, so they are
-    broadcast: the customer side is never shuffled for this join.
+    No broadcast hint: ``nation`` and ``region`` are broadcast by the planner because their
+    measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (and by AQE on runtime
+    sizes); a dimension that outgrew it would get a sort-merge join instead of an
+    unchecked broadcast.
     """
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner")
-         .join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner"))
+    j = (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
+         .join(r, n.n_regionkey == r.r_regionkey, "inner"))
     return j.select(
         F.col("c_custkey").alias("case_id"),
         F.col("c_name").alias("title"),
@@ -159,17 +161,6 @@ def legacy_report(t: Tables) -> DataFrame:
     )
 
 
-def conversation_records(t: Tables) -> DataFrame:
-    """Nested records with a steps array (D4 ``custom_steps_separated``): each
-    conversation's turns in order, content = text, expected = role."""
-    c = t.conversations.select("conv_id", "turn", "role", "text")
-    steps = F.sort_array(F.collect_list(F.struct("turn", "text", "role")))
-    return (c.groupBy("conv_id").agg(steps.alias("s"))
-            .select("conv_id", F.transform("s", lambda x: F.struct(
-                x["text"].alias("content"), x["role"].alias("expected")))
-                .alias("custom_steps_separated")))
-
-
 def landed_response_lines(t: Tables) -> DataFrame:
     """Fetch results as JSON lines (one envelope per record): most fetched with status
     200, some 404, some with no status (network failure) and some torn lines."""

@@ -144,15 +144,19 @@ def small_maps_dimension(spark: SparkSession) -> DataFrame:
 
 
 def decode_with_dimension(df: DataFrame, code_col: str, dim: DataFrame, map_name: str,
-                          out_col: str) -> DataFrame:
+                          out_col: str, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """J1 for the large dictionaries: left join against one map of the dimension.
 
-    The dimension is a configuration file (hundreds of rows), so it is broadcast: the
-    fact side is never shuffled for a decode.
+    The dimension is a configuration file (hundreds of rows). It is broadcast only after
+    its row count is checked against ``max_broadcast_rows`` -- then the fact side is never
+    shuffled for a decode; a dictionary beyond the bound is joined by shuffle.
     """
+    from casegauge.operators.joins import broadcast_if_small
+
     one = (dim.where(F.col("map_name") == map_name)
            .select(F.col("id").alias("__code"), F.col("label").alias(out_col)))
-    return (df.join(F.broadcast(one), df[code_col].cast("int") == F.col("__code"), "left")
+    side, _ = broadcast_if_small(one, max_broadcast_rows)
+    return (df.join(side, df[code_col].cast("int") == F.col("__code"), "left")
             .drop("__code"))
 
 

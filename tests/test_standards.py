@@ -103,3 +103,27 @@ def test_breakdown_total_equals_failed_rules(spark):
     compat = {r["criterion"]: r["failed_cases"]
               for r in report.failure_breakdown(ev, compat=True).collect()}
     assert "Testing Phase =" in compat  # the reference's category for an empty list
+
+
+def test_steps_text_by_key_chunks_equal_one_join(spark):
+    """F10 over a long table: the two-level (chunked) gather equals joining every step of
+    a key in order, for chunk sizes that split keys into many chunks, with NULL fields
+    kept as empty lines."""
+    from casegauge.sources.tables import table
+
+    conv = table(spark, SF, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(
+        [(10_000_001, t, None if t % 5 == 0 else f"r{t}", None if t % 7 == 0 else f"x{t}")
+         for t in range(0, 2_000, 3)], "conv_id long, turn long, role string, text string")
+    rows = conv.unionByName(extra.select(*[F.col(c).cast(conv.schema[c].dataType)
+                                           for c in conv.columns]))
+    brute = {}
+    for r in rows.collect():
+        brute.setdefault(r["conv_id"], []).append(r)
+    expect = {k: ("\n".join(x["text"] or "" for x in sorted(v, key=lambda x: x["turn"])),
+                  "\n".join(x["role"] or "" for x in sorted(v, key=lambda x: x["turn"])))
+              for k, v in brute.items()}
+    for chunk in (1, 2, 64, 1024):
+        got = {r["conv_id"]: (r["steps"], r["expected"]) for r in standards.steps_text_by_key(
+            rows, "conv_id", "turn", {"steps": "text", "expected": "role"}, chunk=chunk).collect()}
+        assert got == expect, chunk
