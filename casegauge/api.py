@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,15 +86,26 @@ def generate_endpoint_file(spark: SparkSession, csv_path: str, out_dir: str,
 
 
 def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
-                   run_ts: str | None = None) -> tuple[str, DataFrame]:
-    """Landed fetch results -> screened, ordered report
-    snapshot (CSV). Returns the snapshot path and the report DataFrame."""
+                   run_ts: str | None = None) -> tuple[str, DataFrame, dict]:
+    """Landed fetch results -> screened, ordered
+    report snapshot (CSV). Returns the snapshot path, the report DataFrame and the
+    run's totals ``{total, passed, failed}``.
+
+    The totals are an ``Observation`` on the rows being written: they are counted in the
+    same pass as the write, not by a second job over the report.
+    """
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     env, _quarantine = files.read_responses(spark, responses_path)
     rep = standards.report_order(standards.flatten(files.fetched_records(env))
                                  .select(*standards.REPORT_COLUMNS))
-    path = files.write_snapshot(rep, output_dir, run_ts, fmt="csv")
-    return path, rep
+    obs = Observation("screen-totals")
+    passed = F.count_if(F.coalesce(F.col("`General Standards`") == "Passed", F.lit(False)))
+    observed = rep.observe(obs, F.count(F.lit(1)).alias("total"), passed.alias("passed"))
+    path = files.write_snapshot(observed, output_dir, run_ts, fmt="csv")
+    got = obs.get
+    totals = {"total": got["total"], "passed": got["passed"],
+              "failed": got["total"] - got["passed"]}
+    return path, rep, totals
 
 
 def fetch_passed_cases(spark: SparkSession, output_dir: str) -> DataFrame:

@@ -11,31 +11,52 @@ from pyspark.sql import SparkSession
 # Settings every job in this package is written for.  AQE re-plans joins at run time
 # (broadcast when the measured side is small, split skewed partitions, coalesce tiny
 # ones); UTC keeps timestamp -> date conversions identical to the SQL oracle.
+# Partition sizes: scan splits and post-shuffle partitions of ~128-256 MB fit an
+# executor core's memory share without spilling, whatever the total input size.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Bytes of shuffle data one post-shuffle partition should hold before AQE coalescing.
+TARGET_SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, cores: int) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for a cluster: enough partitions that each
+    holds ~200 MB of the largest shuffle, and at least 3 waves of the cluster's cores (AQE
+    coalesces the small ones back together). 100 TB of shuffle on 8,000 cores -> 524,288
+    would be too many tasks; the result is capped at 40 per core."""
+    by_size = -(-shuffle_bytes // TARGET_SHUFFLE_PARTITION_BYTES)
+    return int(max(3 * cores, min(by_size, 40 * cores)))
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "casegauge", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the recommended settings.
 
-    ``shuffle_partitions`` defaults to the core count of ``local[N]`` masters; on a cluster
-    it should be sized so one partition is ~128-256 MB of shuffle data (AQE coalesces down).
+    ``shuffle_partitions`` defaults to the core count of ``local[N]`` masters. On a
+    cluster master it is left to the cluster's configuration unless given (size it with
+    :func:`shuffle_partitions_for`); it is never forced down to a local-sized number.
     """
     master = master or os.environ.get("CASEGAUGE_MASTER", "local[8]")
-    if shuffle_partitions is None:
-        cores = master[master.find("[") + 1:-1] if master.startswith("local[") else "8"
+    local = master.startswith("local")
+    if shuffle_partitions is None and local:
+        cores = master[master.find("[") + 1:-1] if master.startswith("local[") else ""
         shuffle_partitions = int(cores) if cores.isdigit() else os.cpu_count() or 8
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("CASEGAUGE_DRIVER_MEMORY", "16g")))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if local:
+        builder = builder.config("spark.driver.memory",
+                                 os.environ.get("CASEGAUGE_DRIVER_MEMORY", "16g"))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

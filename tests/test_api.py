@@ -11,11 +11,13 @@ from tests.conftest import SF_SMALL
 def test_pipeline_end_to_end(spark):
     base = scratch_path(spark, "test-api")
     fx.landed_response_lines(fx.tables(spark, SF_SMALL)).write.text(f"{base}/responses")
-    path, rep = api.save_all_cases(spark, f"{base}/responses", f"{base}/reports", run_ts="20240105_101010")
+    path, rep, totals = api.save_all_cases(spark, f"{base}/responses", f"{base}/reports",
+                                           run_ts="20240105_101010")
     assert path.endswith("run_ts=20240105_101010")
     passed = api.fetch_passed_cases(spark, f"{base}/reports")
     n = passed.count()
     assert n == rep.where(F.col("General Standards") == "Passed").count() > 0
+    assert totals == {"total": rep.count(), "passed": n, "failed": rep.count() - n}
     assert api.failure_breakdown(rep).count() > 0
 
     rows = api.validate_cases(spark, passed, f"{base}/store", run_id="r1", now="2024-01-06T00:00:00")
