@@ -40,9 +40,6 @@ ENTITIES = [
     ("&mdash;", "—"),
     ("&amp;", "&"),
 ]
-# Characters Python's str.strip() removes (str.isspace), as a regex class.
-PY_SPACE = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
-            "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
 # Elements whose text is never visible text, and HTML void elements.
 HIDDEN_TAGS = ("script", "style", "template")
 VOID_TAGS = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen",
@@ -55,8 +52,18 @@ COMMENT_RE = "(?s)<!--.*?-->"
 DECL_RE = "<![^>]*>|<\\?[^>]*>"
 TAG_RE = "</?[A-Za-z][^>]*>"
 LI_RE = "(?is)<li\\b[^>]*>(.*?)</li\\s*>"
+# The characters Python's str.strip() removes: every code point with str.isspace().
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+# The same set as a regex class (Java and RE2 both read \x{h}), for regex contexts.
+PY_SPACE = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in PY_WHITESPACE) + "]"
 STRIP_RE = f"^{PY_SPACE}+|{PY_SPACE}+$"
 
+
+def py_strip(c: Column) -> Column:
+    """Python ``str.strip()`` (Unicode whitespace), unlike Spark ``trim`` (spaces only).
+    ``btrim`` with the character set walks the ends of the string -- no regex."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
+
 _KNOWN = "|".join(e[1:-1] for e, _ in ENTITIES)
 ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});)[#A-Za-z]"
 NEEDS_PARSER_TEXT_RE = f"{ODD_ENTITY_RE}|<!\\[CDATA\\["
@@ -78,7 +85,7 @@ def _unescape(c: Column) -> Column:
 def _nodes(c: Column) -> Column:
     """Tag-delimited text nodes, decoded and stripped, blanks removed."""
     parts = F.split(F.regexp_replace(c, TAG_RE, SEP), SEP)
-    stripped = F.transform(parts, lambda p: F.regexp_replace(_unescape(p), STRIP_RE, ""))
+    stripped = F.transform(parts, lambda p: py_strip(_unescape(p)))
     return F.filter(stripped, lambda p: p != "")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casegauge.functions.html import STRIP_RE
+from casegauge.functions.html import py_strip
 
 # --- Fixed values: link layout and the evaluator reply contract. ---
 DEFAULT_LINK_PATTERN = "/view/([0-9]+)"
@@ -30,11 +30,6 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def py_strip(c: Column) -> Column:
-    """Python ``str.strip()`` semantics (Unicode whitespace), unlike Spark ``trim``."""
-    return F.regexp_replace(c, STRIP_RE, "")
-
-
 def blank_to_null(c: Column) -> Column:
     """Ingest rule: the many spellings of 'missing' ('' / blanks) become NULL."""
     return F.nullif(py_strip(c), F.lit(""))

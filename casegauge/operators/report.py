@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casegauge.functions.html import STRIP_RE
+from casegauge.functions.html import py_strip
 
 VERDICTS = ("Passed", "Needs Improvement", "Failed")
 
@@ -56,7 +56,7 @@ def failure_breakdown(evaluated: DataFrame, compat: bool = False,
     if compat:
         parts = failed.select(F.explode(F.split(F.coalesce(F.col(remarks_col), F.lit("")), ";"))
                               .alias("part"))
-        crit = (parts.select(F.regexp_replace("part", STRIP_RE, "").alias("part"))
+        crit = (parts.select(py_strip(F.col("part")).alias("part"))
                 .where(F.col("part") != "")
                 .select(F.when(F.col("part").contains(" = "),
                                F.trim(F.substring_index("part", " = ", 1)))

@@ -58,8 +58,9 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
     s1 = cases.select(
         *base,
         F.lower(F.coalesce(F.col(pre), F.lit(""))).alias("__p"),
-        F.filter(F.transform(F.split(F.coalesce(F.col(steps), F.lit("")), "\n"),
-                             lambda s: F.lower(text.py_strip(s))), lambda s: s != "").alias("__low"),
+        # lower-casing never adds or removes a newline, so the whole text is lowered once
+        F.filter(F.transform(F.split(F.lower(F.coalesce(F.col(steps), F.lit(""))), "\n"),
+                             text.py_strip), lambda s: s != "").alias("__low"),
         text.py_strip(F.coalesce(F.col(expected), F.lit(""))).alias("__e"))
     # 2) the predicates
     p, low = F.col("__p"), F.col("__low")

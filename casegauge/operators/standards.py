@@ -8,6 +8,7 @@ fails its rule and prints ``None``; an absent/NULL phase list is treated as empt
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +69,15 @@ def phase_text(codes: Column) -> Column:
     return F.array_join(cm.decode_array(cm.TESTING_PHASE, phase_codes(codes)), ", ")
 
 
-def rule_failure(rule: Rule) -> Column:
-    """A ``struct(rule, value, remark)`` when the rule fails, else NULL."""
+PHASE_TEXT = "__phase_text"
+
+
+def rule_parts(rule: Rule) -> tuple[Column, Column, Column]:
+    """``(ok, value, remark)`` of one rule as codegen-able built-ins (no lambdas).
+
+    ``ok`` is never NULL: a NULL or unknown code fails. The ``any`` rule reads its printed
+    value from the ``PHASE_TEXT`` column staged by :func:`evaluate`.
+    """
     c = F.col(rule.column)
     if rule.kind == "present":
         ok = c.isNotNull()
@@ -80,26 +88,39 @@ def rule_failure(rule: Rule) -> Column:
         value = F.coalesce(cm.decode(rule.mapping, c), F.lit("None"))
         remark = F.concat(F.lit(f"{rule.name} = "), value)
     elif rule.kind == "any":
-        allowed = rule.allowed_ids
-        ok = F.coalesce(F.exists(phase_codes(c), lambda x: x.isin(*allowed)), F.lit(False))
-        value = phase_text(c)
+        allowed = F.array(*[F.lit(i) for i in rule.allowed_ids]).cast("array<int>")
+        ok = F.coalesce(F.arrays_overlap(phase_codes(c), allowed), F.lit(False))
+        value = F.col(PHASE_TEXT)
         remark = F.concat(F.lit(f"{rule.name} = "), value)
     else:
         raise ValueError(rule.kind)
+    return ok, value, remark
+
+
+def rule_failure(rule: Rule) -> Column:
+    """A ``struct(rule, value, remark)`` when the rule fails, else NULL."""
+    ok, value, remark = rule_parts(rule)
     return F.when(~ok, F.struct(F.lit(rule.name).alias("rule"), value.alias("value"),
                                 remark.alias("remark")))
 
 
-def evaluate(raw: DataFrame, rules=RULES) -> DataFrame:
-    """Add ``failures`` (array of structs, rule order), ``remarks`` and ``verdict``.
+def evaluate(raw: DataFrame, rules=RULES, keep_phase_text: bool = False) -> DataFrame:
+    """Add ``remarks``, ``verdict`` and ``failures`` (array of structs, rule order).
 
-    ``remarks`` is the ``"; "``-joined text of the failures; ``verdict`` is ``Passed`` iff no
-    rule failed. The structured ``failures`` array is kept so reports never re-parse text.
+    ``remarks`` is the ``"; "``-joined text of the failed rules (``concat_ws`` skips the
+    passing ones); ``verdict`` is ``Passed`` iff every rule holds. Both are plain built-ins,
+    so the screen stays inside whole-stage codegen; the only array mapping (decoding the
+    phase list) is staged once per row. The structured ``failures`` array is kept for the
+    breakdown, so reports never re-parse text; it is pruned when not selected.
     """
+    staged = raw.withColumn(PHASE_TEXT, phase_text(F.col("custom_testing_phase")))
+    parts = [rule_parts(r) for r in rules]
+    all_ok = reduce(lambda a, b: a & b, [ok for ok, _, _ in parts])
     failures = F.filter(F.array(*[rule_failure(r) for r in rules]), lambda x: x.isNotNull())
-    return (raw.withColumn("failures", failures)
-            .withColumn("remarks", F.array_join(F.transform("failures", lambda x: x["remark"]), "; "))
-            .withColumn("verdict", F.when(F.size("failures") == 0, "Passed").otherwise("Failed")))
+    out = (staged.withColumn("failures", failures)
+           .withColumn("remarks", F.concat_ws("; ", *[F.when(~ok, rm) for ok, _, rm in parts]))
+           .withColumn("verdict", F.when(all_ok, "Passed").otherwise("Failed")))
+    return out if keep_phase_text else out.drop(PHASE_TEXT)
 
 
 def steps_text(steps: Column, part: str) -> Column:
@@ -144,7 +165,7 @@ def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None
     (see ``codemaps.decode_with_dimension``); by default they stay NULL, as they do when
     the retrieval dictionaries are empty.
     """
-    ev = evaluate(raw)
+    ev = evaluate(raw, keep_phase_text=True)
     null = F.lit(None).cast("string")
     steps_html = steps_text(F.col("custom_steps_separated"), "content")
     expected_html = steps_text(F.col("custom_steps_separated"), "expected")
@@ -162,7 +183,7 @@ def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None
         cm.decode(cm.AUTOMATION_STATUS, F.col("custom_automation_status")).alias("Automation Status"),
         cm.decode(cm.TESTING_TYPE, F.col("custom_testing_type")).alias("Testing Type"),
         cm.decode(cm.STATUS, F.col("case_status_id")).alias("Status"),
-        phase_text(F.col("custom_testing_phase")).alias("Testing Phase"),
+        F.col(PHASE_TEXT).alias("Testing Phase"),
         html.numbered_list(F.col("custom_preconds")).alias("Pre Conditions"),
         html.numbered_list(steps_html).alias("Test Steps"),
         html.html_to_text(expected_html).alias("Expected Result"),
