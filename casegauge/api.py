@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from casegauge.functions import text
 from casegauge.operators import report, score, similar, standards, store
-from casegauge.sources import files
+from casegauge.sources import codemaps, files
 
 RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "llm_validations"
 
@@ -86,17 +86,28 @@ def generate_endpoint_file(spark: SparkSession, csv_path: str, out_dir: str,
 
 
 def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
-                   run_ts: str | None = None) -> tuple[str, DataFrame, dict]:
+                   run_ts: str | None = None, maps_path: str | None = None
+                   ) -> tuple[str, DataFrame, dict]:
     """Landed fetch results -> screened, ordered
     report snapshot (CSV). Returns the snapshot path, the report DataFrame and the
     run's totals ``{total, passed, failed}``.
 
+    ``maps_path``: the code-dictionary JSON (``field_maps`` / ``retrieval_fields``
+    sections); its tribe / product / capability maps decode those report columns. Without
+    it they stay empty, as with empty retrieval dictionaries.
+
     The totals are an ``Observation`` on the rows being written: they are counted in the
     same pass as the write, not by a second job over the report.
     """
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     env, _quarantine = files.read_responses(spark, responses_path)
-    rep = standards.report_order(standards.flatten(files.fetched_records(env))
+    recs = files.fetched_records(env)
+    labels = {}
+    if maps_path:
+        recs = codemaps.decode_retrieval_fields(recs, codemaps.load_dimension(spark, maps_path))
+        labels = {label.lower(): F.col(f"__label_{label}")
+                  for _, _, label in codemaps.RETRIEVAL_FIELDS}
+    rep = standards.report_order(standards.flatten(recs, **labels)
                                  .select(*standards.REPORT_COLUMNS))
     obs = Observation("screen-totals")
     passed = F.count_if(F.coalesce(F.col("`General Standards`") == "Passed", F.lit(False)))

@@ -67,14 +67,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private temporary folder created
-    and registered, so lineage cuts and stream checkpoints always land on shared storage
-    on a real cluster.
+    Only a local-mode session without one (tests) gets a private temporary folder; a
+    cluster session without one is an error, never a machine-local folder -- lineage cuts
+    and stream checkpoints must survive the loss of the executor that wrote them.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(e.g. on the cluster's distributed file system)")
         root = tempfile.mkdtemp(prefix="casegauge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

@@ -164,3 +164,20 @@ def find_by_label(dim: DataFrame, map_name: str, label: str) -> DataFrame:
     """reverse lookup, case-insensitive, first id in dictionary order."""
     hit = dim.where((F.col("map_name") == map_name) & (F.lower("label") == label.lower()))
     return hit.agg(F.min("id").alias("id"))
+
+
+# The record fields decoded through the retrieval dictionaries, and their map names.
+RETRIEVAL_FIELDS = (("custom_case_tribe", "TRIBE_MAP", "Tribe"),
+                    ("custom_product_prod", "PRODUCT_MAP", "Product"),
+                    ("custom_capability", "CAPABILITY_MAP", "Capability"))
+
+
+def decode_retrieval_fields(records: DataFrame, dim: DataFrame,
+                            prefix: str = "__label_") -> DataFrame:
+    """J1 for tribe / product / capability: one size-checked dimension join per field,
+    adding ``{prefix}Tribe`` etc. (unknown or NULL id -> NULL, as the reference's
+    ``MAP.get``)."""
+    out = records
+    for code_col, map_name, label in RETRIEVAL_FIELDS:
+        out = decode_with_dimension(out, code_col, dim, map_name, f"{prefix}{label}")
+    return out

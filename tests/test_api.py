@@ -50,3 +50,34 @@ def test_generate_endpoint_file(spark):
     got = spark.read.option("header", True).csv(out).collect()
     assert [(r["ID"], r["endpoint"].rsplit("/", 1)[-1]) for r in got] == [("C1", "11")]
     assert [r["ID"] for r in rejected.collect()] == ["C2"]
+
+
+def test_save_all_cases_decodes_retrieval_fields(spark):
+    """Tribe / Product / Capability come from the dictionary file; unknown ids stay empty."""
+    import json
+    import os
+
+    base = scratch_path(spark, "test-api-maps")
+    os.makedirs(base, exist_ok=True)
+    doc = {"field_maps": {"STATUS_MAP": {"2": "New"}},
+           "retrieval_fields": {"_comment": "retrieval", "TRIBE_MAP": {"1": "Payments"},
+                                "PRODUCT_MAP": {"5": "Cards", "_comment": "x"},
+                                "CAPABILITY_MAP": {"9": "Refunds"}}}
+    with open(f"{base}/maps.json", "w") as fh:
+        json.dump(doc, fh)
+    lines = [json.dumps({"ID": "1", "status_code": 200, "response": {
+        "id": 1, "title": "a", "custom_case_tribe": 1, "custom_product_prod": 5,
+        "custom_capability": 9, "priority_id": 1, "custom_automatability": 2,
+        "custom_automation_status": 1, "custom_testing_type": 17, "case_status_id": 2,
+        "custom_testing_phase": [1]}}),
+        json.dumps({"ID": "2", "status_code": 200, "response": {
+            "id": 2, "title": "b", "custom_case_tribe": 4, "custom_product_prod": None,
+            "custom_capability": 9}})]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{base}/responses")
+    _, rep, totals = api.save_all_cases(spark, f"{base}/responses", f"{base}/reports",
+                                        run_ts="20240105_101010", maps_path=f"{base}/maps.json")
+    got = {r["Test Case ID"]: (r["Tribe"], r["Product"], r["Capability"], r["General Standards"])
+           for r in rep.collect()}
+    assert got == {"C1": ("Payments", "Cards", "Refunds", "Passed"),
+                   "C2": (None, None, "Refunds", "Failed")}
+    assert totals == {"total": 2, "passed": 1, "failed": 1}
