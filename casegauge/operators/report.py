@@ -37,8 +37,8 @@ def totals(report: DataFrame, verdict_col: str = "General Standards") -> DataFra
 def criterion_of_remark(part: Column) -> Column:
     """the reference's text rule -- the part before the first ``" = "``, or
     ``Priority/Risk`` for a remark starting with ``priority``, else the remark itself."""
-    p = F.trim(part)
-    return (F.when(F.instr(p, " = ") > 0, F.trim(F.substring_index(p, " = ", 1)))
+    p = py_strip(part)
+    return (F.when(F.instr(p, " = ") > 0, py_strip(F.substring_index(p, " = ", 1)))
             .when(F.lower(p).startswith("priority"), F.lit("Priority/Risk"))
             .otherwise(p))
 
@@ -58,10 +58,7 @@ def failure_breakdown(evaluated: DataFrame, compat: bool = False,
                               .alias("part"))
         crit = (parts.select(py_strip(F.col("part")).alias("part"))
                 .where(F.col("part") != "")
-                .select(F.when(F.col("part").contains(" = "),
-                               F.trim(F.substring_index("part", " = ", 1)))
-                        .when(F.lower("part").startswith("priority"), F.lit("Priority/Risk"))
-                        .otherwise(F.col("part")).alias("criterion")))
+                .select(criterion_of_remark(F.col("part")).alias("criterion")))
     else:
         crit = failed.select(F.explode(failures_col).alias("f")).select(
             F.col("f.rule").alias("criterion"))

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,6 +171,23 @@ def read_standards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("standards"))
 
 
+def legacy_verdict(flag: Column, dtype: str) -> Column:
+    """The legacy pass flag as a verdict: only true / 1 -> ``Passed`` and false / 0 ->
+    ``Failed``; anything else (NULL, other numbers, other text) -> NULL. Text flags are
+    the spellings a CSV reader takes as booleans (``true``/``True``/``TRUE`` ...), not
+    every string Spark's boolean cast accepts (``yes``, ``t``, ``y``)."""
+    if dtype == "boolean":
+        ok = flag
+    elif dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or \
+            dtype.startswith("decimal"):
+        ok = F.when(flag == 1, F.lit(True)).when(flag == 0, F.lit(False))
+    else:
+        t = F.lower(flag.cast("string"))
+        ok = F.when(t.isin("true", "1", "1.0"), F.lit(True)).when(t.isin("false", "0", "0.0"),
+                                                                     F.lit(False))
+    return F.when(ok, F.lit("Passed")).when(~ok, F.lit("Failed"))
+
+
 def normalize_validation(df: DataFrame) -> DataFrame:
     """Upgrade an old validation report to the current columns.
 
@@ -180,8 +197,8 @@ def normalize_validation(df: DataFrame) -> DataFrame:
     """
     out = df
     if "Verdict" not in df.columns and "Overall Passed" in df.columns:
-        flag = F.col("Overall Passed").cast("boolean")
-        out = out.withColumn("Verdict", F.when(flag, "Passed").when(~flag, "Failed"))
+        out = out.withColumn("Verdict", legacy_verdict(F.col("`Overall Passed`"),
+                                                       dict(df.dtypes)["Overall Passed"]))
     if "Overall Remarks" not in df.columns:
         out = out.withColumn("Overall Remarks",
                              F.col("Summary") if "Summary" in df.columns else F.lit(""))

@@ -108,3 +108,24 @@ def test_legacy_normalize(spark):
     assert [r["Verdict"] for r in rows] == ["Passed", "Failed", None]
     assert rows[0]["Overall Remarks"] == "s" and rows[0]["Improvements"] == ""
     assert inc.SCORE_SCHEMA.fieldNames()[0] == "score_id"
+
+
+def test_legacy_flag_spellings(spark):
+    """Text and numeric legacy flags: only true/1 and false/0 count; other values stay NULL."""
+    text = spark.createDataFrame([("True",), ("false",), ("TRUE",), ("yes",), ("1",), (None,)],
+                                 "`Overall Passed` string")
+    assert [r["Verdict"] for r in files.normalize_validation(text).collect()] == \
+        ["Passed", "Failed", "Passed", None, "Passed", None]
+    nums = spark.createDataFrame([(1.0,), (0.0,), (2.0,), (None,)], "`Overall Passed` double")
+    assert [r["Verdict"] for r in files.normalize_validation(nums).collect()] == \
+        ["Passed", "Failed", None, None]
+
+
+def test_breakdown_criterion_strips_unicode_space(spark):
+    """The criterion before ' = ' is stripped like Python's str.strip (NBSP included)."""
+    from casegauge.operators import report
+    df = spark.createDataFrame([("Failed", " Status  = Obsolete; Priority/Risk is null")],
+                               "verdict string, remarks string")
+    got = {r["criterion"]: r["failed_cases"]
+           for r in report.failure_breakdown(df, compat=True).collect()}
+    assert got == {"Status": 1, "Priority/Risk": 1}
