@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casegauge.operators import joins
@@ -101,36 +101,84 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
                        "verdict", *carry)
 
 
-EXAMPLE_DETAILS = ("title", "preconditions_passed", "test_steps_passed", "expected_results_passed")
+# The example's own details shown in its block (carried through the pools).
+EXAMPLE_DETAILS = ("title", "capability", "product", "tribe", "pre_conditions", "test_steps",
+                   "expected_result", "preconditions_passed", "preconditions_remarks",
+                   "test_steps_passed", "test_steps_remarks", "expected_results_passed",
+                   "expected_results_remarks", "overall_remarks", "improvements")
+
+# --- Fixed values: layout of the reference-examples section of the evaluator prompt. ---
+EXAMPLES_HEADER = "\n## Reference Examples (similar validated cases — for calibration only)\n"
+EXAMPLES_FOOTER = "---"
+EMPTY_TEXT = "(empty)"
+ERROR_VERDICT = "ERROR"
+PASS_ICON = "✓"
+FAIL_ICON = "✗"
+# --- end of fixed values ---
+
+
+def example_block(cols: set[str]) -> Column:
+    """one example's lines, newline-joined and ending in an empty line. Optional
+    lines (a criterion's remark, overall remarks, improvements) appear only when
+    non-empty; empty texts print ``(empty)``; a NULL title prints ``None``."""
+    def c(name: str) -> Column:
+        return F.col(name) if name in cols else F.lit(None).cast("string")
+
+    def nonblank(name: str) -> Column:
+        return F.nullif(c(name).cast("string"), F.lit(""))
+
+    def criterion(label: str, flag: str, remarks: str) -> Column:
+        icon = F.when(F.coalesce(c(flag).cast("boolean"), F.lit(False)), F.lit(PASS_ICON)) \
+            .otherwise(F.lit(FAIL_ICON))
+        tail = F.coalesce(F.concat(F.lit(" — "), nonblank(remarks)), F.lit(""))
+        return F.concat(F.lit(f"- {label}: "), icon, tail)
+
+    verdict = F.coalesce(nonblank("verdict"), F.lit(ERROR_VERDICT))
+    context = F.coalesce(nonblank("capability"), nonblank("product"), nonblank("tribe"), F.lit(""))
+    return F.concat_ws(
+        "\n",
+        F.concat(F.lit("### Example "), F.col("ordinal").cast("string"), F.lit(" — "),
+                 F.col("example_id").cast("string"), F.lit(" ["), F.upper(verdict),
+                 F.lit("]  _(context: "), context, F.lit(")_")),
+        F.concat(F.lit("**Title:** "), F.coalesce(c("title").cast("string"), F.lit("None"))),
+        F.lit(""),
+        F.lit("**Pre Conditions:**"), F.coalesce(nonblank("pre_conditions"), F.lit(EMPTY_TEXT)),
+        F.lit(""),
+        F.lit("**Test Steps:**"), F.coalesce(nonblank("test_steps"), F.lit(EMPTY_TEXT)),
+        F.lit(""),
+        F.lit("**Expected Result:**"), F.coalesce(nonblank("expected_result"), F.lit(EMPTY_TEXT)),
+        F.lit(""),
+        F.lit("**Evaluation:**"),
+        criterion("Pre Conditions", "preconditions_passed", "preconditions_remarks"),
+        criterion("Test Steps", "test_steps_passed", "test_steps_remarks"),
+        criterion("Expected Results", "expected_results_passed", "expected_results_remarks"),
+        F.concat(F.lit("- **Verdict: "), verdict, F.lit("**")),
+        F.concat(F.lit("- Overall Remarks: "), nonblank("overall_remarks")),
+        F.concat(F.lit("- Improvements: "), nonblank("improvements")),
+        F.lit(""))
 
 
 def few_shot_context(examples: DataFrame, details: DataFrame | None = None) -> DataFrame:
-    """the calibration text per record, examples in ordinal order.
+    """the reference-examples prompt section per record, examples in ordinal order:
+    the header, one block per example, then ``---``.
 
     ``examples`` should carry the ``EXAMPLE_DETAILS`` columns (``similar_examples(...,
     carry=EXAMPLE_DETAILS)``); then this is one grouped aggregate by record. ``details``
     (``case_id`` + those columns) is the fallback for examples without them: a join on
-    ``example_id``, left to AQE's skew split. Each record has at most ``target``
-    examples, so the per-record collection is bounded.
+    ``example_id``, left to AQE's skew split. Absent detail columns count as NULL. Each
+    record has at most ``target`` examples, so the per-record collection is bounded;
+    records without examples get no row (their section is empty).
     """
     if details is None:
         j = examples
     else:
-        d = details.select(F.col("case_id").alias("example_id"), *EXAMPLE_DETAILS)
-        j = examples.drop(*[c for c in EXAMPLE_DETAILS if c in examples.columns]) \
+        have = [x for x in EXAMPLE_DETAILS if x in details.columns]
+        d = details.select(F.col("case_id").alias("example_id"), *have)
+        j = examples.drop(*[x for x in have if x in examples.columns]) \
             .join(d, "example_id", "left")
-    icon = lambda c: F.when(F.coalesce(F.col(c), F.lit(False)), "✓").otherwise("✗")
-    block = F.concat_ws(
-        "\n",
-        F.concat(F.lit("### Example "), F.col("ordinal").cast("string"), F.lit(" — "),
-                 F.col("example_id").cast("string"), F.lit(" ["),
-                 F.upper(F.coalesce(F.col("verdict"), F.lit("ERROR"))), F.lit("]")),
-        F.concat(F.lit("**Title:** "), F.coalesce(F.col("title"), F.lit(""))),
-        F.concat(F.lit("- Pre Conditions: "), icon("preconditions_passed")),
-        F.concat(F.lit("- Test Steps: "), icon("test_steps_passed")),
-        F.concat(F.lit("- Expected Results: "), icon("expected_results_passed")),
-        F.concat(F.lit("- **Verdict: "), F.coalesce(F.col("verdict"), F.lit("ERROR")), F.lit("**")))
-    return (j.groupBy("case_id")
-            .agg(F.sort_array(F.collect_list(F.struct("ordinal", block.alias("b")))).alias("bs"))
-            .select("case_id", F.array_join(F.transform("bs", lambda x: x["b"]), "\n\n")
-                    .alias("context")))
+    block = example_block(set(j.columns))
+    blocks = (j.groupBy("case_id")
+              .agg(F.sort_array(F.collect_list(F.struct("ordinal", block.alias("b")))).alias("bs")))
+    body = F.array_join(F.transform("bs", lambda x: x["b"]), "\n")
+    return blocks.select("case_id", F.concat(F.lit(EXAMPLES_HEADER + "\n"), body,
+                                             F.lit("\n" + EXAMPLES_FOOTER + "\n")).alias("context"))

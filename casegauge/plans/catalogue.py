@@ -340,11 +340,17 @@ SIMILAR = dict(target=5, min_per_level=3, seed="seed")
 
 def _scored_records(t, details: bool = False) -> DataFrame:
     """J7 + P21: records whose latest score (one per record) has a verdict; with
-    ``details`` also the latest score's criterion flags (shown in few-shot examples)."""
-    latest = store.latest_per_key(fx.scores(t), dedup=True, tie_break=["score_id"])
-    flags = list(similar.EXAMPLE_DETAILS[1:]) if details else []
-    return (fx.cases(t).join(latest.where(F.col("verdict").isNotNull())
-                             .select("case_id", "verdict", *flags), "case_id", "inner"))
+    ``details`` also the record texts and the latest score's flags and remarks (what a
+    few-shot example shows)."""
+    if not details:
+        latest = store.latest_per_key(fx.scores(t), dedup=True, tie_break=["score_id"])
+        return (fx.cases(t).join(latest.where(F.col("verdict").isNotNull())
+                                 .select("case_id", "verdict"), "case_id", "inner"))
+    latest = store.latest_per_key(fx.scores(t, remarks=True), dedup=True, tie_break=["score_id"])
+    recs = fx.cases(t, texts=True)
+    from_score = [c for c in similar.EXAMPLE_DETAILS if c not in recs.columns]
+    return recs.join(latest.where(F.col("verdict").isNotNull())
+                     .select("case_id", "verdict", *from_score), "case_id", "inner")
 
 
 @query("similar_examples")

@@ -5,7 +5,7 @@ line-for-line SQL twin in ``casegauge.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegauge.sources.tables import Tables
@@ -44,8 +44,9 @@ def cases_raw(t: Tables) -> DataFrame:
     )
 
 
-def cases(t: Tables) -> DataFrame:
-    """Store records (D7 subset): customer joined to its nation and region.
+def cases(t: Tables, texts: bool = False) -> DataFrame:
+    """Store records (D7 subset): customer joined to its nation and region; with
+    ``texts`` also the three record texts (some empty or NULL), from the same scan.
 
     No broadcast hint: ``nation`` and ``region`` are broadcast by the planner because their
     measured size is under ``spark.sql.autoBroadcastJoinThreshold`` (and by AQE on runtime
@@ -54,26 +55,53 @@ def cases(t: Tables) -> DataFrame:
     """
     n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
     j = (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
          .join(r, n.n_regionkey == r.r_regionkey, "inner"))
+    extra = []
+    if texts:
+        extra = [
+            F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("Account in segment "), "c_mktsegment"))
+            .alias("pre_conditions"),
+            F.when(F.col("c_acctbal") < 1000, F.lit("")).otherwise(F.concat(
+                F.lit("1. Open the account page\n2. Select nation "),
+                F.col("c_nationkey").cast("string"))).alias("test_steps"),
+            F.when(F.col("c_mktsegment") == "BUILDING", F.lit(""))
+            .otherwise(F.concat(F.lit("Segment "), "c_mktsegment", F.lit(" is shown")))
+            .alias("expected_result")]
     return j.select(
         F.col("c_custkey").alias("case_id"),
         F.col("c_name").alias("title"),
         F.col("r_name").alias("tribe"),
         F.col("n_name").alias("product"),
         F.concat_ws("/", "n_name", "c_mktsegment").alias("capability"),
+        *extra,
     )
 
 
-def scores(t: Tables) -> DataFrame:
-    """Score facts (D9) from ``events``: one scoring attempt per event, run = event day."""
+def scores(t: Tables, remarks: bool = False) -> DataFrame:
+    """Score facts (D9) from ``events``: one scoring attempt per event, run = event day;
+    with ``remarks`` also per-criterion remarks, overall remarks and improvements."""
     e = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     verdict = (F.when(F.col("event_type") == "purchase", "Passed")
                .when(F.col("event_type").isin("view", "click"), "Needs Improvement")
                .when(F.col("event_type") == "signup", "Failed"))
     scored = F.col("event_type") != "error"
     flag = lambda cond: F.when(scored, cond)
+
+    def remark(limit: int, what: str) -> Column:
+        return (F.when(~scored, F.lit(None)).when(F.col("value") >= limit, F.lit(""))
+                .otherwise(F.lit(f"{what} below {limit}")))
+    extra = []
+    if remarks:
+        extra = [
+            remark(5, "precondition value").alias("preconditions_remarks"),
+            remark(10, "steps value").alias("test_steps_remarks"),
+            remark(2, "expected value").alias("expected_results_remarks"),
+            F.when(F.col("event_type") == "purchase", F.lit(""))
+            .otherwise(F.concat(F.lit("event "), "event_type")).alias("overall_remarks"),
+            F.when(F.col("event_type") == "signup", F.lit("add the missing steps"))
+            .alias("improvements")]
     return e.select(
         F.col("event_id").alias("score_id"),
         F.col("user_id").alias("case_id"),
@@ -83,6 +111,7 @@ def scores(t: Tables) -> DataFrame:
         flag(F.col("value") >= 10).alias("test_steps_passed"),
         flag(F.col("value") >= 2).alias("expected_results_passed"),
         F.col("ts").alias("validated_at"),
+        *extra,
     )
 
 

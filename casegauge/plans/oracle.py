@@ -630,20 +630,60 @@ SELECT CAST(page_id AS VARCHAR) AS page_id, array_to_string({_nodes('h')}, chr(1
 
 SQL["few_shot_context"] = f"""
 WITH {SIMILAR},
+texts AS (
+  SELECT c_custkey AS case_id,
+    CASE WHEN c_acctbal >= 0 THEN 'Account in segment ' || c_mktsegment END AS pre_conditions,
+    CASE WHEN c_acctbal < 1000 THEN '' ELSE '1. Open the account page' || chr(10)
+         || '2. Select nation ' || CAST(c_nationkey AS VARCHAR) END AS test_steps,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN ''
+         ELSE 'Segment ' || c_mktsegment || ' is shown' END AS expected_result
+  FROM customer
+),
+rem AS (
+  SELECT event_id AS score_id,
+    CASE WHEN event_type = 'error' THEN NULL WHEN value >= 5 THEN ''
+         ELSE 'precondition value below 5' END AS preconditions_remarks,
+    CASE WHEN event_type = 'error' THEN NULL WHEN value >= 10 THEN ''
+         ELSE 'steps value below 10' END AS test_steps_remarks,
+    CASE WHEN event_type = 'error' THEN NULL WHEN value >= 2 THEN ''
+         ELSE 'expected value below 2' END AS expected_results_remarks,
+    CASE WHEN event_type = 'purchase' THEN '' ELSE 'event ' || event_type END AS overall_remarks,
+    CASE WHEN event_type = 'signup' THEN 'add the missing steps' END AS improvements
+  FROM events
+),
 blocks AS (
   SELECT e.case_id, e.ordinal,
     concat_ws(chr(10),
       '### Example ' || CAST(e.ordinal AS VARCHAR) || ' — ' || CAST(e.example_id AS VARCHAR)
-        || ' [' || upper(coalesce(e.verdict, 'ERROR')) || ']',
-      '**Title:** ' || coalesce(c.title, ''),
-      '- Pre Conditions: ' || CASE WHEN coalesce(l.preconditions_passed, false) THEN '✓' ELSE '✗' END,
-      '- Test Steps: ' || CASE WHEN coalesce(l.test_steps_passed, false) THEN '✓' ELSE '✗' END,
-      '- Expected Results: ' || CASE WHEN coalesce(l.expected_results_passed, false) THEN '✓' ELSE '✗' END,
-      '- **Verdict: ' || coalesce(e.verdict, 'ERROR') || '**') AS b
+        || ' [' || upper(coalesce(nullif(e.verdict, ''), 'ERROR')) || ']  _(context: '
+        || coalesce(nullif(c.capability, ''), nullif(c.product, ''), nullif(c.tribe, ''), '') || ')_',
+      '**Title:** ' || coalesce(c.title, 'None'),
+      '',
+      '**Pre Conditions:**', coalesce(nullif(x.pre_conditions, ''), '(empty)'),
+      '',
+      '**Test Steps:**', coalesce(nullif(x.test_steps, ''), '(empty)'),
+      '',
+      '**Expected Result:**', coalesce(nullif(x.expected_result, ''), '(empty)'),
+      '',
+      '**Evaluation:**',
+      '- Pre Conditions: ' || CASE WHEN coalesce(l.preconditions_passed, false) THEN '✓' ELSE '✗' END
+        || coalesce(' — ' || nullif(r.preconditions_remarks, ''), ''),
+      '- Test Steps: ' || CASE WHEN coalesce(l.test_steps_passed, false) THEN '✓' ELSE '✗' END
+        || coalesce(' — ' || nullif(r.test_steps_remarks, ''), ''),
+      '- Expected Results: ' || CASE WHEN coalesce(l.expected_results_passed, false) THEN '✓' ELSE '✗' END
+        || coalesce(' — ' || nullif(r.expected_results_remarks, ''), ''),
+      '- **Verdict: ' || coalesce(nullif(e.verdict, ''), 'ERROR') || '**',
+      '- Overall Remarks: ' || nullif(r.overall_remarks, ''),
+      '- Improvements: ' || nullif(r.improvements, ''),
+      '') AS b
   FROM examples e
   JOIN cases c ON c.case_id = e.example_id
+  JOIN texts x ON x.case_id = e.example_id
   JOIN latest1 l ON l.case_id = e.example_id
+  JOIN rem r ON r.score_id = l.score_id
 )
-SELECT case_id, string_agg(b, chr(10) || chr(10) ORDER BY ordinal) AS context
+SELECT case_id,
+  chr(10) || '## Reference Examples (similar validated cases — for calibration only)' || chr(10)
+  || chr(10) || string_agg(b, chr(10) ORDER BY ordinal) || chr(10) || '---' || chr(10) AS context
 FROM blocks GROUP BY case_id
 """
