@@ -154,9 +154,9 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
 
     todo = store.remaining(_passed_as_records(passed), facts, run_id=run_id)
     latest = store.latest_per_key(facts, dedup=True, tie_break=["score_id"])
+    from_score = [c for c in similar.EXAMPLE_DETAILS if c not in records.columns]
     scored_pool = records.join(latest.where(F.col("verdict").isNotNull())
-                               .select("case_id", "verdict", *similar.EXAMPLE_DETAILS[1:]),
-                               "case_id", "inner")
+                               .select("case_id", "verdict", *from_score), "case_id", "inner")
     examples = similar.similar_examples(todo, scored_pool, target, min_per_level, seed=run_id,
                                         carry=similar.EXAMPLE_DETAILS)
     context = similar.few_shot_context(examples)
