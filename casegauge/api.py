@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casegauge.functions import text
-from casegauge.operators import report, score, similar, standards, store
+from casegauge.operators import joins, report, score, similar, standards, store
 from casegauge.sources import codemaps, files
 
 RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "llm_validations"
@@ -64,8 +64,25 @@ def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType)
     return spark.read.schema(schema).parquet(f"{base}/{name}/version={v}")
 
 
+def read_facts(spark: SparkSession, base: str) -> DataFrame:
+    """S7 for the score facts: every appended part (an empty table before the first run).
+
+    Facts are append-only: each call writes its new rows as one more part folder and
+    nothing already stored is rewritten, so the cost of a run is its own rows, however
+    large the history. A part becomes visible when its write job commits (Spark's file
+    commit protocol), so a crashed call leaves no partial part behind.
+    """
+    return files.read_table_or_empty(spark, f"{base}/{FACTS}", FACT_SCHEMA, recursive=True)
+
+
+def append_facts(df: DataFrame, base: str, stamp: str) -> str:
+    path = f"{base}/{FACTS}/part={stamp}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("error").parquet(path)
+    return path
+
+
 def write_table(df: DataFrame, base: str, name: str, stamp: str) -> str:
-    """A new version of a store table (version names sort by time)."""
+    """A new version of a (small, keyed) store table; version names sort by time."""
     path = f"{base}/{name}/version={stamp}-{uuid.uuid4().hex[:8]}"
     df.write.mode("error").parquet(path)
     return path
@@ -140,17 +157,25 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
                    evaluator: score.Evaluator | None = None, run_id: str | None = None,
                    provider: str = "rule-screen", model: str = "standards-v1",
                    target: int = 5, min_per_level: int = 3, now: str | None = None,
-                   parallelism: int | None = None) -> DataFrame:
-    """Score the passed records of a report and persist the
-    run. Resumable: records already scored in ``run_id`` are skipped (anti join). Context
-    examples come from the store as it was when the run started. Returns the 11-column
-    result rows of this call."""
+                   parallelism: int | None = None, output_dir: str | None = None
+                   ) -> tuple[DataFrame, dict]:
+    """Score the passed records of a report and persist
+    the run. Resumable: records already scored in ``run_id`` are skipped (anti join).
+    Context examples come from the store as it was when the run started.
+
+    The scoring results are checkpointed to the shared scratch folder before anything is
+    written, so the evaluator runs exactly once per record even though the facts, the
+    run counters and the returned rows all read them. Returns the 11-column result rows
+    of this call (the id is the one in the evaluator's reply, or the request's on an
+    error row) and this call's verdict counters; with ``output_dir`` the rows are also
+    written as the run's CSV snapshot under ``output_dir/llm_validation``.
+    """
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
     records = read_table(spark, store_base, RECORDS, RECORD_SCHEMA)
     runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
-    facts = read_table(spark, store_base, FACTS, FACT_SCHEMA)
+    facts = read_facts(spark, store_base)
 
     todo = store.remaining(_passed_as_records(passed), facts, run_id=run_id)
     latest = store.latest_per_key(facts, dedup=True, tie_break=["score_id"])
@@ -162,11 +187,11 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     context = similar.few_shot_context(examples)
     work = todo.join(context, "case_id", "left")
     if evaluator is None:
-        scored = score.rule_screen(work)
+        scored = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
     else:
         scored = score.score(work, evaluator, parallelism=parallelism).join(
             work.select("case_id", "title"), "case_id", "left")
-    rows = score.result_rows(scored)
+    scored = joins.materialize(scored.select("case_id", "title", "evaluation", "report_case_id"))
 
     e = lambda f: F.col(f"evaluation.{f}")
     new_facts = scored.select(
@@ -182,29 +207,46 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     new_records = todo.select(*[c for c in RECORD_SCHEMA.fieldNames()
                                 if c not in ("first_seen_at", "last_updated_at")]) \
         .withColumn("first_seen_at", F.lit(now)).withColumn("last_updated_at", F.lit(now))
-    all_facts = facts.unionByName(store.append_new(facts, new_facts, ["run_id", "case_id"]))
+    run_facts = facts.where(F.col("run_id") == run_id)
+    # facts first: a crash after this leaves a resumable run (J9 skips what is stored)
+    if not scored.isEmpty():
+        append_facts(store.append_new(run_facts, new_facts, ["run_id", "case_id"]), store_base,
+                     stamp)
+
     opened = store.insert_if_absent(runs, spark.createDataFrame(
         [(run_id, provider, model, None, 0, 0, 0, 0, now)], RUN_SCHEMA)
         .withColumn("total_cases", F.lit(None).cast("long")), "run_id")
-    run_facts = all_facts.where(F.col("run_id") == run_id)
     counted = (store.run_counters(opened.where(F.col("run_id") == run_id)
                                   .drop("passed_count", "needs_improvement_count", "failed_count",
-                                        "error_count"), run_facts)
+                                        "error_count"),
+                                  read_facts(spark, store_base).where(F.col("run_id") == run_id))
                .withColumn("total_cases", F.coalesce(F.col("total_cases"),
                                                      F.lit(passed.count()).cast("long"))))
-    recs, rns, _ = store.save_run(records, opened, facts, new_records,
-                                  counted.select(*RUN_SCHEMA.fieldNames()), new_facts)
-    # facts first: a crash after this leaves a resumable run (J9 skips what is stored)
-    write_table(all_facts, store_base, FACTS, stamp)
-    write_table(recs, store_base, RECORDS, stamp)
-    write_table(rns, store_base, RUNS, stamp)
-    return rows
+    write_table(store.upsert(records, new_records, "case_id", keep_first=["first_seen_at"]),
+                store_base, RECORDS, stamp)
+    write_table(store.replace_by_key(opened, counted.select(*RUN_SCHEMA.fieldNames()), "run_id"),
+                store_base, RUNS, stamp)
+
+    rows = score.result_rows(scored, id_col="report_case_id")
+    verdict = F.col("Verdict")
+    counters = [F.count(F.lit(1)).alias("total")] + [
+        F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in (
+            ("passed", verdict == "Passed"), ("needs_improvement", verdict == "Needs Improvement"),
+            ("failed", verdict == "Failed"), ("errors", verdict.isNull()))]
+    if output_dir:
+        obs = Observation("validation-counters")
+        files.write_snapshot(rows.observe(obs, *counters),
+                             f"{output_dir.rstrip('/')}/llm_validation", run_id, fmt="csv")
+        got = dict(obs.get)
+    else:
+        got = rows.agg(*counters).first().asDict()
+    return rows, got
 
 
 def get_all_cases(spark: SparkSession, store_base: str) -> DataFrame:
     """Every record with its latest score and run metadata."""
     recs = read_table(spark, store_base, RECORDS, RECORD_SCHEMA)
-    facts = read_table(spark, store_base, FACTS, FACT_SCHEMA)
+    facts = read_facts(spark, store_base)
     runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
     return store.records_with_latest(recs, facts, runs).orderBy("case_id")
 
@@ -216,7 +258,7 @@ def get_validation_runs(spark: SparkSession, store_base: str) -> DataFrame:
 
 def get_case_history(spark: SparkSession, store_base: str, case_id: str) -> DataFrame:
     """Every scoring attempt of one record, newest first."""
-    return store.history(read_table(spark, store_base, FACTS, FACT_SCHEMA),
+    return store.history(read_facts(spark, store_base),
                          read_table(spark, store_base, RUNS, RUN_SCHEMA), case_id=case_id)
 
 

@@ -182,6 +182,8 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
             F.when(ok, F.col("r.improvements")).otherwise(F.lit("")).alias("improvements"),
         ).alias("evaluation"),
         F.col("r.test_case_id").alias("reply_case_id"),
+        # the report row carries the reply's id; an error row the request's
+        F.when(ok, F.col("r.test_case_id")).otherwise(F.col("case_id")).alias("report_case_id"),
     )
 
 

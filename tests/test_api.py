@@ -20,21 +20,30 @@ def test_pipeline_end_to_end(spark):
     assert totals == {"total": rep.count(), "passed": n, "failed": rep.count() - n}
     assert api.failure_breakdown(rep).count() > 0
 
-    rows = api.validate_cases(spark, passed, f"{base}/store", run_id="r1", now="2024-01-06T00:00:00")
-    assert rows.count() == n
+    rows, counts = api.validate_cases(spark, passed, f"{base}/store", run_id="r1",
+                                      now="2024-01-06T00:00:00", output_dir=f"{base}/out")
+    assert rows.count() == n == counts["total"]
+    assert counts["passed"] + counts["needs_improvement"] + counts["failed"] + counts["errors"] == n
+    csv = spark.read.option("header", True).csv(f"{base}/out/llm_validation/run_ts=r1")
+    assert csv.count() == n and len(csv.columns) == 11
     view = api.get_all_cases(spark, f"{base}/store")
     assert view.count() == n and view.where("verdict IS NULL").count() == 0
 
-    again = api.validate_cases(spark, passed, f"{base}/store", run_id="r1", now="2024-01-07T00:00:00")
-    assert again.count() == 0                       # resume: everything already scored
+    again, again_counts = api.validate_cases(spark, passed, f"{base}/store", run_id="r1",
+                                             now="2024-01-07T00:00:00")
+    assert again.count() == 0 == again_counts["total"]   # resume: everything already scored
     runs = api.get_validation_runs(spark, f"{base}/store").collect()
     assert len(runs) == 1
     r = runs[0]
     assert r["total_cases"] == n
     assert r["passed_count"] + r["needs_improvement_count"] + r["failed_count"] + r["error_count"] == n
 
-    second = api.validate_cases(spark, passed, f"{base}/store", run_id="r2", now="2024-01-08T00:00:00")
+    second, _ = api.validate_cases(spark, passed, f"{base}/store", run_id="r2",
+                                   now="2024-01-08T00:00:00")
     assert second.count() == n
+    # facts are appended, never rewritten: one part per call that scored something
+    import glob
+    assert len(glob.glob(f"{base}/store/llm_validations/part=*")) == 2
     cid = passed.first()["Test Case ID"]
     hist = api.get_case_history(spark, f"{base}/store", cid).collect()
     assert [h["run_id"] for h in hist] == ["r2", "r1"]
