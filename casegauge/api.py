@@ -243,6 +243,22 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     return rows, got
 
 
+def latest_validation_report(spark: SparkSession, output_dir: str) -> DataFrame | None:
+    """The saved validation report whose run name sorts last, upgraded to the
+    current columns (old reports carry ``Overall Passed`` / ``Summary``); None if none."""
+    base = f"{output_dir.rstrip('/')}/llm_validation"
+    try:
+        df = files.read_latest_report(spark, base, fmt="csv", required=("Test Case ID",),
+                                      by="name")
+    except FileNotFoundError:
+        return None
+    except Exception as exc:  # the folder itself does not exist
+        if "PATH_NOT_FOUND" in str(exc):
+            return None
+        raise
+    return files.normalize_validation(df)
+
+
 def get_all_cases(spark: SparkSession, store_base: str) -> DataFrame:
     """Every record with its latest score and run metadata."""
     recs = read_table(spark, store_base, RECORDS, RECORD_SCHEMA)

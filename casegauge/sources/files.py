@@ -134,22 +134,28 @@ def write_snapshot(df: DataFrame, base: str, run_ts: str, fmt: str = "parquet")
     return path
 
 
-def latest_snapshot_path(spark: SparkSession, base: str) -> str | None:
-    """S3: the snapshot folder with the newest ``yyyyMMdd_HHmmss`` stamp; stamps that do
-    not parse sort oldest. Uses file metadata only (``binaryFile`` without content)."""
+def latest_snapshot_path(spark: SparkSession, base: str, by: str = "stamp") -> str | None:
+    """The newest snapshot folder under ``base``. ``by="stamp"``: the newest
+    ``yyyyMMdd_HHmmss`` stamp in the name (stamps that do not parse sort oldest);
+    ``by="name"``: the name that sorts last (the last of the sorted file names). Uses
+    file metadata only (``binaryFile`` without content)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
              .select("path"))
-    stamp = text.file_timestamp(F.regexp_extract("path", "run_ts=([^/]+)", 1))
-    newest = (files.select(F.regexp_extract("path", "^(.*run_ts=[^/]+)", 1).alias("dir"),
-                           F.coalesce(stamp, F.lit("0001-01-01").cast("timestamp")).alias("ts"))
-              .agg(F.max_by("dir", "ts").alias("dir")).first())
+    dirs = files.select(F.regexp_extract("path", "^(.*run_ts=[^/]+)", 1).alias("dir"),
+                        F.regexp_extract("path", "run_ts=([^/]+)", 1).alias("name"))
+    if by == "name":
+        key = F.col("name")
+    else:
+        key = F.coalesce(text.file_timestamp(F.col("name")),
+                         F.lit("0001-01-01").cast("timestamp"))
+    newest = (dirs.where(F.col("dir") != "").agg(F.max_by("dir", key).alias("dir")).first())
     return newest["dir"] if newest and newest["dir"] else None
 
 
 def read_latest_report(spark: SparkSession, base: str, fmt: str = "parquet",
-                       required=REPORT_REQUIRED) -> DataFrame:
+                       required=REPORT_REQUIRED, by: str = "stamp") -> DataFrame:
     """S3 + S1/S2: newest report snapshot, contract-checked."""
-    path = latest_snapshot_path(spark, base)
+    path = latest_snapshot_path(spark, base, by=by)
     if path is None:
         raise FileNotFoundError(f"no report snapshot under {base}")
     df = read_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)

@@ -26,6 +26,13 @@ def test_pipeline_end_to_end(spark):
     assert counts["passed"] + counts["needs_improvement"] + counts["failed"] + counts["errors"] == n
     csv = spark.read.option("header", True).csv(f"{base}/out/llm_validation/run_ts=r1")
     assert csv.count() == n and len(csv.columns) == 11
+    # an older-format report saved under a name that sorts first is not the latest
+    spark.createDataFrame([("C9", "t", True, "old")],
+                          "`Test Case ID` string, Title string, `Overall Passed` boolean, Summary string") \
+        .write.option("header", True).csv(f"{base}/out/llm_validation/run_ts=a0")
+    latest = api.latest_validation_report(spark, f"{base}/out")
+    assert latest.count() == n and "Verdict" in latest.columns
+    assert api.latest_validation_report(spark, f"{base}/nothing") is None
     view = api.get_all_cases(spark, f"{base}/store")
     assert view.count() == n and view.where("verdict IS NULL").count() == 0
 
