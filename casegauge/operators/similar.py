@@ -21,8 +21,6 @@ pool. A record therefore meets at most 3K candidates however large its groups ar
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,19 +36,23 @@ def order_key(seed: str, id_col: str = "case_id"):
 
 def pools(scored: DataFrame, k: int, seed: str, levels=LEVELS, carry=()) -> DataFrame:
     """The first ``k`` scored records of every group of every level:
-    ``(level, grp, example_id, okey, verdict, *carry)``."""
+    ``(level, grp, example_id, okey, verdict, *carry)``.
+
+    One pass over ``scored``: each record is unpivoted into its ``(level, grp)`` pairs and
+    one window over ``(level, grp)`` keeps ``k`` rows; ``row_number <= k`` lets Spark cut
+    every group to ``k`` rows per map task before the shuffle (``WindowGroupLimit``).
+    """
     carry = [c for c in carry if c not in ("case_id", "verdict")]
-    parts = []
-    for i, col in enumerate(levels, start=1):
-        g = (scored.select(F.col("case_id").alias("example_id"),
-                           F.nullif(F.col(col), F.lit("")).alias("grp"), "verdict", *carry)
-             .where(F.col("grp").isNotNull())
-             .withColumn("okey", order_key(seed, "example_id")))
-        w = Window.partitionBy("grp").orderBy("okey", "example_id")
-        parts.append(g.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k)
-                     .select(F.lit(i).alias("level"), "grp", "example_id", "okey", "verdict",
-                             *carry))
-    return reduce(DataFrame.unionByName, parts)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("level"), F.nullif(F.col(c), F.lit("")).alias("grp"))
+        for i, c in enumerate(levels, start=1)])).alias("l")
+    g = (scored.select(F.col("case_id").alias("example_id"), "verdict", *carry, pairs)
+         .select("l.level", "l.grp", "example_id", "verdict", *carry)
+         .where(F.col("grp").isNotNull())
+         .withColumn("okey", order_key(seed, "example_id")))
+    w = Window.partitionBy("level", "grp").orderBy("okey", "example_id")
+    return (g.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k)
+            .select("level", "grp", "example_id", "okey", "verdict", *carry))
 
 
 def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
@@ -179,6 +181,6 @@ def few_shot_context(examples: DataFrame, details: DataFrame | None = None) -> D
     block = example_block(set(j.columns))
     blocks = (j.groupBy("case_id")
               .agg(F.sort_array(F.collect_list(F.struct("ordinal", block.alias("b")))).alias("bs")))
-    body = F.array_join(F.transform("bs", lambda x: x["b"]), "\n")
+    body = F.array_join(F.col("bs.b"), "\n")
     return blocks.select("case_id", F.concat(F.lit(EXAMPLES_HEADER + "\n"), body,
                                              F.lit("\n" + EXAMPLES_FOOTER + "\n")).alias("context"))
