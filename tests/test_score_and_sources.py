@@ -129,3 +129,38 @@ def test_breakdown_criterion_strips_unicode_space(spark):
     got = {r["criterion"]: r["failed_cases"]
            for r in report.failure_breakdown(df, compat=True).collect()}
     assert got == {"Status": 1, "Priority/Risk": 1}
+
+
+def test_reply_contract_json_types(spark):
+    """flags accept JSON booleans, 1/0 and text spellings; texts must be JSON strings;
+    a missing verdict defaults to Failed, a non-enum one is invalid; a missing id is the
+    request id, a numeric one is invalid."""
+    from casegauge.functions import text as tx
+
+    def reply(passed='true', remarks='""', extra=', "verdict": "Passed"', tcid='"C7", '):
+        return ('{' + (f'"test_case_id": {tcid}' if tcid else '') +
+                f'"preconditions": {{"passed": {passed}, "remarks": {remarks}}}, '
+                '"test_steps": {"passed": true, "remarks": ""}, '
+                '"expected_results": {"passed": false, "remarks": "x"}' + extra + '}')
+    cases = {
+        "bool": (reply(), (True, True, "Passed", "C7")),
+        "text flag": (reply(passed='"No"'), (True, False, "Passed", "C7")),
+        "int flag": (reply(passed='1'), (True, True, "Passed", "C7")),
+        "bad int flag": (reply(passed='2'), (False, None, "Passed", "C7")),
+        "null flag": (reply(passed='null'), (False, None, "Passed", "C7")),
+        "numeric remarks": (reply(remarks='5'), (False, True, "Passed", "C7")),
+        "no verdict": (reply(extra=''), (True, True, "Failed", "C7")),
+        "bad verdict": (reply(extra=', "verdict": "passed"'), (False, True, "passed", "C7")),
+        "no id": (reply(tcid=''), (True, True, "Passed", "REQ")),
+        "numeric id": (reply(tcid='7, '), (False, True, "Passed", None)),
+        "criterion not an object": ('{"preconditions": true, "test_steps": {"passed": true, '
+                                    '"remarks": ""}, "expected_results": {"passed": true, '
+                                    '"remarks": ""}}', (False, None, "Failed", "REQ")),
+    }
+    df = spark.createDataFrame([(k, "```json\n" + v + "\n```") for k, (v, _) in cases.items()],
+                               "k string, reply string").withColumn("req", F.lit("REQ"))
+    got = {r["k"]: (r["valid"], r["passed"], r["verdict"], r["tcid"]) for r in
+           tx.parse_replies(df, "reply", "req").select(
+               "k", "r.valid", F.col("r.preconditions.passed").alias("passed"), "r.verdict",
+               F.col("r.test_case_id").alias("tcid")).collect()}
+    assert got == {k: want for k, (_, want) in cases.items()}
