@@ -40,16 +40,21 @@ ENTITIES = [
     ("&mdash;", "—"),
     ("&amp;", "&"),
 ]
-# Elements whose text is never visible text, and HTML void elements.
-HIDDEN_TAGS = ("script", "style", "template")
+# Elements whose text is never part of the visible text (script, style and template
+# content, ruby annotations), and HTML void elements.
+HIDDEN_TAGS = ("script", "style", "template", "rt", "rp")
 VOID_TAGS = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen",
                        "link", "menuitem", "meta", "param", "source", "track", "wbr"})
 # --- end of fixed values ---
 
 SEP = "\u0001"
-HIDDEN_RE = "(?is)" + "|".join(f"<{t}\\b[^>]*>.*?</{t}\\s*>" for t in HIDDEN_TAGS)
-COMMENT_RE = "(?s)<!--.*?-->"
+COMMENT_RE = "<!--.*?-->"
+HIDDEN_RE = "|".join(f"<{t}\\b[^>]*>.*?</{t}\\s*>" for t in HIDDEN_TAGS)
 DECL_RE = "<![^>]*>|<\\?[^>]*>"
+# Everything that is not text: one alternation, so the construct that starts first wins
+# (a comment holding "<script>", a script holding "<!--"). Each is replaced by a node
+# separator -- the text on its two sides stays two text nodes.
+REMOVED_RE = f"(?is){COMMENT_RE}|{HIDDEN_RE}|{DECL_RE}"
 TAG_RE = "</?[A-Za-z][^>]*>"
 LI_RE = "(?is)<li\\b[^>]*>(.*?)</li\\s*>"
 # The characters Python's str.strip() removes: every code point with str.isspace().
@@ -66,14 +71,21 @@ def py_strip(c: Column) -> Column:
 
 _KNOWN = "|".join(e[1:-1] for e, _ in ENTITIES)
 ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});)[#A-Za-z]"
-NEEDS_PARSER_TEXT_RE = f"{ODD_ENTITY_RE}|<!\\[CDATA\\["
+_HID = "|".join(HIDDEN_TAGS)
+_CONTAINERS = "|".join(t for t in HIDDEN_TAGS if t not in ("script", "style"))
+# a hidden element that is never closed, or (template / ruby parts, which hold markup)
+# one opened again before it closes: the regex form cannot tell where its text ends
+UNCLOSED_HIDDEN_RE = f"<(?<u>{_HID})\\b(?![^>]*>.*?</\\k<u>\\s*>)"
+NESTED_HIDDEN_RE = f"<(?<n>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<n>\\s*>).)*?<\\k<n>\\b"
+NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|(?is:<!\\[CDATA\\[|{UNCLOSED_HIDDEN_RE}|"
+                        f"{NESTED_HIDDEN_RE})")
 NESTED_LI_RE = "(?is)<li\\b(?:(?!</li\\s*>).)*?<li\\b"
+# a list item inside a template / ruby part is still an item, with no visible text
+HIDDEN_LI_RE = f"(?is)<(?<h>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<h>\\s*>).)*?<li\\b"
 
 
 def _clean(c: Column) -> Column:
-    c = F.regexp_replace(c, HIDDEN_RE, "")
-    c = F.regexp_replace(c, COMMENT_RE, "")
-    return F.regexp_replace(c, DECL_RE, "")
+    return F.regexp_replace(c, REMOVED_RE, SEP)
 
 
 def _unescape(c: Column) -> Column:
@@ -192,8 +204,8 @@ def needs_parser_text(c: Column) -> Column:
 def needs_parser_list(c: Column) -> Column:
     opens = F.size(F.regexp_extract_all(c, F.lit("(?i)<li\\b"), 0))
     closes = F.size(F.regexp_extract_all(c, F.lit("(?i)</li\\s*>"), 0))
-    return F.coalesce(needs_parser_text(c) | (opens != closes) | c.rlike(NESTED_LI_RE),
-                      F.lit(False))
+    return F.coalesce(needs_parser_text(c) | (opens != closes) | c.rlike(NESTED_LI_RE)
+                      | c.rlike(HIDDEN_LI_RE), F.lit(False))
 
 
 def html_to_text(c: Column) -> Column:

@@ -338,8 +338,7 @@ def _nodes(x: str) -> str:
 
 CLEAN_PAGES = f"""
 cleaned AS (
-  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-      {_q(_h.HIDDEN_RE)}, '', 'g'), {_q(_h.COMMENT_RE)}, '', 'g'), {_q(_h.DECL_RE)}, '', 'g') AS h
+  SELECT page_id, regexp_replace(coalesce(html, ''), {_q(_h.REMOVED_RE)}, chr(1), 'g') AS h
   FROM pages
 )"""
 

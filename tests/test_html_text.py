@@ -49,3 +49,32 @@ def test_native_equals_parser_on_pages(spark):
         assert not r["need"]
         assert r["t"] == html.html_to_text_py(docs[r["page_id"]])
         assert r["l"] == html.numbered_list_py(docs[r["page_id"]])
+
+
+# (html, visible text, numbered list): what the HTML parser reports for each
+EDGE_CASES = [
+    ("a<!-- x -->b", "a\nb", ""),                           # a comment separates two nodes
+    ("a<script>x</script>b", "a\nb", ""),
+    ("<p>a<style>p{}</style>b</p>", "a\nb", ""),
+    ("x<template><p>t</p></template>y", "x\ny", ""),
+    ("<ruby>A<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>z", "A\nz", ""),   # ruby annotations
+    ("<ruby>A<rt>kan</ruby>B", "A\nB", ""),                 # an unclosed <rt> ends with </ruby>
+    ("<ul><li>a<!--c-->b</li></ul>", "a\nb", "1. a b"),
+    ("a<!DOCTYPE html>b", "a\nb", ""),
+    ("a<?php x ?>b", "a\nb", ""),
+    ("<template><template>a</template>b</template>c", "c", ""),
+    ("<!-- <script> -->t<script>x</script>u", "t\nu", ""),  # the construct starting first wins
+    ("<template><ul><li>hid</li></ul></template><ul><li>v</li></ul>", "v", "1. \n2. v"),
+    ("a<script>never closed", "a", ""),
+    ("<ol><li>x<rt>y</rt></li></ol>", "x", "1. x"),
+    ("x &LT; y", "x < y", ""),                              # entity names are case-sensitive
+    ("<![cdata[q]]>r", "q\nr", ""),
+]
+
+
+def test_edge_cases_match_the_parser(spark):
+    docs = [d for d, _, _ in EDGE_CASES]
+    assert apply(spark, docs, html.html_to_text) == [t for _, t, _ in EDGE_CASES]
+    assert apply(spark, docs, html.numbered_list) == [li for _, _, li in EDGE_CASES]
+    assert [html.html_to_text_py(d) for d in docs] == [t for _, t, _ in EDGE_CASES]
+    assert [html.numbered_list_py(d) for d in docs] == [li for _, _, li in EDGE_CASES]
