@@ -79,9 +79,12 @@ UNCLOSED_HIDDEN_RE = f"<(?<u>{_HID})\\b(?![^>]*>.*?</\\k<u>\\s*>)"
 NESTED_HIDDEN_RE = f"<(?<n>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<n>\\s*>).)*?<\\k<n>\\b"
 NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|(?is:<!\\[CDATA\\[|{UNCLOSED_HIDDEN_RE}|"
                         f"{NESTED_HIDDEN_RE})")
-NESTED_LI_RE = "(?is)<li\\b(?:(?!</li\\s*>).)*?<li\\b"
+# an item whose text runs into another <li> or the end before its </li> (nested or
+# unclosed items: the parser nests them); a stray </li> is ignored by both paths
+OPEN_LI_RE = "<li\\b(?![^>]*>(?:(?!<li\\b).)*?</li\\s*>)"
 # a list item inside a template / ruby part is still an item, with no visible text
-HIDDEN_LI_RE = f"(?is)<(?<h>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<h>\\s*>).)*?<li\\b"
+HIDDEN_LI_RE = f"<(?<h>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<h>\\s*>).)*?<li\\b"
+NEEDS_PARSER_LIST_RE = f"{NEEDS_PARSER_TEXT_RE}|(?is:{OPEN_LI_RE}|{HIDDEN_LI_RE})"
 
 
 def _clean(c: Column) -> Column:
@@ -202,22 +205,22 @@ def needs_parser_text(c: Column) -> Column:
 
 
 def needs_parser_list(c: Column) -> Column:
-    opens = F.size(F.regexp_extract_all(c, F.lit("(?i)<li\\b"), 0))
-    closes = F.size(F.regexp_extract_all(c, F.lit("(?i)</li\\s*>"), 0))
-    return F.coalesce(needs_parser_text(c) | (opens != closes) | c.rlike(NESTED_LI_RE)
-                      | c.rlike(HIDDEN_LI_RE), F.lit(False))
+    return F.coalesce(c.rlike(NEEDS_PARSER_LIST_RE), F.lit(False))
 
 
 def html_to_text(c: Column) -> Column:
-    """visible text, one stripped node per line; NULL/empty -> ''."""
-    need = needs_parser_text(c)
-    return F.when(need, _html_to_text_udf(F.when(need, c))).otherwise(html_to_text_native(c))
+    """visible text, one stripped node per line; NULL/empty -> ''.
+
+    The parser UDF gets the document only where the regex form cannot decide (NULL
+    elsewhere) and answers non-NULL exactly there, so ``coalesce`` picks its answer or
+    the native one without evaluating the routing test a second time."""
+    return F.coalesce(_html_to_text_udf(F.when(needs_parser_text(c), c)), html_to_text_native(c))
 
 
 def numbered_list(c: Column) -> Column:
     """F8: every ``<li>`` as ``n. text`` (its text nodes joined by one space); no list -> ''."""
-    need = needs_parser_list(c)
-    return F.when(need, _numbered_list_udf(F.when(need, c))).otherwise(numbered_list_native(c))
+    return F.coalesce(_numbered_list_udf(F.when(needs_parser_list(c), c)),
+                      numbered_list_native(c))
 
 
 def unescape_py(s: str) -> str:

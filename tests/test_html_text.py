@@ -78,3 +78,17 @@ def test_edge_cases_match_the_parser(spark):
     assert apply(spark, docs, html.numbered_list) == [li for _, _, li in EDGE_CASES]
     assert [html.html_to_text_py(d) for d in docs] == [t for _, t, _ in EDGE_CASES]
     assert [html.numbered_list_py(d) for d in docs] == [li for _, _, li in EDGE_CASES]
+
+
+def test_list_routing(spark):
+    """Unclosed, nested and hidden list items take the parser path; plain lists and stray
+    closing tags stay native (both give the same items)."""
+    docs = {"<ul><li>a</li><li>b</li></ul>": False, "<ul><li>a</li></li></ul>": False,
+            "<ul><li>a</ul>": True, "<ul><li>a<li>b</li></ul>": True,
+            "<ol><LI>x<ol><li>y</li></ol></LI></ol>": True,
+            "<template><li>h</li></template>": True, "no list": False}
+    df = spark.createDataFrame([(d,) for d in docs], "h string")
+    got = {r.h: r.n for r in df.select("h", html.needs_parser_list(F.col("h")).alias("n")).collect()}
+    assert got == docs
+    assert apply(spark, ["<ul><li>a</li></li></ul>"], html.numbered_list) == \
+        [html.numbered_list_py("<ul><li>a</li></li></ul>")]
