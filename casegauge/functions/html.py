@@ -77,8 +77,10 @@ _CONTAINERS = "|".join(t for t in HIDDEN_TAGS if t not in ("script", "style"))
 # one opened again before it closes: the regex form cannot tell where its text ends
 UNCLOSED_HIDDEN_RE = f"<(?<u>{_HID})\\b(?![^>]*>.*?</\\k<u>\\s*>)"
 NESTED_HIDDEN_RE = f"<(?<n>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<n>\\s*>).)*?<\\k<n>\\b"
-NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|(?is:<!\\[CDATA\\[|{UNCLOSED_HIDDEN_RE}|"
-                        f"{NESTED_HIDDEN_RE})")
+# a quoted attribute value holding ">": the tag does not end there
+QUOTED_GT_RE = "<[A-Za-z][^>]*?=\\s*(?:\"[^\"]*>|'[^']*>)"
+NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|{QUOTED_GT_RE}|(?is:<!\\[CDATA\\[|"
+                        f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE})")
 # an item whose text runs into another <li> or the end before its </li> (nested or
 # unclosed items: the parser nests them); a stray </li> is ignored by both paths
 OPEN_LI_RE = "<li\\b(?![^>]*>(?:(?!<li\\b).)*?</li\\s*>)"

@@ -69,6 +69,8 @@ EDGE_CASES = [
     ("<ol><li>x<rt>y</rt></li></ol>", "x", "1. x"),
     ("x &LT; y", "x < y", ""),                              # entity names are case-sensitive
     ("<![cdata[q]]>r", "q\nr", ""),
+    ('<a title="x>y">t</a>u', "t\nu", ""),                 # ">" inside a quoted attribute
+    ("<ul><li data-k='a>b'>i</li></ul>", "i", "1. i"),
 ]
 
 
