@@ -373,6 +373,26 @@ def _land_scores(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
                    "validated_at")
 
 
+def _land_results(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
+    r = fx.scored_results(fx.tables(spark, sf_dir))
+    day = F.dayofmonth("validated_at")
+    inc.land_files(r.where(day <= 15) if part == "first" else r.where(day > 15), src, 2,
+                   "validated_at")
+
+
+@query("stream_records")
+def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored records saved incrementally (scores appended, record snapshots
+    logged per micro-batch, resumed from the checkpoint); the record table read back is
+    the upsert of every snapshot: newest content, first and last time seen."""
+    base = scratch_path(spark, "stream-records")
+    src, store_dir, ckpt = f"{base}/in", f"{base}/store", f"{base}/ckpt"
+    for part in ("first", "second"):
+        _land_results(spark, sf_dir, src, part)
+        inc.run_to_completion(inc.save_results_stream(spark, src, store_dir, ckpt))
+    return inc.current_records(spark.read.parquet(f"{store_dir}/record_log"))
+
+
 @query("stream_counters")
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run counters maintained by a streaming aggregate over landed score files

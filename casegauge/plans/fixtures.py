@@ -115,6 +115,19 @@ def scores(t: Tables, remarks: bool = False) -> DataFrame:
     )
 
 
+def scored_results(t: Tables) -> DataFrame:
+    """One result row per scoring attempt: the score plus the record content as it was
+    sent (the title names the run; an errored attempt carries no tribe)."""
+    c = cases(t).select("case_id", "title", "tribe", "product", "capability")
+    s = scores(t)
+    j = s.join(c.withColumnRenamed("title", "case_title").withColumnRenamed("tribe", "case_tribe"),
+               "case_id", "inner")
+    return j.select(*s.columns,
+                    F.concat("case_title", F.lit(" ["), "run_id", F.lit("]")).alias("title"),
+                    F.when(F.col("verdict").isNotNull(), F.col("case_tribe")).alias("tribe"),
+                    "product", "capability")
+
+
 def runs(t: Tables) -> DataFrame:
     """Run rows (D8 without counters): one per day, opened at its first score."""
     return (scores(t).groupBy("run_id")

@@ -82,3 +82,37 @@ def test_save_run_composes_writes(spark):
     assert sorted(tuple(x) for x in r.collect()) == [(1, "A", "t0"), (2, "b", "t1")]
     assert sorted(x[0] for x in n.collect()) == ["r1", "r2"]
     assert f.count() == 3  # the replayed r1 row is not appended twice
+
+
+def test_record_log_view_equals_sequential_upserts(spark):
+    """U2 by merge-on-read: the newest snapshot's content (NULLs included), the first
+    time seen kept -- the same table as applying the upsert snapshot by snapshot in time
+    order; a replayed snapshot changes nothing."""
+    import random
+
+    from casegauge.operators import store
+    from casegauge.streaming import incremental as inc
+
+    random.seed(7)
+    snaps = []
+    for i in range(60):
+        cid = random.choice([1, 2, 3, 4, 5, 5, 5, 5])          # one hot record
+        snaps.append((cid, random.choice(["a", "b", None]), random.choice(["T", None]),
+                      "P", "C", i, f"2024-01-{1 + i // 10:02d} 00:00:{i % 7:02d}"))
+    cols = "case_id long, title string, tribe string, product string, capability string, " \
+           "score_id long, seen_at string"
+    log = spark.createDataFrame(snaps, cols).withColumn("seen_at", F.to_timestamp("seen_at"))
+    view = {r["case_id"]: tuple(r) for r in inc.current_records(log).collect()}
+    replay = log.unionByName(log.where(F.col("score_id") < 50))
+    assert {r["case_id"]: tuple(r) for r in inc.current_records(replay).collect()} == view
+
+    table = None
+    rec_cols = ["case_id", "title", "tribe", "product", "capability"]
+    for r in sorted(log.collect(), key=lambda r: (r["seen_at"], r["score_id"])):
+        new = spark.createDataFrame([(*[r[c] for c in rec_cols], r["seen_at"], r["seen_at"])],
+                                    cols.rsplit(", score_id", 1)[0] +
+                                    ", first_seen_at timestamp, last_updated_at timestamp")
+        table = new if table is None else store.upsert(table, new, "case_id",
+                                                       keep_first=["first_seen_at"])
+        table = spark.createDataFrame(table.collect(), table.schema)   # keep the plan small
+    assert {r["case_id"]: tuple(r) for r in table.collect()} == view
