@@ -175,17 +175,25 @@ def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Market segments held by the older / newer record snapshot: keys only in the older one
+# are kept, keys in both are updated (capability overwritten with NULL for accounts in
+# debit), keys only in the newer one are inserted. Every customer is in one or both.
+OLD_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE")
+NEW_SEGMENTS = ("FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
 def _snapshots(spark: SparkSession, sf_dir: str):
-    c = fx.tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment")
-    k = F.col("c_custkey")
-    old = c.where((k % 2 == 0) | (k % 3 == 0)).select(
+    c = fx.tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_mktsegment",
+                                                   "c_acctbal")
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    old = c.where(seg.isin(*OLD_SEGMENTS)).select(
         k.alias("case_id"), F.col("c_name").alias("title"),
         F.col("c_mktsegment").alias("capability"),
         F.lit("2024-01-01T00:00:00+00:00").alias("first_seen_at"),
         F.lit("2024-01-01T00:00:00+00:00").alias("last_updated_at"))
-    new = c.where((k % 2 == 1) | (k % 3 == 0)).select(
+    new = c.where(seg.isin(*NEW_SEGMENTS)).select(
         k.alias("case_id"), F.concat("c_name", F.lit(" v2")).alias("title"),
-        F.when(k % 5 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("capability"),
+        F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(seg).alias("capability"),
         F.lit("2024-02-01T00:00:00+00:00").alias("first_seen_at"),
         F.lit("2024-02-01T00:00:00+00:00").alias("last_updated_at"))
     return old, new

@@ -251,13 +251,13 @@ SNAPSHOTS = """
 old AS (
   SELECT c_custkey AS case_id, c_name AS title, c_mktsegment AS capability,
          '2024-01-01T00:00:00+00:00' AS first_seen_at, '2024-01-01T00:00:00+00:00' AS last_updated_at
-  FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0
+  FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
 ),
 new AS (
   SELECT c_custkey AS case_id, c_name || ' v2' AS title,
-         CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS capability,
+         CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS capability,
          '2024-02-01T00:00:00+00:00' AS first_seen_at, '2024-02-01T00:00:00+00:00' AS last_updated_at
-  FROM customer WHERE c_custkey % 2 = 1 OR c_custkey % 3 = 0
+  FROM customer WHERE c_mktsegment IN ('FURNITURE', 'HOUSEHOLD', 'MACHINERY')
 )"""
 
 SQL["upsert_cases"] = f"""
