@@ -456,6 +456,17 @@ def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(~F.col("ok_json")).alias("quarantined"))
 
 
+@query("fetch_coverage")
+def fetch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every endpoint of the id list with what its fetch gave -- ok, failed
+    (non-200 / no status) or not fetched (its landed line was torn)."""
+    t = fx.tables(spark, sf_dir)
+    env, _bad = files.read_responses(spark, _land_responses(spark, sf_dir))
+    ids = t.orders.select(F.col("o_orderkey").cast("string").alias("ID"))
+    endpoints = ids.select("ID", text.endpoint(F.col("ID")).alias("endpoint"))
+    return files.fetch_status(endpoints, env)
+
+
 @query("csv_snapshot_roundtrip")
 def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-line text exported as CSV snapshots; the newest snapshot is

@@ -639,6 +639,19 @@ SELECT CAST(count_if(NOT cut AND NOT s404 AND NOT nostatus) AS BIGINT) AS ok,
 FROM k
 """
 
+SQL["fetch_coverage"] = f"""
+WITH k AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 97 = 5 AS cut, o_orderkey % 10 = 9 AS s404,
+         o_orderkey % 10 <> 9 AND o_orderkey % 50 = 7 AS nostatus
+  FROM orders
+)
+-- a torn line is quarantined unless the envelope (no status) is shorter than the cut
+SELECT id AS "ID", {_q(_t.DEFAULT_API_BASE)} || id AS endpoint,
+  CASE WHEN cut AND NOT nostatus THEN 'not fetched'
+       WHEN s404 OR nostatus THEN 'failed' ELSE 'ok' END AS fetch_status
+FROM k
+"""
+
 SQL["csv_snapshot_roundtrip"] = f"""
 WITH {CLEAN_PAGES}
 SELECT CAST(page_id AS VARCHAR) AS page_id, array_to_string({_nodes('h')}, chr(10)) AS text FROM cleaned

@@ -122,6 +122,20 @@ def fetch_counts(envelopes: DataFrame) -> DataFrame:
     return envelopes.agg(F.count_if(ok).alias("ok"), F.count_if(~ok).alias("failed"))
 
 
+def fetch_status(endpoints: DataFrame, envelopes: DataFrame, id_col: str = "ID") -> DataFrame:
+    """S5 / G11 per endpoint: ``ok`` (a 200 envelope), ``failed`` (only other or missing
+    status codes) or ``not fetched`` (no parseable envelope: never landed, or its line
+    went to the quarantine). Envelopes are reduced to one row per id first (partial
+    aggregation: an id fetched again counts as ok if any attempt returned 200), so the
+    join with the endpoint list is one-to-one."""
+    per_id = (envelopes.groupBy(F.col("ID").alias("__id"))
+              .agg(F.max(F.coalesce(F.col("status_code") == 200, F.lit(False))).alias("__ok")))
+    j = endpoints.join(per_id, endpoints[id_col] == F.col("__id"), "left")
+    status = (F.when(F.col("__id").isNull(), F.lit("not fetched"))
+              .when(F.col("__ok"), F.lit("ok")).otherwise(F.lit("failed")))
+    return j.select(*[endpoints[c] for c in endpoints.columns], status.alias("fetch_status"))
+
+
 def write_snapshot(df: DataFrame, base: str, run_ts: str, fmt: str = "parquet") -> str:
     """Write one report snapshot under ``base/run_ts=...``; CSV gets a header
     and RFC-4180 quoting (Spark writes no BOM)."""

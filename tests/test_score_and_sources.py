@@ -164,3 +164,14 @@ def test_reply_contract_json_types(spark):
                "k", "r.valid", F.col("r.preconditions.passed").alias("passed"), "r.verdict",
                F.col("r.test_case_id").alias("tcid")).collect()}
     assert got == {k: want for k, (_, want) in cases.items()}
+
+
+def test_fetch_status_per_endpoint(spark):
+    """Ok if any landed envelope of the id returned 200 (a retry), failed when only
+    other / missing status codes landed, not fetched when none did."""
+    endpoints = spark.createDataFrame([("1", "e1"), ("2", "e2"), ("3", "e3"), ("4", "e4")],
+                                      "ID string, endpoint string")
+    env = spark.createDataFrame([("1", 404), ("1", 200), ("2", None), ("3", 500)],
+                                "ID string, status_code int")
+    got = {r["ID"]: r["fetch_status"] for r in files.fetch_status(endpoints, env).collect()}
+    assert got == {"1": "ok", "2": "failed", "3": "failed", "4": "not fetched"}
