@@ -170,6 +170,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     error row) and this call's verdict counters; with ``output_dir`` the rows are also
     written as the run's CSV snapshot under ``output_dir/llm_validation``.
     """
+    # one UTC timestamp per call, a literal in every plan (reruns stay reproducible)
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")

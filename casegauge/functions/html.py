@@ -111,6 +111,7 @@ def html_to_text_native(c: Column) -> Column:
 
 
 def numbered_list_native(c: Column) -> Column:
+    """F8 + W3: the list items with 1-based ordinals (``transform`` with the index)."""
     items = F.regexp_extract_all(_clean(c), F.lit(LI_RE), 1)
     lines = F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "),
                                                      F.array_join(_nodes(x), " ")))

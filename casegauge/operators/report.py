@@ -23,7 +23,8 @@ def _count_if(cond: Column) -> Column:
 
 
 def totals(report: DataFrame, verdict_col: str = "General Standards") -> DataFrame:
-    """G1 + G2: total / passed / failed (= total - passed) and the pass rate (0 when empty)."""
+    """G1 + G2 + F19: total / passed / failed (= total - passed) and the pass rate (safe
+    division: 0 when empty), shown as a whole percent."""
     v = F.col(verdict_col)
     agg = report.agg(F.count(F.lit(1)).alias("total"), _count_if(v == "Passed").alias("passed"))
     rate = F.coalesce(F.try_divide(F.col("passed"), F.col("total")), F.lit(0.0))
@@ -107,7 +108,7 @@ def lenient_date(c: Column) -> Column:
 
 def date_extent(df: DataFrame, col: str = "validated_at",
                 today: _dt.date | None = None) -> DataFrame:
-    """min/max date of a column; with no dates, (today - 365, today)."""
+    """G9 + F17: min/max date of a column; with no dates, (today - 365 days, today)."""
     today = today or _dt.datetime.now(_dt.timezone.utc).date()
     d = lenient_date(F.col(col))
     return df.agg(F.min(d).alias("d0"), F.max(d).alias("d1")).select(

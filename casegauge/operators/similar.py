@@ -98,6 +98,7 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     t3 = F.when(t1 + t2 < M, F.least(F.col("c3"), T - t1 - t2)).otherwise(0)
     quota = F.when(F.col("level") == 1, t1).when(F.col("level") == 2, t2).otherwise(t3)
     kept = ranked.where(F.col("r") <= quota)
+    # 1-based example ordinals, capability examples first
     ordinal = F.row_number().over(Window.partitionBy("case_id").orderBy("level", "r"))
     return kept.select("case_id", "example_id", "level", ordinal.cast("long").alias("ordinal"),
                        "verdict", *carry)

@@ -66,6 +66,7 @@ def phase_codes(df_col: Column) -> Column:
 
 
 def phase_text(codes: Column) -> Column:
+    """F9 + J2: decode every phase id and join with ``", "``."""
     return F.array_join(cm.decode_array(cm.TESTING_PHASE, phase_codes(codes)), ", ")
 
 
@@ -88,6 +89,7 @@ def rule_parts(rule: Rule) -> tuple[Column, Column, Column]:
         value = F.coalesce(cm.decode(rule.mapping, c), F.lit("None"))
         remark = F.concat(F.lit(f"{rule.name} = "), value)
     elif rule.kind == "any":
+        # F9 "any": arrays_overlap (codegen) instead of a lambda over the list
         allowed = F.array(*[F.lit(i) for i in rule.allowed_ids]).cast("array<int>")
         ok = F.coalesce(F.arrays_overlap(phase_codes(c), allowed), F.lit(False))
         value = F.col(PHASE_TEXT)
