@@ -102,6 +102,35 @@ def generate_endpoint_file(spark: SparkSession, csv_path: str, out_dir: str,
     return out, rejected
 
 
+def build_links_file(spark: SparkSession, csv_path: str, out_dir: str,
+                     base_url: str = text.DEFAULT_VIEW_BASE) -> tuple[str, DataFrame]:
+    """An id-only CSV enriched with the link column right after ``ID`` (the
+    file is left as it is when the column already exists), written as
+    ``<name>_with_links``. Returns the output folder and the enriched DataFrame."""
+    src = files.read_csv(spark, csv_path, required=("ID",))
+    enriched = files.add_link_column(src, base=base_url)
+    name = csv_path.rstrip("/").rsplit("/", 1)[-1].replace(".csv", "_with_links.csv")
+    out = f"{out_dir.rstrip('/')}/{name.rsplit('.', 1)[0]}"
+    enriched.write.mode("overwrite").option("header", True).option("escape", '"').csv(out)
+    return out, enriched
+
+
+def run_pipeline(spark: SparkSession, source_csv: str, responses_path: str, output_dir: str,
+                 run_ts: str | None = None, maps_path: str | None = None) -> dict:
+    """The screening run end to end: id list -> endpoint file -> what each endpoint's
+    fetch gave (from the landed responses) -> screened report snapshot. Returns the paths,
+    the report, the per-endpoint fetch status, the rejected id rows and the totals."""
+    endpoint_dir, rejected = generate_endpoint_file(spark, source_csv,
+                                                    f"{output_dir.rstrip('/')}/endpoints")
+    env, _quarantine = files.read_responses(spark, responses_path)
+    endpoints = files.read_csv(spark, endpoint_dir, required=("ID", "endpoint"))
+    status = files.fetch_status(endpoints, env)
+    path, rep, totals = save_all_cases(spark, responses_path, output_dir, run_ts=run_ts,
+                                       maps_path=maps_path)
+    return {"endpoint_file": endpoint_dir, "rejected": rejected, "fetch_status": status,
+            "report_path": path, "report": rep, "totals": totals}
+
+
 def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
                    run_ts: str | None = None, maps_path: str | None = None
                    ) -> tuple[str, DataFrame, dict]:

@@ -97,3 +97,31 @@ def test_save_all_cases_decodes_retrieval_fields(spark):
     assert got == {"C1": ("Payments", "Cards", "Refunds", "Passed"),
                    "C2": (None, None, "Refunds", "Failed")}
     assert totals == {"total": 2, "passed": 1, "failed": 1}
+
+
+def test_build_links_file_and_run_pipeline(spark):
+    import json
+    import os
+
+    base = scratch_path(spark, "test-api-links")
+    spark.createDataFrame([("C2615919", "a"), ("x", "b")], ["ID", "Title"]) \
+        .write.option("header", True).csv(f"{base}/ids.csv")
+    out, enriched = api.build_links_file(spark, f"{base}/ids.csv", f"{base}/out")
+    assert out.endswith("ids_with_links")
+    assert enriched.columns == ["ID", "Testrail Link", "Title"]
+    links = {r["ID"]: r["Testrail Link"] for r in
+             spark.read.option("header", True).csv(out).collect()}
+    assert links["C2615919"].endswith("/2615919") and links["x"] in ("", None)
+
+    # the enriched file is the next run's id list; one of its links has no id
+    responses = [json.dumps({"ID": "C2615919", "status_code": 200, "response": {
+        "id": 2615919, "title": "t", "priority_id": 1, "custom_automatability": 2,
+        "custom_automation_status": 1, "custom_testing_type": 17, "case_status_id": 2,
+        "custom_testing_phase": [12]}})]
+    os.makedirs(f"{base}/responses", exist_ok=True)
+    spark.createDataFrame([(x,) for x in responses], "value string").write.mode("overwrite") \
+        .text(f"{base}/responses")
+    res = api.run_pipeline(spark, out, f"{base}/responses", f"{base}/run", run_ts="20240101_000000")
+    assert [r["ID"] for r in res["rejected"].collect()] == ["x"]
+    assert {r["ID"]: r["fetch_status"] for r in res["fetch_status"].collect()} == {"C2615919": "ok"}
+    assert res["totals"] == {"total": 1, "passed": 1, "failed": 0}
