@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casegauge.operators import joins
+
 RECORD_CONTENT = ("title", "project_initiative", "tribe", "product", "capability",
                   "pre_conditions", "test_steps", "expected_result")
 
@@ -145,9 +147,20 @@ def append_new(facts: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame
     return batch.join(facts.select(*keys), keys, "left_anti")
 
 
-def orphans(facts: DataFrame, records: DataFrame, runs: DataFrame) -> DataFrame:
-    """Score rows whose record or run is unknown, with the reason."""
-    no_rec = (facts.join(records.select("case_id"), "case_id", "left_anti")
+def orphans(facts: DataFrame, records: DataFrame, runs: DataFrame,
+            max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Score rows whose record or run is unknown, with the reason.
+
+    The score facts are never shuffled: their distinct record ids (map-side partial
+    aggregation, however many scores a record has) are anti-joined with the records, and
+    the unknown ids -- checkpointed and counted -- select the orphan rows by a broadcast
+    semi join when they are few (a shuffle join otherwise). Runs are a small table; the
+    planner broadcasts them by their measured size.
+    """
+    fact_ids = facts.select("case_id").distinct()
+    unknown = joins.materialize(fact_ids.join(records.select("case_id"), "case_id", "left_anti"))
+    unknown, _ = joins.broadcast_if_small(unknown, max_broadcast_rows)
+    no_rec = (facts.join(unknown, "case_id", "left_semi")
               .withColumn("reason", F.lit("unknown record")))
     no_run = (facts.join(runs.select("run_id"), "run_id", "left_anti")
               .withColumn("reason", F.lit("unknown run")))

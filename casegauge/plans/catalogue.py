@@ -234,9 +234,13 @@ def replace_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("orphans")
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores that reference an unknown record or run."""
+    """Scores checked against the stored records and runs as of the older snapshots
+    (records of three segments, runs opened up to day 20): scores of the other records
+    and of later runs reference rows that are not stored."""
     t = fx.tables(spark, sf_dir)
-    return store.orphans(fx.scores(t), fx.cases(t), fx.runs(t)).select(
+    old_records, _ = _snapshots(spark, sf_dir)
+    old_runs, _ = _run_snapshots(spark, sf_dir)
+    return store.orphans(fx.scores(t), old_records, old_runs).select(
         "score_id", "case_id", "run_id", "reason")
 
 

@@ -296,12 +296,12 @@ UNION ALL SELECT * FROM new_runs
 """
 
 SQL["orphans"] = f"""
-WITH {STORE}
+WITH {RUN_SNAPSHOTS}, {SNAPSHOTS.strip()}
 SELECT score_id, case_id, run_id, 'unknown record' AS reason FROM scores
-WHERE case_id NOT IN (SELECT case_id FROM cases)
+WHERE case_id NOT IN (SELECT case_id FROM old)
 UNION ALL
 SELECT score_id, case_id, run_id, 'unknown run' FROM scores
-WHERE run_id NOT IN (SELECT run_id FROM runs)
+WHERE run_id NOT IN (SELECT run_id FROM old_runs)
 """
 
 SQL["resume_remaining"] = """

@@ -116,3 +116,21 @@ def test_record_log_view_equals_sequential_upserts(spark):
                                                        keep_first=["first_seen_at"])
         table = spark.createDataFrame(table.collect(), table.schema)   # keep the plan small
     assert {r["case_id"]: tuple(r) for r in table.collect()} == view
+
+
+def test_orphans_both_reasons_with_and_without_broadcast(spark):
+    """Unknown record and unknown run, a hot orphan record included; the result is
+    the same whether the unknown ids are broadcast or joined by shuffle."""
+    from casegauge.operators import store
+
+    facts = spark.createDataFrame(
+        [(i, 9 if i < 40 else i % 3, "r1" if i % 5 else "rX") for i in range(60)],
+        "score_id long, case_id long, run_id string")
+    records = spark.createDataFrame([(0,), (1,), (2,)], "case_id long")
+    runs = spark.createDataFrame([("r1",)], "run_id string")
+    want = sorted([(i, "unknown record") for i in range(40)] +
+                  [(i, "unknown run") for i in range(60) if i % 5 == 0])
+    for bound in (1_000, 0):
+        got = sorted((r["score_id"], r["reason"]) for r in
+                     store.orphans(facts, records, runs, max_broadcast_rows=bound).collect())
+        assert got == want
