@@ -273,6 +273,21 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     return rows, got
 
 
+def run_all(spark: SparkSession, source_csv: str, responses_path: str, output_dir: str,
+            store_base: str, evaluator: score.Evaluator | None = None,
+            run_id: str | None = None, maps_path: str | None = None, **validate_args) -> dict:
+    """Screening run, then scoring of the newest report's passed records. With no passed
+    record nothing is scored and no run is opened (``validation`` is None)."""
+    screened = run_pipeline(spark, source_csv, responses_path, output_dir,
+                            run_ts=run_id, maps_path=maps_path)
+    passed = fetch_passed_cases(spark, output_dir)
+    if passed.isEmpty():
+        return {**screened, "validation": None}
+    rows, counts = validate_cases(spark, passed, store_base, evaluator=evaluator, run_id=run_id,
+                                  output_dir=output_dir, **validate_args)
+    return {**screened, "validation": rows, "validation_counts": counts}
+
+
 def latest_validation_report(spark: SparkSession, output_dir: str) -> DataFrame | None:
     """The saved validation report whose run name sorts last, upgraded to the
     current columns (old reports carry ``Overall Passed`` / ``Summary``); None if none."""

@@ -125,3 +125,31 @@ def test_build_links_file_and_run_pipeline(spark):
     assert [r["ID"] for r in res["rejected"].collect()] == ["x"]
     assert {r["ID"]: r["fetch_status"] for r in res["fetch_status"].collect()} == {"C2615919": "ok"}
     assert res["totals"] == {"total": 1, "passed": 1, "failed": 0}
+
+
+def test_run_all_scores_passed_records_only_when_there_are_some(spark):
+    import json
+
+    base = scratch_path(spark, "test-api-runall")
+    spark.createDataFrame([("C1", "https://x/index.php?/cases/view/1"),
+                           ("C2", "https://x/index.php?/cases/view/2")], ["ID", "Testrail Link"]) \
+        .write.option("header", True).csv(f"{base}/ids.csv")
+
+    def land(path, phases):
+        lines = [json.dumps({"ID": f"C{i}", "status_code": 200, "response": {
+            "id": i, "title": f"t{i}", "priority_id": 1, "custom_automatability": 2,
+            "custom_automation_status": 1, "custom_testing_type": 17, "case_status_id": 2,
+            "custom_testing_phase": p, "custom_preconds": "<ol><li>Open https://x as user</li></ol>",
+            "custom_steps_separated": [{"content": "<p>click save</p>", "expected": "saved"}]}})
+            for i, p in ((1, phases[0]), (2, phases[1]))]
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+
+    land(f"{base}/none", ([3], [4]))          # no regression phase: nothing passes
+    out = api.run_all(spark, f"{base}/ids.csv", f"{base}/none", f"{base}/o1", f"{base}/store1",
+                      run_id="20240101_000001")
+    assert out["validation"] is None and out["totals"]["passed"] == 0
+    land(f"{base}/some", ([12], [4]))
+    out = api.run_all(spark, f"{base}/ids.csv", f"{base}/some", f"{base}/o2", f"{base}/store2",
+                      run_id="20240101_000002", now="2024-01-01T00:00:02")
+    assert out["validation"].count() == 1 and out["validation_counts"]["total"] == 1
+    assert api.get_validation_runs(spark, f"{base}/store2").count() == 1
