@@ -99,22 +99,24 @@ def _unescape(c: Column) -> Column:
     return c
 
 
-def _nodes(c: Column) -> Column:
-    """Tag-delimited text nodes, decoded and stripped, blanks removed."""
+def _joined_nodes(c: Column, sep: str) -> Column:
+    """The tag-delimited text nodes of ``c`` -- decoded, stripped, blanks dropped --
+    joined by ``sep``. Decoding and stripping run per node (measured faster than the
+    same steps as whole-document string passes, which copy the document each time)."""
     parts = F.split(F.regexp_replace(c, TAG_RE, SEP), SEP)
     stripped = F.transform(parts, lambda p: py_strip(_unescape(p)))
-    return F.filter(stripped, lambda p: p != "")
+    return F.array_join(F.filter(stripped, lambda p: p != ""), sep)
 
 
 def html_to_text_native(c: Column) -> Column:
-    return F.when(c.isNull(), F.lit("")).otherwise(F.array_join(_nodes(_clean(c)), "\n"))
+    return F.when(c.isNull(), F.lit("")).otherwise(_joined_nodes(_clean(c), "\n"))
 
 
 def numbered_list_native(c: Column) -> Column:
     """F8 + W3: the list items with 1-based ordinals (``transform`` with the index)."""
     items = F.regexp_extract_all(_clean(c), F.lit(LI_RE), 1)
     lines = F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "),
-                                                     F.array_join(_nodes(x), " ")))
+                                                     _joined_nodes(x, " ")))
     return F.when(c.isNull(), F.lit("")).otherwise(F.array_join(lines, "\n"))
 
 
