@@ -401,7 +401,8 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, store_dir, ckpt = f"{base}/in", f"{base}/store", f"{base}/ckpt"
     for part in ("first", "second"):
         _land_results(spark, sf_dir, src, part)
-        inc.run_to_completion(inc.save_results_stream(spark, src, store_dir, ckpt))
+        inc.run_to_completion(inc.save_results_stream(spark, src, store_dir, ckpt,
+                                                      files_per_batch=1))
     return inc.current_records(spark.read.parquet(f"{store_dir}/record_log"))
 
 
@@ -413,7 +414,7 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
     for part in ("first", "second"):
         _land_scores(spark, sf_dir, src, part)
-        inc.run_to_completion(inc.run_counters_stream(spark, src, sink, ckpt))
+        inc.run_to_completion(inc.run_counters_stream(spark, src, sink, ckpt, files_per_batch=1))
     return inc.read_merged(spark, sink, "run_id")
 
 
@@ -425,7 +426,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sink, ckpt = f"{base}/in", f"{base}/facts", f"{base}/ckpt"
     for part in ("first", "second"):
         _land_scores(spark, sf_dir, src, part)
-        inc.run_to_completion(inc.save_scores_stream(spark, src, sink, ckpt))
+        inc.run_to_completion(inc.save_scores_stream(spark, src, sink, ckpt, files_per_batch=1))
     return spark.read.parquet(sink).drop("batch_id")
 
 

@@ -45,7 +45,7 @@ RESULT_SCHEMA = T.StructType(SCORE_SCHEMA.fields + [
 
 def save_results_stream(spark: SparkSession, src: str, store: str, checkpoint: str,
                         schema: T.StructType = RESULT_SCHEMA,
-                        files_per_batch: int = 1) -> StreamingQuery:
+                        files_per_batch: int | None = None) -> StreamingQuery:
     """R1 with U2 + U5: each landed result row is one scored record -- its content and
     its score. Per micro-batch, the scores are appended to ``{store}/facts`` and the
     record snapshots to the record log ``{store}/record_log`` (read through
@@ -93,13 +93,19 @@ def _batch_writer(sink: str):
     return write
 
 
-def _source(spark: SparkSession, src: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(src))
+def _source(spark: SparkSession, src: str, schema: T.StructType,
+            files_per_batch: int | None) -> DataFrame:
+    """Landed Parquet files with a fixed schema. ``files_per_batch`` caps a micro-batch
+    (``maxFilesPerTrigger``); by default each trigger takes every file that has arrived,
+    so a large backlog is not cut into thousands of tiny batches."""
+    r = spark.readStream.schema(schema)
+    if files_per_batch:
+        r = r.option("maxFilesPerTrigger", files_per_batch)
+    return r.parquet(src)
 
 
 def save_scores_stream(spark: SparkSession, src: str, sink: str, checkpoint: str,
-                       schema: T.StructType = SCORE_SCHEMA, files_per_batch: int = 1) -> StreamingQuery:
+                       schema: T.StructType = SCORE_SCHEMA, files_per_batch: int | None = None) -> StreamingQuery:
     """Persist every landed score exactly once (``availableNow``: process what is
     there, then stop; call again later to resume)."""
     return (_source(spark, src, schema, files_per_batch).writeStream
@@ -109,7 +115,7 @@ def save_scores_stream(spark: SparkSession, src: str, sink: str, checkpoint: str
 
 
 def run_counters_stream(spark: SparkSession, src: str, sink: str, checkpoint: str,
-                        schema: T.StructType = SCORE_SCHEMA, files_per_batch: int = 1,
+                        schema: T.StructType = SCORE_SCHEMA, files_per_batch: int | None = None,
                         watermark: str | None = None) -> StreamingQuery:
     """Live verdict counters per run."""
     s = _source(spark, src, schema, files_per_batch)
