@@ -89,9 +89,9 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     per_level = Window.partitionBy("case_id", "level").orderBy("okey", "example_id")
     per_rec = Window.partitionBy("case_id")
     ranked = dedup.withColumn("r", F.row_number().over(per_level))
-    for i in (1, 2, 3):
-        ranked = ranked.withColumn(f"c{i}", F.sum(F.when(F.col("level") == i, 1).otherwise(0))
-                                   .over(per_rec))
+    # the three per-level counts in one select: one Window operator, not three
+    ranked = ranked.select("*", *[F.sum(F.when(F.col("level") == i, 1).otherwise(0))
+                                  .over(per_rec).alias(f"c{i}") for i in (1, 2, 3)])
     T, M = F.lit(target), F.lit(min_per_level)
     t1 = F.least(F.col("c1"), T)
     t2 = F.when(t1 < M, F.least(F.col("c2"), T - t1)).otherwise(0)
