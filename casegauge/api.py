@@ -56,23 +56,61 @@ def _latest_version(spark: SparkSession, base: str, name: str) -> str | None:
     return v["v"] if v and v["v"] else None
 
 
+def upgrade_store_table(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """S12 for the store: a table written by an older version, brought to ``schema``.
+    Score rows without a verdict take it from the legacy pass flag (1 -> Passed, 0 ->
+    Failed); runs stored before the needs-improvement counter existed count 0 there; any
+    other missing column is NULL and columns no longer used are dropped."""
+    cols = set(df.columns)
+    out = df
+    if "overall_passed" in cols and "verdict" in schema.fieldNames():
+        legacy = F.col("overall_passed").cast("int")
+        backfill = F.when(legacy == 1, F.lit("Passed")).when(legacy == 0, F.lit("Failed"))
+        current = F.col("verdict") if "verdict" in cols else F.lit(None).cast("string")
+        out = out.withColumn("verdict", F.coalesce(current, backfill))
+        cols.add("verdict")
+    if "needs_improvement_count" in schema.fieldNames() and "run_id" in cols:
+        current = (F.col("needs_improvement_count") if "needs_improvement_count" in cols
+                   else F.lit(None))
+        out = out.withColumn("needs_improvement_count", F.coalesce(current.cast("long"), F.lit(0)))
+        cols.add("needs_improvement_count")
+    return out.select(*[(F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType)
+                        .alias(f.name) for f in schema.fields])
+
+
+def _read_store(spark: SparkSession, path: str, schema: T.StructType,
+                recursive: bool = False) -> DataFrame:
+    r = spark.read.option("mergeSchema", True)
+    if recursive:
+        r = r.option("recursiveFileLookup", True)
+    try:
+        return upgrade_store_table(r.parquet(path), schema)
+    except Exception as exc:  # no table yet
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) \
+                or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
-    """The newest version of a store table, or an empty table of its schema."""
+    """S7 + S12: the newest version of a store table, upgraded to ``schema``, or an empty
+    table of its schema."""
     v = _latest_version(spark, base, name)
     if v is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{base}/{name}/version={v}")
+    return _read_store(spark, f"{base}/{name}/version={v}", schema)
 
 
 def read_facts(spark: SparkSession, base: str) -> DataFrame:
-    """S7 for the score facts: every appended part (an empty table before the first run).
+    """S7 + S12 for the score facts: every appended part, upgraded to the current schema
+    (an empty table before the first run).
 
     Facts are append-only: each call writes its new rows as one more part folder and
     nothing already stored is rewritten, so the cost of a run is its own rows, however
     large the history. A part becomes visible when its write job commits (Spark's file
     commit protocol), so a crashed call leaves no partial part behind.
     """
-    return files.read_table_or_empty(spark, f"{base}/{FACTS}", FACT_SCHEMA, recursive=True)
+    return _read_store(spark, f"{base}/{FACTS}", FACT_SCHEMA, recursive=True)
 
 
 def append_facts(df: DataFrame, base: str, stamp: str) -> str:

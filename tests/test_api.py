@@ -153,3 +153,26 @@ def test_run_all_scores_passed_records_only_when_there_are_some(spark):
                       run_id="20240101_000002", now="2024-01-01T00:00:02")
     assert out["validation"].count() == 1 and out["validation_counts"]["total"] == 1
     assert api.get_validation_runs(spark, f"{base}/store2").count() == 1
+
+
+def test_store_tables_written_by_an_older_version_are_upgraded(spark):
+    """Legacy score rows get their verdict from the pass flag; old run rows count 0
+    needs-improvement; the views work over a mix of old and new parts."""
+    base = scratch_path(spark, "test-api-legacy-store")
+    spark.createDataFrame([("s1", "C1", "r0", 1, "2024-01-01T00:00:00"),
+                           ("s2", "C2", "r0", 0, "2024-01-01T00:00:00"),
+                           ("s3", "C3", "r0", None, "2024-01-01T00:00:00")],
+                          "score_id string, case_id string, run_id string, overall_passed int, "
+                          "validated_at string").write.parquet(f"{base}/llm_validations/part=old")
+    spark.createDataFrame([("s4", "C1", "r1", "Needs Improvement", "2024-02-01T00:00:00")],
+                          "score_id string, case_id string, run_id string, verdict string, "
+                          "validated_at string").write.parquet(f"{base}/llm_validations/part=new")
+    spark.createDataFrame([("r0", "p", "m", 3, 1, 1, 1, "2024-01-01T00:00:00")],
+                          "run_id string, provider string, model string, total_cases long, "
+                          "passed_count long, failed_count long, error_count long, run_at string") \
+        .write.parquet(f"{base}/validation_runs/version=20240101")
+    facts = {r["score_id"]: r["verdict"] for r in api.read_facts(spark, base).collect()}
+    assert facts == {"s1": "Passed", "s2": "Failed", "s3": None, "s4": "Needs Improvement"}
+    run = api.get_validation_runs(spark, base).first()
+    assert run["needs_improvement_count"] == 0 and run["passed_count"] == 1
+    assert api.read_facts(spark, f"{base}/nothing").count() == 0
