@@ -161,17 +161,22 @@ def steps_text_by_key(rows: DataFrame, key: str, order: str, parts: dict[str, st
 
 def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None = None,
             capability: Column | None = None) -> DataFrame:
-    """One raw record -> the 17-column report row (plus ``failures``).
+    """One raw record -> the 17-column report row (plus ``failures`` and
+    ``list_lost``).
 
     ``tribe``/``product``/``capability`` are label columns already decoded by the caller
     (see ``codemaps.decode_with_dimension``); by default they stay NULL, as they do when
     the retrieval dictionaries are empty.
+
+    N13: preconditions and steps keep only their list items, so a text written without
+    ``<li>`` markup becomes empty (as in the reference); ``list_lost`` flags the rows where
+    that dropped visible text. It is computed only when selected.
     """
     ev = evaluate(raw, keep_phase_text=True)
     null = F.lit(None).cast("string")
     steps_html = steps_text(F.col("custom_steps_separated"), "content")
     expected_html = steps_text(F.col("custom_steps_separated"), "expected")
-    return ev.select(
+    staged = ev.select(
         F.col("verdict").alias("General Standards"),
         F.col("remarks").alias("Remarks"),
         F.concat(F.lit("C"), F.col("id").cast("string")).alias("Test Case ID"),
@@ -190,7 +195,12 @@ def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None
         html.numbered_list(steps_html).alias("Test Steps"),
         html.html_to_text(expected_html).alias("Expected Result"),
         "failures",
+        F.col("custom_preconds").alias("__pre_html"),
+        steps_html.alias("__steps_html"),
     )
+    lost = lambda shown, src: (F.col(shown) == "") & (html.html_to_text(F.col(src)) != "")
+    return staged.withColumn("list_lost", lost("Pre Conditions", "__pre_html")
+                             | lost("Test Steps", "__steps_html")).drop("__pre_html", "__steps_html")
 
 
 def passed_only(report: DataFrame) -> DataFrame:

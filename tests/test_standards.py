@@ -77,6 +77,12 @@ def test_html_fields_and_steps(spark):
     assert r["Test Steps"] == "1. open"
     assert r["Expected Result"] == "ok\ndone"
     assert screen(spark, custom_preconds="plain")["Pre Conditions"] == ""
+    assert screen(spark, custom_preconds="plain")["list_lost"] is True
+    assert screen(spark, custom_preconds="<ol><li>x</li></ol>")["list_lost"] is False
+    assert screen(spark, custom_preconds="<p> </p>")["list_lost"] is False
+    steps = [{"content": "open the page", "expected": "<b>shown</b>"}]
+    r = screen(spark, custom_steps_separated=steps)
+    assert (r["Test Steps"], r["Expected Result"], r["list_lost"]) == ("", "shown", True)
 
 
 def test_report_order_text_ids(spark):
