@@ -21,9 +21,13 @@ from casegauge.sources import codemaps, files
 
 RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "llm_validations"
 
+RECORD_CONTENT = ("title", "project_initiative", "tribe", "product", "capability",
+                  "pre_conditions", "test_steps", "expected_result")
 RECORD_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
-    "case_id", "title", "project_initiative", "tribe", "product", "capability",
-    "pre_conditions", "test_steps", "expected_result", "first_seen_at", "last_updated_at")])
+    "case_id", *RECORD_CONTENT, "first_seen_at", "last_updated_at")])
+# the record table is stored as an append-only log of snapshots (one part per call)
+RECORD_LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
+    "case_id", *RECORD_CONTENT, "seen_at", "version")])
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("provider", T.StringType()),
     T.StructField("model", T.StringType()), T.StructField("total_cases", T.LongType()),
@@ -113,6 +117,20 @@ def read_facts(spark: SparkSession, base: str) -> DataFrame:
     return _read_store(spark, f"{base}/{FACTS}", FACT_SCHEMA, recursive=True)
 
 
+def read_records(spark: SparkSession, base: str) -> DataFrame:
+    """S7 + U2: the record table -- per record, the content of its newest snapshot, the
+    time it was first seen and last updated (``RECORD_SCHEMA``), merged on read from the
+    append-only record log; an empty table before the first run."""
+    log = _read_store(spark, f"{base}/{RECORDS}", RECORD_LOG_SCHEMA, recursive=True)
+    return store.current_snapshot(log, "case_id", RECORD_CONTENT, "seen_at", "version")
+
+
+def append_records(df: DataFrame, base: str, stamp: str) -> str:
+    path = f"{base}/{RECORDS}/part={stamp}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("error").parquet(path)
+    return path
+
+
 def append_facts(df: DataFrame, base: str, stamp: str) -> str:
     path = f"{base}/{FACTS}/part={stamp}-{uuid.uuid4().hex[:8]}"
     df.write.mode("error").parquet(path)
@@ -241,7 +259,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    records = read_table(spark, store_base, RECORDS, RECORD_SCHEMA)
+    records = read_records(spark, store_base)
     runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
     facts = read_facts(spark, store_base)
 
@@ -272,14 +290,15 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
         e("expected_results.remarks").alias("expected_results_remarks"),
         e("verdict").alias("verdict"), e("overall_remarks").alias("overall_remarks"),
         e("improvements").alias("improvements"), F.lit(now).alias("validated_at"))
-    new_records = todo.select(*[c for c in RECORD_SCHEMA.fieldNames()
-                                if c not in ("first_seen_at", "last_updated_at")]) \
-        .withColumn("first_seen_at", F.lit(now)).withColumn("last_updated_at", F.lit(now))
+    # This call's records, as snapshots appended to the record log (upsert on read)
+    new_records = todo.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
+                              F.lit(stamp).alias("version"))
     run_facts = facts.where(F.col("run_id") == run_id)
     # facts first: a crash after this leaves a resumable run (J9 skips what is stored)
     if not scored.isEmpty():
         append_facts(store.append_new(run_facts, new_facts, ["run_id", "case_id"]), store_base,
                      stamp)
+        append_records(new_records, store_base, stamp)
 
     opened = store.insert_if_absent(runs, spark.createDataFrame(
         [(run_id, provider, model, None, 0, 0, 0, 0, now)], RUN_SCHEMA)
@@ -290,8 +309,6 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
                                   read_facts(spark, store_base).where(F.col("run_id") == run_id))
                .withColumn("total_cases", F.coalesce(F.col("total_cases"),
                                                      F.lit(passed.count()).cast("long"))))
-    write_table(store.upsert(records, new_records, "case_id", keep_first=["first_seen_at"]),
-                store_base, RECORDS, stamp)
     write_table(store.replace_by_key(opened, counted.select(*RUN_SCHEMA.fieldNames()), "run_id"),
                 store_base, RUNS, stamp)
 
@@ -344,7 +361,7 @@ def latest_validation_report(spark: SparkSession, output_dir: str) -> DataFrame
 
 def get_all_cases(spark: SparkSession, store_base: str) -> DataFrame:
     """Every record with its latest score and run metadata."""
-    recs = read_table(spark, store_base, RECORDS, RECORD_SCHEMA)
+    recs = read_records(spark, store_base)
     facts = read_facts(spark, store_base)
     runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
     return store.records_with_latest(recs, facts, runs).orderBy("case_id")

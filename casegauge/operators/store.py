@@ -129,6 +129,21 @@ def upsert(old: DataFrame, new: DataFrame, key: str, keep_first: list[str],
     return j.select(*cols)
 
 
+def current_snapshot(log: DataFrame, key: str, content, ts: str, tie_break: str) -> DataFrame:
+    """U2 by merge-on-read over an append-only log of snapshots: per key, the content of
+    its newest snapshot (by ``ts``, then ``tie_break``; NULLs included, as an upsert
+    overwrites them), ``first_seen_at`` = its first snapshot, ``last_updated_at`` = its
+    newest. Writing a snapshot is an append (nothing stored is rewritten) and reading is
+    one grouped aggregate with map-side partial aggregation, so a key updated a million
+    times still costs one partial row per map task."""
+    order = F.struct(F.col(ts), F.col(tie_break))
+    agg = log.groupBy(key).agg(
+        F.max_by(F.struct(*[F.col(c) for c in content]), order).alias("v"),
+        F.min(ts).alias("first_seen_at"), F.max(ts).alias("last_updated_at"))
+    return agg.select(key, *[F.col(f"v.{c}").alias(c) for c in content],
+                      "first_seen_at", "last_updated_at")
+
+
 def insert_if_absent(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Add only rows whose key is not there yet (safe to repeat on resume)."""
     return old.unionByName(new.join(old.select(key), key, "left_anti"))

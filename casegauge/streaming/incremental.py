@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from casegauge.operators import store
+
 SCORE_SCHEMA = T.StructType([
     T.StructField("score_id", T.LongType()),
     T.StructField("case_id", T.LongType()),
@@ -73,17 +75,9 @@ def save_results_stream(spark: SparkSession, src: str, store: str, checkpoint: s
 
 def current_records(log: DataFrame, key: str = "case_id", content=RECORD_CONTENT,
                     ts: str = "seen_at", tie_break: str = "score_id") -> DataFrame:
-    """U2 by merge-on-read: per record, the content of its newest snapshot (NULLs
-    included, as an upsert overwrites them), ``first_seen_at`` = its first snapshot and
-    ``last_updated_at`` = its newest. One grouped aggregate with map-side partial
-    aggregation -- a record updated in a third of all batches still costs one partial
-    row per map task."""
-    order = F.struct(F.col(ts), F.col(tie_break))
-    agg = log.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in content]), order).alias("v"),
-        F.min(ts).alias("first_seen_at"), F.max(ts).alias("last_updated_at"))
-    return agg.select(key, *[F.col(f"v.{c}").alias(c) for c in content],
-                      "first_seen_at", "last_updated_at")
+    """The record table of the stream sink: U2 by merge-on-read over the record log
+    (:func:`casegauge.operators.store.current_snapshot`)."""
+    return store.current_snapshot(log, key, content, ts, tie_break)
 
 
 def _batch_writer(sink: str):

@@ -54,7 +54,11 @@ def test_pipeline_end_to_end(spark):
     cid = passed.first()["Test Case ID"]
     hist = api.get_case_history(spark, f"{base}/store", cid).collect()
     assert [h["run_id"] for h in hist] == ["r2", "r1"]
-    assert api.get_all_cases(spark, f"{base}/store").count() == n
+    view = api.get_all_cases(spark, f"{base}/store")
+    assert view.count() == n
+    rec = view.where(F.col("case_id") == cid).first()
+    assert (rec["first_seen_at"], rec["last_updated_at"]) == ("2024-01-06T00:00:00",
+                                                               "2024-01-08T00:00:00")
 
 
 def test_generate_endpoint_file(spark):
