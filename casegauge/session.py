@@ -21,6 +21,9 @@ RECOMMENDED_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # evaluator replies are parsed into VARIANT: a repeated key keeps its last value, as
+    # a JSON reader in Python does, instead of making the whole reply unreadable
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Bytes of shuffle data one post-shuffle partition should hold before AQE coalescing.

@@ -153,6 +153,8 @@ def test_reply_contract_json_types(spark):
         "bad verdict": (reply(extra=', "verdict": "passed"'), (False, True, "passed", "C7")),
         "no id": (reply(tcid=''), (True, True, "Passed", "REQ")),
         "numeric id": (reply(tcid='7, '), (False, True, "Passed", None)),
+        "repeated key, last wins": (reply(extra=', "verdict": "Maybe", "verdict": "Failed"'),
+                                    (True, True, "Failed", "C7")),
         "criterion not an object": ('{"preconditions": true, "test_steps": {"passed": true, '
                                     '"remarks": ""}, "expected_results": {"passed": true, '
                                     '"remarks": ""}}', (False, None, "Failed", "REQ")),
