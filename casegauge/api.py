@@ -20,6 +20,8 @@ from casegauge.operators import joins, report, score, similar, standards, store
 from casegauge.sources import codemaps, files
 
 RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "llm_validations"
+# report folders under an output directory: screened reports and validation reports
+SCREEN_REPORTS, VALIDATION_REPORTS = "testcases_with_standards", "llm_validation"
 
 RECORD_CONTENT = ("title", "project_initiative", "tribe", "product", "capability",
                   "pre_conditions", "test_steps", "expected_result")
@@ -214,7 +216,8 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
     obs = Observation("screen-totals")
     passed = F.count_if(F.coalesce(F.col("`General Standards`") == "Passed", F.lit(False)))
     observed = rep.observe(obs, F.count(F.lit(1)).alias("total"), passed.alias("passed"))
-    path = files.write_snapshot(observed, output_dir, run_ts, fmt="csv")
+    path = files.write_snapshot(observed, f"{output_dir.rstrip('/')}/{SCREEN_REPORTS}", run_ts,
+                                fmt="csv")
     got = obs.get
     totals = {"total": got["total"], "passed": got["passed"],
               "failed": got["total"] - got["passed"]}
@@ -223,7 +226,8 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
 
 def fetch_passed_cases(spark: SparkSession, output_dir: str) -> DataFrame:
     """Passed rows of the newest report snapshot."""
-    return standards.passed_only(files.read_latest_report(spark, output_dir, fmt="csv"))
+    return standards.passed_only(files.read_latest_report(
+        spark, f"{output_dir.rstrip('/')}/{SCREEN_REPORTS}", fmt="csv"))
 
 
 def _passed_as_records(passed: DataFrame) -> DataFrame:
@@ -321,7 +325,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     if output_dir:
         obs = Observation("validation-counters")
         files.write_snapshot(rows.observe(obs, *counters),
-                             f"{output_dir.rstrip('/')}/llm_validation", run_id, fmt="csv")
+                             f"{output_dir.rstrip('/')}/{VALIDATION_REPORTS}", run_id, fmt="csv")
         got = dict(obs.get)
     else:
         got = rows.agg(*counters).first().asDict()
@@ -346,7 +350,7 @@ def run_all(spark: SparkSession, source_csv: str, responses_path: str, output_di
 def latest_validation_report(spark: SparkSession, output_dir: str) -> DataFrame | None:
     """The saved validation report whose run name sorts last, upgraded to the
     current columns (old reports carry ``Overall Passed`` / ``Summary``); None if none."""
-    base = f"{output_dir.rstrip('/')}/llm_validation"
+    base = f"{output_dir.rstrip('/')}/{VALIDATION_REPORTS}"
     try:
         df = files.read_latest_report(spark, base, fmt="csv", required=("Test Case ID",),
                                       by="name")

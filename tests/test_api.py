@@ -157,6 +157,10 @@ def test_run_all_scores_passed_records_only_when_there_are_some(spark):
                       run_id="20240101_000002", now="2024-01-01T00:00:02")
     assert out["validation"].count() == 1 and out["validation_counts"]["total"] == 1
     assert api.get_validation_runs(spark, f"{base}/store2").count() == 1
+    # the output folder now holds a screening report and a newer validation report: the
+    # passed cases still come from the screening report
+    assert api.fetch_passed_cases(spark, f"{base}/o2").count() == 1
+    assert api.latest_validation_report(spark, f"{base}/o2").count() == 1
 
 
 def test_store_tables_written_by_an_older_version_are_upgraded(spark):
