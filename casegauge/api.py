@@ -298,11 +298,12 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     new_records = todo.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
                               F.lit(stamp).alias("version"))
     run_facts = facts.where(F.col("run_id") == run_id)
-    # facts first: a crash after this leaves a resumable run (J9 skips what is stored)
     if not scored.isEmpty():
+        # record snapshots before the scores: a crash in between leaves snapshots whose
+        # repeat on resume the merge-on-read absorbs; the scores are what resume (J9) skips
+        append_records(new_records, store_base, stamp)
         append_facts(store.append_new(run_facts, new_facts, ["run_id", "case_id"]), store_base,
                      stamp)
-        append_records(new_records, store_base, stamp)
 
     opened = store.insert_if_absent(runs, spark.createDataFrame(
         [(run_id, provider, model, None, 0, 0, 0, 0, now)], RUN_SCHEMA)
