@@ -89,14 +89,21 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     per_level = Window.partitionBy("case_id", "level").orderBy("okey", "example_id")
     per_rec = Window.partitionBy("case_id")
     ranked = dedup.withColumn("r", F.row_number().over(per_level))
-    # the three per-level counts in one select: one Window operator, not three
+    n = len(levels)
+    # the per-level candidate counts in one select: one Window operator, not n
     ranked = ranked.select("*", *[F.sum(F.when(F.col("level") == i, 1).otherwise(0))
-                                  .over(per_rec).alias(f"c{i}") for i in (1, 2, 3)])
+                                  .over(per_rec).alias(f"c{i}") for i in range(1, n + 1)])
+    # quotas: level 1 takes min(c1, T); a lower level is consulted only while fewer than
+    # M were taken above, and takes what is still missing to T
     T, M = F.lit(target), F.lit(min_per_level)
-    t1 = F.least(F.col("c1"), T)
-    t2 = F.when(t1 < M, F.least(F.col("c2"), T - t1)).otherwise(0)
-    t3 = F.when(t1 + t2 < M, F.least(F.col("c3"), T - t1 - t2)).otherwise(0)
-    quota = F.when(F.col("level") == 1, t1).when(F.col("level") == 2, t2).otherwise(t3)
+    taken, quota = F.lit(0), None
+    for i in range(1, n + 1):
+        t_i = F.least(F.col(f"c{i}"), T - taken)
+        if i > 1:
+            t_i = F.when(taken < M, t_i).otherwise(0)
+        quota = (F.when(F.col("level") == i, t_i) if quota is None
+                 else quota.when(F.col("level") == i, t_i))
+        taken = taken + t_i
     kept = ranked.where(F.col("r") <= quota)
     # 1-based example ordinals, capability examples first
     ordinal = F.row_number().over(Window.partitionBy("case_id").orderBy("level", "r"))
