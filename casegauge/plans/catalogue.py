@@ -381,15 +381,13 @@ from casegauge.streaming import incremental as inc  # noqa: E402
 def _land_scores(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
     s = fx.scores(fx.tables(spark, sf_dir))
     day = F.dayofmonth("validated_at")
-    inc.land_files(s.where(day <= 15) if part == "first" else s.where(day > 15), src, 2,
-                   "validated_at")
+    inc.land_files(s.where(day <= 15) if part == "first" else s.where(day > 15), src, 2)
 
 
 def _land_results(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
     r = fx.scored_results(fx.tables(spark, sf_dir))
     day = F.dayofmonth("validated_at")
-    inc.land_files(r.where(day <= 15) if part == "first" else r.where(day > 15), src, 2,
-                   "validated_at")
+    inc.land_files(r.where(day <= 15) if part == "first" else r.where(day > 15), src, 2)
 
 
 @query("stream_records")
