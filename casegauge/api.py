@@ -9,6 +9,7 @@ while it is being read and a failed run leaves the previous state intact.
 from __future__ import annotations
 
 import datetime as _dt
+import urllib.parse
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -107,16 +108,23 @@ def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType)
     return _read_store(spark, f"{base}/{name}/version={v}", schema)
 
 
-def read_facts(spark: SparkSession, base: str) -> DataFrame:
-    """S7 + S12 for the score facts: every appended part, upgraded to the current schema
-    (an empty table before the first run).
+def _run_folder(run_id: str) -> str:
+    return "run=" + urllib.parse.quote(run_id, safe="")
 
-    Facts are append-only: each call writes its new rows as one more part folder and
-    nothing already stored is rewritten, so the cost of a run is its own rows, however
-    large the history. A part becomes visible when its write job commits (Spark's file
-    commit protocol), so a crashed call leaves no partial part behind.
+
+def read_facts(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
+    """S7 + S12 for the score facts: every appended part -- or, with ``run_id``, only that
+    run's parts, read by path so no other run's file is listed or opened -- upgraded to
+    the current schema (an empty table before the first run).
+
+    Facts are append-only: each call writes its new rows as one more part folder under
+    its run and nothing already stored is rewritten, so the cost of a run is its own rows,
+    however large the history. A part becomes visible when its write job commits (Spark's
+    file commit protocol), so a crashed call leaves no partial part behind.
     """
-    return _read_store(spark, f"{base}/{FACTS}", FACT_SCHEMA, recursive=True)
+    path = f"{base}/{FACTS}" + (f"/{_run_folder(run_id)}" if run_id is not None else "")
+    facts = _read_store(spark, path, FACT_SCHEMA, recursive=True)
+    return facts if run_id is None else facts.where(F.col("run_id") == run_id)
 
 
 def read_records(spark: SparkSession, base: str) -> DataFrame:
@@ -133,8 +141,8 @@ def append_records(df: DataFrame, base: str, stamp: str) -> str:
     return path
 
 
-def append_facts(df: DataFrame, base: str, stamp: str) -> str:
-    path = f"{base}/{FACTS}/part={stamp}-{uuid.uuid4().hex[:8]}"
+def append_facts(df: DataFrame, base: str, stamp: str, run_id: str) -> str:
+    path = f"{base}/{FACTS}/{_run_folder(run_id)}/part={stamp}-{uuid.uuid4().hex[:8]}"
     df.write.mode("error").parquet(path)
     return path
 
@@ -266,8 +274,9 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     records = read_records(spark, store_base)
     runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
     facts = read_facts(spark, store_base)
+    run_facts = read_facts(spark, store_base, run_id)
 
-    todo = store.remaining(_passed_as_records(passed), facts, run_id=run_id)
+    todo = store.remaining(_passed_as_records(passed), run_facts)
     latest = store.latest_per_key(facts, dedup=True, tie_break=["score_id"])
     from_score = [c for c in similar.EXAMPLE_DETAILS if c not in records.columns]
     scored_pool = records.join(latest.where(F.col("verdict").isNotNull())
@@ -297,13 +306,12 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     # This call's records, as snapshots appended to the record log (upsert on read)
     new_records = todo.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
                               F.lit(stamp).alias("version"))
-    run_facts = facts.where(F.col("run_id") == run_id)
     if not scored.isEmpty():
         # record snapshots before the scores: a crash in between leaves snapshots whose
         # repeat on resume the merge-on-read absorbs; the scores are what resume (J9) skips
         append_records(new_records, store_base, stamp)
         append_facts(store.append_new(run_facts, new_facts, ["run_id", "case_id"]), store_base,
-                     stamp)
+                     stamp, run_id)
 
     opened = store.insert_if_absent(runs, spark.createDataFrame(
         [(run_id, provider, model, None, 0, 0, 0, 0, now)], RUN_SCHEMA)
@@ -311,7 +319,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     counted = (store.run_counters(opened.where(F.col("run_id") == run_id)
                                   .drop("passed_count", "needs_improvement_count", "failed_count",
                                         "error_count"),
-                                  read_facts(spark, store_base).where(F.col("run_id") == run_id))
+                                  read_facts(spark, store_base, run_id))
                .withColumn("total_cases", F.coalesce(F.col("total_cases"),
                                                      F.lit(passed.count()).cast("long"))))
     write_table(store.replace_by_key(opened, counted.select(*RUN_SCHEMA.fieldNames()), "run_id"),

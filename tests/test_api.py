@@ -50,7 +50,9 @@ def test_pipeline_end_to_end(spark):
     assert second.count() == n
     # facts are appended, never rewritten: one part per call that scored something
     import glob
-    assert len(glob.glob(f"{base}/store/llm_validations/part=*")) == 2
+    assert len(glob.glob(f"{base}/store/llm_validations/run=*/part=*")) == 2
+    assert api.read_facts(spark, f"{base}/store", "r1").count() == n
+    assert api.read_facts(spark, f"{base}/store", "none-such").count() == 0
     cid = passed.first()["Test Case ID"]
     hist = api.get_case_history(spark, f"{base}/store", cid).collect()
     assert [h["run_id"] for h in hist] == ["r2", "r1"]
