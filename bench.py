@@ -1,7 +1,7 @@
 """Benchmark: run every catalogue query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query is fully executed into Spark's ``noop`` sink (no collect to the driver), twice;
-the faster run is reported. Prints one JSON line.
+Each query is fully executed into Spark's ``noop`` sink (no collect to the driver),
+$BENCH_RUNS times (default 3); the fastest run is reported. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from casegauge.plans import catalogue  # noqa: E402
 from casegauge.session import build_session  # noqa: E402
 
 
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -27,7 +30,7 @@ def main() -> None:
         if only and name not in only:
             continue
         best = None
-        for _ in range(2):
+        for _ in range(RUNS):
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             dt = time.perf_counter() - t0
