@@ -188,5 +188,6 @@ def flag_badge(c: Column) -> Column:
 
 
 def blank_as_dash(c: Column) -> Column:
-    """Blank metadata shows as an em dash."""
-    return F.coalesce(F.nullif(F.trim(c.cast("string")), F.lit("")), F.lit("—"))
+    """Missing or empty metadata shows as an em dash (a value is shown as it is --
+    only the empty string counts as blank, as in the report views)."""
+    return F.coalesce(F.nullif(c.cast("string"), F.lit("")), F.lit("—"))

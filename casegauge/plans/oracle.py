@@ -243,7 +243,7 @@ SELECT case_id,
   CASE WHEN preconditions_passed IS NULL THEN '⚠️ Error' WHEN preconditions_passed THEN '✅ Pass' ELSE '❌ Fail' END AS preconditions_label,
   CASE WHEN test_steps_passed IS NULL THEN '⚠️ Error' WHEN test_steps_passed THEN '✅ Pass' ELSE '❌ Fail' END AS test_steps_label,
   CASE WHEN expected_results_passed IS NULL THEN '⚠️ Error' WHEN expected_results_passed THEN '✅ Pass' ELSE '❌ Fail' END AS expected_results_label,
-  coalesce(nullif(trim(provider), ''), '—') AS provider_label
+  coalesce(nullif(provider, ''), '—') AS provider_label
 FROM view
 """
 
