@@ -186,3 +186,37 @@ def test_store_tables_written_by_an_older_version_are_upgraded(spark):
     run = api.get_validation_runs(spark, base).first()
     assert run["needs_improvement_count"] == 0 and run["passed_count"] == 1
     assert api.read_facts(spark, f"{base}/nothing").count() == 0
+
+
+def test_reply_id_in_report_request_id_in_store(spark):
+    """An evaluator answering with another id -- the report row shows the reply's id,
+    the stored score keeps the request's; a failing call is an error row with the
+    request's id and a NULL verdict."""
+    import json
+
+    import pandas as pd
+
+    def evaluator(pdf: pd.DataFrame) -> pd.Series:
+        def one(cid):
+            if cid.endswith("2"):
+                raise RuntimeError("service down")
+            crit = {"passed": True, "remarks": ""}
+            return json.dumps({"test_case_id": "X" + cid, "preconditions": crit,
+                               "test_steps": crit, "expected_results": crit,
+                               "verdict": "Passed", "overall_remarks": "", "improvements": ""})
+        return pdf["case_id"].map(one)
+
+    base = scratch_path(spark, "test-api-reply-id")
+    passed = spark.createDataFrame(
+        [("C1", "a", "1. x", "1. y", "z"), ("C2", "b", "1. x", "1. y", "z")],
+        "`Test Case ID` string, Title string, `Pre Conditions` string, `Test Steps` string, "
+        "`Expected Result` string")
+    rows, counts = api.validate_cases(spark, passed, f"{base}/store", evaluator=evaluator,
+                                      run_id="r1", now="2024-01-01T00:00:00")
+    got = {r["Test Case ID"]: r["Verdict"] for r in rows.collect()}
+    assert got == {"XC1": "Passed", "C2": None}
+    assert (counts["passed"], counts["errors"]) == (1, 1)
+    stored = {r["case_id"]: r["verdict"] for r in api.read_facts(spark, f"{base}/store").collect()}
+    assert stored == {"C1": "Passed", "C2": None}
+    err = [r for r in rows.collect() if r["Verdict"] is None][0]
+    assert err["Overall Remarks"].startswith("Error during validation: RuntimeError: service down")
