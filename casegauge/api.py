@@ -1,7 +1,7 @@
 """User-level entry points mirroring the reference's public functions.
 
 Each is a composition of the operators; the store is three Parquet tables under one base
-folder (``test_cases``, ``validation_runs``, ``llm_validations``). Every write goes to a
+folder (``test_cases``, ``validation_runs``, ``score_facts``). Every write goes to a
 new ``version=...`` folder and readers take the newest one, so nothing is overwritten
 while it is being read and a failed run leaves the previous state intact.
 """
@@ -20,9 +20,9 @@ from casegauge.functions import text
 from casegauge.operators import joins, report, score, similar, standards, store
 from casegauge.sources import codemaps, files
 
-RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "llm_validations"
+RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "score_facts"
 # report folders under an output directory: screened reports and validation reports
-SCREEN_REPORTS, VALIDATION_REPORTS = "testcases_with_standards", "llm_validation"
+SCREEN_REPORTS, VALIDATION_REPORTS = "screening_reports", "validation_reports"
 
 RECORD_CONTENT = ("title", "project_initiative", "tribe", "product", "capability",
                   "pre_conditions", "test_steps", "expected_result")
@@ -265,7 +265,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     run counters and the returned rows all read them. Returns the 11-column result rows
     of this call (the id is the one in the evaluator's reply, or the request's on an
     error row) and this call's verdict counters; with ``output_dir`` the rows are also
-    written as the run's CSV snapshot under ``output_dir/llm_validation``.
+    written as the run's CSV snapshot under ``output_dir/validation_reports``.
     """
     # one UTC timestamp per call, a literal in every plan (reruns stay reproducible)
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()

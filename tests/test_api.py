@@ -24,12 +24,12 @@ def test_pipeline_end_to_end(spark):
                                       now="2024-01-06T00:00:00", output_dir=f"{base}/out")
     assert rows.count() == n == counts["total"]
     assert counts["passed"] + counts["needs_improvement"] + counts["failed"] + counts["errors"] == n
-    csv = spark.read.option("header", True).csv(f"{base}/out/llm_validation/run_ts=r1")
+    csv = spark.read.option("header", True).csv(f"{base}/out/validation_reports/run_ts=r1")
     assert csv.count() == n and len(csv.columns) == 11
     # an older-format report saved under a name that sorts first is not the latest
     spark.createDataFrame([("C9", "t", True, "old")],
                           "`Test Case ID` string, Title string, `Overall Passed` boolean, Summary string") \
-        .write.option("header", True).csv(f"{base}/out/llm_validation/run_ts=a0")
+        .write.option("header", True).csv(f"{base}/out/validation_reports/run_ts=a0")
     latest = api.latest_validation_report(spark, f"{base}/out")
     assert latest.count() == n and "Verdict" in latest.columns
     assert api.latest_validation_report(spark, f"{base}/nothing") is None
@@ -50,7 +50,7 @@ def test_pipeline_end_to_end(spark):
     assert second.count() == n
     # facts are appended, never rewritten: one part per call that scored something
     import glob
-    assert len(glob.glob(f"{base}/store/llm_validations/run=*/part=*")) == 2
+    assert len(glob.glob(f"{base}/store/score_facts/run=*/part=*")) == 2
     assert api.read_facts(spark, f"{base}/store", "r1").count() == n
     assert api.read_facts(spark, f"{base}/store", "none-such").count() == 0
     cid = passed.first()["Test Case ID"]
@@ -173,10 +173,10 @@ def test_store_tables_written_by_an_older_version_are_upgraded(spark):
                            ("s2", "C2", "r0", 0, "2024-01-01T00:00:00"),
                            ("s3", "C3", "r0", None, "2024-01-01T00:00:00")],
                           "score_id string, case_id string, run_id string, overall_passed int, "
-                          "validated_at string").write.parquet(f"{base}/llm_validations/part=old")
+                          "validated_at string").write.parquet(f"{base}/score_facts/part=old")
     spark.createDataFrame([("s4", "C1", "r1", "Needs Improvement", "2024-02-01T00:00:00")],
                           "score_id string, case_id string, run_id string, verdict string, "
-                          "validated_at string").write.parquet(f"{base}/llm_validations/part=new")
+                          "validated_at string").write.parquet(f"{base}/score_facts/part=new")
     spark.createDataFrame([("r0", "p", "m", 3, 1, 1, 1, "2024-01-01T00:00:00")],
                           "run_id string, provider string, model string, total_cases long, "
                           "passed_count long, failed_count long, error_count long, run_at string") \
