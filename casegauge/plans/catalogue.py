@@ -449,14 +449,7 @@ def ingest_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ingest_counts")
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G11 + quarantine: fetched ok / failed envelopes and torn lines, in one pass."""
-    path = _land_responses(spark, sf_dir)
-    lines = spark.read.text(path).select(F.col("value").alias("line"))
-    parsed = lines.select(F.try_parse_json("line").isNotNull().alias("ok_json"),
-                          F.get_json_object("line", "$.status_code").alias("status"))
-    return parsed.agg(
-        F.count_if(F.col("ok_json") & (F.col("status") == "200")).alias("ok"),
-        F.count_if(F.col("ok_json") & F.coalesce(F.col("status") != "200", F.lit(True))).alias("failed"),
-        F.count_if(~F.col("ok_json")).alias("quarantined"))
+    return files.ingest_counts(spark, _land_responses(spark, sf_dir))
 
 
 @query("fetch_coverage")

@@ -95,22 +95,53 @@ def add_link_column(df: DataFrame, base: str = text.DEFAULT_VIEW_BASE,
     return df.select(*cols)
 
 
+CORRUPT_COL = "_unparsed_line"
+_ENVELOPE_PARSE = T.StructType(ENVELOPE.fields + [T.StructField(CORRUPT_COL, T.StringType())])
+
+
+def parse_response_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Each landed line parsed once with the envelope schema, plus ``unreadable``:
+    the line is not a JSON object (torn, truncated, or another JSON value). A readable
+    envelope whose fields have the wrong type keeps the fields that parsed (the others
+    are NULL), as a record with a mistyped code is still screened -- and fails its rule."""
+    e = F.from_json(F.col(line_col), _ENVELOPE_PARSE,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
+    parsed = lines.select(line_col, e.alias("__e"))
+    unreadable = (F.col(f"__e.{CORRUPT_COL}").isNotNull() & F.col("__e.ID").isNull()
+                  & F.col("__e.status_code").isNull() & F.col("__e.response").isNull())
+    return parsed.select(line_col, F.col("__e.ID").alias("ID"),
+                         F.col("__e.status_code").alias("status_code"),
+                         F.col("__e.response").alias("response"), unreadable.alias("unreadable"))
+
+
 def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Landed fetch results (JSON lines ``{ID, status_code, response}``).
 
-    Returns ``(envelopes, quarantine)``: lines are read as text, checked with
-    ``try_parse_json`` and parsed with the fixed envelope schema; malformed lines land in
-    the quarantine with their raw text instead of aborting the batch.
+    Returns ``(envelopes, quarantine)``: every line is parsed once with the fixed envelope
+    schema; unreadable lines land in the quarantine with their raw text instead of
+    aborting the batch.
     """
     lines = (spark.read.text(path).select(F.col("value").alias("line"))
              .where(F.trim("line") != ""))
-    checked = lines.withColumn("__ok", F.try_parse_json("line").isNotNull())
-    good = (checked.where("__ok")
-            .select(F.from_json("line", ENVELOPE).alias("e")).select("e.*"))
-    bad = checked.where(~F.col("__ok")).select("line")
+    parsed = parse_response_lines(lines)
+    good = parsed.where(~F.col("unreadable")).select("ID", "status_code", "response")
+    bad = parsed.where(F.col("unreadable")).select("line")
     return good, bad
 
 
+def ingest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """G11 + quarantine in one pass over the landed lines: fetched ok (status 200), failed
+    (another or no status) and quarantined (unreadable) lines."""
+    lines = (spark.read.text(path).select(F.col("value").alias("line"))
+             .where(F.trim("line") != ""))
+    p = parse_response_lines(lines)
+    readable = ~F.col("unreadable")
+    is_ok = F.coalesce(F.col("status_code") == 200, F.lit(False))
+    return p.agg(F.count_if(readable & is_ok).alias("ok"),
+                 F.count_if(readable & ~is_ok).alias("failed"),
+                 F.count_if(F.col("unreadable")).alias("quarantined"))
+
+
 def fetched_records(envelopes: DataFrame) -> DataFrame:
     """P5: keep successful fetches (status exactly 200) and unnest the record."""
     return envelopes.where(F.col("status_code") == 200).select("response.*")

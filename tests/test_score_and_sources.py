@@ -177,3 +177,25 @@ def test_fetch_status_per_endpoint(spark):
                                 "ID string, status_code int")
     got = {r["ID"]: r["fetch_status"] for r in files.fetch_status(endpoints, env).collect()}
     assert got == {"1": "ok", "2": "failed", "3": "failed", "4": "not fetched"}
+
+
+def test_response_lines_parsed_once_and_classified(spark):
+    """Torn lines and JSON values that are not objects go to the quarantine; an envelope
+    with a mistyped field is kept (that field NULL): a code sent as text fails its rule
+    with 'None', as the reference's screen does."""
+    from casegauge.operators import standards
+
+    base = scratch_path(spark, "test-responses")
+    rec = ('{"id": 7, "priority_id": 1, "custom_automatability": "2", '
+           '"custom_automation_status": 1, "custom_testing_type": 17, "case_status_id": 2, '
+           '"custom_testing_phase": [12]}')
+    lines = ['{"ID": "7", "status_code": 200, "response": ' + rec + '}',
+             '{"ID": "8", "status_co', '[1, 2]', 'null', '{"ID": "9", "status_code": 404}', '   ']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(base)
+    env, bad = files.read_responses(spark, base)
+    assert sorted(r["line"] for r in bad.collect()) == sorted(['{"ID": "8", "status_co', '[1, 2]', 'null'])
+    assert sorted(r["ID"] for r in env.collect()) == ["7", "9"]
+    row = standards.flatten(files.fetched_records(env)).first()
+    assert (row["General Standards"], row["Remarks"]) == ("Failed", "Automatability = None")
+    counts = files.ingest_counts(spark, base).first()
+    assert (counts["ok"], counts["failed"], counts["quarantined"]) == (1, 1, 3)
