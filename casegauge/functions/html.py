@@ -16,7 +16,6 @@ to an Arrow-batched pandas UDF built on the standard-library ``html.parser``.
 
 from __future__ import annotations
 
-import html as _pyhtml
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -226,8 +225,3 @@ def numbered_list(c: Column) -> Column:
     """F8: every ``<li>`` as ``n. text`` (its text nodes joined by one space); no list -> ''."""
     return F.coalesce(_numbered_list_udf(F.when(needs_parser_list(c), c)),
                       numbered_list_native(c))
-
-
-def unescape_py(s: str) -> str:
-    """Reference decoder used by tests (full HTML5 entity table of the standard library)."""
-    return _pyhtml.unescape(s)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casegauge.functions.html import py_strip
+from casegauge.functions.html import py_strip  # noqa: F401  (re-exported)
 
 # --- Fixed values: link layout and the evaluator reply contract. ---
 DEFAULT_LINK_PATTERN = "/view/([0-9]+)"
@@ -30,10 +30,6 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def blank_to_null(c: Column) -> Column:
-    """Ingest rule: the many spellings of 'missing' ('' / blanks) become NULL."""
-    return F.nullif(py_strip(c), F.lit(""))
-
 
 def extract_id(link: Column, pattern: str = DEFAULT_LINK_PATTERN) -> Column:
     """First capture of ``pattern`` in the link; no match -> NULL."""

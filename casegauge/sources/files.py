@@ -207,20 +207,6 @@ def read_latest_report(spark: SparkSession, base: str, fmt: str = "parquet",
     return require_columns(df, required)
 
 
-def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType,
-                        recursive: bool = False) -> DataFrame:
-    """A store table, or an empty DataFrame of its schema when it does not exist.
-    ``recursive`` reads every part folder below ``path`` (no partition discovery)."""
-    try:
-        r = spark.read.schema(schema)
-        if recursive:
-            r = r.option("recursiveFileLookup", True)
-        return r.parquet(path)
-    except Exception as exc:  # a missing path is the only expected failure
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
-
 
 def read_standards(spark: SparkSession, path: str) -> DataFrame:
     """The written standards as one row of whole text."""
