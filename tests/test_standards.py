@@ -133,3 +133,56 @@ def test_steps_text_by_key_chunks_equal_one_join(spark):
         got = {r["conv_id"]: (r["steps"], r["expected"]) for r in standards.steps_text_by_key(
             rows, "conv_id", "turn", {"steps": "text", "expected": "role"}, chunk=chunk).collect()}
         assert got == expect, chunk
+
+
+def test_screen_matches_the_rules_on_random_records(spark):
+    """2,000 random records (NULL / unknown / allowed codes, NULL / empty / mixed phase
+    lists): verdict, remarks and phase text equal the six rules stated plainly."""
+    import random
+
+    from casegauge.sources import codemaps as cm
+
+    rng = random.Random(11)
+
+    def code(mapping):
+        return rng.choice([None, 0, 99] + list(mapping))
+
+    recs = []
+    for i in range(2000):
+        phases = rng.choice([None, [], [rng.choice([1, 2, 3, 4, 12, 99])],
+                             [rng.choice(list(cm.TESTING_PHASE) + [42]) for _ in range(3)]])
+        recs.append({**BASE, "id": i, "custom_automatability": code(cm.AUTOMATABILITY),
+                     "custom_testing_type": code(cm.TESTING_TYPE),
+                     "custom_automation_status": code(cm.AUTOMATION_STATUS),
+                     "case_status_id": code(cm.STATUS),
+                     "priority_id": rng.choice([None, 1, 2, 3]), "custom_testing_phase": phases})
+
+    def label(mapping, c):
+        return mapping.get(c) if c is not None else None
+
+    def rules(r):
+        out = []
+        checks = [("Automatability", cm.AUTOMATABILITY, r["custom_automatability"],
+                   {"Automatable", "To be Determined"}),
+                  ("Testing Type", cm.TESTING_TYPE, r["custom_testing_type"], {"web"}),
+                  ("Automation Status", cm.AUTOMATION_STATUS, r["custom_automation_status"],
+                   {"Not Started", "Reviewed = Passed DOR"}),
+                  ("Status", cm.STATUS, r["case_status_id"], {"New", "Reviewed", "Active"})]
+        for name, mapping, c, allowed in checks:
+            if label(mapping, c) not in allowed:
+                out.append(f"{name} = {label(mapping, c)}")
+        if r["priority_id"] is None:
+            out.append("Priority/Risk is null")
+        phases = r["custom_testing_phase"] or []
+        text = ", ".join(cm.TESTING_PHASE.get(p, str(p)) for p in phases)
+        if not any(cm.TESTING_PHASE.get(p) in {"BE Regression", "FE Regression", "Regression"}
+                   for p in phases):
+            out.append(f"Testing Phase = {text}")
+        return ("Failed" if out else "Passed"), "; ".join(out), text
+
+    df = spark.createDataFrame([tuple(r[f.name] for f in RAW_RECORD.fields) for r in recs],
+                               RAW_RECORD)
+    got = {r["Test Case ID"]: (r["General Standards"], r["Remarks"], r["Testing Phase"])
+           for r in standards.flatten(df).collect()}
+    want = {f"C{r['id']}": rules(r) for r in recs}
+    assert got == want
