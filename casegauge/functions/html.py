@@ -78,8 +78,12 @@ UNCLOSED_HIDDEN_RE = f"<(?<u>{_HID})\\b(?![^>]*>.*?</\\k<u>\\s*>)"
 NESTED_HIDDEN_RE = f"<(?<n>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<n>\\s*>).)*?<\\k<n>\\b"
 # a quoted attribute value holding ">": the tag does not end there
 QUOTED_GT_RE = "<[A-Za-z][^>]*?=\\s*(?:\"[^\"]*>|'[^']*>)"
+# raw text (script / style), a comment or CDATA inside a template / ruby part: where
+# the container really ends depends on where that construct ends
+RAW_IN_CONTAINER_RE = (f"<(?<r>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<r>\\s*>).)*?"
+                       f"<(?:script\\b|style\\b|!--|!\\[CDATA\\[)")
 NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|{QUOTED_GT_RE}|(?is:<!\\[CDATA\\[|"
-                        f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE})")
+                        f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE}|{RAW_IN_CONTAINER_RE})")
 # an item whose text runs into another <li> or the end before its </li> (nested or
 # unclosed items: the parser nests them); a stray </li> is ignored by both paths
 OPEN_LI_RE = "<li\\b(?![^>]*>(?:(?!<li\\b).)*?</li\\s*>)"

@@ -94,3 +94,49 @@ def test_list_routing(spark):
     assert got == docs
     assert apply(spark, ["<ul><li>a</li></li></ul>"], html.numbered_list) == \
         [html.numbered_list_py("<ul><li>a</li></li></ul>")]
+
+
+def _random_doc(rng, depth=0):
+    words = ["a", "b c", "  x  ", " y ", "z\n", "1 &lt; 2", "&amp;",
+             "&nbsp;", "q&quot;r", "a &amp;lt; b", " w", ""]
+    parts = []
+    for _ in range(rng.randint(1, 5)):
+        k = rng.random()
+        if k < 0.35 or depth > 3:
+            parts.append(rng.choice(words))
+        elif k < 0.55:
+            tag = rng.choice(["p", "div", "b", "span", "td"])
+            parts.append(f"<{tag} class='c'>{_random_doc(rng, depth + 1)}</{tag}>")
+        elif k < 0.70:
+            tag = rng.choice(["ul", "ol"])
+            items = "".join(
+                f"<li>{_random_doc(rng, depth + 1)}" + ("</li>" if rng.random() < 0.95 else "")
+                for _ in range(rng.randint(1, 3)))
+            parts.append(f"<{tag}>{items}</{tag}>")
+        elif k < 0.78:
+            parts.append(rng.choice(["<!-- note <b>x</b> -->", "<!DOCTYPE html>", "<br>", "<br/>",
+                                     "<?xml x?>", "<hr>"] * 6 + ["<img src='a>b'>", "caf&eacute;"]))
+        elif k < 0.90:
+            tag = rng.choice(["script", "style", "template", "rt", "rp"])
+            close = f"</{tag}>" if rng.random() < 0.97 else ""
+            parts.append(f"<{tag}>{_random_doc(rng, depth + 1)}{close}")
+        else:
+            parts.append(rng.choice([" ", "\n", "\t", "　"]))
+    return "".join(parts)
+
+
+def test_random_documents_match_the_parser(spark):
+    """3,000 random documents: the functions (native path + routing) equal the parser,
+    and most of them take the native path."""
+    import random
+
+    rng = random.Random(5)
+    docs = [_random_doc(rng) for _ in range(3000)]
+    df = spark.createDataFrame([(d,) for d in docs], "h string")
+    got = df.select("h", html.html_to_text(F.col("h")).alias("t"),
+                    html.numbered_list(F.col("h")).alias("l")).collect()
+    bad = [(r.h, r.t, html.html_to_text_py(r.h), r.l, html.numbered_list_py(r.h)) for r in got
+           if r.t != html.html_to_text_py(r.h) or r.l != html.numbered_list_py(r.h)]
+    assert bad == []
+    native = df.where(~html.needs_parser_text(F.col("h"))).count()
+    assert native > 1500, native
