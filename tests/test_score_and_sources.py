@@ -199,3 +199,92 @@ def test_response_lines_parsed_once_and_classified(spark):
     assert (row["General Standards"], row["Remarks"]) == ("Failed", "Automatability = None")
     counts = files.ingest_counts(spark, base).first()
     assert (counts["ok"], counts["failed"], counts["quarantined"]) == (1, 1, 3)
+
+
+def test_reply_parsing_matches_a_typed_contract_on_random_replies(spark):
+    """F20 F21 differential: 3,000 random replies (fenced, in prose, none, broken; every
+    field's JSON type varied) -- validity and values equal a pydantic model of the result
+    contract (lax mode), with the contract's defaults for missing keys."""
+    import enum
+    import json
+    import random
+    import re
+
+    import pydantic
+
+    class Verdict(str, enum.Enum):
+        passed = "Passed"
+        needs = "Needs Improvement"
+        failed = "Failed"
+
+    class Crit(pydantic.BaseModel):
+        passed: bool
+        remarks: str
+
+    class Result(pydantic.BaseModel):
+        test_case_id: str
+        preconditions: Crit
+        test_steps: Crit
+        expected_results: Crit
+        verdict: Verdict
+        overall_remarks: str
+        improvements: str
+
+    def contract(reply, request_id):
+        m = re.search(r"```(?:json)?\s*(\{.*?\})\s*```", reply, re.DOTALL) or \
+            re.search(r"\{.*\}", reply, re.DOTALL)
+        if not m:
+            return (False,)
+        try:
+            d = json.loads(m.group(1) if m.re.groups else m.group(0))
+            r = Result(test_case_id=d.get("test_case_id", request_id),
+                       preconditions=d["preconditions"], test_steps=d["test_steps"],
+                       expected_results=d["expected_results"],
+                       verdict=d.get("verdict", "Failed"),
+                       overall_remarks=d.get("overall_remarks", ""),
+                       improvements=d.get("improvements", ""))
+        except Exception:
+            return (False,)
+        return (True, r.test_case_id, r.verdict.value, r.preconditions.passed,
+                r.preconditions.remarks, r.test_steps.passed, r.overall_remarks, r.improvements)
+
+    rng = random.Random(3)
+    flags = ["true", "false"] * 8 + ["1", "0", "2", "1.0", "0.5", '"yes"', '"No"', '"TRUE"',
+                                     '"t"', '"off"', '"maybe"', "null", '"1"', '"on "']
+    texts = ['""', '"x"'] * 6 + ["5", "null", "true"]
+    absent = None
+
+    def field(name, choices):
+        v = rng.choice(choices)
+        return "" if v is absent else f'"{name}": {v}, '
+
+    replies = []
+    for i in range(3000):
+        body = ("{" + field("test_case_id", [absent, '"C1"', '"C1"', '"C1"', "7", "null"])
+                + f'"preconditions": {{"passed": {rng.choice(flags)}, "remarks": {rng.choice(texts)}}}, '
+                + f'"test_steps": {{"passed": {rng.choice(flags)}, "remarks": ""}}, '
+                + '"expected_results": {"passed": true, "remarks": ""}, '
+                + field("overall_remarks", [absent, '""', '"s"', '"s"', '"s"', "3", "null"])
+                + field("improvements", [absent, '""', '"do x"', '"do x"', "null"])
+                + '"verdict": ' + rng.choice(['"Passed"', '"Needs Improvement"', '"Failed"'] * 3
+                                             + ['"passed"', "1", "null"]) + "}")
+        if rng.random() < 0.15:
+            body = body.replace('"verdict": ', "").replace("}", "", 1)   # drop the verdict key
+        wrap = rng.choice(["```json\n{}\n```", "Result:\n```\n{}\n```\nok", "Here: {} done",
+                           "{}", "no json here", "```json\n{} oops\n```"])
+        replies.append((f"R{i}", wrap.replace("{}", body) if "{}" in wrap else wrap))
+    df = spark.createDataFrame(replies, "request_id string, reply string")
+    out = text.parse_replies(df, "reply", "request_id").select(
+        "request_id", "reply", "r.valid", "r.test_case_id", "r.verdict",
+        F.col("r.preconditions.passed").alias("p1"), F.col("r.preconditions.remarks").alias("m1"),
+        F.col("r.test_steps.passed").alias("p2"), "r.overall_remarks", "r.improvements")
+    bad = []
+    for r in out.collect():
+        got = (False,) if not r["valid"] else (True, r["test_case_id"], r["verdict"], r["p1"],
+                                                r["m1"], r["p2"], r["overall_remarks"],
+                                                r["improvements"])
+        want = contract(r["reply"], r["request_id"])
+        if got != want:
+            bad.append((r["reply"], got, want))
+    assert bad == [], bad[:3]
+    assert sum(1 for r in replies if contract(r[1], r[0])[0]) > 300
