@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from casegauge.functions.html import py_strip  # noqa: F401  (re-exported)
 
 # --- Fixed values: link layout and the evaluator reply contract. ---
-DEFAULT_LINK_PATTERN = "/view/([0-9]+)"
+DEFAULT_LINK_PATTERN = "/view/(\\p{Nd}+)"
 DEFAULT_API_BASE = "https://cases.example.com/index.php?/api/v2/get_case/"
 DEFAULT_VIEW_BASE = "https://cases.example.com/index.php?/cases/view/"
 VERDICT_ENUM = ("Passed", "Needs Improvement", "Failed")

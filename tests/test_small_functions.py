@@ -63,3 +63,20 @@ def test_shuffle_partition_sizing():
     assert shuffle_partitions_for(0, 100) == 300                       # at least 3 waves
     assert shuffle_partitions_for(1000 * 200 * 1024 * 1024, 100) == 1000
     assert shuffle_partitions_for(100 * 2 ** 40, 8000) == 320_000      # capped at 40 per core
+
+
+def test_id_helpers_match_python_regex_on_random_text(spark):
+    """F1 F2: the id in a link and the digits of an id follow Python's Unicode ``\\d``."""
+    import random
+    import re
+
+    rng = random.Random(9)
+    alphabet = list("ab/C-_ 0123456789") + ["٣", "४", "５", "view", "/view/"]
+    samples = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    df = spark.createDataFrame([(x,) for x in samples], "s string")
+    got = df.select("s", text.extract_id(F.col("s")).alias("id"),
+                    text.digits_only(F.col("s")).alias("d")).collect()
+    for r in got:
+        m = re.search(r"/view/(\d+)", r["s"])
+        assert r["id"] == (m.group(1) if m else None), r["s"]
+        assert r["d"] == re.sub(r"[^\d]", "", r["s"]), r["s"]
