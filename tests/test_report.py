@@ -32,3 +32,36 @@ def test_search_is_lowercased_regex_over_title_or_id(spark):
     assert ids(report.search("a.b")) == ["C3"]
     assert ids(report.search(".", literal=True)) == ["C3"]
     assert report.search("") is None
+
+
+def test_compat_breakdown_matches_the_text_rule_on_random_remarks(spark):
+    """G4/F4 (compat): counts equal the rule stated plainly -- split on ';', strip (Python
+    whitespace), drop blanks, the part before the first ' = ', 'Priority/Risk' for a remark
+    starting with 'priority' (any case), else the remark itself."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(4)
+    pieces = ["Status = Obsolete", " Testing Phase = ", "Priority/Risk is null", "PRIORITY x",
+              "Testing Type = web = x", "  ", "", "odd remark", " Status = New",
+              "Automatability = None", "a=b", " = lead"]
+    remarks = [";".join(rng.choice(pieces) for _ in range(rng.randint(0, 4))) for _ in range(1500)]
+    rows = [("Failed", r) for r in remarks] + [("Passed", "Status = Obsolete")] * 5 + [("Failed", None)]
+    df = spark.createDataFrame(rows, "verdict string, remarks string")
+    got = {r["criterion"]: r["failed_cases"] for r in
+           report.failure_breakdown(df, compat=True).collect()}
+    want = Counter()
+    for v, rem in rows:
+        if v != "Failed":
+            continue
+        for part in (rem or "").split(";"):
+            part = part.strip()
+            if not part:
+                continue
+            if " = " in part:
+                want[part.split(" = ", 1)[0].strip()] += 1
+            elif part.lower().startswith("priority"):
+                want["Priority/Risk"] += 1
+            else:
+                want[part] += 1
+    assert got == dict(want)
