@@ -45,7 +45,8 @@ FACT_SCHEMA = T.StructType([
     T.StructField("expected_results_passed", T.BooleanType()),
     T.StructField("expected_results_remarks", T.StringType()),
     T.StructField("verdict", T.StringType()), T.StructField("overall_remarks", T.StringType()),
-    T.StructField("improvements", T.StringType()), T.StructField("validated_at", T.StringType())])
+    T.StructField("improvements", T.StringType()), T.StructField("validated_at", T.StringType()),
+    T.StructField("reply_case_id", T.StringType())])
 
 
 # ------------------------------------------------------------------ versioned tables -----
@@ -264,8 +265,9 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     written, so the evaluator runs exactly once per record even though the facts, the
     run counters and the returned rows all read them. Returns the 11-column result rows
     of this call (the id is the one in the evaluator's reply, or the request's on an
-    error row) and this call's verdict counters; with ``output_dir`` the rows are also
-    written as the run's CSV snapshot under ``output_dir/validation_reports``.
+    error row) and verdict counters. With ``output_dir`` the run's CSV snapshot is written
+    under ``output_dir/validation_reports`` from the store -- the whole run, also after a
+    resume (N9) -- and the counters are that report's; without it they are this call's.
     """
     # one UTC timestamp per call, a literal in every plan (reruns stay reproducible)
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
@@ -302,7 +304,8 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
         e("expected_results.passed").alias("expected_results_passed"),
         e("expected_results.remarks").alias("expected_results_remarks"),
         e("verdict").alias("verdict"), e("overall_remarks").alias("overall_remarks"),
-        e("improvements").alias("improvements"), F.lit(now).alias("validated_at"))
+        e("improvements").alias("improvements"), F.lit(now).alias("validated_at"),
+        F.col("report_case_id").cast("string").alias("reply_case_id"))
     # This call's records, as snapshots appended to the record log (upsert on read)
     new_records = todo.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
                               F.lit(stamp).alias("version"))
@@ -332,8 +335,10 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
             ("passed", verdict == "Passed"), ("needs_improvement", verdict == "Needs Improvement"),
             ("failed", verdict == "Failed"), ("errors", verdict.isNull()))]
     if output_dir:
+        # The run's report is the whole run as stored, also after a resume
+        report_rows = run_report(spark, store_base, run_id)
         obs = Observation("validation-counters")
-        files.write_snapshot(rows.observe(obs, *counters),
+        files.write_snapshot(report_rows.observe(obs, *counters),
                              f"{output_dir.rstrip('/')}/{VALIDATION_REPORTS}", run_id, fmt="csv")
         got = dict(obs.get)
     else:
@@ -341,6 +346,26 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     return rows, got
 
 
+def run_report(spark: SparkSession, store_base: str, run_id: str) -> DataFrame:
+    """The 11-column validation report of a whole run, from the stored scores (the
+    id is the evaluator's reply id where one was stored) and the records' titles."""
+    f = read_facts(spark, store_base, run_id)
+    titles = read_records(spark, store_base).select("case_id", "title")
+    j = f.join(titles, "case_id", "left")
+    return j.select(
+        F.coalesce(F.col("reply_case_id"), F.col("case_id")).alias("Test Case ID"),
+        F.col("title").alias("Title"),
+        F.col("preconditions_passed").alias("Preconditions Passed"),
+        F.col("preconditions_remarks").alias("Preconditions Remarks"),
+        F.col("test_steps_passed").alias("Test Steps Passed"),
+        F.col("test_steps_remarks").alias("Test Steps Remarks"),
+        F.col("expected_results_passed").alias("Expected Results Passed"),
+        F.col("expected_results_remarks").alias("Expected Results Remarks"),
+        F.col("verdict").alias("Verdict"),
+        F.col("overall_remarks").alias("Overall Remarks"),
+        F.col("improvements").alias("Improvements"))
+
+
 def run_all(spark: SparkSession, source_csv: str, responses_path: str, output_dir: str,
             store_base: str, evaluator: score.Evaluator | None = None,
             run_id: str | None = None, maps_path: str | None = None, **validate_args) -> dict:

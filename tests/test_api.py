@@ -37,8 +37,11 @@ def test_pipeline_end_to_end(spark):
     assert view.count() == n and view.where("verdict IS NULL").count() == 0
 
     again, again_counts = api.validate_cases(spark, passed, f"{base}/store", run_id="r1",
-                                             now="2024-01-07T00:00:00")
-    assert again.count() == 0 == again_counts["total"]   # resume: everything already scored
+                                             now="2024-01-07T00:00:00", output_dir=f"{base}/out")
+    assert again.count() == 0                              # resume: everything already scored
+    assert again_counts["total"] == n                      # N9: the run's report is whole
+    assert spark.read.option("header", True).csv(
+        f"{base}/out/validation_reports/run_ts=r1").count() == n
     runs = api.get_validation_runs(spark, f"{base}/store").collect()
     assert len(runs) == 1
     r = runs[0]
