@@ -248,14 +248,17 @@ def _passed_as_records(passed: DataFrame) -> DataFrame:
         *[(c(f"`{n}`") if n in passed.columns else F.lit(None).cast("string")).alias(a)
           for n, a in (("Tribe", "tribe"), ("Product", "product"), ("Capability", "capability"))],
         c("`Pre Conditions`").alias("pre_conditions"), c("`Test Steps`").alias("test_steps"),
-        c("`Expected Result`").alias("expected_result"))
+        c("`Expected Result`").alias("expected_result"),
+        *[(c(f"`{n}`") if n in passed.columns else F.lit(None).cast("string")).alias(a)
+          for n, a in (("Testing Type", "testing_type"), ("Testing Phase", "testing_phase"))])
 
 
 def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
                    evaluator: score.Evaluator | None = None, run_id: str | None = None,
                    provider: str = "rule-screen", model: str = "standards-v1",
                    target: int = 5, min_per_level: int = 3, now: str | None = None,
-                   parallelism: int | None = None, output_dir: str | None = None
+                   parallelism: int | None = None, output_dir: str | None = None,
+                   standards: str | None = None, instructions: str = ""
                    ) -> tuple[DataFrame, dict]:
     """Score the passed records of a report and persist
     the run. Resumable: records already scored in ``run_id`` are skipped (anti join).
@@ -268,6 +271,8 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     error row) and verdict counters. With ``output_dir`` the run's CSV snapshot is written
     under ``output_dir/validation_reports`` from the store -- the whole run, also after a
     resume (N9) -- and the counters are that report's; without it they are this call's.
+    With ``standards`` (the standards document's text, see ``files.read_standards``) the
+    evaluator also receives each record's ``prompt`` (``score.evaluation_prompt``).
     """
     # one UTC timestamp per call, a literal in every plan (reruns stay reproducible)
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
@@ -287,6 +292,14 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
                                         carry=similar.EXAMPLE_DETAILS)
     context = similar.few_shot_context(examples)
     work = todo.join(context, "case_id", "left")
+    if standards is not None:
+        # the prompt a remote evaluator sends (the standards document is one small
+        # text, a literal in the plan)
+        c = F.col
+        work = work.withColumn("prompt", score.evaluation_prompt(
+            F.lit(standards), c("context"), c("case_id"), c("title"), c("testing_type"),
+            c("testing_phase"), c("pre_conditions"), c("test_steps"), c("expected_result"),
+            instructions))
     if evaluator is None:
         scored = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
     else:

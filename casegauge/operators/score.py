@@ -14,7 +14,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +110,40 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
             F.concat(F.lit("Address: "), overall)).alias("improvements")).alias("evaluation"))
 
 
+# ------------------------------------------------------------------ evaluator prompt -----
+
+# --- Fixed values: the layout of the per-record evaluation prompt. ---
+PROMPT_STANDARDS_HEADING = "## Quality Standards Reference"
+PROMPT_CASE_HEADING = "## Test Case to Evaluate"
+PROMPT_SEPARATOR = "---"
+PROMPT_EMPTY = "(empty)"
+# --- end of fixed values ---
+
+
+def evaluation_prompt(standards: Column, context: Column, case_id: Column, title: Column,
+                      testing_type: Column, testing_phase: Column, pre: Column, steps: Column,
+                      expected: Column, instructions: str) -> Column:
+    """F22 (N6): the prompt for one record -- the standards document, the reference
+    examples section (``context``; empty when there are none), the record's fields and
+    texts (missing texts print ``(empty)``, missing metadata prints nothing), then the
+    caller's ``instructions``. One native string expression per row."""
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    text_or_empty = lambda c: F.coalesce(F.nullif(c.cast("string"), F.lit("")),
+                                         F.lit(PROMPT_EMPTY))
+    return F.concat_ws(
+        "\n",
+        F.lit(PROMPT_STANDARDS_HEADING), F.lit(""), blank(standards), F.lit(""),
+        F.lit(PROMPT_SEPARATOR), blank(context), F.lit(PROMPT_CASE_HEADING), F.lit(""),
+        F.concat(F.lit("**Test Case ID:** "), blank(case_id)),
+        F.concat(F.lit("**Title:** "), blank(title)),
+        F.concat(F.lit("**Testing Type:** "), blank(testing_type)),
+        F.concat(F.lit("**Testing Phase:** "), blank(testing_phase)),
+        F.lit(""), F.lit("**Pre Conditions:**"), text_or_empty(pre),
+        F.lit(""), F.lit("**Test Steps:**"), text_or_empty(steps),
+        F.lit(""), F.lit("**Expected Result:**"), text_or_empty(expected),
+        F.lit(""), F.lit(PROMPT_SEPARATOR), F.lit(""), F.lit(instructions))
+
+
 # ------------------------------------------------------------------ pluggable path -------
 
 Evaluator = Callable[[pd.DataFrame], pd.Series]

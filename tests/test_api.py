@@ -223,3 +223,41 @@ def test_reply_id_in_report_request_id_in_store(spark):
     assert stored == {"C1": "Passed", "C2": None}
     err = [r for r in rows.collect() if r["Verdict"] is None][0]
     assert err["Overall Remarks"].startswith("Error during validation: RuntimeError: service down")
+
+
+def test_evaluator_receives_the_prompt(spark):
+    """with the standards text, each record's prompt holds the standards, the case's
+    fields, '(empty)' for a missing text, and the instructions."""
+    import json
+
+    import pandas as pd
+
+    seen = {}
+
+    def evaluator(pdf: pd.DataFrame) -> pd.Series:
+        crit = {"passed": True, "remarks": ""}
+        for cid, prompt in zip(pdf["case_id"], pdf["prompt"]):
+            seen[cid] = prompt
+        return pdf["case_id"].map(lambda cid: json.dumps({
+            "preconditions": crit, "test_steps": crit, "expected_results": crit,
+            "verdict": "Passed", "overall_remarks": "", "improvements": ""}))
+
+    base = scratch_path(spark, "test-api-prompt")
+    passed = spark.createDataFrame(
+        [("C1", "Login", "web", "Regression", "1. Open https://x", None, "shown")],
+        "`Test Case ID` string, Title string, `Testing Type` string, `Testing Phase` string, "
+        "`Pre Conditions` string, `Test Steps` string, `Expected Result` string")
+    rows, _ = api.validate_cases(spark, passed, f"{base}/store", evaluator=evaluator,
+                                 run_id="r1", now="2024-01-01T00:00:00", parallelism=1,
+                                 standards="# Standards\nbe clear", instructions="Judge it.")
+    assert [r["Verdict"] for r in rows.collect()] == ["Passed"]   # it read the prompt column
+    # the evaluator ran in a Python worker: rebuild the prompt natively to compare
+    from casegauge.operators import score
+    c = F.col
+    prompt = passed.select(score.evaluation_prompt(
+        F.lit("# Standards\nbe clear"), F.lit(None), c("`Test Case ID`"), c("Title"),
+        c("`Testing Type`"), c("`Testing Phase`"), c("`Pre Conditions`"), c("`Test Steps`"),
+        c("`Expected Result`"), "Judge it.")).first()[0]
+    assert prompt.startswith("## Quality Standards Reference\n\n# Standards\nbe clear\n\n---\n")
+    assert "**Test Case ID:** C1\n**Title:** Login\n**Testing Type:** web\n" in prompt
+    assert "**Test Steps:**\n(empty)\n" in prompt and prompt.endswith("---\n\nJudge it.")
