@@ -200,10 +200,11 @@ def run_pipeline(spark: SparkSession, source_csv: str, responses_path: str, outp
 
 def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
                    run_ts: str | None = None, maps_path: str | None = None
-                   ) -> tuple[str, DataFrame, dict]:
+                   ) -> tuple[str | None, DataFrame, dict]:
     """Landed fetch results -> screened, ordered
-    report snapshot (CSV). Returns the snapshot path, the report DataFrame and the
-    run's totals ``{total, passed, failed}``.
+    report snapshot (CSV). Returns the snapshot path (None when no fetch succeeded: then
+    nothing is written), the report DataFrame and the run's totals ``{total, passed,
+    failed}``.
 
     ``maps_path``: the code-dictionary JSON (``field_maps`` / ``retrieval_fields``
     sections); its tribe / product / capability maps decode those report columns. Without
@@ -222,6 +223,9 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
                   for _, _, label in codemaps.RETRIEVAL_FIELDS}
     rep = standards.report_order(standards.flatten(recs, **labels)
                                  .select(*standards.REPORT_COLUMNS))
+    if recs.isEmpty():
+        # nothing fetched: no snapshot, so the newest report stays the previous one
+        return None, rep, {"total": 0, "passed": 0, "failed": 0}
     obs = Observation("screen-totals")
     passed = F.count_if(F.coalesce(F.col("`General Standards`") == "Passed", F.lit(False)))
     observed = rep.observe(obs, F.count(F.lit(1)).alias("total"), passed.alias("passed"))

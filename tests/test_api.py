@@ -261,3 +261,21 @@ def test_evaluator_receives_the_prompt(spark):
     assert prompt.startswith("## Quality Standards Reference\n\n# Standards\nbe clear\n\n---\n")
     assert "**Test Case ID:** C1\n**Title:** Login\n**Testing Type:** web\n" in prompt
     assert "**Test Steps:**\n(empty)\n" in prompt and prompt.endswith("---\n\nJudge it.")
+
+
+def test_no_successful_fetch_writes_no_report(spark):
+    """With no status-200 response nothing is written, so the newest report (and the
+    passed cases) stay those of the previous run."""
+    import json
+
+    base = scratch_path(spark, "test-api-nofetch")
+    good = json.dumps({"ID": "1", "status_code": 200, "response": {
+        "id": 1, "priority_id": 1, "custom_automatability": 2, "custom_automation_status": 1,
+        "custom_testing_type": 17, "case_status_id": 2, "custom_testing_phase": [12]}})
+    spark.createDataFrame([(good,)], "value string").write.text(f"{base}/r1")
+    spark.createDataFrame([(json.dumps({"ID": "2", "status_code": 404}),)],
+                          "value string").write.text(f"{base}/r2")
+    p1, _, t1 = api.save_all_cases(spark, f"{base}/r1", f"{base}/out", run_ts="20240101_000000")
+    p2, _, t2 = api.save_all_cases(spark, f"{base}/r2", f"{base}/out", run_ts="20240102_000000")
+    assert p1 is not None and p2 is None and t2 == {"total": 0, "passed": 0, "failed": 0}
+    assert [r["Test Case ID"] for r in api.fetch_passed_cases(spark, f"{base}/out").collect()] == ["C1"]
