@@ -1,9 +1,16 @@
 """User-level entry points mirroring the reference's public functions.
 
-Each is a composition of the operators; the store is three Parquet tables under one base
-folder (``test_cases``, ``validation_runs``, ``score_facts``). Every write goes to a
-new ``version=...`` folder and readers take the newest one, so nothing is overwritten
-while it is being read and a failed run leaves the previous state intact.
+Each is a composition of the operators. The store is three Parquet tables under one base
+folder, and nothing stored is ever overwritten while it may be read:
+
+* ``score_facts`` -- append-only; one part per call, filed under its run;
+* ``test_cases`` -- an append-only log of record snapshots, upserted on read (newest
+  content, first and last time seen);
+* ``validation_runs`` -- small; each call writes a new ``version=...`` folder and readers
+  take the newest.
+
+A part or version becomes visible when its write job commits, so a failed call leaves the
+previous state intact and a resumed run skips what was stored.
 """
 
 from __future__ import annotations
