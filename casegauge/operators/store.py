@@ -1,9 +1,11 @@
 """The result store as DataFrames: records, runs and score facts (D7-D9, U2-U6, J3-J6,
 J9, J11, G6, G7, G10, P20, P21).
 
-Writes-by-key are expressed as joins and unions, so they work on plain Parquet folders:
-nothing is ever overwritten in place -- each write goes to a new version folder and the
-reader takes the newest one (see ``sources.files``).
+Writes-by-key are expressed as joins, unions and grouped aggregates, so they work on
+plain Parquet folders and nothing is overwritten in place: append-only logs merged on
+read (``current_snapshot``), or a join of the old and new state written to a new folder
+(``upsert``, ``insert_if_absent``, ``replace_by_key``). See ``casegauge.api`` for the
+store layout.
 """
 
 from __future__ import annotations
