@@ -441,6 +441,9 @@ def get_case_history(spark: SparkSession, store_base: str, case_id: str) -> Data
 
 
 def failure_breakdown(report_df: DataFrame) -> DataFrame:
-    """G4 from a report's remark text (works on reports read back from CSV)."""
-    return report.failure_breakdown(report_df, compat=True, verdict_col="General Standards",
-                                    remarks_col="Remarks")
+    """G4 from a report's remark text (works on reports read back from CSV), with the
+    report view's column names ``Criterion`` / ``Failed cases``."""
+    return (report.failure_breakdown(report_df, compat=True, verdict_col="General Standards",
+                                     remarks_col="Remarks")
+            .withColumnRenamed("criterion", "Criterion")
+            .withColumnRenamed("failed_cases", "Failed cases"))

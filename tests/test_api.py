@@ -18,7 +18,8 @@ def test_pipeline_end_to_end(spark):
     n = passed.count()
     assert n == rep.where(F.col("General Standards") == "Passed").count() > 0
     assert totals == {"total": rep.count(), "passed": n, "failed": rep.count() - n}
-    assert api.failure_breakdown(rep).count() > 0
+    breakdown = api.failure_breakdown(rep)
+    assert breakdown.columns == ["Criterion", "Failed cases"] and breakdown.count() > 0
 
     rows, counts = api.validate_cases(spark, passed, f"{base}/store", run_id="r1",
                                       now="2024-01-06T00:00:00", output_dir=f"{base}/out")
