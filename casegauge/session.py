@@ -21,6 +21,9 @@ RECOMMENDED_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows sent to Python per Arrow batch: pages and prompts are whole texts, so a batch
+    # of 10,000 (the default) can hold gigabytes in one Python worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # evaluator replies are parsed into VARIANT: a repeated key keeps its last value, as
     # a JSON reader in Python does, instead of making the whole reply unreadable
     "spark.sql.variant.allowDuplicateKeys": "true",
