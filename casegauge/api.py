@@ -6,8 +6,8 @@ folder, and nothing stored is ever overwritten while it may be read:
 * ``score_facts`` -- append-only; one part per call, filed under its run;
 * ``test_cases`` -- an append-only log of record snapshots, upserted on read (newest
   content, first and last time seen);
-* ``validation_runs`` -- small; each call writes a new ``version=...`` folder and readers
-  take the newest.
+* ``validation_runs`` -- an append-only log of run snapshots: opening values from the
+  first, counters from the newest.
 
 A part or version becomes visible when its write job commits, so a failed call leaves the
 previous state intact and a resumed run skips what was stored.
@@ -44,6 +44,11 @@ RUN_SCHEMA = T.StructType([
     T.StructField("passed_count", T.LongType()), T.StructField("needs_improvement_count", T.LongType()),
     T.StructField("failed_count", T.LongType()), T.StructField("error_count", T.LongType()),
     T.StructField("run_at", T.StringType())])
+# the runs table is stored as an append-only log of run snapshots (one per call)
+RUN_LOG_SCHEMA = T.StructType(RUN_SCHEMA.fields + [
+    T.StructField("seen_at", T.StringType()), T.StructField("version", T.StringType())])
+RUN_OPENING = ("provider", "model", "total_cases", "run_at")
+RUN_COUNTERS = ("passed_count", "needs_improvement_count", "failed_count", "error_count")
 FACT_SCHEMA = T.StructType([
     T.StructField("score_id", T.StringType()), T.StructField("case_id", T.StringType()),
     T.StructField("run_id", T.StringType()),
@@ -58,19 +63,6 @@ FACT_SCHEMA = T.StructType([
 
 # ------------------------------------------------------------------ versioned tables -----
 
-def _latest_version(spark: SparkSession, base: str, name: str) -> str | None:
-    try:
-        paths = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .load(f"{base}/{name}").select("path"))
-    except Exception as exc:  # no table yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return None
-        raise
-    v = paths.select(F.regexp_extract("path", "version=([^/]+)", 1).alias("v")) \
-        .where(F.col("v") != "").agg(F.max("v").alias("v")).first()
-    return v["v"] if v and v["v"] else None
-
-
 def upgrade_store_table(df: DataFrame, schema: T.StructType) -> DataFrame:
     """S12 for the store: a table written by an older version, brought to ``schema``.
     Score rows without a verdict take it from the legacy pass flag (1 -> Passed, 0 ->
@@ -107,13 +99,25 @@ def _read_store(spark: SparkSession, path: str, schema: T.StructType,
         raise
 
 
-def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
-    """S7 + S12: the newest version of a store table, upgraded to ``schema``, or an empty
-    table of its schema."""
-    v = _latest_version(spark, base, name)
-    if v is None:
-        return spark.createDataFrame([], schema)
-    return _read_store(spark, f"{base}/{name}/version={v}", schema)
+def read_runs(spark: SparkSession, base: str) -> DataFrame:
+    """S7 + U3/U4 on read: the runs table (``RUN_SCHEMA``) from the append-only log of run
+    snapshots -- a run's opening values (provider, model, total, opening time) are those
+    of its first snapshot (insert-if-absent, N10), its counters those of the newest (the
+    recount). Concurrent calls only append, so none can drop another run's row."""
+    log = _read_store(spark, f"{base}/{RUNS}", RUN_LOG_SCHEMA, recursive=True)
+    order = F.struct("seen_at", "version")
+    agg = log.groupBy("run_id").agg(
+        F.min_by(F.struct(*RUN_OPENING), order).alias("o"),
+        F.max_by(F.struct(*RUN_COUNTERS), order).alias("c"))
+    return agg.select("run_id", *[F.col(f"o.{c}").alias(c) for c in ("provider", "model",
+                                                                        "total_cases")],
+                      *[F.col(f"c.{c}").alias(c) for c in RUN_COUNTERS], F.col("o.run_at"))
+
+
+def append_run(df: DataFrame, base: str, stamp: str) -> str:
+    path = f"{base}/{RUNS}/part={stamp}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("error").parquet(path)
+    return path
 
 
 def _run_folder(run_id: str) -> str:
@@ -155,13 +159,6 @@ def append_facts(df: DataFrame, base: str, stamp: str, run_id: str) -> str:
     return path
 
 
-def write_table(df: DataFrame, base: str, name: str, stamp: str) -> str:
-    """A new version of a (small, keyed) store table; version names sort by time."""
-    path = f"{base}/{name}/version={stamp}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("error").parquet(path)
-    return path
-
-
 # ------------------------------------------------------------------ pipeline stages ------
 
 def generate_endpoint_file(spark: SparkSession, csv_path: str, out_dir: str,
@@ -290,7 +287,6 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
     records = read_records(spark, store_base)
-    runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
     facts = read_facts(spark, store_base)
     run_facts = read_facts(spark, store_base, run_id)
 
@@ -340,17 +336,14 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
         append_facts(store.append_new(run_facts, new_facts, ["run_id", "case_id"]), store_base,
                      stamp, run_id)
 
-    opened = store.insert_if_absent(runs, spark.createDataFrame(
-        [(run_id, provider, model, None, 0, 0, 0, 0, now)], RUN_SCHEMA)
-        .withColumn("total_cases", F.lit(None).cast("long")), "run_id")
-    counted = (store.run_counters(opened.where(F.col("run_id") == run_id)
-                                  .drop("passed_count", "needs_improvement_count", "failed_count",
-                                        "error_count"),
-                                  read_facts(spark, store_base, run_id))
-               .withColumn("total_cases", F.coalesce(F.col("total_cases"),
-                                                     F.lit(passed.count()).cast("long"))))
-    write_table(store.replace_by_key(opened, counted.select(*RUN_SCHEMA.fieldNames()), "run_id"),
-                store_base, RUNS, stamp)
+    # the run's snapshot: opening values (kept from the first snapshot on read) and the
+    # counters recomputed over everything stored for the run
+    opening = spark.createDataFrame([(run_id, provider, model, passed.count(), now)],
+                                    "run_id string, provider string, model string, "
+                                    "total_cases long, run_at string")
+    snapshot = (store.run_counters(opening, read_facts(spark, store_base, run_id))
+                .withColumn("seen_at", F.lit(now)).withColumn("version", F.lit(stamp)))
+    append_run(snapshot.select(*RUN_LOG_SCHEMA.fieldNames()), store_base, stamp)
 
     rows = score.result_rows(scored, id_col="report_case_id")
     verdict = F.col("Verdict")
@@ -425,19 +418,19 @@ def get_all_cases(spark: SparkSession, store_base: str) -> DataFrame:
     """Every record with its latest score and run metadata."""
     recs = read_records(spark, store_base)
     facts = read_facts(spark, store_base)
-    runs = read_table(spark, store_base, RUNS, RUN_SCHEMA)
+    runs = read_runs(spark, store_base)
     return store.records_with_latest(recs, facts, runs).orderBy("case_id")
 
 
 def get_validation_runs(spark: SparkSession, store_base: str) -> DataFrame:
     """O3: run summaries, newest first."""
-    return store.runs_newest_first(read_table(spark, store_base, RUNS, RUN_SCHEMA))
+    return store.runs_newest_first(read_runs(spark, store_base))
 
 
 def get_case_history(spark: SparkSession, store_base: str, case_id: str) -> DataFrame:
     """Every scoring attempt of one record, newest first."""
     return store.history(read_facts(spark, store_base),
-                         read_table(spark, store_base, RUNS, RUN_SCHEMA), case_id=case_id)
+                         read_runs(spark, store_base), case_id=case_id)
 
 
 def failure_breakdown(report_df: DataFrame) -> DataFrame:

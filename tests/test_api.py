@@ -52,6 +52,11 @@ def test_pipeline_end_to_end(spark):
     second, _ = api.validate_cases(spark, passed, f"{base}/store", run_id="r2",
                                    now="2024-01-08T00:00:00")
     assert second.count() == n
+    runs = {r["run_id"]: r for r in api.get_validation_runs(spark, f"{base}/store").collect()}
+    assert set(runs) == {"r1", "r2"}
+    assert (runs["r1"]["run_at"], runs["r1"]["total_cases"]) == ("2024-01-06T00:00:00", n)
+    assert [r["run_id"] for r in api.get_validation_runs(spark, f"{base}/store").collect()] == \
+        ["r2", "r1"]
     # facts are appended, never rewritten: one part per call that scored something
     import glob
     assert len(glob.glob(f"{base}/store/score_facts/run=*/part=*")) == 2
