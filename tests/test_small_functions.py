@@ -80,3 +80,16 @@ def test_id_helpers_match_python_regex_on_random_text(spark):
         m = re.search(r"/view/(\d+)", r["s"])
         assert r["id"] == (m.group(1) if m else None), r["s"]
         assert r["d"] == re.sub(r"[^\d]", "", r["s"]), r["s"]
+
+
+def test_broadcast_needs_both_row_and_byte_bounds(spark):
+    """A side is broadcast only under both bounds; wide text rows fail the byte bound."""
+    from casegauge.operators import joins
+
+    narrow = spark.createDataFrame([(i, "x") for i in range(100)], "k long, s string")
+    wide = spark.createDataFrame([(i, "x" * 10_000) for i in range(100)], "k long, s string")
+    assert joins.broadcast_if_small(narrow, max_rows=1000, max_bytes=100_000)[1] is True
+    assert joins.broadcast_if_small(wide, max_rows=1000, max_bytes=100_000)[1] is False
+    assert joins.broadcast_if_small(narrow, max_rows=10, max_bytes=100_000)[1] is False
+    est = wide.agg(joins.estimated_bytes(wide)).first()[0]
+    assert 1_000_000 <= est <= 1_001_000
