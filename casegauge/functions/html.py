@@ -82,8 +82,12 @@ QUOTED_GT_RE = "<[A-Za-z][^>]*?=\\s*(?:\"[^\"]*>|'[^']*>)"
 # the container really ends depends on where that construct ends
 RAW_IN_CONTAINER_RE = (f"<(?<r>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<r>\\s*>).)*?"
                        f"<(?:script\\b|style\\b|!--|!\\[CDATA\\[)")
+# a self-closing hidden element or list item (``<script/>``, ``<li/>``) is an empty
+# element for the parser, not the start of a block
+SELF_CLOSING_RE = f"<(?:{_HID}|li)\\b[^>]*/\\s*>"
 NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|{QUOTED_GT_RE}|(?is:<!\\[CDATA\\[|"
-                        f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE}|{RAW_IN_CONTAINER_RE})")
+                        f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE}|{RAW_IN_CONTAINER_RE}|"
+                        f"{SELF_CLOSING_RE})")
 # an item whose text runs into another <li> or the end before its </li> (nested or
 # unclosed items: the parser nests them); a stray </li> is ignored by both paths
 OPEN_LI_RE = "<li\\b(?![^>]*>(?:(?!<li\\b).)*?</li\\s*>)"

@@ -71,6 +71,8 @@ EDGE_CASES = [
     ("<![cdata[q]]>r", "q\nr", ""),
     ('<a title="x>y">t</a>u', "t\nu", ""),                 # ">" inside a quoted attribute
     ("<ul><li data-k='a>b'>i</li></ul>", "i", "1. i"),
+    ("<ul><li/>a</li></ul>", "a", "1. "),                   # self-closing: an empty item
+    ("x<script/>y<script>z</script>w", "x\ny\nw", ""),
 ]
 
 
