@@ -78,10 +78,11 @@ UNCLOSED_HIDDEN_RE = f"<(?<u>{_HID})\\b(?![^>]*>.*?</\\k<u>\\s*>)"
 NESTED_HIDDEN_RE = f"<(?<n>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<n>\\s*>).)*?<\\k<n>\\b"
 # a quoted attribute value holding ">": the tag does not end there
 QUOTED_GT_RE = "<[A-Za-z][^>]*?=\\s*(?:\"[^\"]*>|'[^']*>)"
-# raw text (script / style), a comment or CDATA inside a template / ruby part: where
-# the container really ends depends on where that construct ends
+# raw text (script / style), a comment, CDATA or another element's end tag inside a
+# template / ruby part: where the container really ends depends on that construct (an
+# end tag of an element opened outside closes the container with it)
 RAW_IN_CONTAINER_RE = (f"<(?<r>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<r>\\s*>).)*?"
-                       f"<(?:script\\b|style\\b|!--|!\\[CDATA\\[)")
+                       f"<(?:script\\b|style\\b|!--|!\\[CDATA\\[|/(?!\\k<r>\\s*>))")
 # a self-closing hidden element or list item (``<script/>``, ``<li/>``) is an empty
 # element for the parser, not the start of a block
 SELF_CLOSING_RE = f"<(?:{_HID}|li)\\b[^>]*/\\s*>"
@@ -130,7 +131,12 @@ def numbered_list_native(c: Column) -> Column:
 # ---------------------------------------------------------------- parser fallback --------
 
 class _TextCollector(HTMLParser):
-    """Text nodes in document order with the list items that are open around each."""
+    """Text nodes in document order with the list items that are open around each.
+
+    Consecutive character data is one node until the next markup event (tag, comment,
+    declaration, processing instruction): the parser may report one run of text in
+    several pieces (``1<2`` comes as ``1``, ``<``, ``2``), a document tree does not.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -138,8 +144,22 @@ class _TextCollector(HTMLParser):
         self.hidden = 0
         self.nodes: list[str] = []
         self.items: list[list[str]] = []
+        self.buf: list[str] = []
+
+    def _flush(self):
+        if not self.buf:
+            return
+        text = "".join(self.buf).strip()
+        self.buf = []
+        if self.hidden or not text:
+            return
+        self.nodes.append(text)
+        for _, li in self.stack:
+            if li is not None:
+                self.items[li].append(text)
 
     def handle_starttag(self, tag, attrs):
+        self._flush()
         if tag in VOID_TAGS:
             return
         li = None
@@ -151,10 +171,12 @@ class _TextCollector(HTMLParser):
         self.stack.append((tag, li))
 
     def handle_startendtag(self, tag, attrs):
+        self._flush()
         if tag == "li":
             self.items.append([])
 
     def handle_endtag(self, tag):
+        self._flush()
         if not any(t == tag for t, _ in self.stack):
             return
         while self.stack:
@@ -165,19 +187,26 @@ class _TextCollector(HTMLParser):
                 break
 
     def handle_data(self, data):
-        if self.hidden:
-            return
-        text = data.strip()
-        if not text:
-            return
-        self.nodes.append(text)
-        for _, li in self.stack:
-            if li is not None:
-                self.items[li].append(text)
+        self.buf.append(data)
+
+    def handle_comment(self, data):
+        self._flush()
+
+    def handle_decl(self, decl):
+        self._flush()
+
+    def handle_pi(self, data):
+        self._flush()
 
     def unknown_decl(self, data):
-        if data.upper().startswith("CDATA[") and not self.hidden:
-            self.handle_data(data[6:])
+        self._flush()
+        if data.upper().startswith("CDATA["):      # a CDATA section is a string of its own
+            self.buf.append(data[6:])
+            self._flush()
+
+    def close(self):
+        super().close()
+        self._flush()
 
 
 def _parse(doc: str) -> _TextCollector:

@@ -73,6 +73,9 @@ EDGE_CASES = [
     ("<ul><li data-k='a>b'>i</li></ul>", "i", "1. i"),
     ("<ul><li/>a</li></ul>", "a", "1. "),                   # self-closing: an empty item
     ("x<script/>y<script>z</script>w", "x\ny\nw", ""),
+    ("1<2 and 3 > 2", "1<2 and 3 > 2", ""),                 # one run of text, one node
+    ("<OL><LI>a</LI></OL>", "a", "1. a"),
+    ("<ol><li>x<template><ul></li></ul>h</template></li></ol>", "x\nh", "1. x"),
 ]
 
 
@@ -129,7 +132,7 @@ def _random_doc(rng, depth=0):
 
 def test_random_documents_match_the_parser(spark):
     """3,000 random documents: the functions (native path + routing) equal the parser,
-    and most of them take the native path."""
+    and a large share of them take the native path."""
     import random
 
     rng = random.Random(5)
@@ -140,5 +143,7 @@ def test_random_documents_match_the_parser(spark):
     bad = [(r.h, r.t, html.html_to_text_py(r.h), r.l, html.numbered_list_py(r.h)) for r in got
            if r.t != html.html_to_text_py(r.h) or r.l != html.numbered_list_py(r.h)]
     assert bad == []
+    # coverage floor: templates / ruby parts holding other end tags go to the parser, which
+    # this generator produces often; still over a third of the documents stay native
     native = df.where(~html.needs_parser_text(F.col("h"))).count()
-    assert native > 1500, native
+    assert native > 1200, native
