@@ -94,7 +94,12 @@ NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|{QUOTED_GT_RE}|(?is:<!\\[CDATA\\[|"
 OPEN_LI_RE = "<li\\b(?![^>]*>(?:(?!<li\\b).)*?</li\\s*>)"
 # a list item inside a template / ruby part is still an item, with no visible text
 HIDDEN_LI_RE = f"<(?<h>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<h>\\s*>).)*?<li\\b"
-NEEDS_PARSER_LIST_RE = f"{NEEDS_PARSER_TEXT_RE}|(?is:{OPEN_LI_RE}|{HIDDEN_LI_RE})"
+# a list item holding raw text, a comment or a hidden container before its </li>: that
+# end tag may be raw text itself, and then the item stays open
+REMOVED_IN_LI_RE = (f"<li\\b[^>]*>(?:(?!</li\\s*>).)*?"
+                    f"<(?:script\\b|style\\b|!--|{_CONTAINERS}\\b)")
+NEEDS_PARSER_LIST_RE = (f"{NEEDS_PARSER_TEXT_RE}|(?is:{OPEN_LI_RE}|{HIDDEN_LI_RE}|"
+                        f"{REMOVED_IN_LI_RE})")
 
 
 def _clean(c: Column) -> Column:
