@@ -147,3 +147,47 @@ def test_random_documents_match_the_parser(spark):
     # this generator produces often; still over a third of the documents stay native
     native = df.where(~html.needs_parser_text(F.col("h"))).count()
     assert native > 1200, native
+
+
+def _random_doc_2(rng, depth=0):
+    """Upper-case tags, attributes, self-closing forms, stray end tags, '<' in text."""
+    words = ["a", " b ", "c\n", "&amp;", "&lt;x&gt;", "&nbsp;", "d&amp", "e", " ", " f ",
+             "1<2", "g >h"]
+    parts = []
+    for _ in range(rng.randint(1, 5)):
+        k = rng.random()
+        if k < 0.35 or depth > 3:
+            parts.append(rng.choice(words))
+        elif k < 0.55:
+            tag = rng.choice(["p", "DIV", "b", "Span", "td", "a"])
+            attr = rng.choice(["", " class='c'", ' href="/x/y"', " data-x = 'v w'", " id=z"])
+            parts.append(f"<{tag}{attr}>{_random_doc_2(rng, depth + 1)}</{tag}>")
+        elif k < 0.70:
+            items = "".join(rng.choice([f"<li>{_random_doc_2(rng, depth + 1)}</li>",
+                                        f"<LI class='i'>{_random_doc_2(rng, depth + 1)}</LI>",
+                                        "<li/>", f"<li>{_random_doc_2(rng, depth + 1)}<br/></li>",
+                                        "</li>"]) for _ in range(rng.randint(1, 3)))
+            parts.append(f"<{rng.choice(['ul', 'OL'])}>{items}</ul>")
+        elif k < 0.80:
+            parts.append(rng.choice(["<!-- c -->", "<!---->", "<!DOCTYPE html>", "<BR/>",
+                                     "<hr />", "<img src=x />", "<?pi x?>", "<script/>",
+                                     "<style />"]))
+        elif k < 0.92:
+            tag = rng.choice(["script", "STYLE", "template", "rt", "rp"])
+            parts.append(f"<{tag}>{_random_doc_2(rng, depth + 1)}</{tag}>")
+        else:
+            parts.append(rng.choice(["\n", "\t", "　", " "]))
+    return "".join(parts)
+
+
+def test_random_documents_with_odd_markup_match_the_parser(spark):
+    import random
+
+    rng = random.Random(101)
+    docs = [_random_doc_2(rng) for _ in range(3000)]
+    df = spark.createDataFrame([(d,) for d in docs], "h string")
+    got = df.select("h", html.html_to_text(F.col("h")).alias("t"),
+                    html.numbered_list(F.col("h")).alias("l")).collect()
+    bad = [r.h for r in got
+           if r.t != html.html_to_text_py(r.h) or r.l != html.numbered_list_py(r.h)]
+    assert bad == []
