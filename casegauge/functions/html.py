@@ -16,6 +16,7 @@ to an Arrow-batched pandas UDF built on the standard-library ``html.parser``.
 
 from __future__ import annotations
 
+import html.entities as _html_entities
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -69,7 +70,11 @@ def py_strip(c: Column) -> Column:
     return F.btrim(c, F.lit(PY_WHITESPACE))
 
 _KNOWN = "|".join(e[1:-1] for e, _ in ENTITIES)
-ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});)[#A-Za-z]"
+# the names among them that HTML also accepts without the semicolon (by the standard
+# library's entity table), decoded natively when a non-alphanumeric character follows
+LEGACY_ENTITIES = [(e, ch) for e, ch in ENTITIES if e[1:-1] in _html_entities.html5]
+_LEGACY = "|".join(e[1:-1] for e, _ in LEGACY_ENTITIES)
+ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});|(?:{_LEGACY})(?=[^A-Za-z0-9]))[#A-Za-z]"
 _HID = "|".join(HIDDEN_TAGS)
 _CONTAINERS = "|".join(t for t in HIDDEN_TAGS if t not in ("script", "style"))
 # a hidden element that is never closed, or (template / ruby parts, which hold markup)
@@ -107,8 +112,14 @@ def _clean(c: Column) -> Column:
 
 
 def _unescape(c: Column) -> Column:
+    """Decode the entity table (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``); a legacy
+    name without its semicolon is decoded when no letter or digit follows (the end of a
+    text node is followed by markup)."""
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
+        if (ent, ch) in LEGACY_ENTITIES:
+            c = F.regexp_replace(c, f"{ent[:-1]}(?![A-Za-z0-9])", ch.replace("\\", "\\\\")
+                                 .replace("$", "\\$"))
     return c
 
 
