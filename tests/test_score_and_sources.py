@@ -288,3 +288,17 @@ def test_reply_parsing_matches_a_typed_contract_on_random_replies(spark):
             bad.append((r["reply"], got, want))
     assert bad == [], bad[:3]
     assert sum(1 for r in replies if contract(r[1], r[0])[0]) > 300
+
+
+def test_csv_with_byte_order_mark_reads_like_without(spark):
+    """A file written with a UTF-8 byte-order mark (as the reference writes its CSVs)
+    has the same header and rows as one without."""
+    import os
+
+    base = scratch_path(spark, "test-bom")
+    os.makedirs(base, exist_ok=True)
+    with open(f"{base}/ids.csv", "w", encoding="utf-8-sig") as fh:
+        fh.write('ID,Testrail Link\nC1,"https://x/index.php?/cases/view/1"\n')
+    df = files.read_csv(spark, f"{base}/ids.csv", required=files.SOURCE_REQUIRED)
+    assert df.columns == ["ID", "Testrail Link"]
+    assert [tuple(r) for r in df.collect()] == [("C1", "https://x/index.php?/cases/view/1")]
