@@ -74,7 +74,7 @@ _KNOWN = "|".join(e[1:-1] for e, _ in ENTITIES)
 # library's entity table), decoded natively when a non-alphanumeric character follows
 LEGACY_ENTITIES = [(e, ch) for e, ch in ENTITIES if e[1:-1] in _html_entities.html5]
 _LEGACY = "|".join(e[1:-1] for e, _ in LEGACY_ENTITIES)
-ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});|(?:{_LEGACY})(?=[^A-Za-z0-9]))[#A-Za-z]"
+ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});|(?:{_LEGACY})(?=[^-.A-Za-z0-9]))[#A-Za-z]"
 _HID = "|".join(HIDDEN_TAGS)
 _CONTAINERS = "|".join(t for t in HIDDEN_TAGS if t not in ("script", "style"))
 # a hidden element that is never closed, or (template / ruby parts, which hold markup)
@@ -113,12 +113,12 @@ def _clean(c: Column) -> Column:
 
 def _unescape(c: Column) -> Column:
     """Decode the entity table (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``); a legacy
-    name without its semicolon is decoded when no letter or digit follows (the end of a
-    text node is followed by markup)."""
+    name without its semicolon is decoded when no name character (letter, digit, ``-``,
+    ``.``) follows (the end of a text node is followed by markup)."""
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
         if (ent, ch) in LEGACY_ENTITIES:
-            c = F.regexp_replace(c, f"{ent[:-1]}(?![A-Za-z0-9])", ch.replace("\\", "\\\\")
+            c = F.regexp_replace(c, f"{ent[:-1]}(?![-.A-Za-z0-9])", ch.replace("\\", "\\\\")
                                  .replace("$", "\\$"))
     return c
 
@@ -146,16 +146,25 @@ def numbered_list_native(c: Column) -> Column:
 
 # ---------------------------------------------------------------- parser fallback --------
 
+# Entity names (without ';') -> characters, from the standard library's HTML5 table; a
+# reference is resolved by its whole name, as an HTML tree builder does.
+_NAMED = {}
+for _k, _v in sorted(_html_entities.html5.items()):
+    _NAMED.setdefault(_k[:-1] if _k.endswith(";") else _k, _v)
+
+
 class _TextCollector(HTMLParser):
     """Text nodes in document order with the list items that are open around each.
 
     Consecutive character data is one node until the next markup event (tag, comment,
     declaration, processing instruction): the parser may report one run of text in
     several pieces (``1<2`` comes as ``1``, ``<``, ``2``), a document tree does not.
+    References are resolved as a tree builder does: a named one by its whole name (an
+    unknown name stays literal), a numeric one below 256 as windows-1252.
     """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.stack: list[tuple[str, int | None]] = []   # (tag, li index or None)
         self.hidden = 0
         self.nodes: list[str] = []
@@ -205,6 +214,28 @@ class _TextCollector(HTMLParser):
     def handle_data(self, data):
         self.buf.append(data)
 
+    def handle_entityref(self, name):
+        ch = _NAMED.get(name)
+        self.buf.append(ch if ch is not None else f"&{name}")
+
+    def handle_charref(self, name):
+        try:
+            n = int(name[1:], 16) if name[:1] in ("x", "X") else int(name)
+        except ValueError:
+            n = None
+        data = None
+        if n is not None and n < 256:
+            try:
+                data = bytes([n]).decode("windows-1252")
+            except UnicodeDecodeError:
+                data = None
+        if data is None and n is not None:
+            try:
+                data = chr(n)
+            except (ValueError, OverflowError):
+                data = None
+        self.buf.append(data or "\ufffd")
+
     def handle_comment(self, data):
         self._flush()
 

@@ -327,7 +327,7 @@ def _unescape(x: str) -> str:
             # the name without ';' before a non-alphanumeric character or the node's end;
             # applied twice so that two such entities in a row are both decoded
             for _ in range(2):
-                x = (f"regexp_replace({x}, {_q(ent[:-1] + '([^A-Za-z0-9]|$)')}, "
+                x = (f"regexp_replace({x}, {_q(ent[:-1] + '([^-.A-Za-z0-9]|$)')}, "
                      f"{_q(ch + chr(92) + '1')}, 'g')")
     return x
 

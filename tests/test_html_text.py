@@ -75,7 +75,8 @@ EDGE_CASES = [
     ("x<script/>y<script>z</script>w", "x\ny\nw", ""),
     ("1<2 and 3 > 2", "1<2 and 3 > 2", ""),                 # one run of text, one node
     ("and&amp</title>x &lt y &copy 2", "and&\nx < y © 2", ""),  # legacy names without ';'
-    ("a &amp&amp b &hellip c", "a && b &hellip c", ""),
+    ("a &amp&amp b &hellip c &amp-x AT&T &copy2", "a && b … c &amp-x AT&T &copy2", ""),
+    ("&#233;&#x41;&#150;&#999999999;", "éA–\ufffd", ""),       # numeric references
     ("<OL><LI>a</LI></OL>", "a", "1. a"),
     ("<ol><li>x<template><ul></li></ul>h</template></li></ol>", "x\nh", "1. x"),
 ]
