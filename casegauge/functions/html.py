@@ -91,9 +91,10 @@ RAW_IN_CONTAINER_RE = (f"<(?<r>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<r>\\s*>).)*?"
 # a self-closing hidden element or list item (``<script/>``, ``<li/>``) is an empty
 # element for the parser, not the start of a block
 SELF_CLOSING_RE = f"<(?:{_HID}|li)\\b[^>]*/\\s*>"
-NEEDS_PARSER_TEXT_RE = (f"{ODD_ENTITY_RE}|{QUOTED_GT_RE}|(?is:<!\\[CDATA\\[|"
-                        f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE}|{RAW_IN_CONTAINER_RE}|"
-                        f"{SELF_CLOSING_RE})")
+# markup the regex form cannot decide (checked on the document as it is)
+NEEDS_PARSER_MARKUP_RE = (f"{QUOTED_GT_RE}|(?is:<!\\[CDATA\\[|"
+                          f"{UNCLOSED_HIDDEN_RE}|{NESTED_HIDDEN_RE}|{RAW_IN_CONTAINER_RE}|"
+                          f"{SELF_CLOSING_RE})")
 # an item whose text runs into another <li> or the end before its </li> (nested or
 # unclosed items: the parser nests them); a stray </li> is ignored by both paths
 OPEN_LI_RE = "<li\\b(?![^>]*>(?:(?!<li\\b).)*?</li\\s*>)"
@@ -103,7 +104,7 @@ HIDDEN_LI_RE = f"<(?<h>{_CONTAINERS})\\b[^>]*>(?:(?!</\\k<h>\\s*>).)*?<li\\b"
 # end tag may be raw text itself, and then the item stays open
 REMOVED_IN_LI_RE = (f"<li\\b[^>]*>(?:(?!</li\\s*>).)*?"
                     f"<(?:script\\b|style\\b|!--|{_CONTAINERS}\\b)")
-NEEDS_PARSER_LIST_RE = (f"{NEEDS_PARSER_TEXT_RE}|(?is:{OPEN_LI_RE}|{HIDDEN_LI_RE}|"
+NEEDS_PARSER_LIST_RE = (f"{NEEDS_PARSER_MARKUP_RE}|(?is:{OPEN_LI_RE}|{HIDDEN_LI_RE}|"
                         f"{REMOVED_IN_LI_RE})")
 
 
@@ -114,7 +115,12 @@ def _clean(c: Column) -> Column:
 def _unescape(c: Column) -> Column:
     """Decode the entity table (``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``); a legacy
     name without its semicolon is decoded when no name character (letter, digit, ``-``,
-    ``.``) follows (the end of a text node is followed by markup)."""
+    ``.``) follows (the end of a text node is followed by markup). A node without ``&``
+    (most of them) skips the whole chain."""
+    return F.when(F.instr(c, "&") > 0, _decode_entities(c)).otherwise(c)
+
+
+def _decode_entities(c: Column) -> Column:
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
         if (ent, ch) in LEGACY_ENTITIES:
@@ -288,12 +294,20 @@ def _numbered_list_udf(s: pd.Series) -> pd.Series:
     return s.map(numbered_list_py, na_action="ignore")
 
 
+def _odd_entity_in_text(c: Column) -> Column:
+    """An entity the native table cannot decode, looked for in the text only: tags are
+    replaced by separators first, so ``&`` in attribute values (URLs with query strings)
+    never sends a page to the parser. The cheap check on the document as it is runs
+    first; only a page that fails it pays for stripping its tags."""
+    return c.rlike(ODD_ENTITY_RE) & F.regexp_replace(c, TAG_RE, SEP).rlike(ODD_ENTITY_RE)
+
+
 def needs_parser_text(c: Column) -> Column:
-    return F.coalesce(c.rlike(NEEDS_PARSER_TEXT_RE), F.lit(False))
+    return F.coalesce(c.rlike(NEEDS_PARSER_MARKUP_RE) | _odd_entity_in_text(c), F.lit(False))
 
 
 def needs_parser_list(c: Column) -> Column:
-    return F.coalesce(c.rlike(NEEDS_PARSER_LIST_RE), F.lit(False))
+    return F.coalesce(c.rlike(NEEDS_PARSER_LIST_RE) | _odd_entity_in_text(c), F.lit(False))
 
 
 def html_to_text(c: Column) -> Column:
