@@ -285,3 +285,27 @@ def test_no_successful_fetch_writes_no_report(spark):
     p2, _, t2 = api.save_all_cases(spark, f"{base}/r2", f"{base}/out", run_ts="20240102_000000")
     assert p1 is not None and p2 is None and t2 == {"total": 0, "passed": 0, "failed": 0}
     assert [r["Test Case ID"] for r in api.fetch_passed_cases(spark, f"{base}/out").collect()] == ["C1"]
+
+
+def test_partial_run_then_resume_reports_the_whole_run(spark):
+    """J9 + N9 + N10: half the records scored, the run resumed with all of them: the second
+    call scores only the rest, the run's CSV and counters cover the whole run, and the
+    run keeps the total it was opened with."""
+    base = scratch_path(spark, "test-api-resume")
+    passed = spark.createDataFrame(
+        [(f"C{i}", f"t{i}", "1. Open https://x as user", "1. click save", "saved") for i in range(10)],
+        "`Test Case ID` string, Title string, `Pre Conditions` string, `Test Steps` string, "
+        "`Expected Result` string")
+    first_half = passed.where(F.col("`Test Case ID`").isin(*[f"C{i}" for i in range(5)]))
+    rows1, c1 = api.validate_cases(spark, first_half, f"{base}/store", run_id="r1",
+                                   now="2024-01-01T00:00:00", output_dir=f"{base}/out")
+    rows2, c2 = api.validate_cases(spark, passed, f"{base}/store", run_id="r1",
+                                   now="2024-01-02T00:00:00", output_dir=f"{base}/out")
+    assert (rows1.count(), rows2.count()) == (5, 5)
+    assert (c1["total"], c2["total"]) == (5, 10)
+    csv = spark.read.option("header", True).csv(f"{base}/out/validation_reports/run_ts=r1")
+    assert sorted(r["Test Case ID"] for r in csv.collect()) == sorted(f"C{i}" for i in range(10))
+    run = api.get_validation_runs(spark, f"{base}/store").first()
+    assert run["total_cases"] == 5                     # set when the run was opened
+    assert run["passed_count"] + run["needs_improvement_count"] + run["failed_count"] \
+        + run["error_count"] == 10
