@@ -74,7 +74,17 @@ _KNOWN = "|".join(e[1:-1] for e, _ in ENTITIES)
 # library's entity table), decoded natively when a non-alphanumeric character follows
 LEGACY_ENTITIES = [(e, ch) for e, ch in ENTITIES if e[1:-1] in _html_entities.html5]
 _LEGACY = "|".join(e[1:-1] for e, _ in LEGACY_ENTITIES)
-ODD_ENTITY_RE = f"&(?!(?:{_KNOWN});|(?:{_LEGACY})(?=[^-.A-Za-z0-9]))[#A-Za-z]"
+# numeric references with their semicolon are decoded natively (code point -> character;
+# 128-159 as windows-1252, the code page's bytes taken from the standard codec)
+NUM_REF_RE = "&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+CP1252_HIGH = {}
+for _n in range(0x80, 0xA0):
+    try:
+        CP1252_HIGH[_n] = bytes([_n]).decode("windows-1252")
+    except UnicodeDecodeError:
+        pass
+ODD_ENTITY_RE = (f"&(?!(?:{_KNOWN});|(?:{_LEGACY})(?=[^-.A-Za-z0-9])|"
+                 f"#(?:[0-9]{{1,7}}|[xX][0-9a-fA-F]{{1,6}});)[#A-Za-z]")
 _HID = "|".join(HIDDEN_TAGS)
 _CONTAINERS = "|".join(t for t in HIDDEN_TAGS if t not in ("script", "style"))
 # a hidden element that is never closed, or (template / ruby parts, which hold markup)
@@ -120,7 +130,44 @@ def _unescape(c: Column) -> Column:
     return F.when(F.instr(c, "&") > 0, _decode_entities(c)).otherwise(c)
 
 
+def _code_point(ref: Column) -> Column:
+    """The number of a numeric reference ``&#233;`` / ``&#xE9;``."""
+    body = F.regexp_extract(ref, "^&#([0-9A-Za-z]+);$", 1)
+    hex_digits = F.regexp_extract(body, "^[xX]([0-9a-fA-F]+)$", 1)
+    return (F.when(hex_digits != "", F.conv(hex_digits, 16, 10).try_cast("long"))
+            .otherwise(body.try_cast("long")))
+
+
+def _char_of(n: Column) -> Column:
+    """The character of code point ``n`` (1..0x10FFFF, no surrogates), via its UTF-16;
+    128-159 as windows-1252."""
+    bmp = F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+    m = n - F.lit(0x10000)
+    pair = F.decode(F.unhex(F.concat(F.hex(F.lit(0xD800) + F.shiftright(m, 10)),
+                                     F.hex(F.lit(0xDC00) + m.bitwiseAND(F.lit(0x3FF))))),
+                    "UTF-16BE")
+    cp = F.create_map(*[x for k, v in sorted(CP1252_HIGH.items()) for x in (F.lit(k), F.lit(v))])
+    return (F.when((n >= 0x80) & (n <= 0x9F), F.coalesce(F.try_element_at(cp, n.cast("int")), bmp))
+            .when(n <= 0xFFFF, bmp).otherwise(pair))
+
+
+def valid_code_point(n: Column) -> Column:
+    return (n >= 1) & (n <= 0x10FFFF) & ~((n >= 0xD800) & (n <= 0xDFFF))
+
+
+def _decode_numeric(c: Column) -> Column:
+    """Numeric references (with ``;``) by splitting the node around them and joining the
+    pieces with the decoded characters -- built-ins only."""
+    pieces = F.split(c, NUM_REF_RE, -1)
+    chars = F.transform(F.regexp_extract_all(c, F.lit(NUM_REF_RE), 0),
+                        lambda r: _char_of(_code_point(r)))
+    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(
+        p, F.coalesce(F.try_element_at(chars, i + 1), F.lit("")))), "")
+    return F.when(F.instr(c, "&#") > 0, joined).otherwise(c)
+
+
 def _decode_entities(c: Column) -> Column:
+    c = _decode_numeric(c)
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
         if (ent, ch) in LEGACY_ENTITIES:
@@ -235,11 +282,12 @@ class _TextCollector(HTMLParser):
                 data = bytes([n]).decode("windows-1252")
             except UnicodeDecodeError:
                 data = None
-        if data is None and n is not None:
+        if data is None and n is not None and not 0xD800 <= n <= 0xDFFF:
             try:
                 data = chr(n)
             except (ValueError, OverflowError):
                 data = None
+        # a surrogate or out-of-range number is no character: U+FFFD (text must be UTF-8)
         self.buf.append(data or "\ufffd")
 
     def handle_comment(self, data):
@@ -302,12 +350,21 @@ def _odd_entity_in_text(c: Column) -> Column:
     return c.rlike(ODD_ENTITY_RE) & F.regexp_replace(c, TAG_RE, SEP).rlike(ODD_ENTITY_RE)
 
 
+def _bad_numeric(c: Column) -> Column:
+    """A numeric reference with a code point that is not a character (0, a surrogate,
+    beyond U+10FFFF): the parser decides what it shows."""
+    refs = F.regexp_extract_all(c, F.lit(NUM_REF_RE), 0)
+    return (F.instr(c, "&#") > 0) & F.exists(refs, lambda r: ~valid_code_point(_code_point(r)))
+
+
 def needs_parser_text(c: Column) -> Column:
-    return F.coalesce(c.rlike(NEEDS_PARSER_MARKUP_RE) | _odd_entity_in_text(c), F.lit(False))
+    return F.coalesce(c.rlike(NEEDS_PARSER_MARKUP_RE) | _odd_entity_in_text(c) | _bad_numeric(c),
+                      F.lit(False))
 
 
 def needs_parser_list(c: Column) -> Column:
-    return F.coalesce(c.rlike(NEEDS_PARSER_LIST_RE) | _odd_entity_in_text(c), F.lit(False))
+    return F.coalesce(c.rlike(NEEDS_PARSER_LIST_RE) | _odd_entity_in_text(c) | _bad_numeric(c),
+                      F.lit(False))
 
 
 def html_to_text(c: Column) -> Column:

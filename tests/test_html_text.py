@@ -78,6 +78,8 @@ EDGE_CASES = [
     ("a &amp&amp b &hellip c &amp-x AT&T &copy2", "a && b … c &amp-x AT&T &copy2", ""),
     ("&#233;&#x41;&#150;&#999999999;", "éA–\ufffd", ""),       # numeric references
     ('<a href="x?a=1&b=2">t</a> &amp; u', "t\n& u", ""),     # '&' in attributes is not text
+    ("&#39;q&#39; &#8217;&#X1F600; &#150;", "'q' ’😀 –", ""),  # numeric references, natively
+    ("s &#xD800; t", "s \ufffd t", ""),
     ("<OL><LI>a</LI></OL>", "a", "1. a"),
     ("<ol><li>x<template><ul></li></ul>h</template></li></ol>", "x\nh", "1. x"),
 ]
@@ -202,3 +204,9 @@ def test_ampersands_in_attributes_keep_the_native_path(spark):
                                "h string")
     assert df.select(html.needs_parser_text(F.col("h")), html.needs_parser_list(F.col("h"))
                      ).first() == (False, False)
+
+
+def test_valid_numeric_references_keep_the_native_path(spark):
+    df = spark.createDataFrame([("<p>it&#8217;s &#233;t&#xE9; &#128512;</p>",), ("a &#xD800; b",)],
+                               "h string")
+    assert [r[0] for r in df.select(html.needs_parser_text(F.col("h"))).collect()] == [False, True]
