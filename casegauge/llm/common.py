@@ -73,7 +73,7 @@ def count_words(text: Column) -> Column:
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd: has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 def _bytes_table() -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +107,7 @@ def powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
         have = _powers(base, max(n, _CHUNK + 2))
-        if len(have) <= 8 * _CHUNK:
+        if len(have) <= 64 * _CHUNK:
             _POWERS[base] = have
     return have[:n]
 
@@ -137,7 +137,7 @@ def _hash_chunk(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased (A-Z) words of many UTF-8 texts, one flat array,
     and the offsets of each text's words in it. Works through the joined bytes in pieces
-    of about 1 MiB that end at a blank, so memory doesn't grow with the longest text
+    of about 256 KiB that end at a blank, so memory doesn't grow with the longest text
     (only with the longest word)."""
     buf = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))

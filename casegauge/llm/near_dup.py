@@ -114,7 +114,7 @@ SIGNED = ("doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, "
 
 
 def _sign(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    for part, texts in text_batches(batches, "text", 4 << 20):
+    for part, texts in text_batches(batches, "text", 1 << 20):
         sets, digests = shingle_sets(texts, k)
         sigs = np.array([signature(s) for s in sets], np.uint32).reshape(len(sets), HASHES)
         keys = band_keys(sigs)
@@ -139,7 +139,7 @@ def sets_of(df: DataFrame, ids: DataFrame, k: int, id_col: str, text_col: str) -
     """``id`` and ``members`` (its shingle hashes, sorted, packed) of the documents in
     ``ids``. The ids are broadcast if their measured size allows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_batches(batches, "text", 4 << 20):
+        for part, texts in text_batches(batches, "text", 1 << 20):
             sets, _ = shingle_sets(texts, k)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -318,18 +318,18 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int, least):
                  pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows (key, id, label) of buckets dealt into blocks (c: part of the bucket, d: part
     of its rest): a bucket's document stands once in each rest part's row of blocks, a
     document of the rest also once in each part's column."""
     per_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     per_key = per_label.groupBy("key").agg(
         F.sum("n").alias("n_all"), F.max(F.struct("n", "label")).alias("top"))
-    per_key = per_key.where("top.n < n_all").select(
+    per_key = scratch.stage(per_key.where("top.n < n_all").select(
         F.col("key"), F.col("top.label").alias("main"),
         F.ceil(F.col("n_all") / BLOCK).cast("int").alias("n_c"),
-        F.ceil((F.col("n_all") - F.col("top.n")) / BLOCK).cast("int").alias("n_d"))
-    placed = rows.join(per_key, "key").withColumn("h", F.xxhash64("id"))
+        F.ceil((F.col("n_all") - F.col("top.n")) / BLOCK).cast("int").alias("n_d")), "per-key")
+    placed = _by_key(rows, per_key).withColumn("h", F.xxhash64("id"))
     full = placed.select("key", "id", "label", F.lit(False).alias("rest"),
                          F.pmod("h", "n_c").cast("int").alias("c"),
                          F.explode(F.sequence(F.lit(0), F.col("n_d") - 1)).alias("d"))
@@ -366,9 +366,9 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, miss: float =
                                                       F.col("rep").alias("b"))
 
     bands = reps.select("id", F.explode("keys").alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")) \
-        .where("hub < top").select("key", "hub")
-    buckets = scratch.stage(bands.join(hubs, "key"), "buckets")
+    hubs = scratch.stage(bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
+                         .where("hub < top").select("key", "hub"), "hubs")
+    buckets = scratch.stage(_by_key(bands, hubs), "buckets")
     stars = buckets.where("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")) \
         .distinct()
     signatures = reps.select("id", "sig")
@@ -385,11 +385,11 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, miss: float =
 
     labelled = buckets.join(first, "id", "left") \
         .select("key", "hub", "id", F.coalesce("component", "id").alias("label"))
-    rest = scratch.stage(_unseen(labelled), "rest")
+    rest = scratch.stage(_unseen(labelled, scratch), "rest")
     ids = scratch.stage(rest.select("id").distinct(), "ids")
     sets = scratch.stage(sets_of(df, ids, k, id_col, text_col), "sets")
     full = reps.select("id", "sig").join(sets, "id")
-    blocks = _blocks(rest).join(full, "id").repartition("key", "c", "d") \
+    blocks = _blocks(rest, scratch).join(full, "id").repartition("key", "c", "d") \
         .sortWithinPartitions("key", "c", "d") \
         .select("key", "c", "d", "id", "label", "rest", "sig", "members")
     more = scratch.stage(blocks.mapInArrow(
@@ -397,7 +397,7 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, miss: float =
     scratch.drop(sets, ids, rest)
     everything = links.unionByName(more).unionByName(copy_links)
     final = components(everything, scratch)
-    scratch.drop(buckets, links, more, reps)
+    scratch.drop(hubs, buckets, links, more, reps)
     out = docs.select("doc_id", "n_shingles").join(
         final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -405,12 +405,21 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, miss: float =
                       component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def _unseen(labelled: DataFrame) -> DataFrame:
+def _by_key(rows: DataFrame, per_key: DataFrame) -> DataFrame:
+    """Rows of buckets with the row of their key. ``per_key`` is staged, not aggregated on
+    the way, so that a hot key's rows needn't meet in one task: the planner broadcasts a small
+    table, and a shuffle join of two plain exchanges can be split."""
+    return rows.join(per_key, "key")
+
+
+def _unseen(labelled: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows of buckets that hold documents of different components which haven't met: a
     bucket's documents have all met its hub, so that the others must differ."""
-    others = labelled.where("id != hub").groupBy("key").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    return labelled.where("id != hub").join(others, "key").select("key", "id", "label")
+    others = scratch.stage(
+        labelled.where("id != hub").groupBy("key").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
+        .select("key"), "unseen")
+    return _by_key(labelled.where("id != hub"), others).select("key", "id", "label")
 
 
 def keep_one(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
