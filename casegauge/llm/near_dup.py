@@ -221,7 +221,8 @@ def _both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """id -> component (smallest id reachable) for all ends of ``edges`` (a, b), by
     alternating large-star and small-star steps until the edges no longer change. A star's
-    centre is found by a grouped minimum and joined back, so no group is gathered."""
+    centre is found by a grouped minimum, staged and joined back, so no group is gathered and
+    a hot centre's rows can be split."""
     now = scratch.stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .where("u > v").distinct(), "cc")
     state = None
@@ -229,18 +230,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         # large star: neighbours above u go to the smallest of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        least = scratch.stage(least.select("u", F.least("u", "m").alias("m")), "cc-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"),
                                                             F.col("m").alias("v"))
-        large = large.where("u > v").distinct()
+        large = scratch.stage(large.where("u > v").distinct(), "cc-large")
         # small star: u and its smaller neighbours go to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = scratch.stage(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(low.select("u", F.col("m").alias("v")))
         after = scratch.stage(small.where("u > v").distinct(), "cc")
         sums = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
                          ).first()
-        scratch.drop(now)
+        scratch.drop(now, least, large, low)
         now = after
         if tuple(sums) == state:
             break
