@@ -37,6 +37,7 @@ from casegauge.llm.common import text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 LONG_WORD = 400
+SLICE = 1 << 20  # bytes of texts that are merged together
 # Fixed value: the pretoken pattern of this vocabulary's byte-level splitter.
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -276,34 +277,48 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _with_column(df: DataFrame, name: str, kind: T.DataType, fn) -> DataFrame:
-    schema = T.StructType([*df.schema.fields, T.StructField(name, kind)])
-    return df.mapInArrow(fn, schema)
+def _pack(ids: list[np.ndarray]) -> pa.Array:
+    return pa.array([x.tobytes() for x in ids], pa.binary())
+
+
+def _mapped(df: DataFrame, added: list[tuple[str, T.DataType]], source: str, limit: int,
+            values) -> DataFrame:
+    """``df`` with columns that ``values(texts or packed ids)`` computes per slice."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, given in text_batches(batches, source, limit):
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, *values(given)],
+                names=[*part.schema.names, *[name for name, _ in added]])
+    return df.mapInArrow(run, T.StructType(
+        [*df.schema.fields, *[T.StructField(name, kind) for name, kind in added]]))
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with ``ids_col``: the text's token ids as little-endian unsigned 32-bit
     integers in one binary value (``unpack_ids`` makes an array of them)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load(path)
-        for part, texts in text_batches(batches, text_col, 2 << 20):
-            ids = vocabulary.encode([t.decode() for t in texts])
-            column = pa.array([x.tobytes() for x in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([*part.columns, column],
-                                             names=[*part.schema.names, ids_col])
-    return _with_column(df, ids_col, T.BinaryType(), run)
+    def values(texts: list[bytes]):
+        return [_pack(load(path).encode([t.decode() for t in texts]))]
+    return _mapped(df, [(ids_col, T.BinaryType())], text_col, SLICE, values)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with ``text_col``: the text that the packed ids stand for (null ids: empty)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def values(packed: list[bytes]):
+        return [pa.array([load(path).decode(np.frombuffer(p, "<u4").astype(np.int64))
+                          for p in packed], pa.string())]
+    return _mapped(df, [(text_col, T.StringType())], ids_col, 4 * SLICE, values)
+
+
+def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+               decoded_col: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one Python worker per task instead of two."""
+    def values(texts: list[bytes]):
         vocabulary = load(path)
-        for part, packed in text_batches(batches, ids_col, 8 << 20):
-            texts = [vocabulary.decode(np.frombuffer(p, "<u4").astype(np.int64))
-                     for p in packed]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
-                                             names=[*part.schema.names, text_col])
-    return _with_column(df, text_col, T.StringType(), run)
+        ids = vocabulary.encode([t.decode() for t in texts])
+        return [_pack(ids), pa.array([vocabulary.decode(x.astype(np.int64)) for x in ids],
+                                     pa.string())]
+    return _mapped(df, [(ids_col, T.BinaryType()), (decoded_col, T.StringType())], text_col,
+                   SLICE, values)
 
 
 def unpack_ids(df: DataFrame, ids_col: str = "ids") -> DataFrame:
@@ -323,7 +338,7 @@ def digest(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """Encode whole texts, decode the ids again, and return per row: id, n_tokens, SHA-256
     of the packed ids and of the decoded text."""
     texts = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    coded = decode(encode(texts, path).drop("text"), path)
+    coded = round_trip(texts, path)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

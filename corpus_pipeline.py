@@ -34,8 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = bpe.vocabulary_path()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path).drop("text"), path)
+    coded = bpe.round_trip(docs.select("doc_id", "source", "text"), bpe.vocabulary_path())
     return coded.select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
