@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegauge.llm.common import Scratch, text_batches
+from casegauge.llm.common import Scratch, mix64, text_batches
 from casegauge.operators.joins import broadcast_if_small
 
 ORDER = 4
@@ -55,34 +55,41 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ctx[own], points[ORDER - 1:][own], sizes
 
 
+def _hash(ctx: np.ndarray, tok: np.ndarray) -> np.ndarray:
+    return mix64(mix64(ctx.astype(np.uint64)) + tok.astype(np.uint64))
+
+
 def _unique(ctx, tok, weights):
-    """Distinct (ctx, tok) with summed weights (one column per model)."""
-    order = np.lexsort((tok, ctx))
-    ctx, tok, weights = ctx[order], tok[order], weights[order]
-    first = np.ones(len(ctx), bool)
-    first[1:] = (ctx[1:] != ctx[:-1]) | (tok[1:] != tok[:-1])
-    at = np.flatnonzero(first)
-    return ctx[at], tok[at], np.add.reduceat(weights, at, axis=0) if len(at) else weights
+    """Distinct (ctx, tok) with summed weights (one column per model). Sorts one 64-bit hash
+    per n-gram; should two n-grams share one, the n-grams themselves are sorted."""
+    if not len(ctx):
+        return ctx, tok, weights
+    h = _hash(ctx, tok)
+    order = np.argsort(h)
+    h, c, t = h[order], ctx[order], tok[order]
+    new = h[1:] != h[:-1]
+    if ((c[1:] != c[:-1]) | (t[1:] != t[:-1]) != new).any():
+        order = np.lexsort((tok, ctx))
+        c, t = ctx[order], tok[order]
+        new = (c[1:] != c[:-1]) | (t[1:] != t[:-1])
+    at = np.concatenate([[0], np.flatnonzero(new) + 1])
+    return c[at], t[at], np.add.reduceat(weights[order], at, axis=0)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The n-grams of a task with their counts: batches are counted one by one and merged
+    """The n-grams of a task with their counts: slices are counted one by one and merged
     pairwise by size, so that memory follows the distinct n-grams."""
     held: list[tuple] = []
 
     def merge(parts):
         return _unique(*(np.concatenate([p[i] for p in parts]) for i in range(3)))
-    for part, texts in text_batches(batches, "text", 4 << 20):
+    for part, texts in text_batches(batches, "text", 2 << 20):
         ctx, tok, sizes = grams(texts)
-        target = np.repeat(np.asarray(part.column("target").fill_null(False)
-                                      .to_numpy(zero_copy_only=False)), sizes)
-        # sorting one number is several times faster than sorting pairs
-        contexts, rank = np.unique(ctx, return_inverse=True)
-        key = rank.astype(np.int64) << _BITS | tok
-        keys, inverse = np.unique(key, return_inverse=True)
-        n = np.bincount(inverse, minlength=len(keys))
-        t = np.bincount(inverse[target], minlength=len(keys))
-        held.append((contexts[keys >> _BITS], keys & ((1 << _BITS) - 1), np.stack([t, n], 1)))
+        target = np.asarray(part.column("target").fill_null(False).to_numpy(zero_copy_only=False))
+        weights = np.ones((len(ctx), 2), np.int32)
+        weights[:, 0] = np.repeat(target, sizes)
+        c, t, n = _unique(ctx, tok, weights)
+        held.append((c, t, n.astype(np.int64)))
         while len(held) > 1 and len(held[-2][0]) < 2 * len(held[-1][0]):
             held[-2:] = [merge(held[-2:])]
     if held:
@@ -139,17 +146,28 @@ def train(counts: DataFrame) -> DataFrame:
 
 
 class _Table:
-    """The models as sorted arrays for look-up inside tasks."""
+    """The models as arrays for look-up inside tasks: a hash table of row numbers, in which
+    the last row of a slot wins; n-grams that lost their slot are found by binary search."""
 
     def __init__(self, ctx: np.ndarray, tok: np.ndarray, losses: np.ndarray):
-        self.contexts, rank = np.unique(ctx, return_inverse=True)
-        key = rank.astype(np.int64) << _BITS | tok
-        order = np.argsort(key)
-        self.keys, self.losses = key[order], losses[order]
+        order = np.lexsort((tok, ctx))
+        self.ctx, self.tok, self.losses = ctx[order], tok[order].astype(np.int32), losses[order]
+        self.shift = np.uint64(64 - max(4, int(len(ctx)).bit_length() + 2))
+        self.slots = np.zeros(1 << int(64 - self.shift), np.int32)
+        self.slots[self._slot(self.ctx, self.tok)] = np.arange(len(ctx))
+        self.contexts, first = np.unique(self.ctx, return_index=True)
+        self.keys = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(ctx)))) \
+            << _BITS | self.tok
+
+    def _slot(self, ctx, tok):
+        return (_hash(ctx, tok) >> self.shift).astype(np.int64)
 
     def __call__(self, ctx: np.ndarray, tok: np.ndarray) -> np.ndarray:
-        rank = np.searchsorted(self.contexts, ctx)
-        return self.losses[np.searchsorted(self.keys, rank << _BITS | tok)]
+        row = self.slots[self._slot(ctx, tok)]
+        lost = np.flatnonzero((self.ctx[row] != ctx) | (self.tok[row] != tok))
+        rank = np.searchsorted(self.contexts, ctx[lost])
+        row[lost] = np.searchsorted(self.keys, rank << _BITS | tok[lost])
+        return self.losses[row]
 
 
 SCORED = "n_tokens bigint, sum_target double, sum_background double"
@@ -157,14 +175,13 @@ SCORED = "n_tokens bigint, sum_target double, sum_background double"
 
 def _score(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:
     model = table.value
-    for part, texts in text_batches(batches, "text", 4 << 20):
+    for part, texts in text_batches(batches, "text", 2 << 20):
         ctx, tok, sizes = grams(texts)
-        at = np.concatenate([[0], np.cumsum(sizes)])
         sums = np.zeros((len(texts), 2))
-        if len(ctx):
-            total = np.zeros((len(ctx) + 1, 2))
-            np.cumsum(model(ctx, tok), axis=0, out=total[1:])
-            sums = total[at[1:]] - total[at[:-1]]
+        some = sizes > 0
+        if some.any():  # summed text by text, so that slices don't show in the last digits
+            begins = (np.cumsum(sizes) - sizes)[some]
+            sums[some] = np.add.reduceat(model(ctx, tok), begins, axis=0)
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array(sizes), pa.array(sums[:, 0]), pa.array(sums[:, 1])],
             names=["doc_id", "n_tokens", "sum_target", "sum_background"])
@@ -172,7 +189,7 @@ def _score(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]
 
 def _doc_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct n-grams of each text with their counts (for the joined path)."""
-    for part, texts in text_batches(batches, "text", 4 << 20):
+    for part, texts in text_batches(batches, "text", 2 << 20):
         for row, text in enumerate(texts):
             ctx, tok, _ = grams([text])
             if not len(ctx):
