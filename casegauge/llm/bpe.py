@@ -321,17 +321,13 @@ def round_trip(df: DataFrame, path: str, text_col: str = "text", ids_col: str =
                    SLICE, values)
 
 
-def unpack_ids(df: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """Replace packed ids by an array<int>, JVM-side."""
-    i = F.col(f"`{ids_col}`")
-
-    def one(k):
-        part = F.substring(F.hex(i), k * 8 + 1, F.lit(8))
-        swapped = F.concat(*[F.substring(part, 7 - 2 * b, 2) for b in range(4)])
-        return F.conv(swapped, 16, 10).cast("int")
-    n = (F.octet_length(i) / 4).cast("int")
-    return df.withColumn(ids_col, F.when(n == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), one)))
+def unpack_ids(df: DataFrame, ids_col: str = "ids", array_col: str = "token_ids") -> DataFrame:
+    """``df`` with packed ids also as an array<int> (null ids: empty)."""
+    def values(packed: list[bytes]):
+        flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
+        ends = np.cumsum([0, *[len(p) // 4 for p in packed]]).astype(np.int32)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+    return _mapped(df, [(array_col, T.ArrayType(T.IntegerType()))], ids_col, 4 * SLICE, values)
 
 
 def digest(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
