@@ -8,9 +8,9 @@ one set-based job:
 1. per level, a *pool* of the first ``K = target + min_per_level`` scored records of each
    group in a seeded pseudo-random order (``md5(seed|id)``; ``row_number <= K`` lets Spark
    cut each group to K rows before the shuffle);
-2. each record joins its three pools (the pools are small -- K per group -- and are
-   broadcast when a size check allows), drops itself, and keeps each candidate at its
-   lowest level;
+2. each record joins its three pools, one array of at most K examples per group and level
+   (each level broadcast on its own when a size check allows), drops itself, and keeps each
+   candidate at its lowest level, inside the row;
 3. closed-form quotas ``t1 = min(c1, T)``, ``t2 = t1 < M ? min(c2, T - t1) : 0``,
    ``t3 = t1 + t2 < M ? min(c3, T - t1 - t2) : 0`` pick the first ``t_i`` of level i.
 
@@ -68,47 +68,49 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     what keeps the use of the examples skew-free: every record of a hot group is given the
     same few pool members, so joining details back on ``example_id`` afterwards would
     send a third of all example rows to one key.
+
+    A pool is one row per group holding an array of at most ``K`` examples. Each level's
+    table is joined on its own (broadcast if its own size allows), and the quotas are taken
+    inside the row, so neither records nor candidates are shuffled where the pools are
+    broadcast, and only the chosen examples (at most ``target``) leave the row.
     """
-    if min_per_level > target:
-        raise ValueError("min_per_level must not exceed target")
     k = target + min_per_level
     carry = [c for c in carry if c not in ("case_id", "verdict")]
-    pool, broadcast = joins.broadcast_if_small(
-        joins.materialize(pools(scored, k, seed, levels, carry)), max_broadcast_rows)
-    rec = records.select("case_id", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("level"), F.nullif(F.col(c), F.lit("")).alias("grp"))
-        for i, c in enumerate(levels, start=1)])).alias("l")).select(
-        "case_id", "l.level", "l.grp").where(F.col("grp").isNotNull())
-    cand = (rec.join(pool, ["level", "grp"], "inner")
-            .where(F.col("example_id") != F.col("case_id")))
-    # one shuffle by record; every window below reuses that partitioning
-    cand = cand.repartition("case_id")
-    first = Window.partitionBy("case_id", "example_id").orderBy("level")
-    dedup = (cand.withColumn("__f", F.row_number().over(first)).where(F.col("__f") == 1)
-             .drop("__f", "grp"))
-    per_level = Window.partitionBy("case_id", "level").orderBy("okey", "example_id")
-    per_rec = Window.partitionBy("case_id")
-    ranked = dedup.withColumn("r", F.row_number().over(per_level))
-    n = len(levels)
-    # the per-level candidate counts in one select: one Window operator, not n
-    ranked = ranked.select("*", *[F.sum(F.when(F.col("level") == i, 1).otherwise(0))
-                                  .over(per_rec).alias(f"c{i}") for i in range(1, n + 1)])
-    # quotas: level 1 takes min(c1, T); a lower level is consulted only while fewer than
-    # M were taken above, and takes what is still missing to T
-    T, M = F.lit(target), F.lit(min_per_level)
-    taken, quota = F.lit(0), None
-    for i in range(1, n + 1):
-        t_i = F.least(F.col(f"c{i}"), T - taken)
-        if i > 1:
-            t_i = F.when(taken < M, t_i).otherwise(0)
-        quota = (F.when(F.col("level") == i, t_i) if quota is None
-                 else quota.when(F.col("level") == i, t_i))
-        taken = taken + t_i
-    kept = ranked.where(F.col("r") <= quota)
+    members = joins.materialize(
+        pools(scored, k, seed, levels, carry).groupBy("level", "grp").agg(F.sort_array(
+            F.collect_list(F.struct("okey", "example_id", "verdict", *carry))).alias("pool")))
+    now = records.select("case_id", *[F.nullif(F.col(c), F.lit("")).alias(f"__g{i}")
+                                      for i, c in enumerate(levels, start=1)])
+    for i in range(1, len(levels) + 1):
+        pool, _ = joins.broadcast_if_small(
+            members.where(F.col("level") == i)
+            .select(F.col("grp").alias(f"__g{i}"), F.col("pool").alias(f"__p{i}")),
+            max_broadcast_rows)
+        now = now.join(pool, f"__g{i}", "left")
+    # per level: the pool without the record itself and without what an earlier level has;
+    # level 1 takes min(c1, T), a lower one is consulted only while fewer than M were taken
+    now = now.withColumns({"__seen": F.array("case_id"), "__n": F.lit(0)})
+    for i in range(1, len(levels) + 1):
+        pool = F.coalesce(F.col(f"__p{i}"), F.array().cast(members.schema["pool"].dataType))
+        now = now.withColumn(f"__p{i}", F.filter(
+            pool, lambda x: ~F.array_contains(F.col("__seen"), x["example_id"])))
+        now = now.withColumn("__seen", F.concat("__seen", F.transform(
+            f"__p{i}", lambda x: x["example_id"])))
+        room = F.least(F.size(f"__p{i}"), F.lit(target) - F.col("__n"))
+        quota = room if i == 1 else F.when(F.col("__n") < min_per_level, room).otherwise(0)
+        now = now.withColumn("__q", quota)
+        now = now.withColumn(f"__p{i}", F.slice(F.col(f"__p{i}"), F.lit(1), F.col("__q")))
+        now = now.withColumn("__n", F.col("__n") + F.col("__q"))
     # 1-based example ordinals, capability examples first
-    ordinal = F.row_number().over(Window.partitionBy("case_id").orderBy("level", "r"))
-    return kept.select("case_id", "example_id", "level", ordinal.cast("long").alias("ordinal"),
-                       "verdict", *carry)
+    levelled = [F.transform(f"__p{i}", _with_level(i)) for i in range(1, len(levels) + 1)]
+    out = now.select("case_id", F.posexplode(F.concat(*levelled)).alias("__i", "e"))
+    return out.select("case_id", "e.x.example_id", "e.level",
+                      (F.col("__i") + 1).cast("long").alias("ordinal"), "e.x.verdict",
+                      *[F.col(f"e.x.`{c}`").alias(c) for c in carry])
+
+
+def _with_level(level: int):
+    return lambda x: F.struct(F.lit(level).alias("level"), x.alias("x"))
 
 
 # The example's own details shown in its block (carried through the pools).
