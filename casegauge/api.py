@@ -169,7 +169,7 @@ def generate_endpoint_file(spark: SparkSession, csv_path: str, out_dir: str,
     ok, rejected = files.endpoints_from_source(src, base=base_url)
     stem = csv_path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
     out = f"{out_dir.rstrip('/')}/{stem}-endpoint"
-    ok.write.mode("overwrite").option("header", True).option("escape", '"').csv(out)
+    files.csv_writer(ok.write.mode("overwrite")).csv(out)
     return out, rejected
 
 
@@ -182,7 +182,7 @@ def build_links_file(spark: SparkSession, csv_path: str, out_dir: str,
     enriched = files.add_link_column(src, base=base_url)
     name = csv_path.rstrip("/").rsplit("/", 1)[-1].replace(".csv", "_with_links.csv")
     out = f"{out_dir.rstrip('/')}/{name.rsplit('.', 1)[0]}"
-    enriched.write.mode("overwrite").option("header", True).option("escape", '"').csv(out)
+    files.csv_writer(enriched.write.mode("overwrite")).csv(out)
     return out, enriched
 
 
@@ -310,8 +310,9 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     if evaluator is None:
         scored = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
     else:
+        # one title per id: repeated ids must not multiply the evaluator's rows
         scored = score.score(work, evaluator, parallelism=parallelism).join(
-            work.select("case_id", "title"), "case_id", "left")
+            work.select("case_id", "title").dropDuplicates(["case_id"]), "case_id", "left")
     scored = joins.materialize(scored.select("case_id", "title", "evaluation", "report_case_id"))
 
     e = lambda f: F.col(f"evaluation.{f}")

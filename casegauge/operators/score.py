@@ -23,8 +23,9 @@ from casegauge.functions import text
 # --- Fixed values: vocabulary of the deterministic standards screen. ---
 IMPERATIVE_VERBS = ("open", "click", "enter", "type", "select", "navigate", "go", "verify",
                     "check", "input", "fill", "submit", "press", "login", "log", "tap",
-                    "choose", "upload", "download", "scroll", "wait", "launch", "close")
-INPUT_VERBS = ("enter", "type", "input", "fill")
+                    "choose", "upload", "download", "scroll", "wait", "launch", "close", "insert")
+INPUT_VERBS = ("enter", "type", "input", "fill", "insert")
+ORDINAL_RE = r"^[0-9]+\.\s*"
 CREDENTIAL_WORDS = ("username", "password", "login", "credential", "account", "role", "user")
 ENVIRONMENT_WORDS = ("sit", "uat", "staging", "prod", "production", "environment")
 COMPOUND_WORDS = ("then", "and then")
@@ -44,6 +45,10 @@ COMPOUND_RE = _words(COMPOUND_WORDS)
 DATA_RE = "[\"'0-9]"
 
 
+def _step(line: Column) -> Column:
+    return text.py_strip(F.regexp_replace(text.py_strip(line), ORDINAL_RE, ""))
+
+
 def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "test_steps",
                 expected: str = "expected_result") -> DataFrame:
     """Evaluate the three criteria with native predicates; adds an ``evaluation``
@@ -59,8 +64,10 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
         *base,
         F.lower(F.coalesce(F.col(pre), F.lit(""))).alias("__p"),
         # lower-casing never adds or removes a newline, so the whole text is lowered once
+        # the screen's own steps are numbered lines ("1. Click ..."): the ordinal is no
+        # part of the step, and its digit is no test data
         F.filter(F.transform(F.split(F.lower(F.coalesce(F.col(steps), F.lit(""))), "\n"),
-                             text.py_strip), lambda s: s != "").alias("__low"),
+                             _step), lambda s: s != "").alias("__low"),
         text.py_strip(F.coalesce(F.col(expected), F.lit(""))).alias("__e"))
     # 2) the predicates
     p, low = F.col("__p"), F.col("__low")

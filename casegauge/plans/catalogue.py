@@ -208,7 +208,8 @@ def _run_snapshots(spark: SparkSession, sf_dir: str):
                                          F.min("validated_at").alias("run_at"))
                 .select("run_id", F.lit(fx.PROVIDER).alias("provider"),
                         F.lit(model).alias("model"), "total_cases", "run_at"))
-    return runs_of(s.where(day <= 20), "standards-v1"), runs_of(s.where(day >= 15), "standards-v2")
+    return runs_of(s.where(day <= 20), "standards-v1"), runs_of(s.where(
+        ~F.coalesce(day < 15, F.lit(False))), "standards-v2")
 
 
 @query("upsert_cases")
@@ -333,6 +334,17 @@ def rule_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score.result_rows(score.rule_screen(cases))
 
 
+@query("rule_screen_numbered")
+def rule_screen_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 on steps as the screen's own report writes them ("1. Click ..."): the verdicts are
+    those of the plain lines."""
+    cases = fx.documents_as_cases(fx.tables(spark, sf_dir))
+    numbered = F.array_join(F.transform(
+        F.split("test_steps", "\n"),
+        lambda s, i: F.concat((i + 1).cast("string"), F.lit(". "), s)), "\n")
+    return score.result_rows(score.rule_screen(cases.withColumn("test_steps", numbered)))
+
+
 @query("score_batch")
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pluggable Python evaluator over Arrow batches; replies parsed natively."""
@@ -381,13 +393,15 @@ from casegauge.streaming import incremental as inc  # noqa: E402
 def _land_scores(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
     s = fx.scores(fx.tables(spark, sf_dir))
     day = F.dayofmonth("validated_at")
-    inc.land_files(s.where(day <= 15) if part == "first" else s.where(day > 15), src, 2)
+    first = F.coalesce(day <= 15, F.lit(False))
+    inc.land_files(s.where(first if part == "first" else ~first), src)
 
 
 def _land_results(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
     r = fx.scored_results(fx.tables(spark, sf_dir))
     day = F.dayofmonth("validated_at")
-    inc.land_files(r.where(day <= 15) if part == "first" else r.where(day > 15), src, 2)
+    first = F.coalesce(day <= 15, F.lit(False))
+    inc.land_files(r.where(first if part == "first" else ~first), src)
 
 
 @query("stream_records")
@@ -399,20 +413,19 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, store_dir, ckpt = f"{base}/in", f"{base}/store", f"{base}/ckpt"
     for part in ("first", "second"):
         _land_results(spark, sf_dir, src, part)
-        inc.run_to_completion(inc.save_results_stream(spark, src, store_dir, ckpt,
-                                                      files_per_batch=1))
+        inc.run_to_completion(inc.save_results_stream(spark, src, store_dir, ckpt))
     return inc.current_records(spark.read.parquet(f"{store_dir}/record_log"))
 
 
 @query("stream_counters")
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run counters maintained by a streaming aggregate over landed score files
-    (4 micro-batches, two arrivals); must equal the batch aggregate."""
+    (two arrivals, each its own micro-batch); must equal the batch aggregate."""
     base = scratch_path(spark, "stream-counters")
     src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
     for part in ("first", "second"):
         _land_scores(spark, sf_dir, src, part)
-        inc.run_to_completion(inc.run_counters_stream(spark, src, sink, ckpt, files_per_batch=1))
+        inc.run_to_completion(inc.run_counters_stream(spark, src, sink, ckpt))
     return inc.read_merged(spark, sink, "run_id")
 
 
@@ -424,7 +437,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, sink, ckpt = f"{base}/in", f"{base}/facts", f"{base}/ckpt"
     for part in ("first", "second"):
         _land_scores(spark, sf_dir, src, part)
-        inc.run_to_completion(inc.save_scores_stream(spark, src, sink, ckpt, files_per_batch=1))
+        inc.run_to_completion(inc.save_scores_stream(spark, src, sink, ckpt))
     return spark.read.parquet(sink).drop("batch_id")
 
 

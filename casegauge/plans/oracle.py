@@ -145,9 +145,8 @@ runs AS (
   FROM scores GROUP BY run_id
 ),
 latest AS (
-  SELECT a.* FROM scores a
-  JOIN (SELECT case_id, max(validated_at) AS max_ts FROM scores GROUP BY case_id) b
-    ON a.case_id = b.case_id AND a.validated_at = b.max_ts
+  SELECT * FROM scores WHERE validated_at IS NOT NULL
+  QUALIFY rank() OVER (PARTITION BY case_id ORDER BY validated_at DESC) = 1
 ),
 view AS (
   SELECT c.*, l.score_id, l.run_id, l.verdict, l.preconditions_passed, l.test_steps_passed,
@@ -459,11 +458,22 @@ doc_cases AS (
   FROM doc_lines
 )"""
 
+# The expected vocabulary of the deterministic screen, stated here on its own.
+X2_URL_RE = "https?://"
+X2_CREDENTIAL_RE = "(^|[^a-z])(username|password|login|credential|account|role|user)([^a-z]|$)"
+X2_ENVIRONMENT_RE = "(^|[^a-z])(sit|uat|staging|prod|production|environment)([^a-z]|$)"
+X2_IMPERATIVE_RE = ("^(open|click|enter|type|select|navigate|go|verify|check|input|fill|submit|press|"
+                    "login|log|tap|choose|upload|download|scroll|wait|launch|close|insert)([^a-z]|$)")
+X2_INPUT_RE = "^(enter|type|input|fill|insert)([^a-z]|$)"
+X2_COMPOUND_RE = "(^|[^a-z])(then|and then)([^a-z]|$)"
+X2_DATA_RE = "[\"'0-9]"
+
 SQL["rule_screen"] = f"""
 WITH {DOC_CASES},
 parts AS (
   SELECT case_id, title, lower(coalesce(pre_conditions, '')) AS p,
-    list_filter(string_split(coalesce(test_steps, ''), chr(10)), lambda s: {_strip('s')} <> '') AS step_lines,
+    list_filter(list_transform(string_split(coalesce(test_steps, ''), chr(10)),
+      lambda s: {_strip("regexp_replace(" + _strip('s') + ", '^[0-9]+[.][ \\t]*', '')")}), lambda s: s <> '') AS step_lines,
     {_strip("coalesce(expected_result, '')")} AS e
   FROM doc_cases
 ),
@@ -472,14 +482,14 @@ low AS (
 ),
 f AS (
   SELECT case_id, title,
-    regexp_matches(p, {_q(_s.URL_RE)}) OR regexp_matches(coalesce(low_steps[1], ''), {_q(_s.URL_RE)}) AS has_url,
-    regexp_matches(p, {_q(_s.CREDENTIAL_RE)}) AS has_cred,
-    regexp_matches(p, {_q(_s.ENVIRONMENT_RE)}) AS env_word,
+    regexp_matches(p, {_q(X2_URL_RE)}) OR regexp_matches(coalesce(low_steps[1], ''), {_q(X2_URL_RE)}) AS has_url,
+    regexp_matches(p, {_q(X2_CREDENTIAL_RE)}) AS has_cred,
+    regexp_matches(p, {_q(X2_ENVIRONMENT_RE)}) AS env_word,
     len(step_lines) > 0 AS has_steps,
-    coalesce(list_bool_and(list_transform(low_steps, lambda s: regexp_matches(s, {_q(_s.IMPERATIVE_RE)}))), true) AS imperative,
-    coalesce(list_bool_and(list_transform(low_steps, lambda s: NOT regexp_matches(s, {_q(_s.COMPOUND_RE)}))), true) AS atomic,
-    coalesce(list_bool_and(list_transform(low_steps, lambda s: NOT regexp_matches(s, {_q(_s.INPUT_RE)})
-                                                   OR regexp_matches(s, {_q(_s.DATA_RE)}))), true) AS with_data,
+    coalesce(list_bool_and(list_transform(low_steps, lambda s: regexp_matches(s, {_q(X2_IMPERATIVE_RE)}))), true) AS imperative,
+    coalesce(list_bool_and(list_transform(low_steps, lambda s: NOT regexp_matches(s, {_q(X2_COMPOUND_RE)}))), true) AS atomic,
+    coalesce(list_bool_and(list_transform(low_steps, lambda s: NOT regexp_matches(s, {_q(X2_INPUT_RE)})
+                                                   OR regexp_matches(s, {_q(X2_DATA_RE)}))), true) AS with_data,
     e <> '' AS has_expected
   FROM low
 ),
@@ -517,6 +527,9 @@ SELECT CAST(case_id AS VARCHAR) AS "Test Case ID", title AS "Title",
 FROM k
 """
 
+# numbering the lines changes nothing
+SQL["rule_screen_numbered"] = SQL["rule_screen"]
+
 SQL["score_batch"] = f"""
 WITH {DOC_CASES},
 f AS (

@@ -36,10 +36,10 @@ TARGET_SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
 def shuffle_partitions_for(shuffle_bytes: int, cores: int) -> int:
     """Initial ``spark.sql.shuffle.partitions`` for a cluster: enough partitions that each
     holds ~200 MB of the largest shuffle, and at least 3 waves of the cluster's cores (AQE
-    coalesces the small ones back together). 100 TB of shuffle on 8,000 cores -> 524,288
-    would be too many tasks; the result is capped at 40 per core."""
+    coalesces the small ones back together). There is no upper limit: fewer partitions
+    would be larger than the target and spill."""
     by_size = -(-shuffle_bytes // TARGET_SHUFFLE_PARTITION_BYTES)
-    return int(max(3 * cores, min(by_size, 40 * cores)))
+    return int(max(3 * cores, by_size))
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,

@@ -60,6 +60,13 @@ def require_columns(df: DataFrame, required) -> DataFrame:
     return df
 
 
+def csv_writer(writer):
+    """Options of every CSV the package writes: a header, doubled quotes, and values as they
+    are (by default the writer would trim their blanks)."""
+    return (writer.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def read_csv(spark: SparkSession, path: str, required=()) -> DataFrame:
     """Header CSV, all columns as text, quoted multi-line fields, '' -> NULL."""
     df = (spark.read.option("header", True).option("multiLine", True)
@@ -173,7 +180,7 @@ def write_snapshot(df: DataFrame, base: str, run_ts: str, fmt: str = "parquet")
     path = f"{base.rstrip('/')}/run_ts={run_ts}"
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        csv_writer(w).csv(path)
     else:
         w.parquet(path)
     return path

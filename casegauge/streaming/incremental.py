@@ -35,11 +35,10 @@ SCORE_SCHEMA = T.StructType([
 ])
 
 
-def land_files(df: DataFrame, path: str, n_files: int) -> None:
-    """Write ``df`` as ``n_files`` new files (an arrival). The sinks' results do not depend
-    on file order (merges go by timestamp, counters are sums), so the rows are simply
-    spread over the files -- no range sampling job."""
-    df.repartition(n_files).write.mode("append").parquet(path)
+def land_files(df: DataFrame, path: str) -> None:
+    """Write ``df`` as new files (an arrival), with the partitioning it has. The sinks'
+    results do not depend on file order (merges go by timestamp, counters are sums)."""
+    df.write.mode("append").parquet(path)
 
 
 RECORD_CONTENT = ("title", "tribe", "product", "capability")
@@ -137,9 +136,12 @@ def read_merged(spark: SparkSession, sink: str, key: list[str] | str) -> DataFra
     return df.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1).drop("__r", "batch_id")
 
 
-def run_to_completion(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; surface its failure instead of hanging."""
-    if not q.awaitTermination(timeout_s):
+def run_to_completion(q: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query, as long as it takes unless the caller gives a
+    limit; its failure is raised here."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream {q.id} did not finish in {timeout_s}s")
     if q.exception() is not None:

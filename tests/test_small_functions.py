@@ -62,7 +62,7 @@ def test_completed_ids_and_standards_text(spark):
 def test_shuffle_partition_sizing():
     assert shuffle_partitions_for(0, 100) == 300                       # at least 3 waves
     assert shuffle_partitions_for(1000 * 200 * 1024 * 1024, 100) == 1000
-    assert shuffle_partitions_for(100 * 2 ** 40, 8000) == 320_000      # capped at 40 per core
+    assert shuffle_partitions_for(100 * 2 ** 40, 8000) == 524_288      # 200 MB each, no cap
 
 
 def test_id_helpers_match_python_regex_on_random_text(spark):
