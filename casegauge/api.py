@@ -307,6 +307,17 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
             F.lit(standards), c("context"), c("case_id"), c("title"), c("testing_type"),
             c("testing_phase"), c("pre_conditions"), c("test_steps"), c("expected_result"),
             instructions))
+    # the run is opened before anything is scored, so that scores stored by a call that
+    # fails later belong to a known run
+    opening = spark.createDataFrame([(run_id, provider, model, passed.count(), now)],
+                                    "run_id string, provider string, model string, "
+                                    "total_cases long, run_at string")
+
+    def save_run_snapshot(version: str) -> None:
+        snapshot = (store.run_counters(opening, read_facts(spark, store_base, run_id))
+                    .withColumn("seen_at", F.lit(now)).withColumn("version", F.lit(version)))
+        append_run(snapshot.select(*RUN_LOG_SCHEMA.fieldNames()), store_base, version)
+    save_run_snapshot(f"{stamp}.0")
     if evaluator is None:
         scored = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
     else:
@@ -339,12 +350,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
 
     # the run's snapshot: opening values (kept from the first snapshot on read) and the
     # counters recomputed over everything stored for the run
-    opening = spark.createDataFrame([(run_id, provider, model, passed.count(), now)],
-                                    "run_id string, provider string, model string, "
-                                    "total_cases long, run_at string")
-    snapshot = (store.run_counters(opening, read_facts(spark, store_base, run_id))
-                .withColumn("seen_at", F.lit(now)).withColumn("version", F.lit(stamp)))
-    append_run(snapshot.select(*RUN_LOG_SCHEMA.fieldNames()), store_base, stamp)
+    save_run_snapshot(f"{stamp}.1")
 
     rows = score.result_rows(scored, id_col="report_case_id")
     verdict = F.col("Verdict")

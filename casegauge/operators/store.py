@@ -40,6 +40,12 @@ def latest_per_key(facts: DataFrame, key: str = "case_id", ts: str = "validated_
     return facts.withColumn("__r", fn.over(w)).where(F.col("__r") <= 1).drop("__r")
 
 
+def _small_runs(runs: DataFrame, *cols: str) -> DataFrame:
+    """The runs' columns for a join: computed once, and broadcast if their measured size
+    allows, so that the facts aren't shuffled by run (a hot run would be one task)."""
+    return joins.broadcast_if_small(joins.materialize(runs.select(*cols)))[0]
+
+
 def records_with_latest(records: DataFrame, facts: DataFrame, runs: DataFrame,
                         dedup: bool = False) -> DataFrame:
     """J4 + J5: every record with its latest score (never-scored kept) and that score's run.
@@ -48,10 +54,11 @@ def records_with_latest(records: DataFrame, facts: DataFrame, runs: DataFrame,
     an error (both have a NULL verdict).
     """
     latest = latest_per_key(facts, dedup=dedup, tie_break=["score_id"] if dedup else None)
-    latest = latest.withColumn("__has", F.lit(True))
-    run_meta = runs.select("run_id", "provider", "model")
-    out = (records.join(latest, "case_id", "left")
-           .join(run_meta, "run_id", "left"))
+    # the run's columns are attached before the records are: never-scored records have no
+    # run, and must not meet at one NULL key
+    latest = latest.withColumn("__has", F.lit(True)).join(
+        _small_runs(runs, "run_id", "provider", "model"), "run_id", "left")
+    out = records.join(latest, "case_id", "left")
     return out.withColumn("never_scored", F.col("__has").isNull()).drop("__has")
 
 
@@ -59,7 +66,7 @@ def history(facts: DataFrame, runs: DataFrame, case_id=None) -> DataFrame:
     """J6 (+ P20 when ``case_id`` is given): scoring attempts with their run's provider and
     model, newest first within a record. Inner join, as in the reference."""
     f = facts if case_id is None else facts.where(F.col("case_id") == case_id)
-    return (f.join(runs.select("run_id", "provider", "model"), "run_id", "inner")
+    return (f.join(_small_runs(runs, "run_id", "provider", "model"), "run_id", "inner")
             .orderBy("case_id", F.col("validated_at").desc(), F.col("score_id").desc()))
 
 
@@ -171,15 +178,15 @@ def orphans(facts: DataFrame, records: DataFrame, runs: DataFrame,
     The score facts are never shuffled: their distinct record ids (map-side partial
     aggregation, however many scores a record has) are anti-joined with the records, and
     the unknown ids -- checkpointed and counted -- select the orphan rows by a broadcast
-    semi join when they are few (a shuffle join otherwise). Runs are a small table; the
-    planner broadcasts them by their measured size.
+    semi join when they are few (a shuffle join otherwise). Runs are broadcast under the
+    same measured bound.
     """
     fact_ids = facts.select("case_id").distinct()
     unknown = joins.materialize(fact_ids.join(records.select("case_id"), "case_id", "left_anti"))
     unknown, _ = joins.broadcast_if_small(unknown, max_broadcast_rows)
     no_rec = (facts.join(unknown, "case_id", "left_semi")
               .withColumn("reason", F.lit("unknown record")))
-    no_run = (facts.join(runs.select("run_id"), "run_id", "left_anti")
+    no_run = (facts.join(_small_runs(runs, "run_id"), "run_id", "left_anti")
               .withColumn("reason", F.lit("unknown run")))
     return reduce(DataFrame.unionByName, [no_rec, no_run])
 

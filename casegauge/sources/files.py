@@ -150,8 +150,10 @@ def ingest_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fetched_records(envelopes: DataFrame) -> DataFrame:
-    """P5: keep successful fetches (status exactly 200) and unnest the record."""
-    return envelopes.where(F.col("status_code") == 200).select("response.*")
+    """P5: keep successful fetches (status exactly 200) and unnest the record; a success
+    without a record yields no row."""
+    return envelopes.where((F.col("status_code") == 200) & F.col("response").isNotNull()) \
+        .select("response.*")
 
 
 def fetch_counts(envelopes: DataFrame) -> DataFrame:
