@@ -322,7 +322,7 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
         scored = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
     else:
         # one title per id: repeated ids must not multiply the evaluator's rows
-        scored = score.score(work, evaluator, parallelism=parallelism).join(
+        scored = score.score(work, evaluator, parallelism=parallelism, per_row=True).join(
             work.select("case_id", "title").dropDuplicates(["case_id"]), "case_id", "left")
     scored = joins.materialize(scored.select("case_id", "title", "evaluation", "report_case_id"))
 

@@ -162,15 +162,22 @@ REPLY_SCHEMA = T.StructType([
 ])
 
 
-def _run_evaluator(evaluator: Evaluator, id_col: str):
+class _OneByOne(Exception):
+    """The evaluator is called once per row."""
+
+
+def _run_evaluator(evaluator: Evaluator, id_col: str, per_row: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids = pdf[id_col].astype(str)
             try:
+                if per_row:
+                    raise _OneByOne
                 replies = pd.Series(evaluator(pdf), index=pdf.index).astype(object)
                 errors = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
             except Exception:
-                # isolate the failing rows: retry one row at a time
+                # one row at a time: as asked for, or to isolate the rows that fail (a batch
+                # that raised has answered none of its rows)
                 replies, errors = [], []
                 for i in range(len(pdf)):
                     try:
@@ -186,20 +193,23 @@ def _run_evaluator(evaluator: Evaluator, id_col: str):
 
 
 def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
-          columns: list[str] | None = None, parallelism: int | None = None) -> DataFrame:
+          columns: list[str] | None = None, parallelism: int | None = None,
+          per_row: bool = False) -> DataFrame:
     """Run ``evaluator`` (pandas DataFrame of cases -> Series of reply texts) over
     Arrow batches, then parse and validate replies natively.
 
     ``parallelism`` re-spreads the cases over that many tasks (the evaluator's
     concurrency, e.g. an external service's rate limit); by default the input
-    partitioning is kept. Failures never abort the job: a raising call or an invalid
+    partitioning is kept. With ``per_row`` the evaluator gets frames of one row, so every
+    record is called exactly once, also beside records that fail (a paid service); without,
+    a batch in which a row raises is called again row by row. Failures never abort the job: a raising call or an invalid
     reply gives a row with NULL verdict/flags and the message in the remarks.
     """
     cols = [id_col] + [c for c in (columns or cases.columns) if c != id_col]
     src = cases.select(*cols)
     if parallelism:
         src = src.repartition(parallelism)
-    replies = src.mapInPandas(_run_evaluator(evaluator, id_col), REPLY_SCHEMA)
+    replies = src.mapInPandas(_run_evaluator(evaluator, id_col, per_row), REPLY_SCHEMA)
     parsed = text.parse_replies(replies, "reply", "case_id", out="r")
     err = F.coalesce(F.col("call_error"), F.col("r.error"))
     ok = F.col("call_error").isNull() & F.col("r.valid")

@@ -36,6 +36,14 @@ def standards_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "Testing Phase")
 
 
+@query("passed_ordered")
+def passed_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passing rows of the screen in report order."""
+    rep = standards.flatten(fx.cases_raw(fx.tables(spark, sf_dir)))
+    return standards.report_order(standards.passed_only(rep)).select(
+        "Test Case ID", "General Standards", "Priority")
+
+
 @query("failure_breakdown")
 def failure_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures per criterion over the whole screen."""
@@ -124,6 +132,39 @@ def case_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.history(fx.scores(t), fx.runs(t))
 
 
+@query("case_point_history")
+def case_point_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attempts of one record (the most often scored; ties to the smaller id),
+    newest first."""
+    t = fx.tables(spark, sf_dir)
+    facts = fx.scores(t)
+    busiest = facts.groupBy("case_id").count().orderBy(F.desc("count"), "case_id").first()
+    return store.history(facts, fx.runs(t), busiest["case_id"] if busiest else -1)
+
+
+@query("completed_in_run")
+def completed_in_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records scored in the newest run."""
+    facts = fx.scores(fx.tables(spark, sf_dir))
+    return store.completed_ids(facts, facts.agg(F.max("run_id")).first()[0])
+
+
+@query("store_save_run")
+def store_save_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest run saved into a store that holds the others: its run row replaced, its
+    records upserted, its scores appended once. Returns the size of the three tables."""
+    t = fx.tables(spark, sf_dir)
+    facts, runs, cases = fx.scores(t), fx.runs(t), fx.cases(t)
+    newest = F.col("run_id") == facts.agg(F.max("run_id")).first()[0]
+    touched = cases.join(facts.where(newest).select("case_id").distinct(), "case_id", "left_semi")
+    recs, rns, fcts = store.save_run(cases, runs, facts.where(~newest), touched,
+                                     runs.where(newest), facts.where(newest), keep_first=())
+    return (recs.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("records"))
+            .unionByName(rns.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("runs")))
+            .unionByName(fcts.agg(F.countDistinct("score_id").alias("n"))
+                         .withColumn("part", F.lit("scores"))))
+
+
 @query("runs_newest_first")
 def runs_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: run summaries with their counters, newest first."""
@@ -161,6 +202,14 @@ def filtered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("case_id", "title", "tribe", "product", "capability", "verdict", "validated_at")
 
 
+@query("filtered_values")
+def filtered_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P16 P18 with real values: one tribe, latest verdict an error or none."""
+    view = _latest_view(spark, sf_dir)
+    return view.where(report.equals_unless_all("tribe", "EUROPE")) \
+        .where(report.verdict_filter("Error")).select("case_id", "product", "never_scored")
+
+
 @query("display_labels")
 def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Badges for verdicts and flags, dashes for blank metadata."""
@@ -253,6 +302,39 @@ def resume_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
                            t.labels.select("doc_id"), key="doc_id")
 
 
+# ------------------------------------------------------------------ dictionaries -------
+
+from casegauge.session import scratch_path  # noqa: E402
+from casegauge.sources import codemaps  # noqa: E402
+
+
+def _nation_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nations written as a dictionary JSON (with a comment entry) and loaded from it."""
+    names = fx.tables(spark, sf_dir).nation.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("n_nationkey").cast("string"), "n_name"))).alias("m"))
+    entries = F.map_concat("m", F.create_map(F.lit("_comment"), F.lit("not an id")))
+    text_ = F.to_json(F.struct(F.struct(entries.alias("NATION_MAP")).alias("field_maps")))
+    path = scratch_path(spark, "dictionary")
+    names.select(text_.alias("value")).coalesce(1).write.text(path)
+    return codemaps.load_dimension(spark, path)
+
+
+@query("dictionary_decode")
+def dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every customer decoded through a loaded dictionary."""
+    customers = fx.tables(spark, sf_dir).customer.select("c_custkey", "c_nationkey")
+    return codemaps.decode_with_dimension(customers, "c_nationkey",
+                                          _nation_dictionary(spark, sf_dir), "NATION_MAP", "nation")
+
+
+@query("reverse_lookup")
+def reverse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """an id by its label, whatever the label's case, and the customers that carry it."""
+    hit = codemaps.find_by_label(_nation_dictionary(spark, sf_dir), "NATION_MAP", "Nation_7")
+    customers = fx.tables(spark, sf_dir).customer.select("c_custkey", "c_nationkey")
+    return customers.join(hit, customers["c_nationkey"] == hit["id"]).select("c_custkey", "id")
+
+
 # ------------------------------------------------------------------ text & scoring -----
 
 from casegauge.functions import html, text  # noqa: E402

@@ -98,6 +98,13 @@ SELECT criterion, CAST(count(*) AS BIGINT) AS failed_cases
 FROM flags WHERE bad GROUP BY criterion ORDER BY failed_cases DESC, criterion
 """
 
+SQL["passed_ordered"] = f"""
+WITH {SCREEN}
+SELECT 'C' || CAST(id AS VARCHAR) AS "Test Case ID", verdict AS "General Standards",
+  priority_id AS "Priority"
+FROM evaluated WHERE verdict = 'Passed' ORDER BY 1
+"""
+
 SQL["failure_breakdown_compat"] = f"""
 WITH {SCREEN},
 parts AS (
@@ -207,6 +214,40 @@ SELECT s.*, r.provider, r.model FROM scores s JOIN runs r ON s.run_id = r.run_id
 ORDER BY s.case_id, s.validated_at DESC, s.score_id DESC
 """
 
+SQL["case_point_history"] = f"""
+WITH {STORE}
+SELECT s.*, r.provider, r.model FROM scores s JOIN runs r ON s.run_id = r.run_id
+WHERE s.case_id = (SELECT case_id FROM scores GROUP BY case_id ORDER BY count(*) DESC, case_id LIMIT 1)
+ORDER BY s.validated_at DESC, s.score_id DESC
+"""
+
+SQL["completed_in_run"] = f"""
+WITH {STORE}
+SELECT DISTINCT case_id FROM scores WHERE run_id = (SELECT max(run_id) FROM scores)
+"""
+
+SQL["store_save_run"] = f"""
+WITH {STORE}
+SELECT 'records' AS part, count(*) AS n FROM cases
+UNION ALL SELECT 'runs', count(*) FROM runs
+UNION ALL SELECT 'scores', count(DISTINCT score_id) FROM scores
+"""
+
+SQL["filtered_values"] = f"""
+WITH {STORE}
+SELECT case_id, product, never_scored FROM view WHERE tribe = 'EUROPE' AND verdict IS NULL
+"""
+
+SQL["dictionary_decode"] = """
+SELECT c_custkey, c_nationkey, n_name AS nation
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+"""
+
+SQL["reverse_lookup"] = """
+SELECT c_custkey, CAST(c_nationkey AS INTEGER) AS id FROM customer
+WHERE c_nationkey = (SELECT min(n_nationkey) FROM nation WHERE lower(n_name) = 'nation_7')
+"""
+
 SQL["runs_newest_first"] = f"WITH {STORE} SELECT * FROM counters ORDER BY run_at DESC, run_id"
 
 SQL["facets"] = f"""

@@ -302,3 +302,45 @@ def test_csv_with_byte_order_mark_reads_like_without(spark):
     df = files.read_csv(spark, f"{base}/ids.csv", required=files.SOURCE_REQUIRED)
     assert df.columns == ["ID", "Testrail Link"]
     assert [tuple(r) for r in df.collect()] == [("C1", "https://x/index.php?/cases/view/1")]
+
+
+def test_per_row_evaluator_is_called_once_per_record(spark, tmp_path):
+    import pandas as pd
+
+    from casegauge.operators import score
+
+    log = str(tmp_path / "calls")
+
+    def evaluator(pdf):
+        with open(log, "a") as f:
+            f.write("".join(f"{i}\n" for i in pdf["case_id"]))
+        if "3" in set(pdf["case_id"]):
+            raise RuntimeError("bad row")
+        return pd.Series(["{}"] * len(pdf))
+    cases = spark.createDataFrame([(str(i), "t") for i in range(10)], "case_id string, title string")
+    rows = score.score(cases.coalesce(1), evaluator, per_row=True).collect()
+    assert len(rows) == 10
+    assert sorted(open(log).read().split()) == [str(i) for i in range(10)]
+
+
+def test_numbered_steps_are_screened_like_plain_ones(spark):
+    from casegauge.operators import score
+
+    pre, want = "Open https://app.test as user admin in UAT", "Saved"
+    rows = [("a", pre, "Click the Save button\nEnter amount \"10\"", want),
+            ("b", pre, "1. Click the Save button\n2. Enter amount \"10\"", want),
+            ("c", pre, "1. Enter amount", want), ("d", pre, "1. Insert \"x\"\n2. \n", want)]
+    got = {r.case_id: (r.evaluation.verdict, r.evaluation.test_steps.remarks) for r in
+           score.rule_screen(spark.createDataFrame(rows, "case_id string, pre_conditions string, "
+                             "test_steps string, expected_result string")).collect()}
+    assert got == {"a": ("Passed", ""), "b": ("Passed", ""),
+                   "c": ("Needs Improvement", "input steps lack data"), "d": ("Passed", "")}
+
+
+def test_csv_keeps_outer_blanks(spark, tmp_path):
+    from casegauge.sources import files
+
+    df = spark.createDataFrame([("1", "  lead and trail  ")], "ID string, text string")
+    files.csv_writer(df.write).csv(str(tmp_path / "out"))
+    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path / "out")).collect()] == [
+        ("1", "  lead and trail  ")]
