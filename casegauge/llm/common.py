@@ -174,3 +174,4 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str,
             yield part, [x or b"" for x in
                          part.column(column).cast(pa.large_binary()).to_pylist()]
             lo, done = hi, int(ends[hi - 1])
+    pa.default_memory_pool().release_unused()  # idle workers keep what they don't return

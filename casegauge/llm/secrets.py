@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casegauge.llm.common import Scratch, text_batches
 
@@ -236,7 +237,7 @@ def report(found: DataFrame) -> DataFrame:
 
 def _blank_out(batches: Iterator[pa.RecordBatch], marker: str, first: dict[str, int]):
     for part, texts in text_batches(batches, "text"):
-        out = []
+        out, changed = [], []
         for raw, given in zip(texts, part.column("text").is_valid().to_pylist()):
             text = raw.decode()
             base = find_base(text)
@@ -249,8 +250,10 @@ def _blank_out(batches: Iterator[pa.RecordBatch], marker: str, first: dict[str,
                     pieces += [text[at:max(a, at)], marker if a >= at else ""]
                     at = b
             out.append("".join([*pieces, text[at:]]) if given else None)
+            changed.append(bool(spans))
         yield pa.RecordBatch.from_arrays(
-            [part.column("row"), pa.array(out, pa.string())], names=["row", "text"])
+            [part.column("row"), pa.array(out, pa.string()), pa.array(changed, pa.bool_())],
+            names=["row", "text", "changed"])
 
 
 def redact(df: DataFrame, text_col: str = "text", marker: str = "[SECRET]", fdr: float = 0.05,
@@ -265,17 +268,21 @@ def redact(df: DataFrame, text_col: str = "text", marker: str = "[SECRET]", fdr:
     numbered = df.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     counted = scan(numbered).where(F.size("found") > 0)
     first = thresholds(counted, fdr)
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+    # the other columns ride along as one struct; the text goes to Python once
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    row = df.select(F.struct(*others, F.lit(0).alias("__row")).alias("row"),
                     F.col(f"`{text_col}`").alias("text"))
-    redacted = row.mapInArrow(lambda b: _blank_out(b, marker, first), row.schema)
-    changed = ~F.col("text").eqNullSafe(F.col(f"row.`{text_col}`"))
+    redacted = row.mapInArrow(lambda b: _blank_out(b, marker, first),
+                              T.StructType([*row.schema.fields,
+                                            T.StructField("changed", T.BooleanType())]))
     columns = []
     for c in df.columns:
-        old = F.col(f"row.`{c}`")
         if c == text_col:
             columns.append(F.col("text").alias(c))
-        elif c == chars_col and c in df.columns:
-            columns.append(F.when(changed, F.length("text").cast(df.schema[c].dataType))
+            continue
+        old = F.col(f"row.`{c}`")
+        if c == chars_col:
+            columns.append(F.when(F.col("changed"), F.length("text").cast(df.schema[c].dataType))
                            .otherwise(old).alias(c))
         else:
             columns.append(old.alias(c))
