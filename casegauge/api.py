@@ -18,6 +18,8 @@ from __future__ import annotations
 import datetime as _dt
 import urllib.parse
 import uuid
+from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,14 +27,16 @@ from pyspark.sql import types as T
 
 from casegauge.functions import text
 from casegauge.operators import joins, report, score, similar, standards, store
+from casegauge.session import scratch_path
 from casegauge.sources import codemaps, files
 
 RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "score_facts"
 # report folders under an output directory: screened reports and validation reports
 SCREEN_REPORTS, VALIDATION_REPORTS = "screening_reports", "validation_reports"
+# the screened rows themselves (Parquet); the CSV reports are exports of them
+SCREEN_TABLES = "screening_tables"
 
-RECORD_CONTENT = ("title", "project_initiative", "tribe", "product", "capability",
-                  "pre_conditions", "test_steps", "expected_result")
+RECORD_CONTENT = store.RECORD_CONTENT
 RECORD_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
     "case_id", *RECORD_CONTENT, "first_seen_at", "last_updated_at")])
 # the record table is stored as an append-only log of snapshots (one part per call)
@@ -87,16 +91,12 @@ def upgrade_store_table(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _read_store(spark: SparkSession, path: str, schema: T.StructType,
                 recursive: bool = False) -> DataFrame:
+    if not files.holds_parts(spark, path):  # no table yet
+        return spark.createDataFrame([], schema)
     r = spark.read.option("mergeSchema", True)
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    try:
-        return upgrade_store_table(r.parquet(path), schema)
-    except Exception as exc:  # no table yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) \
-                or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    return upgrade_store_table(r.parquet(path), schema)
 
 
 def read_runs(spark: SparkSession, base: str) -> DataFrame:
@@ -206,13 +206,15 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
                    run_ts: str | None = None, maps_path: str | None = None
                    ) -> tuple[str | None, DataFrame, dict]:
     """Landed fetch results -> screened, ordered
-    report snapshot (CSV). Returns the snapshot path (None when no fetch succeeded: then
-    nothing is written), the report DataFrame and the run's totals ``{total, passed,
-    failed}``.
+    report snapshot. The rows are screened once, into a Parquet table; the report is read from
+    it, and sorted only for the CSV export. Returns the export's path (None when no fetch
+    succeeded: then nothing is written), the report DataFrame and the run's totals ``{total,
+    passed, failed}``.
 
     ``maps_path``: the code-dictionary JSON (``field_maps`` / ``retrieval_fields``
-    sections); its tribe / product / capability maps decode those report columns. Without
-    it they stay empty, as with empty retrieval dictionaries.
+    sections). Its tribe / product / capability maps decode those report columns (without
+    it they stay empty, as with empty retrieval dictionaries), and its standards maps
+    replace the fixed ones in the rules and the decoded columns.
 
     The totals are an ``Observation`` on the rows being written: they are counted in the
     same pass as the write, not by a second job over the report.
@@ -220,21 +222,24 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     env, _quarantine = files.read_responses(spark, responses_path)
     recs = files.fetched_records(env)
-    labels = {}
+    labels, maps = {}, codemaps.SMALL_MAPS
     if maps_path:
-        recs = codemaps.decode_retrieval_fields(recs, codemaps.load_dimension(spark, maps_path))
+        dictionary = codemaps.load_dimension(spark, maps_path)
+        maps = codemaps.standards_maps(dictionary)
+        recs = codemaps.decode_retrieval_fields(recs, dictionary)
         labels = {label.lower(): F.col(f"__label_{label}")
                   for _, _, label in codemaps.RETRIEVAL_FIELDS}
-    rep = standards.report_order(standards.flatten(recs, **labels)
-                                 .select(*standards.REPORT_COLUMNS))
+    rep = standards.flatten(recs, **labels, maps=maps).select(*standards.REPORT_COLUMNS)
     if recs.isEmpty():
         # nothing fetched: no snapshot, so the newest report stays the previous one
         return None, rep, {"total": 0, "passed": 0, "failed": 0}
     obs = Observation("screen-totals")
     passed = F.count_if(F.coalesce(F.col("`General Standards`") == "Passed", F.lit(False)))
     observed = rep.observe(obs, F.count(F.lit(1)).alias("total"), passed.alias("passed"))
-    path = files.write_snapshot(observed, f"{output_dir.rstrip('/')}/{SCREEN_REPORTS}", run_ts,
-                                fmt="csv")
+    base = output_dir.rstrip("/")
+    table = files.write_snapshot(observed, f"{base}/{SCREEN_TABLES}", run_ts)
+    rep = standards.report_order(spark.read.schema(rep.schema).parquet(table))
+    path = files.write_snapshot(rep, f"{base}/{SCREEN_REPORTS}", run_ts, fmt="csv")
     got = obs.get
     totals = {"total": got["total"], "passed": got["passed"],
               "failed": got["total"] - got["passed"]}
@@ -242,9 +247,17 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
 
 
 def fetch_passed_cases(spark: SparkSession, output_dir: str) -> DataFrame:
-    """Passed rows of the newest report snapshot."""
-    return standards.passed_only(files.read_latest_report(
-        spark, f"{output_dir.rstrip('/')}/{SCREEN_REPORTS}", fmt="csv"))
+    """Passed rows of the newest report snapshot, read from its Parquet table;
+    from the CSV where there is only that (a report of an older version)."""
+    base = output_dir.rstrip("/")
+    newest = files.latest_snapshot_path(spark, f"{base}/{SCREEN_REPORTS}")
+    name = newest.rsplit("run_ts=", 1)[-1] if newest else None
+    table = f"{base}/{SCREEN_TABLES}/run_ts={name}"
+    if name and files.holds_parts(spark, table):
+        report_rows = files.require_columns(spark.read.parquet(table), files.REPORT_REQUIRED)
+    else:
+        report_rows = files.read_latest_report(spark, f"{base}/{SCREEN_REPORTS}", fmt="csv")
+    return standards.passed_only(report_rows)
 
 
 def _passed_as_records(passed: DataFrame) -> DataFrame:
@@ -261,20 +274,125 @@ def _passed_as_records(passed: DataFrame) -> DataFrame:
           for n, a in (("Testing Type", "testing_type"), ("Testing Phase", "testing_phase"))])
 
 
+def init_validation_run(spark: SparkSession, store_base: str, run_id: str, provider: str,
+                        model: str, total_cases: int, now: str | None = None,
+                        version: str | None = None) -> None:
+    """Open a run, with its counters over what is stored for it so far. Safe to repeat: the
+    opening values of the first call stay (N10)."""
+    now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
+    version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    opening = spark.createDataFrame([(run_id, provider, model, total_cases, now)],
+                                    "run_id string, provider string, model string, "
+                                    "total_cases long, run_at string")
+    _append_run_snapshot(spark, store_base, opening, run_id, now, version)
+
+
+def _append_run_snapshot(spark: SparkSession, store_base: str, run: DataFrame, run_id: str,
+                         now: str, version: str) -> None:
+    snapshot = (store.run_counters(run, read_facts(spark, store_base, run_id))
+                .withColumn("seen_at", F.lit(now)).withColumn("version", F.lit(version)))
+    append_run(snapshot.select(*RUN_LOG_SCHEMA.fieldNames()), store_base, version)
+
+
+def get_completed_case_ids(spark: SparkSession, store_base: str, run_id: str) -> DataFrame:
+    """The ids already scored in a run (resume)."""
+    return store.completed_ids(read_facts(spark, store_base, run_id), run_id)
+
+
+def save_case_result(spark: SparkSession, store_base: str, cases: DataFrame, rows: DataFrame,
+                     run_id: str, now: str | None = None, version: str | None = None) -> None:
+    """Store the results of some records of an open run: record snapshots, scores
+    not stored yet, and the run's counters recounted. ``cases``: ``case_id`` and the record
+    columns; ``rows``: the 11 report columns, and ``case_id`` where the report shows another
+    id than the record's.
+
+    Snapshots come before the scores: a crash in between leaves snapshots whose repeat the
+    merge-on-read absorbs; the scores are what a resumed run skips.
+    """
+    now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
+    stamp = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    stored = read_facts(spark, store_base, run_id)
+    c = F.col
+    case_id = (c("case_id") if "case_id" in rows.columns else c("`Test Case ID`")).cast("string")
+    facts = rows.select(
+        F.sha2(F.concat_ws("|", F.lit(run_id), case_id), 256).alias("score_id"),
+        case_id.alias("case_id"), F.lit(run_id).alias("run_id"),
+        c("`Preconditions Passed`").alias("preconditions_passed"),
+        c("`Preconditions Remarks`").alias("preconditions_remarks"),
+        c("`Test Steps Passed`").alias("test_steps_passed"),
+        c("`Test Steps Remarks`").alias("test_steps_remarks"),
+        c("`Expected Results Passed`").alias("expected_results_passed"),
+        c("`Expected Results Remarks`").alias("expected_results_remarks"),
+        c("Verdict").alias("verdict"), c("`Overall Remarks`").alias("overall_remarks"),
+        c("Improvements").alias("improvements"), F.lit(now).alias("validated_at"),
+        c("`Test Case ID`").alias("reply_case_id"))
+    append_records(cases.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
+                                F.lit(stamp).alias("version")), store_base, stamp)
+    append_facts(store.append_new(stored, facts, ["run_id", "case_id"]), store_base, stamp, run_id)
+    run = read_runs(spark, store_base).where(F.col("run_id") == run_id).select(
+        "run_id", *RUN_OPENING)
+    _append_run_snapshot(spark, store_base, run, run_id, now, stamp)
+
+
+def save_validation_run(spark: SparkSession, store_base: str, cases: DataFrame, rows: DataFrame,
+                        run_id: str, provider: str, model: str, now: str | None = None) -> None:
+    """A whole finished run stored in one call."""
+    init_validation_run(spark, store_base, run_id, provider, model, rows.count(), now)
+    save_case_result(spark, store_base, cases, rows, run_id, now)
+
+
+def _scored_records(spark: SparkSession, store_base: str) -> DataFrame:
+    """The records that a verdict is stored for, with their latest score: the example pool."""
+    records = read_records(spark, store_base)
+    latest = store.latest_per_key(read_facts(spark, store_base), dedup=True,
+                                  tie_break=["score_id"])
+    from_score = [c for c in similar.EXAMPLE_DETAILS if c not in records.columns]
+    return records.join(latest.where(F.col("verdict").isNotNull())
+                        .select("case_id", "verdict", *from_score), "case_id", "inner")
+
+
+def get_few_shots(spark: SparkSession, store_base: str, cases: DataFrame, target: int = 5,
+                  min_per_level: int = 3, seed: str = "seed") -> DataFrame:
+    """Similar scored examples from the store for every record of ``cases`` (``case_id``,
+    capability, product, tribe), with the examples' details."""
+    return similar.similar_examples(cases.dropDuplicates(["case_id"]),
+                                    _scored_records(spark, store_base), target, min_per_level,
+                                    seed, carry=similar.EXAMPLE_DETAILS)
+
+
+def _parts(spark: SparkSession, todo: DataFrame, size: int) -> Iterator[DataFrame]:
+    """The records in parts of about ``size`` by id hash. Several parts are read from a scratch
+    copy filed by part, so that each reads its own files only."""
+    n = -(-todo.count() // size)
+    if n <= 1:
+        yield todo
+        return
+    path = scratch_path(spark, "todo")
+    part = F.pmod(F.xxhash64("case_id"), F.lit(n)).cast("int")
+    todo.withColumn("__part", part).write.partitionBy("__part").parquet(path)
+    schema = T.StructType([*todo.schema.fields, T.StructField("__part", T.IntegerType())])
+    staged = spark.read.schema(schema).parquet(path)
+    for i in range(n):
+        yield staged.where(F.col("__part") == i).drop("__part")
+
+
 def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
                    evaluator: score.Evaluator | None = None, run_id: str | None = None,
                    provider: str = "rule-screen", model: str = "standards-v1",
                    target: int = 5, min_per_level: int = 3, now: str | None = None,
                    parallelism: int | None = None, output_dir: str | None = None,
-                   standards: str | None = None, instructions: str = ""
-                   ) -> tuple[DataFrame, dict]:
+                   standards: str | None = None, instructions: str = "",
+                   part_size: int = 100_000) -> tuple[DataFrame, dict]:
     """Score the passed records of a report and persist
     the run. Resumable: records already scored in ``run_id`` are skipped (anti join).
     Context examples come from the store as it was when the run started.
 
-    The scoring results are checkpointed to the shared scratch folder before anything is
-    written, so the evaluator runs exactly once per record even though the facts, the
-    run counters and the returned rows all read them. Returns the 11-column result rows
+    Records are scored in parts of about ``part_size``; each part's scores are stored before
+    the next part starts, so a crash costs the part at work only, and the resumed run skips
+    the others. A part's results are checkpointed to the shared scratch folder before they are
+    stored, so the evaluator runs once per record even though the facts, the run counters and
+    the returned rows all read them. An id that stands several times is scored, stored and
+    returned as often. Returns the 11-column result rows
     of this call (the id is the one in the evaluator's reply, or the request's on an
     error row) and verdict counters. With ``output_dir`` the run's CSV snapshot is written
     under ``output_dir/validation_reports`` from the store -- the whole run, also after a
@@ -286,72 +404,46 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    records = read_records(spark, store_base)
-    facts = read_facts(spark, store_base)
-    run_facts = read_facts(spark, store_base, run_id)
-
-    todo = store.remaining(_passed_as_records(passed), run_facts)
-    latest = store.latest_per_key(facts, dedup=True, tie_break=["score_id"])
-    from_score = [c for c in similar.EXAMPLE_DETAILS if c not in records.columns]
-    scored_pool = records.join(latest.where(F.col("verdict").isNotNull())
-                               .select("case_id", "verdict", *from_score), "case_id", "inner")
-    examples = similar.similar_examples(todo, scored_pool, target, min_per_level, seed=run_id,
-                                        carry=similar.EXAMPLE_DETAILS)
-    context = similar.few_shot_context(examples)
-    work = todo.join(context, "case_id", "left")
-    if standards is not None:
-        # the prompt a remote evaluator sends (the standards document is one small
-        # text, a literal in the plan)
-        c = F.col
-        work = work.withColumn("prompt", score.evaluation_prompt(
-            F.lit(standards), c("context"), c("case_id"), c("title"), c("testing_type"),
-            c("testing_phase"), c("pre_conditions"), c("test_steps"), c("expected_result"),
-            instructions))
+    todo = store.remaining(_passed_as_records(passed), read_facts(spark, store_base, run_id))
+    pools = similar.group_pools(_scored_records(spark, store_base), target, min_per_level, seed=run_id,
+                                carry=similar.EXAMPLE_DETAILS)
     # the run is opened before anything is scored, so that scores stored by a call that
     # fails later belong to a known run
-    opening = spark.createDataFrame([(run_id, provider, model, passed.count(), now)],
-                                    "run_id string, provider string, model string, "
-                                    "total_cases long, run_at string")
-
-    def save_run_snapshot(version: str) -> None:
-        snapshot = (store.run_counters(opening, read_facts(spark, store_base, run_id))
-                    .withColumn("seen_at", F.lit(now)).withColumn("version", F.lit(version)))
-        append_run(snapshot.select(*RUN_LOG_SCHEMA.fieldNames()), store_base, version)
-    save_run_snapshot(f"{stamp}.0")
-    if evaluator is None:
-        scored = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
-    else:
-        # one title per id: repeated ids must not multiply the evaluator's rows
-        scored = score.score(work, evaluator, parallelism=parallelism, per_row=True).join(
-            work.select("case_id", "title").dropDuplicates(["case_id"]), "case_id", "left")
-    scored = joins.materialize(scored.select("case_id", "title", "evaluation", "report_case_id"))
-
-    e = lambda f: F.col(f"evaluation.{f}")
-    new_facts = scored.select(
-        F.sha2(F.concat_ws("|", F.lit(run_id), F.col("case_id")), 256).alias("score_id"),
-        F.col("case_id").cast("string"), F.lit(run_id).alias("run_id"),
-        e("preconditions.passed").alias("preconditions_passed"),
-        e("preconditions.remarks").alias("preconditions_remarks"),
-        e("test_steps.passed").alias("test_steps_passed"), e("test_steps.remarks").alias("test_steps_remarks"),
-        e("expected_results.passed").alias("expected_results_passed"),
-        e("expected_results.remarks").alias("expected_results_remarks"),
-        e("verdict").alias("verdict"), e("overall_remarks").alias("overall_remarks"),
-        e("improvements").alias("improvements"), F.lit(now).alias("validated_at"),
-        F.col("report_case_id").cast("string").alias("reply_case_id"))
-    # This call's records, as snapshots appended to the record log (upsert on read)
-    new_records = todo.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
-                              F.lit(stamp).alias("version"))
-    if not scored.isEmpty():
-        # record snapshots before the scores: a crash in between leaves snapshots whose
-        # repeat on resume the merge-on-read absorbs; the scores are what resume (J9) skips
-        append_records(new_records, store_base, stamp)
-        append_facts(store.append_new(run_facts, new_facts, ["run_id", "case_id"]), store_base,
-                     stamp, run_id)
-
-    # the run's snapshot: opening values (kept from the first snapshot on read) and the
-    # counters recomputed over everything stored for the run
-    save_run_snapshot(f"{stamp}.1")
-
+    init_validation_run(spark, store_base, run_id, provider, model, passed.count(), now,
+                        version=f"{stamp}.00000000")
+
+    def scored_part(part: DataFrame) -> DataFrame:
+        # a record's context depends on its id and groups: one context row per id, so that
+        # repeated ids multiply nothing
+        examples = similar.similar_examples(part.dropDuplicates(["case_id"]), None, target,
+                                            min_per_level, seed=run_id, members=pools,
+                                            carry=similar.EXAMPLE_DETAILS)
+        work = part.join(similar.few_shot_context(examples), "case_id", "left")
+        if standards is not None:
+            # the prompt a remote evaluator sends (the standards document is one small
+            # text, a literal in the plan)
+            c = F.col
+            work = work.withColumn("prompt", score.evaluation_prompt(
+                F.lit(standards), c("context"), c("case_id"), c("title"), c("testing_type"),
+                c("testing_phase"), c("pre_conditions"), c("test_steps"), c("expected_result"),
+                instructions))
+        if evaluator is None:
+            out = score.rule_screen(work).withColumn("report_case_id", F.col("case_id"))
+        else:
+            out = score.score(work, evaluator, parallelism=parallelism, per_row=True,
+                              carry=("title",))
+        return joins.materialize(out.select("case_id", "title", "evaluation", "report_case_id"))
+
+    done = []
+    for i, part in enumerate(_parts(spark, todo, part_size), start=1):
+        scored = scored_part(part)
+        done.append(scored)
+        if scored.isEmpty():
+            continue
+        save_case_result(spark, store_base, part,
+                         score.result_rows(scored, id_col="report_case_id", keep=("case_id",)),
+                         run_id, now, version=f"{stamp}.{i:08d}")
+    scored = reduce(DataFrame.unionByName, done)
     rows = score.result_rows(scored, id_col="report_case_id")
     verdict = F.col("Verdict")
     counters = [F.count(F.lit(1)).alias("total")] + [
@@ -414,10 +506,6 @@ def latest_validation_report(spark: SparkSession, output_dir: str) -> DataFrame
                                       by="name")
     except FileNotFoundError:
         return None
-    except Exception as exc:  # the folder itself does not exist
-        if "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
     return files.normalize_validation(df)
 
 
@@ -440,6 +528,11 @@ def get_case_history(spark: SparkSession, store_base: str, case_id: str) -> Data
                          read_runs(spark, store_base), case_id=case_id)
 
 
+def categorize_remark(remark):
+    """the criterion that a remark (a column) belongs to."""
+    return report.criterion_of_remark(remark)
+
+
 def failure_breakdown(report_df: DataFrame) -> DataFrame:
     """G4 from a report's remark text (works on reports read back from CSV), with the
     report view's column names ``Criterion`` / ``Failed cases``."""

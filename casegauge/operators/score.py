@@ -166,7 +166,7 @@ class _OneByOne(Exception):
     """The evaluator is called once per row."""
 
 
-def _run_evaluator(evaluator: Evaluator, id_col: str, per_row: bool = False):
+def _run_evaluator(evaluator: Evaluator, id_col: str, per_row: bool = False, carry=()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids = pdf[id_col].astype(str)
@@ -188,13 +188,14 @@ def _run_evaluator(evaluator: Evaluator, id_col: str, per_row: bool = False):
                         errors.append(f"{type(exc).__name__}: {exc}")
                 replies = pd.Series(replies, index=pdf.index, dtype=object)
                 errors = pd.Series(errors, index=pdf.index, dtype=object)
-            yield pd.DataFrame({"case_id": ids, "reply": replies, "call_error": errors})
+            yield pd.DataFrame({"case_id": ids, "reply": replies, "call_error": errors,
+                                **{c: pdf[c] for c in carry}})
     return run
 
 
 def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
           columns: list[str] | None = None, parallelism: int | None = None,
-          per_row: bool = False) -> DataFrame:
+          per_row: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Run ``evaluator`` (pandas DataFrame of cases -> Series of reply texts) over
     Arrow batches, then parse and validate replies natively.
 
@@ -202,14 +203,16 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
     concurrency, e.g. an external service's rate limit); by default the input
     partitioning is kept. With ``per_row`` the evaluator gets frames of one row, so every
     record is called exactly once, also beside records that fail (a paid service); without,
-    a batch in which a row raises is called again row by row. Failures never abort the job: a raising call or an invalid
+    a batch in which a row raises is called again row by row. ``carry`` columns stand in the
+    result beside their row's evaluation, so that repeated ids need no join back. Failures never abort the job: a raising call or an invalid
     reply gives a row with NULL verdict/flags and the message in the remarks.
     """
     cols = [id_col] + [c for c in (columns or cases.columns) if c != id_col]
     src = cases.select(*cols)
     if parallelism:
         src = src.repartition(parallelism)
-    replies = src.mapInPandas(_run_evaluator(evaluator, id_col, per_row), REPLY_SCHEMA)
+    replies = src.mapInPandas(_run_evaluator(evaluator, id_col, per_row, carry), T.StructType(
+        [*REPLY_SCHEMA.fields, *[src.schema[c] for c in carry]]))
     parsed = text.parse_replies(replies, "reply", "case_id", out="r")
     err = F.coalesce(F.col("call_error"), F.col("r.error"))
     ok = F.col("call_error").isNull() & F.col("r.valid")
@@ -235,6 +238,7 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
         F.col("r.test_case_id").alias("reply_case_id"),
         # the report row carries the reply's id; an error row the request's
         F.when(ok, F.col("r.test_case_id")).otherwise(F.col("case_id")).alias("report_case_id"),
+        *carry,
     )
 
 
@@ -258,12 +262,13 @@ def completeness_evaluator(pdf: pd.DataFrame) -> pd.Series:
 # ------------------------------------------------------------------ report rows ----------
 
 def result_rows(scored: DataFrame, title_col: str | None = "title",
-                id_col: str = "case_id") -> DataFrame:
-    """The 11-column validation report from an ``evaluation`` struct."""
+                id_col: str = "case_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 11-column validation report from an ``evaluation`` struct, after the ``keep``
+    columns."""
     e = lambda f: F.col(f"evaluation.{f}")
     title = F.col(title_col) if title_col and title_col in scored.columns else F.lit(None).cast("string")
     return scored.select(
-        F.col(id_col).cast("string").alias("Test Case ID"),
+        *keep, F.col(id_col).cast("string").alias("Test Case ID"),
         title.alias("Title"),
         e("preconditions.passed").alias("Preconditions Passed"),
         e("preconditions.remarks").alias("Preconditions Remarks"),

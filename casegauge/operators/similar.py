@@ -55,10 +55,21 @@ def pools(scored: DataFrame, k: int, seed: str, levels=LEVELS, carry=()) -> Data
             .select("level", "grp", "example_id", "okey", "verdict", *carry))
 
 
-def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
+def group_pools(scored: DataFrame, target: int = 5, min_per_level: int = 3, seed: str = "seed",
+                levels=LEVELS, carry=()) -> DataFrame:
+    """The pools as one row per group, ``(level, grp, pool)``, computed once: an array of at
+    most K examples in their seeded order."""
+    carry = [c for c in carry if c not in ("case_id", "verdict")]
+    return joins.materialize(
+        pools(scored, target + min_per_level, seed, levels, carry).groupBy("level", "grp").agg(
+            F.sort_array(F.collect_list(F.struct("okey", "example_id", "verdict", *carry)))
+            .alias("pool")))
+
+
+def similar_examples(records: DataFrame, scored: DataFrame | None, target: int = 5,
                      min_per_level: int = 3, seed: str = "seed", levels=LEVELS,
                      max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS,
-                     carry=()) -> DataFrame:
+                     carry=(), members: DataFrame | None = None) -> DataFrame:
     """``(case_id, example_id, level, ordinal, verdict, *carry)`` for every record.
 
     ``records``: ``case_id`` + the level columns. ``scored``: the same for records whose
@@ -69,16 +80,17 @@ def similar_examples(records: DataFrame, scored: DataFrame, target: int = 5,
     same few pool members, so joining details back on ``example_id`` afterwards would
     send a third of all example rows to one key.
 
+    ``members``: the result of ``group_pools`` (same arguments), for several calls on the same
+    pools; then ``scored`` isn't read.
+
     A pool is one row per group holding an array of at most ``K`` examples. Each level's
     table is joined on its own (broadcast if its own size allows), and the quotas are taken
     inside the row, so neither records nor candidates are shuffled where the pools are
     broadcast, and only the chosen examples (at most ``target``) leave the row.
     """
-    k = target + min_per_level
     carry = [c for c in carry if c not in ("case_id", "verdict")]
-    members = joins.materialize(
-        pools(scored, k, seed, levels, carry).groupBy("level", "grp").agg(F.sort_array(
-            F.collect_list(F.struct("okey", "example_id", "verdict", *carry))).alias("pool")))
+    if members is None:
+        members = group_pools(scored, target, min_per_level, seed, levels, carry)
     now = records.select("case_id", *[F.nullif(F.col(c), F.lit("")).alias(f"__g{i}")
                                       for i, c in enumerate(levels, start=1)])
     for i in range(1, len(levels) + 1):

@@ -7,7 +7,7 @@ fails its rule and prints ``None``; an absent/NULL phase list is treated as empt
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +39,7 @@ class Rule:
     kind: str
     mapping: dict = field(default_factory=dict)
     allowed_labels: frozenset = frozenset()
+    map_name: str = ""
 
     @property
     def allowed_ids(self) -> list[int]:
@@ -48,26 +49,34 @@ class Rule:
 # --- Fixed values: the six standards, in the order their remarks are printed. ---
 RULES = (
     Rule("Automatability", "custom_automatability", "in", cm.AUTOMATABILITY,
-         frozenset({"Automatable", "To be Determined"})),
-    Rule("Testing Type", "custom_testing_type", "in", cm.TESTING_TYPE, frozenset({"web"})),
+         frozenset({"Automatable", "To be Determined"}), "AUTOMATABILITY_MAP"),
+    Rule("Testing Type", "custom_testing_type", "in", cm.TESTING_TYPE, frozenset({"web"}),
+         "TESTING_TYPE_MAP"),
     Rule("Automation Status", "custom_automation_status", "in", cm.AUTOMATION_STATUS,
-         frozenset({"Not Started", "Reviewed = Passed DOR"})),
-    Rule("Status", "case_status_id", "in", cm.STATUS, frozenset({"New", "Reviewed", "Active"})),
+         frozenset({"Not Started", "Reviewed = Passed DOR"}), "AUTOMATION_STATUS_MAP"),
+    Rule("Status", "case_status_id", "in", cm.STATUS, frozenset({"New", "Reviewed", "Active"}),
+         "STATUS_MAP"),
     Rule("Priority/Risk", "priority_id", "present"),
     Rule("Testing Phase", "custom_testing_phase", "any", cm.TESTING_PHASE,
-         frozenset({"BE Regression", "FE Regression", "Regression"})),
+         frozenset({"BE Regression", "FE Regression", "Regression"}), "TESTING_PHASE_MAP"),
 )
 # --- end of fixed values ---
 
 
+def rules_for(maps: dict[str, dict[int, str]]) -> tuple[Rule, ...]:
+    """The six rules over a deployment's dictionaries: their allowed labels are resolved
+    to the ids that these give them."""
+    return tuple(replace(r, mapping=maps[r.map_name]) if r.map_name else r for r in RULES)
+
+
 def phase_codes(df_col: Column) -> Column:
     """NULL phase list -> empty list (the screen never aborts on a missing list)."""
     return F.coalesce(df_col, F.array().cast("array<int>"))
 
 
-def phase_text(codes: Column) -> Column:
+def phase_text(codes: Column, mapping: dict[int, str] = cm.TESTING_PHASE) -> Column:
     """F9 + J2: decode every phase id and join with ``", "``."""
-    return F.array_join(cm.decode_array(cm.TESTING_PHASE, phase_codes(codes)), ", ")
+    return F.array_join(cm.decode_array(mapping, phase_codes(codes)), ", ")
 
 
 PHASE_TEXT = "__phase_text"
@@ -115,7 +124,8 @@ def evaluate(raw: DataFrame, rules=RULES, keep_phase_text: bool = False) -> Data
     phase list) is staged once per row. The structured ``failures`` array is kept for the
     breakdown, so reports never re-parse text; it is pruned when not selected.
     """
-    staged = raw.withColumn(PHASE_TEXT, phase_text(F.col("custom_testing_phase")))
+    phases = next((r.mapping for r in rules if r.kind == "any"), cm.TESTING_PHASE)
+    staged = raw.withColumn(PHASE_TEXT, phase_text(F.col("custom_testing_phase"), phases))
     parts = [rule_parts(r) for r in rules]
     all_ok = reduce(lambda a, b: a & b, [ok for ok, _, _ in parts])
     failures = F.filter(F.array(*[rule_failure(r) for r in rules]), lambda x: x.isNotNull())
@@ -160,22 +170,27 @@ def steps_text_by_key(rows: DataFrame, key: str, order: str, parts: dict[str, st
 
 
 def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None = None,
-            capability: Column | None = None) -> DataFrame:
+            capability: Column | None = None,
+            maps: dict[str, dict[int, str]] = cm.SMALL_MAPS) -> DataFrame:
     """One raw record -> the 17-column report row (plus ``failures`` and
     ``list_lost``).
 
     ``tribe``/``product``/``capability`` are label columns already decoded by the caller
     (see ``codemaps.decode_with_dimension``); by default they stay NULL, as they do when
-    the retrieval dictionaries are empty.
+    the retrieval dictionaries are empty. ``maps``: the dictionaries of the standards (see
+    ``codemaps.standards_maps``).
+
+    The joined step texts are staged in their own projection: the HTML functions read them
+    several times.
 
     N13: preconditions and steps keep only their list items, so a text written without
     ``<li>`` markup becomes empty (as in the reference); ``list_lost`` flags the rows where
     that dropped visible text. It is computed only when selected.
     """
-    ev = evaluate(raw, keep_phase_text=True)
+    ev = evaluate(raw, rules_for(maps), keep_phase_text=True)
     null = F.lit(None).cast("string")
-    steps_html = steps_text(F.col("custom_steps_separated"), "content")
-    expected_html = steps_text(F.col("custom_steps_separated"), "expected")
+    ev = ev.withColumns({"__steps_html": steps_text(F.col("custom_steps_separated"), "content"),
+                         "__expected_html": steps_text(F.col("custom_steps_separated"), "expected")})
     staged = ev.select(
         F.col("verdict").alias("General Standards"),
         F.col("remarks").alias("Remarks"),
@@ -186,17 +201,17 @@ def flatten(raw: DataFrame, tribe: Column | None = None, product: Column | None
         (product if product is not None else null).alias("Product"),
         (capability if capability is not None else null).alias("Capability"),
         F.col("priority_id").cast("int").alias("Priority"),
-        cm.decode(cm.AUTOMATABILITY, F.col("custom_automatability")).alias("Automatability"),
-        cm.decode(cm.AUTOMATION_STATUS, F.col("custom_automation_status")).alias("Automation Status"),
-        cm.decode(cm.TESTING_TYPE, F.col("custom_testing_type")).alias("Testing Type"),
-        cm.decode(cm.STATUS, F.col("case_status_id")).alias("Status"),
+        cm.decode(maps["AUTOMATABILITY_MAP"], F.col("custom_automatability")).alias("Automatability"),
+        cm.decode(maps["AUTOMATION_STATUS_MAP"], F.col("custom_automation_status")).alias("Automation Status"),
+        cm.decode(maps["TESTING_TYPE_MAP"], F.col("custom_testing_type")).alias("Testing Type"),
+        cm.decode(maps["STATUS_MAP"], F.col("case_status_id")).alias("Status"),
         F.col(PHASE_TEXT).alias("Testing Phase"),
         html.numbered_list(F.col("custom_preconds")).alias("Pre Conditions"),
-        html.numbered_list(steps_html).alias("Test Steps"),
-        html.html_to_text(expected_html).alias("Expected Result"),
+        html.numbered_list(F.col("__steps_html")).alias("Test Steps"),
+        html.html_to_text(F.col("__expected_html")).alias("Expected Result"),
         "failures",
         F.col("custom_preconds").alias("__pre_html"),
-        steps_html.alias("__steps_html"),
+        "__steps_html",
     )
     lost = lambda shown, src: (F.col(shown) == "") & (html.html_to_text(F.col(src)) != "")
     return staged.withColumn("list_lost", lost("Pre Conditions", "__pre_html")

@@ -327,6 +327,28 @@ def dictionary_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           _nation_dictionary(spark, sf_dir), "NATION_MAP", "nation")
 
 
+@query("rules_from_dictionary")
+def rules_from_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six rules over a dictionary file, not over the fixed maps: the nations as
+    record states, named by their region."""
+    t = fx.tables(spark, sf_dir)
+    state = F.element_at(F.array(*[F.lit(s) for s in (
+        "New", "Reviewed", "Active", "Obsolete", "Inactive")]), F.col("n_regionkey") + 1)
+    states = t.nation.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("n_nationkey").cast("string"), state))).alias("STATUS_MAP"))
+    path = scratch_path(spark, "dictionary")
+    states.select(F.to_json(F.struct(F.struct("STATUS_MAP").alias("field_maps"))).alias("value")) \
+        .coalesce(1).write.text(path)
+    maps = codemaps.standards_maps(codemaps.load_dimension(spark, path))
+    c = lambda value, name: F.lit(value).alias(name)
+    raw = t.customer.select(
+        "c_custkey", F.col("c_nationkey").cast("int").alias("case_status_id"),
+        c(2, "custom_automatability"), c(17, "custom_testing_type"),
+        c(1, "custom_automation_status"), c(1, "priority_id"),
+        F.array(F.lit(12)).alias("custom_testing_phase"))
+    return standards.evaluate(raw, standards.rules_for(maps)).select("c_custkey", "verdict", "remarks")
+
+
 @query("reverse_lookup")
 def reverse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """an id by its label, whatever the label's case, and the customers that carry it."""

@@ -571,6 +571,13 @@ FROM k
 # numbering the lines changes nothing
 SQL["rule_screen_numbered"] = SQL["rule_screen"]
 
+SQL["rules_from_dictionary"] = """
+SELECT c_custkey,
+  CASE WHEN n_regionkey IN (0, 1, 2) THEN 'Passed' ELSE 'Failed' END AS verdict,
+  CASE n_regionkey WHEN 3 THEN 'Status = Obsolete' WHEN 4 THEN 'Status = Inactive' ELSE '' END AS remarks
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+
 SQL["score_batch"] = f"""
 WITH {DOC_CASES},
 f AS (

@@ -137,6 +137,17 @@ def load_dimension(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("id").isNotNull()))
 
 
+def standards_maps(dim: DataFrame) -> dict[str, dict[int, str]]:
+    """The five dictionaries of the standards as a loaded file states them; one that the file
+    doesn't hold keeps its fixed values. A dictionary is one configuration file, read whole by
+    ``load_dimension``, and becomes literals of the plan."""
+    loaded: dict[str, dict[int, str]] = {}
+    rows = dim.where((F.col("section") == "field_maps") & F.col("map_name").isin(*SMALL_MAPS))
+    for r in rows.collect():
+        loaded.setdefault(r["map_name"], {})[r["id"]] = r["label"]
+    return {name: loaded.get(name, fixed) for name, fixed in SMALL_MAPS.items()}
+
+
 def small_maps_dimension(spark: SparkSession) -> DataFrame:
     """The fixed dictionaries as the same long table (for joins, reverse lookup, tests)."""
     rows = [("field_maps", name, k, v) for name, m in SMALL_MAPS.items() for k, v in m.items()]

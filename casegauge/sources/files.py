@@ -191,19 +191,39 @@ def write_snapshot(df: DataFrame, base: str, run_ts: str, fmt: str = "parquet")
 def latest_snapshot_path(spark: SparkSession, base: str, by: str = "stamp") -> str | None:
     """The newest snapshot folder under ``base``. ``by="stamp"``: the newest
     ``yyyyMMdd_HHmmss`` stamp in the name (stamps that do not parse sort oldest);
-    ``by="name"``: the name that sorts last (the last of the sorted file names). Uses
-    file metadata only (``binaryFile`` without content)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-             .select("path"))
-    dirs = files.select(F.regexp_extract("path", "^(.*run_ts=[^/]+)", 1).alias("dir"),
-                        F.regexp_extract("path", "run_ts=([^/]+)", 1).alias("name"))
-    if by == "name":
-        key = F.col("name")
-    else:
-        key = F.coalesce(text.file_timestamp(F.col("name")),
-                         F.lit("0001-01-01").cast("timestamp"))
-    newest = (dirs.where(F.col("dir") != "").agg(F.max_by("dir", key).alias("dir")).first())
-    return newest["dir"] if newest and newest["dir"] else None
+    ``by="name"``: the name that sorts last (the last of the sorted file names). Lists the
+    folders of ``base`` only, not what they hold; a folder without files is no snapshot. None
+    when there is no snapshot or no ``base``."""
+    names = [(d,) for d in _listed(spark, base, folders=True) if d.startswith("run_ts=")]
+    if not names:
+        return None
+    name = F.substring_index("dir", "run_ts=", -1)
+    stamp = F.coalesce(text.file_timestamp(name), F.lit("0001-01-01").cast("timestamp"))
+    newest_first = spark.createDataFrame(names, "dir string").orderBy(
+        *([] if by == "name" else [stamp.desc()]), F.desc("dir"))
+    for row in newest_first.toLocalIterator():
+        path = f"{base.rstrip('/')}/{row['dir']}"
+        if any(not f.startswith(("_", ".")) for f in _listed(spark, path, folders=False)):
+            return path
+    return None
+
+
+def _listed(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    """Names of the folders (or the files) directly under ``path``; none if it doesn't exist."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory() == folders]
+
+
+def holds_parts(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds at least one written file (names with a leading ``_`` or
+    ``.`` belong to writes that aren't finished). Stops at the first one found."""
+    if any(not f.startswith(("_", ".")) for f in _listed(spark, path, folders=False)):
+        return True
+    return any(holds_parts(spark, f"{path}/{d}") for d in _listed(spark, path, folders=True)
+               if not d.startswith(("_", ".")))
 
 
 def read_latest_report(spark: SparkSession, base: str, fmt: str = "parquet",

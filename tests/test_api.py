@@ -309,3 +309,116 @@ def test_partial_run_then_resume_reports_the_whole_run(spark):
     assert run["total_cases"] == 5                     # set when the run was opened
     assert run["passed_count"] + run["needs_improvement_count"] + run["failed_count"] \
         + run["error_count"] == 10
+
+
+def _cases(spark, ids):
+    return spark.createDataFrame(
+        [(i, f"t{i}", "1. Open https://x as user", "1. Click save", "saved", "Pay") for i in ids],
+        "`Test Case ID` string, Title string, `Pre Conditions` string, `Test Steps` string, "
+        "`Expected Result` string, Tribe string")
+
+
+def test_scores_are_stored_in_parts_and_a_failed_run_resumes(spark, tmp_path):
+    """A run that breaks in a later part keeps the scores of the parts before, shows them in
+    the history, and the resumed run calls the evaluator once for each record left."""
+    import json
+
+    import pandas as pd
+    import pytest
+
+    log, switch = str(tmp_path / "calls"), str(tmp_path / "broken")
+
+    def evaluator(pdf: pd.DataFrame) -> pd.Series:
+        import os
+        cid = pdf["case_id"].iloc[0]
+        if cid == "C7" and os.path.exists(switch):
+            raise SystemExit("worker lost")      # not an error of the row: the job fails
+        with open(log, "a") as f:
+            f.write(cid + "\n")
+        crit = {"passed": True, "remarks": ""}
+        return pd.Series([json.dumps({"preconditions": crit, "test_steps": crit,
+                                      "expected_results": crit, "verdict": "Passed"})])
+
+    base = str(tmp_path)
+    passed = _cases(spark, [f"C{i}" for i in range(12)])
+    n = 4
+    order = {r["id"]: r["p"] for r in passed.select(F.col("`Test Case ID`").alias("id"), F.pmod(
+        F.xxhash64("`Test Case ID`"), F.lit(n)).alias("p")).collect()}
+    open(switch, "w").close()
+    args = dict(evaluator=evaluator, run_id="r1", part_size=3, parallelism=1)
+    with pytest.raises(Exception):
+        api.validate_cases(spark, passed, f"{base}/store", now="2024-01-01T00:00:00", **args)
+    before = {i for i, p in order.items() if p < order["C7"]}
+    stored = {r["case_id"] for r in api.get_completed_case_ids(spark, f"{base}/store", "r1").collect()}
+    assert stored == before
+    for cid in sorted(before)[:1]:
+        assert api.get_case_history(spark, f"{base}/store", cid).count() == 1
+    import os
+    os.unlink(switch)
+    open(log, "w").close()
+    rows, counts = api.validate_cases(spark, passed, f"{base}/store", now="2024-01-02T00:00:00", **args)
+    assert rows.count() == 12 - len(before) == counts["passed"]
+    assert sorted(open(log).read().split()) == sorted(set(order) - before)
+    run = api.get_validation_runs(spark, f"{base}/store").first()
+    assert (run["total_cases"], run["passed_count"], run["run_at"]) == (12, 12, "2024-01-01T00:00:00")
+
+
+def test_repeated_ids_give_one_row_each(spark, tmp_path):
+    from casegauge.operators import score
+
+    for name, evaluator in (("a", None), ("b", score.completeness_evaluator)):
+        rows, _ = api.validate_cases(spark, _cases(spark, ["C1", "C1", "C1", "C2"]),
+                                     f"{tmp_path}/{name}", evaluator=evaluator, run_id="r1")
+        assert sorted(r["Test Case ID"] for r in rows.collect()) == ["C1"] * 3 + ["C2"]
+        assert api.read_facts(spark, f"{tmp_path}/{name}").count() == 4
+
+
+def test_store_functions_for_users(spark, tmp_path):
+    """A run opened, stored in two calls, read back; examples for new records."""
+    base = str(tmp_path / "store")
+    passed = _cases(spark, ["C1", "C2", "C3"])
+    assert api.get_completed_case_ids(spark, base, "r1").count() == 0
+    api.init_validation_run(spark, base, "r1", "p", "m", 3, now="2024-01-01T00:00:00")
+    assert api.get_validation_runs(spark, base).first()["total_cases"] == 3
+    cases = api._passed_as_records(passed)
+    from casegauge.operators import score
+    rows = score.result_rows(score.rule_screen(cases))
+    for ids in (["C1"], ["C2", "C3"]):
+        api.save_case_result(spark, base, cases.where(F.col("case_id").isin(ids)),
+                             rows.where(F.col("`Test Case ID`").isin(ids)), "r1")
+    assert {r[0] for r in api.get_completed_case_ids(spark, base, "r1").collect()} == {"C1", "C2", "C3"}
+    api.save_validation_run(spark, base, cases, rows, "r2", "p", "m")
+    runs = {r["run_id"]: r for r in api.get_validation_runs(spark, base).collect()}
+    for r in runs.values():
+        assert r["total_cases"] == 3 == sum(r[c] for c in (
+            "passed_count", "needs_improvement_count", "failed_count", "error_count"))
+    got = api.get_few_shots(spark, base, api._passed_as_records(_cases(spark, ["C1", "N1"])))
+    shown = {}
+    for r in got.collect():
+        shown.setdefault(r["case_id"], set()).add(r["example_id"])
+    assert shown == {"C1": {"C2", "C3"}, "N1": {"C1", "C2", "C3"}}
+    remark = spark.createDataFrame([("Status = Obsolete",), ("Priority/Risk is null",)], "r string")
+    assert [r[0] for r in remark.select(api.categorize_remark(F.col("r"))).collect()] == \
+        ["Status", "Priority/Risk"]
+
+
+def test_rules_follow_the_dictionary_file(spark, tmp_path):
+    """The standards' maps of a dictionary file replace the fixed ones: in the rules, the
+    remarks and the decoded columns."""
+    import json
+
+    doc = {"field_maps": {"STATUS_MAP": {"2": "Obsolete", "40": "Active"},
+                          "TESTING_PHASE_MAP": {"77": "Regression"}}, "retrieval_fields": {}}
+    (tmp_path / "maps.json").write_text(json.dumps(doc))
+    good = {"title": "a", "priority_id": 1, "custom_automatability": 2,
+            "custom_automation_status": 1, "custom_testing_type": 17, "custom_testing_phase": [77]}
+    lines = [json.dumps({"ID": str(i), "status_code": 200,
+                         "response": {"id": i, **good, "case_status_id": s}}) for i, s in ((1, 40), (2, 2))]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_path}/responses")
+    _, rep, _ = api.save_all_cases(spark, f"{tmp_path}/responses", f"{tmp_path}/out",
+                                   run_ts="20240101_000000", maps_path=f"{tmp_path}/maps.json")
+    got = [(r["Test Case ID"], r["General Standards"], r["Remarks"], r["Status"], r["Testing Phase"])
+           for r in rep.collect()]
+    assert got == [("C1", "Passed", "", "Active", "Regression"),
+                   ("C2", "Failed", "Status = Obsolete", "Obsolete", "Regression")]
+    assert [r["Test Case ID"] for r in api.fetch_passed_cases(spark, f"{tmp_path}/out").collect()] == ["C1"]
