@@ -151,6 +151,15 @@ def _char_of(n: Column) -> Column:
             .when(n <= 0xFFFF, bmp).otherwise(pair))
 
 
+def _numbered_char(name: str) -> str:
+    """The character of a numeric reference (``65``, ``x41``): 128-159 by the table; a number
+    that is no code point stands for U+FFFD (text must be UTF-8)."""
+    digits = name.lstrip("xX").lstrip("0") or "0"
+    n = int(digits, 16 if name[0] in "xX" else 10) if len(digits) <= 8 else 0x110000
+    known = n <= 0x10FFFF and not 0xD800 <= n <= 0xDFFF
+    return CP1252_HIGH.get(n) or (chr(n) if known else "\ufffd")
+
+
 def valid_code_point(n: Column) -> Column:
     return (n >= 1) & (n <= 0x10FFFF) & ~((n >= 0xD800) & (n <= 0xDFFF))
 
@@ -272,23 +281,7 @@ class _TextCollector(HTMLParser):
         self.buf.append(ch if ch is not None else f"&{name}")
 
     def handle_charref(self, name):
-        try:
-            n = int(name[1:], 16) if name[:1] in ("x", "X") else int(name)
-        except ValueError:
-            n = None
-        data = None
-        if n is not None and n < 256:
-            try:
-                data = bytes([n]).decode("windows-1252")
-            except UnicodeDecodeError:
-                data = None
-        if data is None and n is not None and not 0xD800 <= n <= 0xDFFF:
-            try:
-                data = chr(n)
-            except (ValueError, OverflowError):
-                data = None
-        # a surrogate or out-of-range number is no character: U+FFFD (text must be UTF-8)
-        self.buf.append(data or "\ufffd")
+        self.buf.append(_numbered_char(name))
 
     def handle_comment(self, data):
         self._flush()

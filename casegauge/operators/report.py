@@ -102,8 +102,9 @@ def facets(df: DataFrame, cols=("tribe", "product", "capability")) -> DataFrame:
 
 
 def lenient_date(c: Column) -> Column:
-    """F16: timestamp or ISO text -> date; unparsable -> NULL."""
-    return F.to_date(F.try_to_timestamp(c.cast("string")))
+    """F16: timestamp or ISO text -> date; unparsable -> NULL (a timestamp isn't printed and
+    parsed again: the optimizer drops a cast to the type that a column already has)."""
+    return F.to_date(c.try_cast("timestamp"))
 
 
 def date_extent(df: DataFrame, col: str = "validated_at",

@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -29,6 +30,8 @@ ORDINAL_RE = r"^[0-9]+\.\s*"
 CREDENTIAL_WORDS = ("username", "password", "login", "credential", "account", "role", "user")
 ENVIRONMENT_WORDS = ("sit", "uat", "staging", "prod", "production", "environment")
 COMPOUND_WORDS = ("then", "and then")
+PLATFORM = "Web"
+TITLE_REMARK = "title lacks the platform label"
 # --- end of fixed values ---
 
 
@@ -50,13 +53,19 @@ def _step(line: Column) -> Column:
 
 
 def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "test_steps",
-                expected: str = "expected_result") -> DataFrame:
+                expected: str = "expected_result", title: str | None = None,
+                platform: str = PLATFORM) -> DataFrame:
     """Evaluate the three criteria with native predicates; adds an ``evaluation``
     struct shaped like the evaluator result (passed/remarks per criterion, verdict,
     overall remarks, improvements).
 
     Verdict: every criterion holds -> Passed; required content absent (no URL and no
     credentials, no steps, or no expected result) -> Failed; otherwise Needs Improvement.
+
+    With ``title`` (a column's name) the title rule of the written standards counts too: the
+    title must hold the ``platform`` label as a word, in any case; else the verdict is Needs
+    Improvement at best, and the overall remarks begin with it. It has no criterion of its own
+    in the result, and an evaluator judges the other three only, so it is off by default.
     """
     base = cases.columns
     # 1) normalise the three texts once per row
@@ -68,12 +77,14 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
         # part of the step, and its digit is no test data
         F.filter(F.transform(F.split(F.lower(F.coalesce(F.col(steps), F.lit(""))), "\n"),
                              _step), lambda s: s != "").alias("__low"),
-        text.py_strip(F.coalesce(F.col(expected), F.lit(""))).alias("__e"))
+        text.py_strip(F.coalesce(F.col(expected), F.lit(""))).alias("__e"),
+        (F.lower(F.coalesce(F.col(title), F.lit(""))).rlike(_words([re.escape(platform.lower())]))
+         if title else F.lit(True)).alias("__titled"))
     # 2) the predicates
     p, low = F.col("__p"), F.col("__low")
     first_step = F.coalesce(F.try_element_at(low, F.lit(1)), F.lit(""))
     s2 = s1.select(
-        *base,
+        *base, "__titled",
         (p.rlike(URL_RE) | first_step.rlike(URL_RE)).alias("has_url"),
         p.rlike(CREDENTIAL_RE).alias("has_cred"),
         p.rlike(ENVIRONMENT_RE).alias("env_word"),
@@ -99,12 +110,13 @@ def rule_screen(cases: DataFrame, pre: str = "pre_conditions", steps: str = "tes
                            F.when(has_steps & ~with_data, "input steps lack data"))
     exp_rm = F.when(~has_expected, F.lit("expected result missing")).otherwise(F.lit(""))
     failed = (~has_url & ~has_cred) | ~has_steps | ~has_expected
-    verdict = (F.when(pre_ok & steps_ok & has_expected, "Passed")
+    verdict = (F.when(pre_ok & steps_ok & has_expected & c("__titled"), "Passed")
                .when(failed, "Failed").otherwise("Needs Improvement"))
     s3 = s2.select(*base, pre_ok.alias("pre_ok"), steps_ok.alias("steps_ok"), "has_expected",
                    pre_rm.alias("pre_rm"), steps_rm.alias("steps_rm"), exp_rm.alias("exp_rm"),
-                   verdict.alias("verdict"))
-    overall = F.concat_ws("; ", F.nullif(c("pre_rm"), F.lit("")), F.nullif(c("steps_rm"), F.lit("")),
+                   verdict.alias("verdict"),
+                   F.when(~c("__titled"), F.lit(TITLE_REMARK)).alias("title_rm"))
+    overall = F.concat_ws("; ", c("title_rm"), F.nullif(c("pre_rm"), F.lit("")), F.nullif(c("steps_rm"), F.lit("")),
                           F.nullif(c("exp_rm"), F.lit("")))
     crit = lambda ok, rm: F.struct(c(ok).alias("passed"), c(rm).alias("remarks"))
     return s3.select(*base, F.struct(
@@ -124,6 +136,15 @@ PROMPT_STANDARDS_HEADING = "## Quality Standards Reference"
 PROMPT_CASE_HEADING = "## Test Case to Evaluate"
 PROMPT_SEPARATOR = "---"
 PROMPT_EMPTY = "(empty)"
+PROMPT_ID = "**Test Case ID:** "
+PROMPT_TITLE = "**Title:** "
+PROMPT_TYPE = "**Testing Type:** "
+PROMPT_PHASE = "**Testing Phase:** "
+PROMPT_PRE = "**Pre Conditions:**"
+PROMPT_STEPS = "**Test Steps:**"
+PROMPT_EXPECTED = "**Expected Result:**"
+CRITERION_ERROR = "Validation error: "
+OVERALL_ERROR = "Error during validation: "
 # --- end of fixed values ---
 
 
@@ -141,13 +162,13 @@ def evaluation_prompt(standards: Column, context: Column, case_id: Column, title
         "\n",
         F.lit(PROMPT_STANDARDS_HEADING), F.lit(""), blank(standards), F.lit(""),
         F.lit(PROMPT_SEPARATOR), blank(context), F.lit(PROMPT_CASE_HEADING), F.lit(""),
-        F.concat(F.lit("**Test Case ID:** "), blank(case_id)),
-        F.concat(F.lit("**Title:** "), blank(title)),
-        F.concat(F.lit("**Testing Type:** "), blank(testing_type)),
-        F.concat(F.lit("**Testing Phase:** "), blank(testing_phase)),
-        F.lit(""), F.lit("**Pre Conditions:**"), text_or_empty(pre),
-        F.lit(""), F.lit("**Test Steps:**"), text_or_empty(steps),
-        F.lit(""), F.lit("**Expected Result:**"), text_or_empty(expected),
+        F.concat(F.lit(PROMPT_ID), blank(case_id)),
+        F.concat(F.lit(PROMPT_TITLE), blank(title)),
+        F.concat(F.lit(PROMPT_TYPE), blank(testing_type)),
+        F.concat(F.lit(PROMPT_PHASE), blank(testing_phase)),
+        F.lit(""), F.lit(PROMPT_PRE), text_or_empty(pre),
+        F.lit(""), F.lit(PROMPT_STEPS), text_or_empty(steps),
+        F.lit(""), F.lit(PROMPT_EXPECTED), text_or_empty(expected),
         F.lit(""), F.lit(PROMPT_SEPARATOR), F.lit(""), F.lit(instructions))
 
 
@@ -222,7 +243,7 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
         F.struct(
             F.struct(pick(F.col("r.preconditions.passed")).alias("passed"),
                      F.when(ok, F.col("r.preconditions.remarks"))
-                     .otherwise(F.concat(F.lit("Validation error: "), err)).alias("remarks"))
+                     .otherwise(F.concat(F.lit(CRITERION_ERROR), err)).alias("remarks"))
             .alias("preconditions"),
             F.struct(pick(F.col("r.test_steps.passed")).alias("passed"),
                      F.when(ok, F.col("r.test_steps.remarks")).otherwise(F.lit("")).alias("remarks"))
@@ -232,7 +253,7 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
                      .alias("remarks")).alias("expected_results"),
             pick(F.col("r.verdict")).alias("verdict"),
             F.when(ok, F.col("r.overall_remarks"))
-            .otherwise(F.concat(F.lit("Error during validation: "), err)).alias("overall_remarks"),
+            .otherwise(F.concat(F.lit(OVERALL_ERROR), err)).alias("overall_remarks"),
             F.when(ok, F.col("r.improvements")).otherwise(F.lit("")).alias("improvements"),
         ).alias("evaluation"),
         F.col("r.test_case_id").alias("reply_case_id"),
@@ -244,19 +265,25 @@ def score(cases: DataFrame, evaluator: Evaluator, id_col: str = "case_id",
 
 def completeness_evaluator(pdf: pd.DataFrame) -> pd.Series:
     """A small deterministic Python evaluator (stands in for a remote service in tests and
-    examples): each criterion passes when its text is non-empty."""
-    def reply(row) -> str:
-        flags = {k: bool(row.get(c)) for k, c in (("preconditions", "pre_conditions"),
-                                                  ("test_steps", "test_steps"),
-                                                  ("expected_results", "expected_result"))}
-        n = sum(flags.values())
+    examples): each criterion passes when its text is non-empty. Whole columns at a time: a
+    reply depends on the id and three flags, so it is an id between two of eight texts."""
+    def present(column: str) -> pd.Series:
+        if column not in pdf:
+            return pd.Series(False, index=pdf.index)
+        return pdf[column].notna() & (pdf[column] != "")
+
+    def rest(flags: tuple[bool, ...]) -> str:
+        n = sum(flags)
         verdict = "Passed" if n == 3 else ("Failed" if n == 0 else "Needs Improvement")
-        body = {"test_case_id": str(row["case_id"]),
-                **{k: {"passed": v, "remarks": "" if v else "empty"} for k, v in flags.items()},
+        body = {**{k: {"passed": v, "remarks": "" if v else "empty"}
+                   for k, v in zip(("preconditions", "test_steps", "expected_results"), flags)},
                 "verdict": verdict, "overall_remarks": f"{n} of 3 criteria present",
                 "improvements": ""}
-        return "```json\n" + json.dumps(body) + "\n```"
-    return pdf.apply(reply, axis=1)
+        return ", " + json.dumps(body)[1:] + "\n```"
+    pattern = (present("pre_conditions") * 4 + present("test_steps") * 2
+               + present("expected_result") * 1)
+    rests = pattern.map({i: rest((bool(i & 4), bool(i & 2), bool(i & 1))) for i in range(8)})
+    return '```json\n{"test_case_id": ' + pdf["case_id"].astype(str).map(json.dumps) + rests
 
 
 # ------------------------------------------------------------------ report rows ----------

@@ -138,6 +138,23 @@ EMPTY_TEXT = "(empty)"
 ERROR_VERDICT = "ERROR"
 PASS_ICON = "✓"
 FAIL_ICON = "✗"
+TITLE = "**Title:** "
+PRE = "**Pre Conditions:**"
+STEPS = "**Test Steps:**"
+EXPECTED = "**Expected Result:**"
+EVALUATION = "**Evaluation:**"
+VERDICT_OPEN = "- **Verdict: "
+VERDICT_CLOSE = "**"
+OVERALL = "- Overall Remarks: "
+IMPROVEMENTS = "- Improvements: "
+EXAMPLE = "### Example "
+DASH = " — "
+CONTEXT_OPEN = "]  _(context: "
+CONTEXT_CLOSE = ")_"
+STATE_OPEN = " ["
+NO_TITLE = "None"
+CRITERION = "- {}: "
+CRITERIA = ("Pre Conditions", "Test Steps", "Expected Results")
 # --- end of fixed values ---
 
 
@@ -154,31 +171,31 @@ def example_block(cols: set[str]) -> Column:
     def criterion(label: str, flag: str, remarks: str) -> Column:
         icon = F.when(F.coalesce(c(flag).cast("boolean"), F.lit(False)), F.lit(PASS_ICON)) \
             .otherwise(F.lit(FAIL_ICON))
-        tail = F.coalesce(F.concat(F.lit(" — "), nonblank(remarks)), F.lit(""))
-        return F.concat(F.lit(f"- {label}: "), icon, tail)
+        tail = F.coalesce(F.concat(F.lit(DASH), nonblank(remarks)), F.lit(""))
+        return F.concat(F.lit(CRITERION.format(label)), icon, tail)
 
     verdict = F.coalesce(nonblank("verdict"), F.lit(ERROR_VERDICT))
     context = F.coalesce(nonblank("capability"), nonblank("product"), nonblank("tribe"), F.lit(""))
     return F.concat_ws(
         "\n",
-        F.concat(F.lit("### Example "), F.col("ordinal").cast("string"), F.lit(" — "),
-                 F.col("example_id").cast("string"), F.lit(" ["), F.upper(verdict),
-                 F.lit("]  _(context: "), context, F.lit(")_")),
-        F.concat(F.lit("**Title:** "), F.coalesce(c("title").cast("string"), F.lit("None"))),
+        F.concat(F.lit(EXAMPLE), F.col("ordinal").cast("string"), F.lit(DASH),
+                 F.col("example_id").cast("string"), F.lit(STATE_OPEN), F.upper(verdict),
+                 F.lit(CONTEXT_OPEN), context, F.lit(CONTEXT_CLOSE)),
+        F.concat(F.lit(TITLE), F.coalesce(c("title").cast("string"), F.lit(NO_TITLE))),
         F.lit(""),
-        F.lit("**Pre Conditions:**"), F.coalesce(nonblank("pre_conditions"), F.lit(EMPTY_TEXT)),
+        F.lit(PRE), F.coalesce(nonblank("pre_conditions"), F.lit(EMPTY_TEXT)),
         F.lit(""),
-        F.lit("**Test Steps:**"), F.coalesce(nonblank("test_steps"), F.lit(EMPTY_TEXT)),
+        F.lit(STEPS), F.coalesce(nonblank("test_steps"), F.lit(EMPTY_TEXT)),
         F.lit(""),
-        F.lit("**Expected Result:**"), F.coalesce(nonblank("expected_result"), F.lit(EMPTY_TEXT)),
+        F.lit(EXPECTED), F.coalesce(nonblank("expected_result"), F.lit(EMPTY_TEXT)),
         F.lit(""),
-        F.lit("**Evaluation:**"),
-        criterion("Pre Conditions", "preconditions_passed", "preconditions_remarks"),
-        criterion("Test Steps", "test_steps_passed", "test_steps_remarks"),
-        criterion("Expected Results", "expected_results_passed", "expected_results_remarks"),
-        F.concat(F.lit("- **Verdict: "), verdict, F.lit("**")),
-        F.concat(F.lit("- Overall Remarks: "), nonblank("overall_remarks")),
-        F.concat(F.lit("- Improvements: "), nonblank("improvements")),
+        F.lit(EVALUATION),
+        criterion(CRITERIA[0], "preconditions_passed", "preconditions_remarks"),
+        criterion(CRITERIA[1], "test_steps_passed", "test_steps_remarks"),
+        criterion(CRITERIA[2], "expected_results_passed", "expected_results_remarks"),
+        F.concat(F.lit(VERDICT_OPEN), verdict, F.lit(VERDICT_CLOSE)),
+        F.concat(F.lit(OVERALL), nonblank("overall_remarks")),
+        F.concat(F.lit(IMPROVEMENTS), nonblank("improvements")),
         F.lit(""))
 
 

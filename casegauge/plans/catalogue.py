@@ -67,6 +67,9 @@ def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ store & reports ----
 
+import datetime as dt  # noqa: E402
+
+from casegauge import api  # noqa: E402
 from casegauge.operators import store  # noqa: E402
 
 FILTERS = dict(tribe="All", product="All", capability="All", verdict="Needs Improvement",
@@ -184,10 +187,27 @@ def date_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.date_extent(_latest_view(spark, sf_dir), "validated_at")
 
 
+@query("date_extent_fallback")
+def date_extent_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records that were never scored have no dates, so the extent is the year before the
+    given day."""
+    never = _latest_view(spark, sf_dir).where("never_scored")
+    return report.date_extent(never, "validated_at", today=dt.date(2024, 6, 1))
+
+
+@query("empty_store")
+def empty_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of a store that doesn't exist yet are empty; every record stands there
+    unscored."""
+    base = scratch_path(spark, "new-store")
+    return store.records_with_latest(fx.cases(fx.tables(spark, sf_dir)), api.read_facts(spark, base),
+                                     api.read_runs(spark, base)) \
+        .select("case_id", "title", "verdict", "provider", "never_scored")
+
+
 @query("filtered_view")
 def filtered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All filters combined (All = off) over the latest view."""
-    import datetime as dt
     f = FILTERS
     v = _latest_view(spark, sf_dir)
     return report.apply_filters(
@@ -305,7 +325,7 @@ def resume_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ dictionaries -------
 
 from casegauge.session import scratch_path  # noqa: E402
-from casegauge.sources import codemaps  # noqa: E402
+from casegauge.sources import codemaps, files  # noqa: E402
 
 
 def _nation_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +369,29 @@ def rules_from_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standards.evaluate(raw, standards.rules_for(maps)).select("c_custkey", "verdict", "remarks")
 
 
+@query("screen_full")
+def screen_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 17 report columns, from records that hold whole pages; tribe, product
+    and capability are decoded through a loaded dictionary file."""
+    t = fx.tables(spark, sf_dir)
+
+    def labels(table: DataFrame, key: str, label, name: str) -> DataFrame:
+        entry_ = F.struct(F.col(key).cast("string"), label)
+        return table.agg(F.map_from_entries(F.collect_list(entry_)).alias(name))
+    fields = [labels(t.nation, "n_nationkey", "n_name", "TRIBE_MAP"),
+              labels(t.nation, "n_nationkey", F.lower("n_name"), "PRODUCT_MAP"),
+              labels(t.region, "r_regionkey", "r_name", "CAPABILITY_MAP")]
+    path = scratch_path(spark, "dictionary")
+    for f in fields:  # one section each; the parts of the folder are one document a file
+        section = F.struct(F.struct(f.columns[0]).alias("retrieval_fields"))
+        f.select(F.to_json(section).alias("value")).coalesce(1).write.mode("append").text(path)
+    records = codemaps.decode_retrieval_fields(fx.page_records(t),
+                                               codemaps.load_dimension(spark, path))
+    return standards.flatten(records, *[F.col(f"__label_{label}")
+                                        for _, _, label in codemaps.RETRIEVAL_FIELDS]) \
+        .select(*standards.REPORT_COLUMNS)
+
+
 @query("reverse_lookup")
 def reverse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """an id by its label, whatever the label's case, and the customers that carry it."""
@@ -361,7 +404,6 @@ def reverse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from casegauge.functions import html, text  # noqa: E402
 from casegauge.operators import score  # noqa: E402
-from casegauge.sources import files  # noqa: E402
 
 
 @query("html_text")
@@ -449,6 +491,47 @@ def rule_screen_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score.result_rows(score.rule_screen(cases.withColumn("test_steps", numbered)))
 
 
+@query("rule_screen_titled")
+def rule_screen_titled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 with the title rule: titles must hold the platform's label (here a language)."""
+    cases = fx.documents_as_cases(fx.tables(spark, sf_dir))
+    return score.result_rows(score.rule_screen(cases, title="title", platform="EN"))
+
+
+@query("prompt_with_standards")
+def prompt_with_standards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluator's prompt for every document, with a standards document read from
+    a text file (the regions' names, a line each)."""
+    t = fx.tables(spark, sf_dir)
+    path = scratch_path(spark, "standards")
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("r_regionkey", "r_name"))),
+                        lambda r: r["r_name"])
+    t.region.agg(F.array_join(lines, "\n").alias("value")).coalesce(1).write.text(path)
+    # one document of configuration, a literal of the plan
+    written = files.read_standards(spark, path).first()["standards"]
+    c = F.col
+    return fx.documents_as_cases(t).select("case_id", score.evaluation_prompt(
+        F.lit(written), F.lit(""), c("case_id"), c("title"), F.substring_index("title", "/", 1),
+        F.lit(None), c("pre_conditions"), c("test_steps"), c("expected_result"),
+        "Answer as JSON.").alias("prompt"))
+
+
+@query("score_resume")
+def score_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that stopped with every other document scored and stored, and
+    was resumed over all documents: the whole run's report, each document once."""
+    base = scratch_path(spark, "resumed-store")
+    d = fx.documents_as_cases(fx.tables(spark, sf_dir))
+    passed = d.select(
+        F.col("case_id").cast("string").alias("Test Case ID"), F.col("title").alias("Title"),
+        F.col("pre_conditions").alias("Pre Conditions"), F.col("test_steps").alias("Test Steps"),
+        F.col("expected_result").alias("Expected Result"))
+    before = passed.where(F.col("Test Case ID").cast("long") % 2 == 0)
+    for part in (before, passed):
+        api.validate_cases(spark, part, base, run_id="20240601_090000")
+    return api.run_report(spark, base, "20240601_090000")
+
+
 @query("score_batch")
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pluggable Python evaluator over Arrow batches; replies parsed natively."""
@@ -580,6 +663,33 @@ def fetch_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.fetch_status(endpoints, env)
 
 
+@query("endpoint_file")
+def endpoint_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An id list read from CSV, the endpoint file written from it and read
+    back, and the ids whose link holds no record id."""
+    base = scratch_path(spark, "id-list")
+    ids = fx.tables(spark, sf_dir).customer.select(
+        F.col("c_custkey").cast("string").alias("ID"),
+        F.when(F.col("c_acctbal") < 0, F.lit("https://cases.example.com/"))
+        .otherwise(text.build_link(F.col("c_name"))).alias("Testrail Link"))
+    files.csv_writer(ids.write).csv(f"{base}/customers.csv")
+    path, rejected = api.generate_endpoint_file(spark, f"{base}/customers.csv", base)
+    return files.read_csv(spark, path, required=("ID", "endpoint")).withColumn(
+        "link", F.lit(None).cast("string")).unionByName(
+        rejected.withColumn("endpoint", F.lit(None).cast("string")))
+
+
+@query("filtered_export")
+def filtered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records whose latest verdict is Failed, exported as CSV and read back."""
+    base = scratch_path(spark, "export")
+    rows = report.apply_filters(_latest_view(spark, sf_dir), report.verdict_filter("Failed"))
+    path = files.write_snapshot(
+        rows.select("case_id", "title", "capability", "verdict", "run_id"), base,
+        "20240601_090000", fmt="csv")
+    return files.read_csv(spark, path)
+
+
 @query("csv_snapshot_roundtrip")
 def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-line text exported as CSV snapshots; the newest snapshot is

@@ -44,6 +44,31 @@ def cases_raw(t: Tables) -> DataFrame:
     )
 
 
+def page_records(t: Tables) -> DataFrame:
+    """Raw nested records (D4 shape) from ``pages``: the whole html as initiative, preconditions
+    and steps, and codes spread by the page's id."""
+    k = F.col("page_id")
+    arr = lambda *xs: F.array(*[F.lit(x) for x in xs]).cast("array<int>")
+    step = lambda a, b: F.struct(a.cast("string").alias("content"),
+                                 b.cast("string").alias("expected"))
+    return t.pages.select(
+        k.alias("id"), F.col("url").alias("title"),
+        F.col("html").alias("custom_project_initiative"),
+        (k % 30).cast("int").alias("custom_case_tribe"),
+        (k % 26).cast("int").alias("custom_product_prod"),
+        F.when(k % 3 != 0, (k % 5).cast("int")).alias("custom_capability"),
+        F.when(k % 9 != 0, (1 + k % 4).cast("int")).alias("priority_id"),
+        F.when(k % 4 == 0, k % 7).otherwise(2).cast("int").alias("custom_automatability"),
+        F.when(k % 6 == 0, k % 12).otherwise(1).cast("int").alias("custom_automation_status"),
+        F.when(k % 5 == 0, k % 23).otherwise(17).cast("int").alias("custom_testing_type"),
+        F.when(k % 7 == 0, 1 + k % 6).otherwise(2).cast("int").alias("case_status_id"),
+        F.when(k % 8 == 0, arr()).when(k % 8 == 1, F.lit(None)).when(k % 8 == 2, arr(3, 4))
+        .when(k % 8 == 3, arr(99)).otherwise(arr(1, 12)).alias("custom_testing_phase"),
+        F.col("html").alias("custom_preconds"),
+        F.array(step(F.col("html"), F.col("html")), step(F.lit(None), F.lit("Shown")))
+        .alias("custom_steps_separated"))
+
+
 def cases(t: Tables, texts: bool = False) -> DataFrame:
     """Store records (D7 subset): customer joined to its nation and region; with
     ``texts`` also the three record texts (some empty or NULL), from the same scan.

@@ -40,7 +40,7 @@ cases_raw AS (
   FROM orders
 )"""
 
-SCREEN = CASES_RAW + f""",
+DECODED = f""",
 decoded AS (
   SELECT c.*, a.label AS aut_l, s.label AS ast_l, t.label AS tt_l, u.label AS st_l,
     array_to_string(list_transform(coalesce(phases, []::INT[]),
@@ -76,6 +76,8 @@ evaluated AS (
   FROM screen
 )"""
 
+SCREEN = CASES_RAW + DECODED
+
 SQL["standards_eval"] = f"""
 WITH {SCREEN}
 SELECT verdict AS "General Standards", remarks AS "Remarks", 'C' || CAST(id AS VARCHAR) AS "Test Case ID",
@@ -266,6 +268,25 @@ SELECT coalesce(min(CAST(validated_at AS DATE)), current_date - 365) AS min_date
 FROM view
 """
 
+SQL["date_extent_fallback"] = f"""
+WITH {STORE}
+SELECT coalesce(min(CAST(validated_at AS DATE)), DATE '2024-06-01' - 365) AS min_date,
+       coalesce(max(CAST(validated_at AS DATE)), DATE '2024-06-01') AS max_date
+FROM view WHERE never_scored
+"""
+
+SQL["empty_store"] = f"""
+WITH {STORE}
+SELECT case_id, title, CAST(NULL AS VARCHAR) AS verdict, CAST(NULL AS VARCHAR) AS provider,
+  true AS never_scored FROM cases
+"""
+
+SQL["filtered_export"] = f"""
+WITH {STORE}
+SELECT CAST(case_id AS VARCHAR) AS case_id, title, capability, verdict, run_id
+FROM view WHERE verdict = 'Failed'
+"""
+
 SQL["filtered_view"] = f"""
 WITH {STORE}
 SELECT case_id, title, tribe, product, capability, verdict, validated_at FROM view
@@ -400,6 +421,44 @@ SELECT page_id, array_to_string(list_transform(regexp_extract_all(h, {_q(_h.LI_R
 FROM cleaned
 """
 
+SQL["screen_full"] = f"""
+WITH cases_raw AS (
+  SELECT page_id AS id, url, html,
+    CASE WHEN page_id % 9 <> 0 THEN CAST(1 + page_id % 4 AS INT) END AS priority_id,
+    CAST(CASE WHEN page_id % 4 = 0 THEN page_id % 7 ELSE 2 END AS INT) AS aut,
+    CAST(CASE WHEN page_id % 6 = 0 THEN page_id % 12 ELSE 1 END AS INT) AS ast,
+    CAST(CASE WHEN page_id % 5 = 0 THEN page_id % 23 ELSE 17 END AS INT) AS tt,
+    CAST(CASE WHEN page_id % 7 = 0 THEN 1 + page_id % 6 ELSE 2 END AS INT) AS st,
+    CASE page_id % 8 WHEN 0 THEN []::INT[] WHEN 1 THEN NULL WHEN 2 THEN [3, 4]
+         WHEN 3 THEN [99] ELSE [1, 12] END AS phases
+  FROM pages
+){DECODED},
+cleaned AS (
+  SELECT e.*, n.n_name AS tribe, lower(p.n_name) AS product, r.r_name AS capability,
+    regexp_replace(coalesce(html, ''), {_q(_h.REMOVED_RE)}, chr(1), 'g') AS h
+  FROM evaluated e LEFT JOIN nation n ON n.n_nationkey = id % 30
+  LEFT JOIN nation p ON p.n_nationkey = id % 26
+  LEFT JOIN region r ON id % 3 <> 0 AND r.r_regionkey = id % 5
+)
+SELECT verdict AS "General Standards", remarks AS "Remarks", 'C' || CAST(id AS VARCHAR) AS "Test Case ID",
+  url AS "Title", array_to_string({_nodes('h')}, chr(10)) AS "Project Initiative",
+  tribe AS "Tribe", product AS "Product", capability AS "Capability", priority_id AS "Priority",
+  aut_l AS "Automatability", ast_l AS "Automation Status", tt_l AS "Testing Type",
+  st_l AS "Status", phase_l AS "Testing Phase",
+  array_to_string(list_transform(regexp_extract_all(h, {_q(_h.LI_RE)}, 1),
+    lambda x, i: CAST(i AS VARCHAR) || '. ' || array_to_string({_nodes('x')}, ' ')), chr(10)) AS "Pre Conditions",
+  "Pre Conditions" AS "Test Steps",
+  array_to_string({_nodes("(h || chr(10) || 'Shown')")}, chr(10)) AS "Expected Result"
+FROM cleaned
+"""
+
+SQL["endpoint_file"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS "ID",
+  CASE WHEN c_acctbal >= 0 THEN {_q(_t.DEFAULT_API_BASE)} || regexp_replace(c_name, '[^0-9]', '', 'g') END AS endpoint,
+  CASE WHEN c_acctbal < 0 THEN 'https://cases.example.com/' END AS link
+FROM customer
+"""
+
 SQL["endpoint_from_link"] = f"""
 SELECT page_id, nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS record_id,
   {_q(_t.DEFAULT_API_BASE)} || nullif(regexp_extract(url, '/([0-9]+)', 1), '') AS endpoint,
@@ -571,6 +630,43 @@ FROM k
 # numbering the lines changes nothing
 SQL["rule_screen_numbered"] = SQL["rule_screen"]
 
+# a resumed run's report is the screen of all documents
+SQL["score_resume"] = SQL["rule_screen"]
+
+SQL["rule_screen_titled"] = f"""
+WITH plain AS ({SQL["rule_screen"]}),
+titled AS (
+  SELECT *, regexp_matches(lower(coalesce("Title", '')), '(^|[^a-z])en([^a-z]|$)') AS ok FROM plain
+),
+joined AS (
+  SELECT * EXCLUDE ("Verdict", "Overall Remarks", "Improvements"),
+    CASE WHEN "Verdict" = 'Passed' AND NOT ok THEN 'Needs Improvement' ELSE "Verdict" END AS v,
+    concat_ws('; ', CASE WHEN NOT ok THEN 'title lacks the platform label' END,
+              nullif("Overall Remarks", '')) AS o
+  FROM titled
+)
+SELECT * EXCLUDE (ok, v, o), v AS "Verdict", o AS "Overall Remarks",
+  CASE WHEN v = 'Passed' THEN '' ELSE 'Address: ' || o END AS "Improvements"
+FROM joined
+"""
+
+SQL["prompt_with_standards"] = f"""
+WITH {DOC_CASES},
+written AS (SELECT string_agg(r_name, chr(10) ORDER BY r_regionkey) || chr(10) AS s FROM region),
+f AS (
+  SELECT case_id, coalesce(title, '') AS title, split_part(title, '/', 1) AS kind, s,
+    coalesce(nullif(pre_conditions, ''), '(empty)') AS p, coalesce(nullif(test_steps, ''), '(empty)') AS t,
+    coalesce(nullif(expected_result, ''), '(empty)') AS e
+  FROM doc_cases CROSS JOIN written
+)
+SELECT case_id, array_to_string([
+  '## Quality Standards Reference', '', s, '', '---', '', '## Test Case to Evaluate', '',
+  '**Test Case ID:** ' || CAST(case_id AS VARCHAR), '**Title:** ' || title,
+  '**Testing Type:** ' || kind, '**Testing Phase:** ', '', '**Pre Conditions:**', p, '',
+  '**Test Steps:**', t, '', '**Expected Result:**', e, '', '---', '', 'Answer as JSON.'], chr(10)) AS prompt
+FROM f
+"""
+
 SQL["rules_from_dictionary"] = """
 SELECT c_custkey,
   CASE WHEN n_regionkey IN (0, 1, 2) THEN 'Passed' ELSE 'Failed' END AS verdict,
