@@ -375,16 +375,19 @@ def screen_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     and capability are decoded through a loaded dictionary file."""
     t = fx.tables(spark, sf_dir)
 
-    def labels(table: DataFrame, key: str, label, name: str) -> DataFrame:
-        entry_ = F.struct(F.col(key).cast("string"), label)
-        return table.agg(F.map_from_entries(F.collect_list(entry_)).alias(name))
-    fields = [labels(t.nation, "n_nationkey", "n_name", "TRIBE_MAP"),
-              labels(t.nation, "n_nationkey", F.lower("n_name"), "PRODUCT_MAP"),
-              labels(t.region, "r_regionkey", "r_name", "CAPABILITY_MAP")]
+    def labels(table: DataFrame, key: str, label: str, name: str) -> DataFrame:
+        return table.select(F.lit(name).alias("name"),
+                            F.struct(F.col(key).cast("string"), F.col(label)).alias("entry"))
+    entries = labels(t.nation, "n_nationkey", "n_name", "TRIBE_MAP") \
+        .union(labels(t.nation.withColumn("label", F.lower("n_name")), "n_nationkey", "label",
+                      "PRODUCT_MAP")) \
+        .union(labels(t.region, "r_regionkey", "r_name", "CAPABILITY_MAP"))
+    maps = entries.groupBy("name").agg(F.map_from_entries(F.collect_list("entry")).alias("m"))
+    document = maps.agg(F.map_from_entries(F.collect_list(F.struct("name", "m")))
+                        .alias("retrieval_fields"))
     path = scratch_path(spark, "dictionary")
-    for f in fields:  # one section each; the parts of the folder are one document a file
-        section = F.struct(F.struct(f.columns[0]).alias("retrieval_fields"))
-        f.select(F.to_json(section).alias("value")).coalesce(1).write.mode("append").text(path)
+    document.select(F.to_json(F.struct("retrieval_fields")).alias("value")) \
+        .coalesce(1).write.text(path)
     records = codemaps.decode_retrieval_fields(fx.page_records(t),
                                                codemaps.load_dimension(spark, path))
     return standards.flatten(records, *[F.col(f"__label_{label}")
