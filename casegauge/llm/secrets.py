@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns plus a battery of randomness tests.
 
 The patterns (``assign``, ``access``, ``hex``) always count. Beyond them, long unbroken
-tokens are tested for randomness in the alphabet they seem to be written in: chi-squared
-uniformity over the alphabet, the runs test around its middle, and lag-1 serial
-correlation, combined by Fisher's method into one p-value under "drawn at random".
+tokens are tested for randomness in the alphabet they seem to be written in (dash-grouped
+hex without its dashes): chi-squared uniformity over the alphabet, the runs test around its
+middle, and lag-1 serial correlation, combined by Fisher's method into one p-value under
+"drawn at random".
 
 A random token's p-value is uniform, whatever its length; an ordinary word's lies near 0,
 the nearer the longer it is. So within each stratum (alphabet, length band) the share of
@@ -42,12 +43,23 @@ KINDS = ("assign", "access", "hex", "random")
 
 TOKEN_LEAST = 20
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-# Alphabets in their own order; a token is read in the first that holds it.
+# dash-grouped hex (UUIDs), with a letter so that dates and phone numbers stay out; it is
+# tested without its dashes, in strata of its own
+GROUPED = re.compile(r"(?=[0-9-]*[a-f])[0-9a-f]{2,}(?:-[0-9a-f]{2,})+"
+                     r"|(?=[0-9-]*[A-F])[0-9A-F]{2,}(?:-[0-9A-F]{2,})+")
+# Letters from rare to frequent in prose. Neighbours share a cell of the
+# battery, so words of one case crowd in the last cells; in the alphabet's order they would
+# spread as evenly as random letters do.
+RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate"
+# Alphabets; a token is read in the first that holds it.
 ALPHABETS = {
     "decimal": "0123456789",
     "hex": "0123456789abcdef",
     "hex_upper": "0123456789ABCDEF",
-    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base32": "234567" + RARE_FIRST.upper(),
+    "base32_lower": "234567" + RARE_FIRST,
+    "lower36": "0123456789" + RARE_FIRST,
+    "upper36": "0123456789" + RARE_FIRST.upper(),
     "alnum": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
@@ -133,11 +145,15 @@ def find_candidates(text: str, base: list[tuple[int, int, int]]):
         if any(s < b and a < e for s, e, _ in base):
             continue
         token = m[0].rstrip("=")
+        grouped = GROUPED.fullmatch(token) is not None
+        if grouped:
+            token = token.replace("-", "")
         alphabet = infer_alphabet(token)
         if alphabet is None:
             continue
         p = fisher(battery(token, alphabet))
-        yield a, b, f"{alphabet}:{band(len(token))}", min(BINS - 1, int(p * BINS))
+        name = f"{alphabet}_grouped" if grouped else alphabet
+        yield a, b, f"{name}:{band(len(token))}", min(BINS - 1, int(p * BINS))
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()),
@@ -176,7 +192,7 @@ def thresholds(scanned: DataFrame, fdr: float) -> dict[str, int]:
 
     The upper half of the bins holds random tokens only (an ordinary token's p-value is
     near 0), so it gives their number per bin; what a bin holds beyond that is ordinary.
-    The counts are one row per (stratum, bin): at most 7 x 64 x 100, whatever the corpus.
+    The counts are one row per (stratum, bin): at most 12 x 64 x 100, whatever the corpus.
     """
     c = F.explode("found")
     counts = scanned.select(c.alias("c")).where("c.kind = 3").groupBy("c.stratum", "c.bin") \
