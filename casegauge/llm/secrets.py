@@ -11,6 +11,9 @@ the nearer the longer it is. So within each stratum (alphabet, length band) the
 random tokens follows from the upper half of the p-values, and the lowest threshold is
 taken at which the expected share of ordinary tokens among those reported is at most
 ``fdr``. Strata are counted over the whole corpus; the table of counts has a fixed size.
+Thin strata (a rare encoding, one long key) are judged by a fixed p-value and an upper bound
+of their random tokens. They aren't pooled with others: beside many ordinary tokens of
+another length or alphabet the pooled threshold would lose a lone random one.
 
 Positions are code points, ends exclusive. Texts are scanned whole.
 
@@ -67,6 +70,10 @@ ALPHABETS = {
 _SETS = [(name, frozenset(letters)) for name, letters in ALPHABETS.items()]
 _INDEX = {name: {c: i for i, c in enumerate(letters)} for name, letters in ALPHABETS.items()}
 BINS = 100
+# With fewer tokens in the upper half of its bins a stratum is thin, and p-values
+# under 0.05 aren't reported in it: 95 % of random tokens lie above, whatever the corpus
+ENOUGH = 100
+THIN_CUT = 5
 # a length band is a power of sqrt(2); tokens of 20 characters are in band 8
 BANDS = 64
 
@@ -188,10 +195,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def thresholds(scanned: DataFrame, fdr: float) -> dict[str, int]:
-    """Per stratum, the first p-value bin from which tokens are reported.
+    """Per stratum, the first p-value bin from which tokens are reported (``first_bin``).
 
-    The upper half of the bins holds random tokens only (an ordinary token's p-value is
-    near 0), so it gives their number per bin; what a bin holds beyond that is ordinary.
     The counts are one row per (stratum, bin): at most 12 x 64 x 100, whatever the corpus.
     """
     c = F.explode("found")
@@ -200,16 +205,35 @@ def thresholds(scanned: DataFrame, fdr: float) -> dict[str, int]:
     table: dict[str, np.ndarray] = {}
     for r in counts:
         table.setdefault(r["stratum"], np.zeros(BINS))[r["bin"]] = r["count"]
-    out = {}
-    for stratum, n in table.items():
-        per_bin = n[BINS // 2:].sum() / (BINS - BINS // 2)
-        reported = np.cumsum(n[::-1])[::-1]
-        random = per_bin * np.arange(BINS, 0, -1)
-        false = np.maximum(reported - random, 0) / np.maximum(reported, 1)
-        good = np.flatnonzero((false <= fdr) & (reported > 0))
-        if per_bin > 0 and len(good):
-            out[stratum] = int(good[0])
-    return out
+    return {stratum: first_bin(n, fdr) for stratum, n in table.items()}
+
+
+def _most(seen: float) -> float:
+    """The highest mean at which so few events have a chance of 5 % (Poisson, by the
+    Wilson-Hilferty form of chi-squared)."""
+    k = seen + 1
+    return k * (1 - 1 / (9 * k) + 1.645 / (3 * k ** 0.5)) ** 3
+
+
+def first_bin(n: np.ndarray, fdr: float) -> int:
+    """The first bin to report of a stratum's counts per bin.
+
+    The upper half of the bins holds random tokens only (an ordinary token's p-value is
+    near 0), so it gives their number per bin; what a bin holds beyond that is ordinary.
+    With fewer than ``ENOUGH`` tokens there the number is too uncertain: bins from
+    ``THIN_CUT`` on are reported as far as they hold no more than the most random tokens
+    that the upper half allows. So a lone token is reported by its own p-value, and
+    ordinary tokens that crowd the lower bins stay out.
+    """
+    upper = n[BINS // 2:].sum()
+    thin = upper < ENOUGH
+    half = _most(upper) if thin else upper
+    reported = np.cumsum(n[::-1])[::-1]
+    random = half * np.arange(BINS, 0, -1) / (BINS - BINS // 2)
+    good = np.maximum(reported - random, 0) <= fdr * reported
+    if thin:
+        good[:THIN_CUT] = False
+    return int(np.flatnonzero(good)[0])
 
 
 def _reported(found: Column, first: dict[str, int]) -> Column:
