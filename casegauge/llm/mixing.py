@@ -12,8 +12,11 @@ equal hash ranges, the ranges' word sums (one partial aggregate) tell which rang
 end, and only documents of such ranges are ordered. A source with a third of all rows costs
 what any other costs.
 
-Through the driver go the word totals of patterns, never documents (``max_patterns`` is
-checked, not cut).
+Targets are computed over the table of sources, and a source that overlaps with no other
+takes what its target allows (``min(size, target)`` per repetition), also as a table: any
+number of such sources fits. Only patterns that share sources, and patterns of several
+sources, go through the driver to the flow network, one connected group after the other
+(``max_patterns`` is checked, not cut); documents never do.
 
 Defined results: a null text has size 0; documents of size 0 are taken once if their
 pattern is taken at their place (0 words either way); a null source is a source of its own,
@@ -24,7 +27,9 @@ equal in id and text share one place on the line; an empty table gives an empty
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Sequence
+from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -157,34 +162,134 @@ def placed(df: DataFrame, sources: Column, id_col: str, text_col: str, seed: int
         "bucket", F.pmod("place", F.lit(BUCKETS)).cast("int"))
 
 
-def _stretches(flows: dict[tuple[int, int], int], n_sources: int,
-               repeats: int) -> list[tuple[int, int, int, int]]:
+def _stretches(flows: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int]]:
     """(repetition, from, to, source): the stretches of a pattern's line that sources take,
     one after the other, anew in each repetition."""
     out = []
-    for k in range(repeats):
-        at = 0
-        for s in range(n_sources):
-            f = flows.get((k, s), 0)
-            if f:
-                out.append((k, at, at + f, s))
-                at += f
+    at = defaultdict(int)
+    for (k, s), f in sorted(flows.items()):
+        out.append((k, at[k], at[k] + f, s))
+        at[k] += f
     return out
 
 
-def plan_of(totals: list, weights, share: Fraction = Fraction(3, 2),
-            repeats: int = REPEATS) -> dict:
-    """Sizes, targets and flows, from (pattern, words) totals."""
-    patterns = sorted((tuple(p), int(n)) for p, n in totals)
-    keys = code_point_order({k for p, _ in patterns for k in p})
-    sizes = {k: sum(n for p, n in patterns if k in p) for k in keys}
-    wanted = targets(sizes, weights(keys), share, repeats)
-    index = {k: i for i, k in enumerate(keys)}
-    flows = min_cost_flow([n for _, n in patterns],
-                          [[index[k] for k in p] for p, _ in patterns],
-                          [round(wanted[k]) for k in keys], repeats)
-    return {"keys": keys, "sizes": sizes, "targets": wanted,
-            "patterns": [p for p, _ in patterns], "flows": flows}
+def _ranked(sources: DataFrame, scratch: Scratch) -> DataFrame:
+    """``sources`` with ``rank`` in code-point order, null last: sorted by ranges, numbered
+    within them and moved by the rows of the ranges before."""
+    rows = scratch.stage(sources.orderBy(F.col("source") == "n", "source")
+                         .withColumn("at", F.monotonically_increasing_id()), "mix-sorted")
+    rows = rows.withColumn("part", F.shiftright("at", 33))
+    before, starts = 0, []
+    for r in sorted(rows.groupBy("part").count().collect()):
+        starts.append((r["part"], before))
+        before += r["count"]
+    starts = sources.sparkSession.createDataFrame(starts, "part bigint, before bigint")
+    rank = F.col("before") + F.col("at") - F.shiftleft("part", 33)
+    return rows.join(F.broadcast(starts), "part").withColumn("rank", rank) \
+        .drop("at", "part", "before")
+
+
+def _whole(c: Column | int) -> Column:
+    """An integer of up to 38 digits."""
+    return (F.lit(Decimal(c)) if isinstance(c, int) else c).cast("decimal(38,0)")
+
+
+def targets_table(ranked: DataFrame, cycle: Sequence[int], share: Fraction,
+                  repeats: int) -> DataFrame:
+    """``targets`` over a table of sources, with weights that repeat along the rank: target,
+    and quota (the target rounded, half to even). Each round is one aggregate, exact in
+    integers: a source is closed if left / open weights > repeats * size / weight."""
+    rows = ranked.withColumn("weight", F.get(F.array(*map(F.lit, cycle)),
+                                             (F.col("rank") % len(cycle)).cast("int")))
+    size, weight = _whole(F.col("size")), _whole(F.col("weight"))
+    words, weights = (int(x or 0) for x in rows.agg(F.sum(size), F.sum(weight)).first())
+    n, d = Fraction(share).numerator, Fraction(share).denominator
+    left, open_, n_closed = n * words, weights, 0  # d * left
+    closed = F.lit(True)
+    while open_:
+        closed = _whole(left) * weight > _whole(repeats * d * open_) * size
+        r = rows.agg(F.count_if(closed), F.sum(F.when(closed, size)),
+                     F.sum(F.when(closed, weight))).first()
+        if r[0] == n_closed:
+            break
+        n_closed, closed = r[0], F.lit(True)
+        left, open_ = n * words - d * repeats * int(r[1]), weights - int(r[2])
+    by, of = _whole(left) * weight, _whole(max(1, d * open_))
+    rest = by % of
+    down = ((by - rest) / of).cast("bigint")
+    up = (2 * rest > of) | ((2 * rest == of) & (down % 2 == 1))
+    full = F.lit(repeats) * F.col("size")
+    return rows.select(
+        "source", "size", "alone",
+        F.when(closed, full.cast("double")).otherwise(by.cast("double") / of.cast("double"))
+        .alias("target"),
+        F.when(closed, full).otherwise(down + up.cast("int")).alias("quota"))
+
+
+def sources_of(totals: DataFrame, weights, share: Fraction, repeats: int,
+               scratch: Scratch) -> DataFrame:
+    """One row per source: size (words), target, quota and ``alone`` (no pattern holds it
+    together with another source). Weights other than ``repeating`` are a function of all
+    sources, which therefore go to the driver."""
+    sources = totals.select(F.explode("pattern").alias("source"), "n",
+                            F.size("pattern").alias("width")).groupBy("source").agg(
+        F.sum("n").alias("size"), (F.max("width") == 1).alias("alone"))
+    if isinstance(weights, repeating) and all(isinstance(w, int) for w in weights.cycle):
+        ranked = scratch.stage(_ranked(sources, scratch), "mix-ranked")
+        return scratch.stage(targets_table(ranked, weights.cycle, share, repeats), "mix-sources")
+    rows = {r["source"]: r for r in sources.collect()}
+    keys = code_point_order(rows)
+    wanted = targets({k: rows[k]["size"] for k in keys}, weights(keys), share, repeats)
+    return scratch.stage(totals.sparkSession.createDataFrame(
+        [(k, rows[k]["size"], rows[k]["alone"], float(wanted[k]), round(wanted[k])) for k in keys],
+        "source string, size bigint, alone boolean, target double, quota bigint"), "mix-sources")
+
+
+def groups(patterns: Sequence[Sequence[str]]) -> list[list[int]]:
+    """Patterns (their places) that are connected by shared sources."""
+    root: dict[str, str] = {}
+
+    def find(k: str) -> str:
+        while root.setdefault(k, k) != k:
+            root[k] = k = root[root[k]]
+        return k
+    for p in patterns:
+        for k in p[1:]:
+            root[find(k)] = find(p[0])
+    out = defaultdict(list)
+    for i, p in enumerate(patterns):
+        out[find(p[0])].append(i)
+    return list(out.values())
+
+
+def flows_of(patterns: Sequence[tuple[str, ...]], sizes: Sequence[int], quotas: dict[str, int],
+             repeats: int = REPEATS) -> list[dict[tuple[int, int], int]]:
+    """``min_cost_flow`` of every connected group; sources are places in ``quotas``."""
+    place = {k: i for i, k in enumerate(quotas)}
+    out: list[dict[tuple[int, int], int]] = [{} for _ in patterns]
+    for group in groups(patterns):
+        keys = sorted({k for i in group for k in patterns[i]}, key=place.__getitem__)
+        index = {k: j for j, k in enumerate(keys)}
+        flows = min_cost_flow([sizes[i] for i in group],
+                              [[index[k] for k in patterns[i]] for i in group],
+                              [quotas[k] for k in keys], repeats)
+        for i, f in zip(group, flows):
+            out[i] = {(k, place[keys[j]]): n for (k, j), n in f.items()}
+    return out
+
+
+LINE = "array<struct<k:int,from_:bigint,to_:bigint,source:string>>"
+
+
+def _own_lines(alone: DataFrame, repeats: int) -> DataFrame:
+    """Lines of sources that stand alone: each repetition from the start, as far as the
+    quota reaches."""
+    def stretch(k: int) -> Column:
+        to = F.least(F.col("size"), F.col("quota") - k * F.col("size"))
+        return F.struct(F.lit(k).alias("k"), F.lit(0).cast("bigint").alias("from_"),
+                        to.alias("to_"), F.col("source").alias("source"))
+    line = F.filter(F.array(*map(stretch, range(repeats))), lambda x: x["to_"] > 0)
+    return alone.select(F.array("source").alias("pattern"), line.cast(LINE).alias("line"))
 
 
 def _taken(line: Column, middle: Column) -> Column:
@@ -196,7 +301,9 @@ def _taken(line: Column, middle: Column) -> Column:
 def mix(docs: DataFrame, weights, share: Fraction = Fraction(3, 2), repeats: int = REPEATS,
         max_patterns: int = 100_000, scratch: Scratch | None = None) -> tuple[DataFrame, dict]:
     """``placed`` documents with ``taken_by``: the source that takes each copy (empty: the
-    mix leaves the document out), and the plan (sizes, targets, flows).
+    mix leaves the document out), and the plan: ``sources`` (a table: source, size, target,
+    quota, alone) and keys, patterns and flows of what overlaps. More than ``max_patterns``
+    overlapping patterns are refused; sources that stand alone don't count.
 
     A copy goes to the source in whose stretch the document's middle word lies. A hash
     range without the end of a stretch is decided as a whole, by a join with the ranges'
@@ -208,23 +315,31 @@ def mix(docs: DataFrame, weights, share: Fraction = Fraction(3, 2), repeats: int
     scratch = scratch or Scratch(spark)
     sums = scratch.stage(docs.groupBy("pattern", "bucket").agg(F.sum("size").alias("words")),
                          "mix-sums")
-    rows = sums.groupBy("pattern").agg(F.sum("words").alias("n")).limit(max_patterns + 1).collect()
+    totals = scratch.stage(sums.groupBy("pattern").agg(F.sum("words").alias("n")), "mix-totals")
+    sources = sources_of(totals, weights, share, repeats, scratch)
+    own = _own_lines(sources.where("alone"), repeats)
+    rows = totals.where(F.size("pattern") > 0).join(own, "pattern", "left_anti") \
+        .limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns: "
+        raise ValueError(f"more than {max_patterns} overlapping membership patterns: "
                          "raise max_patterns or merge sources")
-    plan = plan_of([(r["pattern"], r["n"]) for r in rows], weights, share, repeats)
-    lines = spark.createDataFrame(
-        [(list(p), [(k, a, b, plan["keys"][s])
-                    for k, a, b, s in _stretches(f, len(plan["keys"]), repeats)])
-         for p, f in zip(plan["patterns"], plan["flows"])],
-        "pattern array<string>, line array<struct<k:int,from_:bigint,to_:bigint,source:string>>")
+    quotas = {r["source"]: r["quota"] for r in sources.where("not alone").collect()}
+    keys = code_point_order(quotas)
+    rows = sorted((tuple(r["pattern"]), r["n"]) for r in rows)
+    plan = {"sources": sources, "keys": keys, "patterns": [p for p, _ in rows]}
+    plan["flows"] = flows_of(plan["patterns"], [n for _, n in rows],
+                             {k: quotas[k] for k in keys}, repeats)
+    lines = own.unionByName(spark.createDataFrame(
+        [(list(p), [(k, a, b, keys[s]) for k, a, b, s in _stretches(f)])
+         for p, f in zip(plan["patterns"], plan["flows"])], f"pattern array<string>, line {LINE}"))
     before = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket")
                                  .rowsBetween(Window.unboundedPreceding, -1))
     after = F.col("before") + F.col("words")
     cut = F.exists("line", lambda x: ((x["from_"] > F.col("before")) & (x["from_"] < after))
                    | ((x["to_"] > F.col("before")) & (x["to_"] < after)))
     ranges = sums.withColumn("before", F.coalesce(before, F.lit(0).cast("bigint"))) \
-        .join(lines, "pattern").withColumn("cut", cut)
+        .join(lines, "pattern", "left") \
+        .withColumn("line", F.coalesce("line", F.array().cast(LINE))).withColumn("cut", cut)
     whole = F.when(~F.col("cut"), _taken(F.col("line"), 2 * F.col("before")))
     ranges = scratch.stage(ranges.select(
         "pattern", "bucket", "before", "cut", whole.alias("whole"),
@@ -240,9 +355,14 @@ def mix(docs: DataFrame, weights, share: Fraction = Fraction(3, 2), repeats: int
     return out[0].unionByName(out[1]), plan
 
 
-def repeating(cycle: Sequence[int]):
+class repeating:
     """Weights that repeat along the ordered sources: 5, 2, 1, 5, 2, 1, ..."""
-    return lambda keys: {k: cycle[i % len(cycle)] for i, k in enumerate(keys)}
+
+    def __init__(self, cycle: Sequence[int]):
+        self.cycle = tuple(cycle)
+
+    def __call__(self, keys: Sequence[str]) -> dict:
+        return {k: self.cycle[i % len(self.cycle)] for i, k in enumerate(keys)}
 
 
 def mixture(df: DataFrame, cycle: Sequence[int] = (5, 2, 1), seed: int = 20240229,
@@ -254,9 +374,8 @@ def mixture(df: DataFrame, cycle: Sequence[int] = (5, 2, 1), seed: int = 2024022
     docs = scratch.stage(placed(df, F.array(F.col(f"`{source_col}`")), id_col, text_col, seed),
                          "mix-sized")
     chosen, plan = mix(docs, repeating(cycle), share, scratch=scratch)
-    facts = df.sparkSession.createDataFrame(
-        [([k], int(plan["sizes"][k]), float(plan["targets"][k])) for k in plan["keys"]],
-        "pattern array<string>, source_size bigint, target double")
+    facts = plan["sources"].select(F.array("source").alias("pattern"),
+                                   F.col("size").alias("source_size"), "target")
     copies = F.size("taken_by")
     return chosen.join(broadcast_if_small(facts)[0], "pattern").select(
         F.col(f"row.`{id_col}`").alias("doc_id"), "size", "source_size", "target",

@@ -114,6 +114,52 @@ def test_overlapping_sources(spark):
         assert abs(taken[s] - flow[s]) <= 30 * len(plan["patterns"]) * 2
 
 
+def test_sources_beyond_max_patterns(spark):
+    """One source per document is no overlap: any number of sources is mixed, and none of
+    their totals goes through the flow network."""
+    rng = random.Random(7)
+    rows = [(i, "w " * rng.randrange(1, 30), rng.choice([None, f"site{i % 3000}é{i % 7}"]))
+            for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    placed = mixing.placed(df, F.array("source"), "doc_id", "text", 1)
+    chosen, plan = mixing.mix(placed, mixing.repeating((5, 2, 1)), max_patterns=10)
+    assert plan["patterns"] == []
+    sizes, largest, taken = defaultdict(int), defaultdict(int), defaultdict(int)
+    for _, text, source in rows:
+        key = "n" if source is None else "v" + source
+        sizes[key] += len(words(text))
+        largest[key] = max(largest[key], len(words(text)))
+    order = mixing.code_point_order(sizes)
+    want = mixing.targets(sizes, mixing.repeating((5, 2, 1))(order))
+    got = {r.source: r for r in plan["sources"].collect()}
+    assert {k: r.size for k, r in got.items()} == sizes
+    assert all(got[k].target == float(want[k]) and got[k].quota == round(want[k]) for k in sizes)
+    for r in chosen.collect():
+        assert set(r.taken_by) <= set(r.pattern)
+        for s in r.taken_by:
+            taken[s] += r.size
+    assert all(abs(taken[s] - want[s]) <= largest[s] for s in sizes)
+
+
+def test_flows_by_group_equal_the_whole_network():
+    rng = random.Random(9)
+    for _ in range(40):
+        patterns = sorted({tuple(sorted(rng.sample("abcdefghij", rng.randint(1, 2))))
+                           for _ in range(6)})
+        sizes = [rng.randrange(20) for _ in patterns]
+        keys = sorted({k for p in patterns for k in p})
+        quotas = {k: rng.randrange(30) for k in keys}
+        whole = mixing.min_cost_flow(sizes, [[keys.index(k) for k in p] for p in patterns],
+                                     list(quotas.values()))
+        parts = mixing.flows_of(patterns, sizes, quotas)
+        for flows in (whole, parts):
+            for p, f in zip(patterns, flows):
+                assert {keys[s] for _, s in f} <= set(p)
+        cost, full = ([sum(w(k) * n for f in flows for (k, _), n in f.items())
+                       for flows in (whole, parts)] for w in (lambda k: 4 ** k, lambda k: 1))
+        assert cost[0] == cost[1] and full[0] == full[1]
+
+
 def test_odd_rows(odd, none):
     rows, df = odd
     got = mixing.mixture(df).collect()
