@@ -108,7 +108,8 @@ _ENVELOPE_PARSE = T.StructType(ENVELOPE.fields + [T.StructField(CORRUPT_COL, T.S
 
 def parse_response_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Each landed line parsed once with the envelope schema, plus ``unreadable``:
-    the line is not a JSON object (torn, truncated, or another JSON value). A readable
+    the line is not a JSON object (torn, truncated, or another JSON value), or a success
+    (status 200) without a record. Any other readable
     envelope whose fields have the wrong type keeps the fields that parsed (the others
     are NULL), as a record with a mistyped code is still screened -- and fails its rule."""
     e = F.from_json(F.col(line_col), _ENVELOPE_PARSE,
@@ -116,6 +117,8 @@ def parse_response_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     parsed = lines.select(line_col, e.alias("__e"))
     unreadable = (F.col(f"__e.{CORRUPT_COL}").isNotNull() & F.col("__e.ID").isNull()
                   & F.col("__e.status_code").isNull() & F.col("__e.response").isNull())
+    unreadable |= F.coalesce(F.col("__e.status_code") == 200, F.lit(False)) \
+        & F.col("__e.response").isNull()
     return parsed.select(line_col, F.col("__e.ID").alias("ID"),
                          F.col("__e.status_code").alias("status_code"),
                          F.col("__e.response").alias("response"), unreadable.alias("unreadable"))

@@ -201,6 +201,24 @@ def test_response_lines_parsed_once_and_classified(spark):
     assert (counts["ok"], counts["failed"], counts["quarantined"]) == (1, 1, 3)
 
 
+def test_success_without_a_record_is_quarantined(spark):
+    from casegauge.session import scratch_path
+    from casegauge.sources import files
+
+    base = scratch_path(spark, "test-null-record")
+    lines = ['{"ID": "7", "status_code": 200, "response": null}', '{"ID": "8", "status_code": 200}',
+             '{"ID": "9", "status_code": 404, "response": null}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(base)
+    env, bad = files.read_responses(spark, base)
+    assert sorted(r["line"] for r in bad.collect()) == lines[:2]
+    assert [r["ID"] for r in env.collect()] == ["9"]
+    counts = files.ingest_counts(spark, base).first()
+    assert (counts["ok"], counts["failed"], counts["quarantined"]) == (0, 1, 2)
+    asked = spark.createDataFrame([("7",), ("8",), ("9",)], "ID string")
+    status = {r["ID"]: r["fetch_status"] for r in files.fetch_status(asked, env).collect()}
+    assert status == {"7": "not fetched", "8": "not fetched", "9": "failed"}
+
+
 def test_reply_parsing_matches_a_typed_contract_on_random_replies(spark):
     """F20 F21 differential: 3,000 random replies (fenced, in prose, none, broken; every
     field's JSON type varied) -- validity and values equal a pydantic model of the result
