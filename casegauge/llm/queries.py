@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegauge.llm import (bpe, hnsw, lm_score, mixing, near_dup, quality, secrets, sharding,
-                           toxicity, warc)
+from casegauge.llm import (bpe, hnsw, lm_score, merkle, mixing, near_dup, quality, secrets,
+                           sharding, toxicity, vector_codes, warc)
 from casegauge.llm.common import table
 
 QUERY_EVERY = 100
@@ -68,6 +68,17 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(table(spark, d, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Codes and exact errors of all vectors, and the digest of the codebooks."""
+    return vector_codes.digest(table(spark, d, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, d: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, checked after tampering."""
+    return merkle.verification(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_hnsw, op2_secrets, op3_near_dup, op4_lm_score, op5_quality,
-                            op6_sharding, op7_toxicity, op8_warc, op9_bpe, op10_mixing)}
+                            op6_sharding, op7_toxicity, op8_warc, op9_bpe, op10_mixing, op12_vector_codes,
+                            op13_merkle)}
