@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegauge.llm import (bpe, hnsw, lm_score, merkle, mixing, near_dup, quality, secrets,
-                           sharding, toxicity, vector_codes, warc)
+from casegauge.llm import (bpe, bpe_sql, hnsw, lm_score, merkle, mixing, near_dup, quality,
+                           secrets, sharding, toxicity, vector_codes, warc)
 from casegauge.llm.common import table
 
 QUERY_EVERY = 100
@@ -68,6 +68,11 @@ def op10_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(table(spark, d, "documents"))
 
 
+def op11_bpe_sql(spark: SparkSession, d: str) -> DataFrame:
+    """Every document encoded by ranks and decoded again: token count and digests."""
+    return bpe_sql.digest(table(spark, d, "documents"), bpe_sql.vocabulary_path())
+
+
 def op12_vector_codes(spark: SparkSession, d: str) -> DataFrame:
     """Codes and exact errors of all vectors, and the digest of the codebooks."""
     return vector_codes.digest(table(spark, d, "embeddings"))
@@ -80,5 +85,5 @@ def op13_merkle(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_hnsw, op2_secrets, op3_near_dup, op4_lm_score, op5_quality,
-                            op6_sharding, op7_toxicity, op8_warc, op9_bpe, op10_mixing, op12_vector_codes,
-                            op13_merkle)}
+                            op6_sharding, op7_toxicity, op8_warc, op9_bpe, op10_mixing, op11_bpe_sql,
+                            op12_vector_codes, op13_merkle)}
