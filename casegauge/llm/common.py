@@ -61,6 +61,12 @@ class Scratch:
                 delete_path(self.spark, path)
 
 
+def few(df: DataFrame, rows: int, per_task: int = 1 << 15) -> DataFrame:
+    """A table of at most ``rows`` rows, written by one task per ``per_task`` of them: tables
+    shrink from step to step, their partitions don't by themselves."""
+    return df.coalesce(-(-rows // per_task) or 1)
+
+
 def count_words(text: Column) -> Column:
     """Words of a text (null: 0), JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

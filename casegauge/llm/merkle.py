@@ -32,10 +32,11 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casegauge.llm.common import Scratch
+from casegauge.llm.common import Scratch, few
 from casegauge.operators.joins import broadcast_if_small
 
 ARITY = 8
+NODES = 1 << 15  # rows that one task places
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -79,18 +80,19 @@ def placed(rows: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
     """``rows`` (column ``g``: group) with ``i``, the 0-based place in the group by
     ``order``, and ``n``, the group's rows."""
     keys = [F.col(c).asc_nulls_first() for c in ("g", *order)]
-    sorted_rows = scratch.stage(
-        rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .withColumn("at", F.monotonically_increasing_id()), "merkle-sorted")
+    count = rows.count()
+    dealt = rows.coalesce(1) if count <= NODES else rows.repartitionByRange(*keys)
+    sorted_rows = scratch.stage(dealt.sortWithinPartitions(*keys).withColumn(
+        "at", F.monotonically_increasing_id()), "merkle-sorted")
     part = F.shiftright("at", 33)
     runs = sorted_rows.groupBy(part.alias("part"), "g").agg(
         F.min("at").alias("first"), F.count(F.lit(1)).alias("here"))
     group = Window.partitionBy("g")
     before = group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = scratch.stage(runs.select(
+    starts = scratch.stage(few(runs.select(
         "part", "g",
         (F.coalesce(F.sum("here").over(before), F.lit(0)) - F.col("first")).alias("shift"),
-        F.sum("here").over(group).alias("n")), "merkle-starts")
+        F.sum("here").over(group).alias("n")), count), "merkle-starts")
     small, _ = broadcast_if_small(starts)
     return sorted_rows.withColumn("part", part).join(small, ["part", "g"]) \
         .withColumn("i", F.col("at") + F.col("shift")).drop("part", "at", "shift")
@@ -127,39 +129,47 @@ def with_siblings(nodes: DataFrame, arity: int) -> DataFrame:
         .withColumn("r", joined(lambda x: x["from"] > i)).drop("met")
 
 
-def tree(nodes: DataFrame, arity: int, scratch: Scratch) -> list[DataFrame]:
-    """Tables of all levels, from ``nodes`` (g, i, n, h and more) to the level at which every
-    group is one node: g, i, n, h, l, r (and more at the lowest)."""
-    most = nodes.agg(F.max("n")).first()[0] or 0
+def tree(nodes: DataFrame, arity: int, scratch: Scratch) -> list[tuple[DataFrame, int]]:
+    """Tables of all levels and about how many nodes they hold, from ``nodes`` (g, i, n, h and
+    more) to the level at which every group is one node: g, i, n, h, l, r (and more at the
+    lowest)."""
+    size = nodes.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("nodes"),
+                     F.count_if(F.col("i") == 0).alias("groups")).first()
+    most, count = size["most"] or 0, size["nodes"]
     levels = []
     while True:
+        if most > 1:
+            level = with_siblings(nodes, arity)
+        else:
+            level = nodes.withColumn("l", none()).withColumn("r", none())
+        level = scratch.stage(few(level, count), "merkle-level")
+        levels.append((level, count))
         if most <= 1:
-            alone = nodes.withColumn("l", none()).withColumn("r", none())
-            return [*levels, scratch.stage(alone, "merkle-level")]
-        levels.append(scratch.stage(with_siblings(nodes, arity), "merkle-level"))
-        most = -(-most // arity)
+            return levels
+        most, count = -(-most // arity), count // arity + size["groups"]
         run = F.concat("l", "h", "r")
-        nodes = levels[-1].where((F.col("i") % arity == 0) & (F.col("n") > 1)).select(
+        nodes = level.where((F.col("i") % arity == 0) & (F.col("n") > 1)).select(
             "g", F.expr(f"i div {arity}").alias("i"),
             F.expr(f"(n + {arity - 1}) div {arity}").alias("n"),
             digest_of(hex_text(run)).alias("h"))
 
 
-def subroots(levels: list[DataFrame]) -> DataFrame:
+def subroots(levels: list[tuple[DataFrame, int]]) -> DataFrame:
     """The last node of every group: g, h."""
     out = None
-    for level in levels:
+    for level, _ in levels:
         last = level.where("n = 1").select("g", "h")
         out = last if out is None else out.unionByName(last)
     return out
 
 
-def paths(levels: list[DataFrame], tops: DataFrame, arity: int, scratch: Scratch) -> DataFrame:
+def paths(levels: list[tuple[DataFrame, int]], tops: DataFrame, arity: int,
+          scratch: Scratch) -> DataFrame:
     """The lowest level's rows with ``subroot`` and ``path``: an array of (l, r) from the
     node's own run up to the subroot, then on as ``tops`` (g, subroot, path) says. Higher
     levels are freed on the way."""
     above = None
-    for k, level in reversed(list(enumerate(levels))):
+    for k, (level, count) in reversed(list(enumerate(levels))):
         own = level.where("n = 1").join(tops, "g").drop("l", "r")
         if above is not None:
             parent = above.select("g", F.col("i").alias("p"), "subroot", F.col("path").alias("up"))
@@ -169,7 +179,7 @@ def paths(levels: list[DataFrame], tops: DataFrame, arity: int, scratch: Scratch
             own = own.unionByName(below.withColumn("path", path).select(own.columns))
         if k == 0:
             return own
-        higher, above = above, scratch.stage(own, "merkle-paths")
+        higher, above = above, scratch.stage(few(own, count), "merkle-paths")
         scratch.drop(level, *([] if higher is None else [higher]))
 
 
@@ -196,16 +206,17 @@ def manifest(df: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc
     rows = scratch.stage(rows, "merkle-leaves")
     low = tree(placed(rows, ["id", "h", "row"], scratch).drop("row"), arity, scratch)
     scratch.drop(rows)
-    tops = scratch.stage(subroots(low), "merkle-subroots")
+    groups = low[-1][1]  # at most: every group's one node
+    tops = scratch.stage(few(subroots(low), groups), "merkle-subroots")
     ranked = tops.select(F.lit("").alias("g"), F.col("g").alias("group"), "h")
     high = tree(placed(ranked, ["group"], scratch), arity, scratch)
     root = subroots(high).first()
-    nothing = high[0].select("g", F.lit(None).cast("binary").alias("subroot"),
+    nothing = high[0][0].select("g", F.lit(None).cast("binary").alias("subroot"),
                              F.array().cast("array<struct<l:binary,r:binary>>").alias("path")) \
         .limit(1)
     tops = paths(high, nothing, arity, scratch).select(
         F.col("group").alias("g"), F.col("h").alias("subroot"), "path")
-    out = paths(low, scratch.stage(tops, "merkle-tops"), arity, scratch)
+    out = paths(low, scratch.stage(few(tops, groups), "merkle-tops"), arity, scratch)
     return (out.select(F.col("id").alias(id_col), F.col("h").alias("leaf"), "changed", "subroot",
                        "path"), root and bytes(root["h"]).hex())
 
