@@ -259,7 +259,7 @@ def compress(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
             .groupBy("part", "entry", "at").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
         sums: dict[tuple[int, int], list[int]] = {}
         counts: dict[tuple[int, int], int] = {}
-        for r in found.toLocalIterator():
+        for r in found.collect():  # PARTS * ENTRIES * limbs * width rows at most
             k, c = divmod(r["at"], width)
             sums.setdefault((r["part"], r["entry"]), [0] * width)[c] += r["s"] << bits * k
             counts[r["part"], r["entry"]] = r["n"]
