@@ -1,16 +1,20 @@
 """User-level entry points mirroring the reference's public functions.
 
-Each is a composition of the operators. The store is three Parquet tables under one base
-folder, and nothing stored is ever overwritten while it may be read:
-
-* ``score_facts`` -- append-only; one part per call, filed under its run;
-* ``test_cases`` -- an append-only log of record snapshots, upserted on read (newest
-  content, first and last time seen);
-* ``validation_runs`` -- an append-only log of run snapshots: opening values from the
-  first, counters from the newest.
-
-A part or version becomes visible when its write job commits, so a failed call leaves the
-previous state intact and a resumed run skips what was stored.
+Each is a composition of the operators. The store lies under one base folder, and nothing
+stored is ever overwritten while it may be read:
+
+* ``score_facts`` -- append-only; one part per call (or wave of a call), filed under its run.
+  A part's tasks commit one by one, so a call that fails keeps what its finished tasks scored;
+* ``run_counters`` -- one row per part: the part's own verdict counts, summed on read;
+* ``test_cases``, ``current_scores``, ``score_history`` -- filed by the record's bucket, a base and
+  deltas (``sources.buckets``): the records as upserted, each record's latest score, and all
+  scores by record, so that a point look-up opens one bucket and a read doesn't grow with the
+  number of calls;
+* ``validation_runs`` -- an append-only log of opening values (the first one counts);
+* ``quarantine`` -- results that can't be stored, or that name another record, with reasons.
+
+``pending`` names calls whose parts aren't filed by record yet: readers add those parts, and the
+next call of the run files them.
 """
 
 from __future__ import annotations
@@ -19,18 +23,20 @@ import datetime as _dt
 import urllib.parse
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casegauge.functions import text
-from casegauge.operators import joins, report, score, similar, standards, store
+from casegauge.operators import report, score, similar, standards, store
 from casegauge.session import scratch_path
 from casegauge.sources import codemaps, files
+from casegauge.sources.buckets import BucketTable
 
 RECORDS, RUNS, FACTS = "test_cases", "validation_runs", "score_facts"
+CURRENT, HISTORY, COUNTERS = "current_scores", "score_history", "run_counters"
+QUARANTINE, PENDING, INDEXED = "quarantine", "pending", "_indexed"
 # report folders under an output directory: screened reports and validation reports
 SCREEN_REPORTS, VALIDATION_REPORTS = "screening_reports", "validation_reports"
 # the screened rows themselves (Parquet); the CSV reports are exports of them
@@ -39,9 +45,10 @@ SCREEN_TABLES = "screening_tables"
 RECORD_CONTENT = store.RECORD_CONTENT
 RECORD_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
     "case_id", *RECORD_CONTENT, "first_seen_at", "last_updated_at")])
-# the record table is stored as an append-only log of snapshots (one part per call)
+# stores of older versions hold an append-only log of record snapshots (one part per call)
 RECORD_LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
     "case_id", *RECORD_CONTENT, "seen_at", "version")])
+RECORD_ROWS = T.StructType([*RECORD_SCHEMA.fields, T.StructField("version", T.StringType())])
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("provider", T.StringType()),
     T.StructField("model", T.StringType()), T.StructField("total_cases", T.LongType()),
@@ -65,6 +72,14 @@ FACT_SCHEMA = T.StructType([
     T.StructField("reply_case_id", T.StringType())])
 
 
+FACT_ROWS = T.StructType([*FACT_SCHEMA.fields, T.StructField("row_key", T.StringType())])
+COUNTER_SCHEMA = T.StructType([T.StructField("run_id", T.StringType()), *[
+    T.StructField(c, T.LongType()) for c in RUN_COUNTERS]])
+QUARANTINE_SCHEMA = T.StructType([*[T.StructField(c, T.StringType()) for c in (
+    "run_id", "case_id", "reply_case_id", "reason")], T.StructField("stored", T.BooleanType()),
+    T.StructField("raw", T.StringType())])
+
+
 # ------------------------------------------------------------------ versioned tables -----
 
 def upgrade_store_table(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -90,28 +105,43 @@ def upgrade_store_table(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _read_store(spark: SparkSession, path: str, schema: T.StructType,
-                recursive: bool = False) -> DataFrame:
+                extra: T.StructType | None = None) -> DataFrame:
+    """A folder of parts. Parts of this version have the fixed schema; only a store that an older
+    version began (no ``_indexed`` mark) has its parts' schemas merged."""
     if not files.holds_parts(spark, path):  # no table yet
         return spark.createDataFrame([], schema)
-    r = spark.read.option("mergeSchema", True)
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
-    return upgrade_store_table(r.parquet(path), schema)
+    reader = spark.read.option("recursiveFileLookup", True)
+    if extra is not None:
+        return reader.schema(extra).parquet(path).select(*schema.fieldNames())
+    return upgrade_store_table(reader.option("mergeSchema", True).parquet(path), schema)
+
+
+def _indexed(spark: SparkSession, base: str) -> bool:
+    """Whether the facts are filed by record (a store of an older version: at its next call)."""
+    return INDEXED in files.listed(spark, base, folders=False) or \
+        not files.holds_parts(spark, f"{base}/{FACTS}")
 
 
 def read_runs(spark: SparkSession, base: str) -> DataFrame:
-    """S7 + U3/U4 on read: the runs table (``RUN_SCHEMA``) from the append-only log of run
-    snapshots -- a run's opening values (provider, model, total, opening time) are those
-    of its first snapshot (insert-if-absent, N10), its counters those of the newest (the
-    recount). Concurrent calls only append, so none can drop another run's row."""
-    log = _read_store(spark, f"{base}/{RUNS}", RUN_LOG_SCHEMA, recursive=True)
+    """S7 + U3/U4 on read: the runs table (``RUN_SCHEMA``) -- a run's opening values (provider,
+    model, total, opening time) are those of its first snapshot (insert-if-absent, N10); its
+    counters are the sum of its parts' own counts (G6), on top of the newest snapshot's
+    counters where an older version stored them. No score is read. Concurrent calls only
+    append, so none can drop another run's row."""
+    log = _read_store(spark, f"{base}/{RUNS}", RUN_LOG_SCHEMA,
+                      RUN_LOG_SCHEMA if _current_parts(spark, base) else None)
     order = F.struct("seen_at", "version")
+    counted = F.when(F.col("passed_count").isNotNull(), F.struct(*RUN_COUNTERS))
     agg = log.groupBy("run_id").agg(
         F.min_by(F.struct(*RUN_OPENING), order).alias("o"),
-        F.max_by(F.struct(*RUN_COUNTERS), order).alias("c"))
-    return agg.select("run_id", *[F.col(f"o.{c}").alias(c) for c in ("provider", "model",
-                                                                        "total_cases")],
-                      *[F.col(f"c.{c}").alias(c) for c in RUN_COUNTERS], F.col("o.run_at"))
+        F.max_by(counted, F.when(counted.isNotNull(), order)).alias("c"))
+    parts = _read_store(spark, f"{base}/{COUNTERS}", COUNTER_SCHEMA, COUNTER_SCHEMA) \
+        .groupBy(F.col("run_id").alias("__run")).agg(*[F.sum(c).alias(f"__{c}") for c in RUN_COUNTERS])
+    zero = F.lit(0).cast("long")
+    return agg.join(parts, F.col("run_id") == F.col("__run"), "left").select(
+        "run_id", *[F.col(f"o.{c}").alias(c) for c in ("provider", "model", "total_cases")],
+        *[(F.coalesce(F.col(f"c.{c}"), zero) + F.coalesce(F.col(f"__{c}"), zero)).alias(c)
+          for c in RUN_COUNTERS], F.col("o.run_at"))
 
 
 def append_run(df: DataFrame, base: str, stamp: str) -> str:
@@ -126,37 +156,178 @@ def _run_folder(run_id: str) -> str:
 
 def read_facts(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
     """S7 + S12 for the score facts: every appended part -- or, with ``run_id``, only that
-    run's parts, read by path so no other run's file is listed or opened -- upgraded to
-    the current schema (an empty table before the first run).
+    run's parts, read by path so no other run's file is listed or opened (an empty table
+    before the first run). Parts of an older version are upgraded to the current schema.
 
     Facts are append-only: each call writes its new rows as one more part folder under
     its run and nothing already stored is rewritten, so the cost of a run is its own rows,
-    however large the history. A part becomes visible when its write job commits (Spark's
-    file commit protocol), so a crashed call leaves no partial part behind.
+    however large the history.
     """
-    path = f"{base}/{FACTS}" + (f"/{_run_folder(run_id)}" if run_id is not None else "")
-    facts = _read_store(spark, path, FACT_SCHEMA, recursive=True)
-    return facts if run_id is None else facts.where(F.col("run_id") == run_id)
+    extra = FACT_SCHEMA if _current_parts(spark, base) else None
+    if run_id is None:
+        return _read_store(spark, f"{base}/{FACTS}", FACT_SCHEMA, extra)
+    facts = _read_store(spark, f"{base}/{FACTS}/{_run_folder(run_id)}", FACT_SCHEMA, extra)
+    # the oldest stores filed no parts under runs
+    old = [] if extra else [d for d in files.listed(spark, f"{base}/{FACTS}", folders=True)
+                            if d.startswith("part=")]
+    for d in old:
+        facts = facts.unionByName(_read_store(spark, f"{base}/{FACTS}/{d}", FACT_SCHEMA))
+    return facts.where(F.col("run_id") == run_id)
+
+
+def _current_parts(spark: SparkSession, base: str) -> bool:
+    """Whether all parts of the store were written by this version."""
+    marks = files.listed(spark, base, folders=False)
+    return INDEXED in marks and "_legacy" not in marks
+
+
+def _merge_records(rows: DataFrame) -> DataFrame:
+    """U2 by merge: per record the content of its newest snapshot, first and last time seen."""
+    order = F.struct("last_updated_at", "version")
+    return rows.groupBy("case_id").agg(
+        F.max_by(F.struct(*RECORD_CONTENT), order).alias("v"),
+        F.min("first_seen_at").alias("first_seen_at"), F.max(order).alias("o")).select(
+        "case_id", *[F.col(f"v.{c}").alias(c) for c in RECORD_CONTENT], "first_seen_at",
+        F.col("o.last_updated_at").alias("last_updated_at"), F.col("o.version").alias("version"))
+
+
+def _merge_latest(rows: DataFrame) -> DataFrame:
+    """Each record's newest scores (ties kept), each stored row once."""
+    return store.latest_per_key(rows).dropDuplicates(["case_id", "row_key"])
+
+
+def _records(spark: SparkSession, base: str) -> BucketTable:
+    return BucketTable(spark, f"{base}/{RECORDS}", "case_id", RECORD_ROWS, _merge_records)
+
+
+def _current(spark: SparkSession, base: str) -> BucketTable:
+    return BucketTable(spark, f"{base}/{CURRENT}", "case_id", FACT_ROWS, _merge_latest)
+
+
+def _history(spark: SparkSession, base: str) -> BucketTable:
+    return BucketTable(spark, f"{base}/{HISTORY}", "case_id", FACT_ROWS,
+                       lambda rows: rows.dropDuplicates(["case_id", "row_key"]))
 
 
 def read_records(spark: SparkSession, base: str) -> DataFrame:
     """S7 + U2: the record table -- per record, the content of its newest snapshot, the
-    time it was first seen and last updated (``RECORD_SCHEMA``), merged on read from the
-    append-only record log; an empty table before the first run."""
-    log = _read_store(spark, f"{base}/{RECORDS}", RECORD_LOG_SCHEMA, recursive=True)
-    return store.current_snapshot(log, "case_id", RECORD_CONTENT, "seen_at", "version")
+    time it was first seen and last updated (``RECORD_SCHEMA``); an empty table before the
+    first run. The snapshot log of an older version is merged in."""
+    table = _records(spark, base)
+    old = [f"{base}/{RECORDS}/{d}" for d in files.listed(spark, table.path, folders=True)
+           if d.startswith("part=")]
+    if not old:
+        return table.read().select(*RECORD_SCHEMA.fieldNames())
+    log = upgrade_store_table(spark.read.option("mergeSchema", True).parquet(*old),
+                              RECORD_LOG_SCHEMA)
+    log = log.withColumn("first_seen_at", F.col("seen_at")).withColumnRenamed(
+        "seen_at", "last_updated_at").select(*RECORD_ROWS.fieldNames())
+    return _merge_records(table.rows().drop("bucket").unionByName(log)) \
+        .select(*RECORD_SCHEMA.fieldNames())
+
+
+def append_records(df: DataFrame, base: str, stamp: str) -> None:
+    """Record snapshots (``case_id``, the content, ``seen_at``, ``version``) as one delta."""
+    rows = df.withColumn("first_seen_at", F.col("seen_at")).withColumnRenamed(
+        "seen_at", "last_updated_at").dropDuplicates(["case_id"])
+    _records(df.sparkSession, base).append(rows, f"{stamp}-{uuid.uuid4().hex[:8]}")
+
+
+def append_facts(df: DataFrame, base: str, part: str, run_id: str) -> str:
+    """One part of a run's facts. Its tasks' files stand as soon as each task is done (commit
+    version 2), so what a failed call has scored is stored, and a resumed run skips it."""
+    path = f"{base}/{FACTS}/{_run_folder(run_id)}/part={part}"
+    df.write.mode("error").option("mapreduce.fileoutputcommitter.algorithm.version", "2") \
+        .parquet(path)
+    return path
 
 
-def append_records(df: DataFrame, base: str, stamp: str) -> str:
-    path = f"{base}/{RECORDS}/part={stamp}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("error").parquet(path)
-    return path
+# ------------------------------------------------------------------ filing by record -----
 
+def _mark(spark: SparkSession, path: str, on: bool = True) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if on:
+        fs.create(at, True).close()
+    else:
+        fs.delete(at, False)
 
-def append_facts(df: DataFrame, base: str, stamp: str, run_id: str) -> str:
-    path = f"{base}/{FACTS}/{_run_folder(run_id)}/part={stamp}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("error").parquet(path)
-    return path
+
+def _parts_of(spark: SparkSession, base: str, run: str, call: str | None = None) -> list[str]:
+    """Paths of a run folder's parts that hold files (those of one call)."""
+    top = f"{base}/{FACTS}/{run}"
+    return [f"{top}/{d}" for d in files.listed(spark, top, folders=True)
+            if d.startswith(f"part={call or ''}") and files.holds_parts(spark, f"{top}/{d}")]
+
+
+def _pending(spark: SparkSession, base: str, run_id: str | None = None) -> list[tuple[str, str]]:
+    """(run folder, call) of the calls whose parts aren't filed by record."""
+    marks = files.listed(spark, f"{base}/{PENDING}", folders=False)
+    found = [tuple(m.rsplit("~", 1)) for m in marks if "~" in m and not m.startswith(".")]
+    return [m for m in found if run_id is None or m[0] == _run_folder(run_id)]
+
+
+def _unfiled(spark: SparkSession, base: str) -> DataFrame:
+    """Stored facts that aren't filed by record yet, as rows of the bucket tables."""
+    if _indexed(spark, base):
+        paths = [p for run, call in _pending(spark, base) for p in _parts_of(spark, base, run, call)]
+        if not paths:
+            return spark.createDataFrame([], FACT_ROWS)
+        facts = spark.read.schema(FACT_SCHEMA).parquet(*paths)
+    else:
+        facts = read_facts(spark, base)
+    return facts.withColumn("row_key", F.concat(
+        F.lit("unfiled:"), F.monotonically_increasing_id().cast("string")))
+
+
+def _count_part(spark: SparkSession, base: str, run: str, part: str, facts: DataFrame) -> None:
+    """A part's own counts beside the others of its run (the same part again replaces
+    them), and N8: its replies that name another record into the quarantine."""
+    odd = F.col("reply_case_id") != F.col("case_id")
+    counts = facts.groupBy("run_id").agg(*store.verdict_counts(F.col("verdict")),
+                                         F.count_if(F.coalesce(odd, F.lit(False))).alias("odd"))
+    found = counts.collect()  # one row: a part belongs to one run
+    spark.createDataFrame([tuple(r)[:-1] for r in found], COUNTER_SCHEMA).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{base}/{COUNTERS}/{run}/part={part}")
+    if any(r["odd"] for r in found):
+        lost = facts.where(odd).select(
+            "run_id", "case_id", "reply_case_id", F.lit("reply names another record").alias("reason"),
+            F.lit(True).alias("stored"), F.lit(None).cast("string").alias("raw"))
+        lost.write.mode("overwrite").parquet(f"{base}/{QUARANTINE}/{run}/part={part}")
+
+
+def _file_call(spark: SparkSession, base: str, run: str, call: str) -> None:
+    """File the parts of a call by record, count those that a crash left uncounted, and drop the
+    call's mark. The same again changes nothing."""
+    paths = _parts_of(spark, base, run, call)
+    counted = files.listed(spark, f"{base}/{COUNTERS}/{run}", folders=True)
+    for path in paths:
+        name = path.rsplit("part=", 1)[-1]
+        if f"part={name}" not in counted:
+            _count_part(spark, base, run, name, spark.read.schema(FACT_SCHEMA).parquet(path))
+    if paths:
+        rows = spark.read.schema(FACT_SCHEMA).parquet(*paths)
+        for table in (_history(spark, base), _current(spark, base)):
+            table.append(rows, call, unique=True)
+    _mark(spark, f"{base}/{PENDING}/{run}~{call}", on=False)
+
+
+def _open_store(spark: SparkSession, base: str, run_id: str) -> None:
+    """Before a call writes: a store of an older version is filed by record once, and what a
+    failed call of the run left is filed."""
+    if not _indexed(spark, base):
+        rows = read_facts(spark, base)
+        for table in (_history(spark, base), _current(spark, base)):
+            table.append(rows, "legacy", unique=True)
+        _mark(spark, f"{base}/_legacy")
+    _mark(spark, f"{base}/{INDEXED}")
+    for run, call in _pending(spark, base, run_id):
+        _file_call(spark, base, run, call)
+
+
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """Results that couldn't be stored, and stored ones that name another record."""
+    return _read_store(spark, f"{base}/{QUARANTINE}", QUARANTINE_SCHEMA, QUARANTINE_SCHEMA)
 
 
 # ------------------------------------------------------------------ pipeline stages ------
@@ -190,16 +361,22 @@ def run_pipeline(spark: SparkSession, source_csv: str, responses_path: str, outp
                  run_ts: str | None = None, maps_path: str | None = None) -> dict:
     """The screening run end to end: id list -> endpoint file -> what each endpoint's
     fetch gave (from the landed responses) -> screened report snapshot. Returns the paths,
-    the report, the per-endpoint fetch status, the rejected id rows and the totals."""
+    the report, the per-endpoint fetch status, the rejected id rows, the totals, and the
+    quarantine as stored under ``output_dir/quarantine`` (S6 P3: unreadable lines and rejected
+    links, with ``reason``, ``ID`` and ``raw`` text)."""
     endpoint_dir, rejected = generate_endpoint_file(spark, source_csv,
                                                     f"{output_dir.rstrip('/')}/endpoints")
-    env, _quarantine = files.read_responses(spark, responses_path)
+    env, torn = files.read_responses(spark, responses_path)
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
+    quarantine = files.write_quarantine(torn, rejected, f"{output_dir.rstrip('/')}/{QUARANTINE}",
+                                        run_ts)
     endpoints = files.read_csv(spark, endpoint_dir, required=("ID", "endpoint"))
     status = files.fetch_status(endpoints, env)
     path, rep, totals = save_all_cases(spark, responses_path, output_dir, run_ts=run_ts,
                                        maps_path=maps_path)
     return {"endpoint_file": endpoint_dir, "rejected": rejected, "fetch_status": status,
-            "report_path": path, "report": rep, "totals": totals}
+            "report_path": path, "report": rep, "totals": totals,
+            "quarantine": files.read_quarantine(spark, quarantine)}
 
 
 def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
@@ -220,7 +397,7 @@ def save_all_cases(spark: SparkSession, responses_path: str, output_dir: str,
     same pass as the write, not by a second job over the report.
     """
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
-    env, _quarantine = files.read_responses(spark, responses_path)
+    env, _ = files.read_responses(spark, responses_path)  # run_pipeline stores the rest
     recs = files.fetched_records(env)
     labels, maps = {}, codemaps.SMALL_MAPS
     if maps_path:
@@ -277,21 +454,15 @@ def _passed_as_records(passed: DataFrame) -> DataFrame:
 def init_validation_run(spark: SparkSession, store_base: str, run_id: str, provider: str,
                         model: str, total_cases: int, now: str | None = None,
                         version: str | None = None) -> None:
-    """Open a run, with its counters over what is stored for it so far. Safe to repeat: the
-    opening values of the first call stay (N10)."""
+    """Open a run. Safe to repeat: the opening values of the first call stay (N10), and what
+    a failed call of the run scored is filed and counted."""
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    opening = spark.createDataFrame([(run_id, provider, model, total_cases, now)],
-                                    "run_id string, provider string, model string, "
-                                    "total_cases long, run_at string")
-    _append_run_snapshot(spark, store_base, opening, run_id, now, version)
-
-
-def _append_run_snapshot(spark: SparkSession, store_base: str, run: DataFrame, run_id: str,
-                         now: str, version: str) -> None:
-    snapshot = (store.run_counters(run, read_facts(spark, store_base, run_id))
-                .withColumn("seen_at", F.lit(now)).withColumn("version", F.lit(version)))
-    append_run(snapshot.select(*RUN_LOG_SCHEMA.fieldNames()), store_base, version)
+    _open_store(spark, store_base, run_id)
+    opening = spark.createDataFrame(
+        [(run_id, provider, model, total_cases, *[None] * len(RUN_COUNTERS), now, now, version)],
+        RUN_LOG_SCHEMA)
+    append_run(opening.coalesce(1), store_base, version)
 
 
 def get_completed_case_ids(spark: SparkSession, store_base: str, run_id: str) -> DataFrame:
@@ -299,22 +470,12 @@ def get_completed_case_ids(spark: SparkSession, store_base: str, run_id: str) ->
     return store.completed_ids(read_facts(spark, store_base, run_id), run_id)
 
 
-def save_case_result(spark: SparkSession, store_base: str, cases: DataFrame, rows: DataFrame,
-                     run_id: str, now: str | None = None, version: str | None = None) -> None:
-    """Store the results of some records of an open run: record snapshots, scores
-    not stored yet, and the run's counters recounted. ``cases``: ``case_id`` and the record
-    columns; ``rows``: the 11 report columns, and ``case_id`` where the report shows another
-    id than the record's.
-
-    Snapshots come before the scores: a crash in between leaves snapshots whose repeat the
-    merge-on-read absorbs; the scores are what a resumed run skips.
-    """
-    now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
-    stamp = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    stored = read_facts(spark, store_base, run_id)
+def _fact_rows(rows: DataFrame, run_id: str, now: str) -> DataFrame:
+    """``FACT_SCHEMA`` (and ``title``) from the 11 report columns, and ``case_id`` where the
+    report shows another id than the record's."""
     c = F.col
     case_id = (c("case_id") if "case_id" in rows.columns else c("`Test Case ID`")).cast("string")
-    facts = rows.select(
+    return rows.select(
         F.sha2(F.concat_ws("|", F.lit(run_id), case_id), 256).alias("score_id"),
         case_id.alias("case_id"), F.lit(run_id).alias("run_id"),
         c("`Preconditions Passed`").alias("preconditions_passed"),
@@ -325,13 +486,49 @@ def save_case_result(spark: SparkSession, store_base: str, cases: DataFrame, row
         c("`Expected Results Remarks`").alias("expected_results_remarks"),
         c("Verdict").alias("verdict"), c("`Overall Remarks`").alias("overall_remarks"),
         c("Improvements").alias("improvements"), F.lit(now).alias("validated_at"),
-        c("`Test Case ID`").alias("reply_case_id"))
-    append_records(cases.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
-                                F.lit(stamp).alias("version")), store_base, stamp)
-    append_facts(store.append_new(stored, facts, ["run_id", "case_id"]), store_base, stamp, run_id)
-    run = read_runs(spark, store_base).where(F.col("run_id") == run_id).select(
-        "run_id", *RUN_OPENING)
-    _append_run_snapshot(spark, store_base, run, run_id, now, stamp)
+        c("`Test Case ID`").alias("reply_case_id"), c("Title").alias("title"))
+
+
+def _snapshots(cases: DataFrame, now: str, version: str) -> DataFrame:
+    return cases.select("case_id", *RECORD_CONTENT, F.lit(now).alias("seen_at"),
+                        F.lit(version).alias("version"))
+
+
+def save_case_result(spark: SparkSession, store_base: str, cases: DataFrame, rows: DataFrame,
+                     run_id: str, now: str | None = None, version: str | None = None) -> None:
+    """Store the results of some records of an open run: record snapshots, scores
+    not stored yet, and their counts. ``cases``: ``case_id`` and the record columns; ``rows``:
+    the 11 report columns, and ``case_id`` where the report shows another id than the
+    record's. Results whose record is neither among ``cases`` nor stored, or whose run isn't
+    open, go to the quarantine (:func:`read_quarantine`) instead, as JSON.
+
+    Snapshots come before the scores: a crash in between leaves snapshots whose repeat the
+    merge absorbs; the scores are what a resumed run skips.
+    """
+    now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
+    version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    call = f"{version}-{uuid.uuid4().hex[:8]}"
+    _open_store(spark, store_base, run_id)
+    facts = _fact_rows(rows, run_id, now)
+    run = _run_folder(run_id)
+    opened = not read_runs(spark, store_base).where(F.col("run_id") == run_id).isEmpty()
+    known = cases.select("case_id").unionByName(read_records(spark, store_base).select("case_id")) \
+        .where("case_id is not null").distinct()
+    lost = facts if not opened else facts.join(known, "case_id", "left_anti")
+    lost = lost.select(
+        "run_id", "case_id", "reply_case_id",
+        F.lit("unknown record" if opened else "unknown run").alias("reason"),
+        F.lit(False).alias("stored"), F.to_json(F.struct(*facts.columns)).alias("raw"))
+    lost.write.mode("overwrite").parquet(f"{store_base}/{QUARANTINE}/{run}/part={call}-lost")
+    if not opened:
+        return
+    append_records(_snapshots(cases, now, version), store_base, version)
+    new = store.append_new(read_facts(spark, store_base, run_id),
+                           facts.join(known, "case_id", "left_semi"), ["run_id", "case_id"])
+    _mark(spark, f"{store_base}/{PENDING}/{run}~{call}")
+    path = append_facts(new, store_base, call, run_id)
+    _count_part(spark, store_base, run, call, spark.read.schema(FACT_SCHEMA).parquet(path))
+    _file_call(spark, store_base, run, call)
 
 
 def save_validation_run(spark: SparkSession, store_base: str, cases: DataFrame, rows: DataFrame,
@@ -341,10 +538,17 @@ def save_validation_run(spark: SparkSession, store_base: str, cases: DataFrame,
     save_case_result(spark, store_base, cases, rows, run_id, now)
 
 
+def read_latest(spark: SparkSession, store_base: str) -> DataFrame:
+    """Every record's latest scores (ties kept), from the table that holds just those."""
+    table = _current(spark, store_base)
+    return _merge_latest(table.rows().drop("bucket").unionByName(_unfiled(spark, store_base))) \
+        .select(*FACT_SCHEMA.fieldNames())
+
+
 def _scored_records(spark: SparkSession, store_base: str) -> DataFrame:
     """The records that a verdict is stored for, with their latest score: the example pool."""
     records = read_records(spark, store_base)
-    latest = store.latest_per_key(read_facts(spark, store_base), dedup=True,
+    latest = store.latest_per_key(read_latest(spark, store_base), dedup=True,
                                   tie_break=["score_id"])
     from_score = [c for c in similar.EXAMPLE_DETAILS if c not in records.columns]
     return records.join(latest.where(F.col("verdict").isNotNull())
@@ -360,10 +564,9 @@ def get_few_shots(spark: SparkSession, store_base: str, cases: DataFrame, target
                                     seed, carry=similar.EXAMPLE_DETAILS)
 
 
-def _parts(spark: SparkSession, todo: DataFrame, size: int) -> Iterator[DataFrame]:
-    """The records in parts of about ``size`` by id hash. Several parts are read from a scratch
-    copy filed by part, so that each reads its own files only."""
-    n = -(-todo.count() // size)
+def _waves(spark: SparkSession, todo: DataFrame, n: int) -> Iterator[DataFrame]:
+    """The records in ``n`` waves by id hash. Several waves are read from a scratch copy filed by
+    wave, so that each reads its own files only."""
     if n <= 1:
         yield todo
         return
@@ -382,19 +585,19 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
                    target: int = 5, min_per_level: int = 3, now: str | None = None,
                    parallelism: int | None = None, output_dir: str | None = None,
                    standards: str | None = None, instructions: str = "",
-                   part_size: int = 100_000) -> tuple[DataFrame, dict]:
+                   part_size: int = 10_000) -> tuple[DataFrame, dict]:
     """Score the passed records of a report and persist
     the run. Resumable: records already scored in ``run_id`` are skipped (anti join).
     Context examples come from the store as it was when the run started.
 
-    Records are scored in parts of about ``part_size``; each part's scores are stored before
-    the next part starts, so a crash costs the part at work only, and the resumed run skips
-    the others. A part's results are checkpointed to the shared scratch folder before they are
-    stored, so the evaluator runs once per record even though the facts, the run counters and
-    the returned rows all read them. An id that stands several times is scored, stored and
-    returned as often. Returns the 11-column result rows
-    of this call (the id is the one in the evaluator's reply, or the request's on an
-    error row) and verdict counters. With ``output_dir`` the run's CSV snapshot is written
+    One job scores and stores: its tasks hold about ``part_size`` records each, and a task's
+    scores stand as soon as it is done, so a crash costs the tasks at work only and the resumed
+    run skips the others. The evaluator runs once per record; the counts and the returned rows
+    are read from what was stored. ``parallelism`` bounds the tasks that call the evaluator at
+    once (a service's rate limit): then records go in waves of so many tasks, a part each. An id
+    that stands several times is scored, stored and returned as often. Returns the 11-column
+    result rows of this call (the id is the one in the evaluator's reply, or the request's
+    on an error row) and verdict counters. With ``output_dir`` the run's CSV snapshot is written
     under ``output_dir/validation_reports`` from the store -- the whole run, also after a
     resume (N9) -- and the counters are that report's; without it they are this call's.
     With ``standards`` (the standards document's text, see ``files.read_standards``) the
@@ -404,13 +607,12 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat()
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    # the run is opened before anything is scored, so that scores stored by a call that
+    # fails later belong to a known run
+    init_validation_run(spark, store_base, run_id, provider, model, passed.count(), now, stamp)
     todo = store.remaining(_passed_as_records(passed), read_facts(spark, store_base, run_id))
     pools = similar.group_pools(_scored_records(spark, store_base), target, min_per_level, seed=run_id,
                                 carry=similar.EXAMPLE_DETAILS)
-    # the run is opened before anything is scored, so that scores stored by a call that
-    # fails later belong to a known run
-    init_validation_run(spark, store_base, run_id, provider, model, passed.count(), now,
-                        version=f"{stamp}.00000000")
 
     def scored_part(part: DataFrame) -> DataFrame:
         # a record's context depends on its id and groups: one context row per id, so that
@@ -432,19 +634,28 @@ def validate_cases(spark: SparkSession, passed: DataFrame, store_base: str,
         else:
             out = score.score(work, evaluator, parallelism=parallelism, per_row=True,
                               carry=("title",))
-        return joins.materialize(out.select("case_id", "title", "evaluation", "report_case_id"))
-
-    done = []
-    for i, part in enumerate(_parts(spark, todo, part_size), start=1):
-        scored = scored_part(part)
-        done.append(scored)
-        if scored.isEmpty():
-            continue
-        save_case_result(spark, store_base, part,
-                         score.result_rows(scored, id_col="report_case_id", keep=("case_id",)),
-                         run_id, now, version=f"{stamp}.{i:08d}")
-    scored = reduce(DataFrame.unionByName, done)
-    rows = score.result_rows(scored, id_col="report_case_id")
+        return out.select("case_id", "title", "evaluation", "report_case_id")
+
+    count, run, call = todo.count(), _run_folder(run_id), f"{stamp}-{uuid.uuid4().hex[:8]}"
+    if count:
+        append_records(_snapshots(todo, now, stamp), store_base, stamp)
+        _mark(spark, f"{store_base}/{PENDING}/{run}~{call}")
+        tasks = -(-count // part_size)
+        waves = -(-count // (part_size * parallelism)) if parallelism else 1
+        for i, wave in enumerate(_waves(spark, todo, waves)):
+            if not parallelism and tasks > 1:
+                wave = wave.repartition(tasks, "case_id")
+            report_rows = score.result_rows(scored_part(wave), id_col="report_case_id",
+                                            keep=("case_id",))
+            path = append_facts(_fact_rows(report_rows, run_id, now), store_base,
+                                f"{call}.{i:05d}", run_id)
+            _count_part(spark, store_base, run, f"{call}.{i:05d}",
+                        spark.read.schema(FACT_SCHEMA).parquet(path))
+        _file_call(spark, store_base, run, call)
+    titled = T.StructType([*FACT_SCHEMA.fields, T.StructField("title", T.StringType())])
+    paths = _parts_of(spark, store_base, run, call) if count else []
+    mine = spark.read.schema(titled).parquet(*paths) if paths else spark.createDataFrame([], titled)
+    rows = _report_columns(mine)
     verdict = F.col("Verdict")
     counters = [F.count(F.lit(1)).alias("total")] + [
         F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in (
@@ -467,7 +678,11 @@ def run_report(spark: SparkSession, store_base: str, run_id: str) -> DataFrame:
     id is the evaluator's reply id where one was stored) and the records' titles."""
     f = read_facts(spark, store_base, run_id)
     titles = read_records(spark, store_base).select("case_id", "title")
-    j = f.join(titles, "case_id", "left")
+    return _report_columns(f.join(titles, "case_id", "left"))
+
+
+def _report_columns(j: DataFrame) -> DataFrame:
+    """Stored scores with their titles as the 11 report columns."""
     return j.select(
         F.coalesce(F.col("reply_case_id"), F.col("case_id")).alias("Test Case ID"),
         F.col("title").alias("Title"),
@@ -511,10 +726,9 @@ def latest_validation_report(spark: SparkSession, output_dir: str) -> DataFrame
 
 def get_all_cases(spark: SparkSession, store_base: str) -> DataFrame:
     """Every record with its latest score and run metadata."""
-    recs = read_records(spark, store_base)
-    facts = read_facts(spark, store_base)
-    runs = read_runs(spark, store_base)
-    return store.records_with_latest(recs, facts, runs).orderBy("case_id")
+    return store.records_with_latest(
+        read_records(spark, store_base), read_latest(spark, store_base),
+        read_runs(spark, store_base)).orderBy("case_id")
 
 
 def get_validation_runs(spark: SparkSession, store_base: str) -> DataFrame:
@@ -523,9 +737,11 @@ def get_validation_runs(spark: SparkSession, store_base: str) -> DataFrame:
 
 
 def get_case_history(spark: SparkSession, store_base: str, case_id: str) -> DataFrame:
-    """Every scoring attempt of one record, newest first."""
-    return store.history(read_facts(spark, store_base),
-                         read_runs(spark, store_base), case_id=case_id)
+    """Every scoring attempt of one record, newest first; of the stored history
+    only the record's bucket is opened."""
+    mine = _history(spark, store_base).at(case_id).unionByName(
+        _unfiled(spark, store_base).where(F.col("case_id") == case_id))
+    return store.history(mine.select(*FACT_SCHEMA.fieldNames()), read_runs(spark, store_base))
 
 
 def categorize_remark(remark):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casegauge.functions import html
+from casegauge.operators import ordering
 from casegauge.sources import codemaps as cm
 
 REPORT_COLUMNS = [
@@ -225,5 +226,13 @@ def passed_only(report: DataFrame) -> DataFrame:
 
 def report_order(report: DataFrame) -> DataFrame:
     """O1: Passed before Failed, then the id *as text* (``C10`` sorts before ``C9``)."""
-    return report.orderBy(F.when(F.col("General Standards") == "Passed", 0).otherwise(1),
-                          F.col("Test Case ID"))
+    return report.orderBy(*_report_order())
+
+
+def _report_order() -> list[Column]:
+    return [F.when(F.col("General Standards") == "Passed", 0).otherwise(1), F.col("Test Case ID")]
+
+
+def report_positions(report: DataFrame) -> DataFrame:
+    """O1 as a column: each row's ``position`` in the report."""
+    return ordering.numbered(report, _report_order())

@@ -40,24 +40,24 @@ def latest_per_key(facts: DataFrame, key: str = "case_id", ts: str = "validated_
     return facts.withColumn("__r", fn.over(w)).where(F.col("__r") <= 1).drop("__r")
 
 
-def _small_runs(runs: DataFrame, *cols: str) -> DataFrame:
-    """The runs' columns for a join: computed once, and broadcast if their measured size
-    allows, so that the facts aren't shuffled by run (a hot run would be one task)."""
-    return joins.broadcast_if_small(joins.materialize(runs.select(*cols)))[0]
-
-
-def records_with_latest(records: DataFrame, facts: DataFrame, runs: DataFrame,
+def records_with_latest(records: DataFrame, facts: DataFrame, runs: DataFrame | None = None,
                         dedup: bool = False) -> DataFrame:
-    """J4 + J5: every record with its latest score (never-scored kept) and that score's run.
+    """J4 + J5: every record with its latest score (never-scored kept) and that score's run;
+    without ``runs`` (nothing asks for provider or model) there is no run join at all.
 
     ``never_scored`` separates records with no score from records whose latest score is
     an error (both have a NULL verdict).
+
+    The runs are joined as they are: a stored runs table is small and its size known from its
+    files, so the planner broadcasts it; beyond its threshold the join shuffles, and AQE
+    splits a hot run.
     """
     latest = latest_per_key(facts, dedup=dedup, tie_break=["score_id"] if dedup else None)
-    # the run's columns are attached before the records are: never-scored records have no
-    # run, and must not meet at one NULL key
-    latest = latest.withColumn("__has", F.lit(True)).join(
-        _small_runs(runs, "run_id", "provider", "model"), "run_id", "left")
+    latest = latest.withColumn("__has", F.lit(True))
+    if runs is not None:
+        # the run's columns are attached before the records are: never-scored records have no
+        # run, and must not meet at one NULL key
+        latest = latest.join(runs.select("run_id", "provider", "model"), "run_id", "left")
     out = records.join(latest, "case_id", "left")
     return out.withColumn("never_scored", F.col("__has").isNull()).drop("__has")
 
@@ -66,7 +66,7 @@ def history(facts: DataFrame, runs: DataFrame, case_id=None) -> DataFrame:
     """J6 (+ P20 when ``case_id`` is given): scoring attempts with their run's provider and
     model, newest first within a record. Inner join, as in the reference."""
     f = facts if case_id is None else facts.where(F.col("case_id") == case_id)
-    return (f.join(_small_runs(runs, "run_id", "provider", "model"), "run_id", "inner")
+    return (f.join(runs.select("run_id", "provider", "model"), "run_id", "inner")
             .orderBy("case_id", F.col("validated_at").desc(), F.col("score_id").desc()))
 
 
@@ -81,16 +81,19 @@ def _count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
+def verdict_counts(verdict: Column) -> list[Column]:
+    """The four counters of a group of scores."""
+    return [_count_if(verdict == "Passed").alias("passed_count"),
+            _count_if(verdict == "Needs Improvement").alias("needs_improvement_count"),
+            _count_if(verdict == "Failed").alias("failed_count"),
+            _count_if(verdict.isNull()).alias("error_count")]
+
+
 def run_counters(runs: DataFrame, facts: DataFrame) -> DataFrame:
     """The per-run verdict counters as ONE grouped aggregate (not four correlated
     subqueries per saved row), left-joined to the runs so a run with no scores shows 0.
     ``total_cases`` is the value set when the run opened (N10)."""
-    v = F.col("verdict")
-    counts = facts.groupBy("run_id").agg(
-        _count_if(v == "Passed").alias("passed_count"),
-        _count_if(v == "Needs Improvement").alias("needs_improvement_count"),
-        _count_if(v == "Failed").alias("failed_count"),
-        _count_if(v.isNull()).alias("error_count"))
+    counts = facts.groupBy("run_id").agg(*verdict_counts(F.col("verdict")))
     cols = ["passed_count", "needs_improvement_count", "failed_count", "error_count"]
     return (runs.join(counts, "run_id", "left")
             .select("run_id", "provider", "model", "total_cases",
@@ -178,15 +181,15 @@ def orphans(facts: DataFrame, records: DataFrame, runs: DataFrame,
     The score facts are never shuffled: their distinct record ids (map-side partial
     aggregation, however many scores a record has) are anti-joined with the records, and
     the unknown ids -- checkpointed and counted -- select the orphan rows by a broadcast
-    semi join when they are few (a shuffle join otherwise). Runs are broadcast under the
-    same measured bound.
+    semi join when they are few (a shuffle join otherwise). Runs are broadcast by the
+    planner while they are small.
     """
     fact_ids = facts.select("case_id").distinct()
     unknown = joins.materialize(fact_ids.join(records.select("case_id"), "case_id", "left_anti"))
     unknown, _ = joins.broadcast_if_small(unknown, max_broadcast_rows)
     no_rec = (facts.join(unknown, "case_id", "left_semi")
               .withColumn("reason", F.lit("unknown record")))
-    no_run = (facts.join(_small_runs(runs, "run_id"), "run_id", "left_anti")
+    no_run = (facts.join(runs.select("run_id"), "run_id", "left_anti")
               .withColumn("reason", F.lit("unknown run")))
     return reduce(DataFrame.unionByName, [no_rec, no_run])
 

@@ -44,6 +44,13 @@ def passed_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Test Case ID", "General Standards", "Priority")
 
 
+@query("report_positions")
+def report_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: every row's position in the report -- Passed first, then the id as text."""
+    rep = standards.flatten(fx.cases_raw(fx.tables(spark, sf_dir)))
+    return standards.report_positions(rep.select("Test Case ID", "General Standards"))
+
+
 @query("failure_breakdown")
 def failure_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failures per criterion over the whole screen."""
@@ -76,9 +83,10 @@ FILTERS = dict(tribe="All", product="All", capability="All", verdict="Needs Impr
                start="2024-01-20", end="2024-01-31", search="customer#0+1")
 
 
-def _latest_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _latest_view(spark: SparkSession, sf_dir: str, runs: bool = False) -> DataFrame:
+    """The latest view; with ``runs`` also provider and model."""
     t = fx.tables(spark, sf_dir)
-    return store.records_with_latest(fx.cases(t), fx.scores(t), fx.runs(t))
+    return store.records_with_latest(fx.cases(t), fx.scores(t), fx.runs(t) if runs else None)
 
 
 @query("verdict_frequency")
@@ -125,7 +133,7 @@ def latest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cases_with_latest")
 def cases_with_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with its latest score and that score's run metadata."""
-    return _latest_view(spark, sf_dir).orderBy("case_id")
+    return _latest_view(spark, sf_dir, runs=True).orderBy("case_id")
 
 
 @query("case_history")
@@ -135,14 +143,34 @@ def case_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.history(fx.scores(t), fx.runs(t))
 
 
+def _filed_scores(spark: SparkSession, sf_dir: str, name: str, merge) -> BucketTable:
+    """The scores filed by record, in three deltas of which the first two are merged."""
+    facts = fx.scores(fx.tables(spark, sf_dir))
+    table = BucketTable(spark, scratch_path(spark, name), "case_id", facts.schema, merge, n=16)
+    third = F.pmod("score_id", F.lit(3))
+    for i in range(3):
+        table.append(facts.where(third == i), f"p{i}")
+        if i == 1:
+            table.compact()
+    return table
+
+
 @query("case_point_history")
 def case_point_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The attempts of one record (the most often scored; ties to the smaller id),
-    newest first."""
+    newest first, out of scores filed by record: one bucket is read."""
     t = fx.tables(spark, sf_dir)
-    facts = fx.scores(t)
-    busiest = facts.groupBy("case_id").count().orderBy(F.desc("count"), "case_id").first()
-    return store.history(facts, fx.runs(t), busiest["case_id"] if busiest else -1)
+    busiest = fx.scores(t).groupBy("case_id").count().orderBy(F.desc("count"), "case_id").first()
+    table = _filed_scores(spark, sf_dir, "history", lambda rows: rows.dropDuplicates(["score_id"]))
+    return store.history(table.at(busiest["case_id"] if busiest else -1), fx.runs(t))
+
+
+@query("current_scores")
+def current_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest score of every record (ties kept), out of the table that keeps just
+    those, merged from deltas."""
+    return _filed_scores(spark, sf_dir, "current", lambda rows: store.latest_per_key(rows).dropDuplicates(
+        ["case_id", "score_id"])).read()
 
 
 @query("completed_in_run")
@@ -155,17 +183,29 @@ def completed_in_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("store_save_run")
 def store_save_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest run saved into a store that holds the others: its run row replaced, its
-    records upserted, its scores appended once. Returns the size of the three tables."""
+    records upserted with new content, its scores appended once. Returns all rows of the three
+    tables, their columns as one text."""
     t = fx.tables(spark, sf_dir)
     facts, runs, cases = fx.scores(t), fx.runs(t), fx.cases(t)
     newest = F.col("run_id") == facts.agg(F.max("run_id")).first()[0]
-    touched = cases.join(facts.where(newest).select("case_id").distinct(), "case_id", "left_semi")
-    recs, rns, fcts = store.save_run(cases, runs, facts.where(~newest), touched,
-                                     runs.where(newest), facts.where(newest), keep_first=())
-    return (recs.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("records"))
-            .unionByName(rns.agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("runs")))
-            .unionByName(fcts.agg(F.countDistinct("score_id").alias("n"))
-                         .withColumn("part", F.lit("scores"))))
+    touched = cases.join(facts.where(newest).select("case_id").distinct(), "case_id", "left_semi") \
+        .withColumn("title", F.concat("title", F.lit(" v2"))) \
+        .withColumn("tribe", F.lit(None).cast("string"))
+    stale = runs.withColumn("model", F.lit("standards-v0"))
+    recs, rns, fcts = store.save_run(cases, stale, facts.where(~newest), touched,
+                                     runs.where(newest), facts, keep_first=("product",))
+
+    def shown(df: DataFrame, part: str, key: str) -> DataFrame:
+        def plain(c: str, kind: str):
+            col = F.col(c)
+            if kind.startswith("timestamp"):
+                col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            return F.coalesce(col.cast("string"), F.lit("-"))
+        return df.select(F.lit(part).alias("part"), F.col(key).cast("string").alias("id"),
+                         F.concat_ws("|", *[plain(c, k) for c, k in df.dtypes if c != key])
+                         .alias("content"))
+    return shown(recs, "records", "case_id").unionByName(shown(rns, "runs", "run_id")) \
+        .unionByName(shown(fcts, "scores", "score_id"))
 
 
 @query("runs_newest_first")
@@ -233,7 +273,7 @@ def filtered_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("display_labels")
 def display_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Badges for verdicts and flags, dashes for blank metadata."""
-    v = _latest_view(spark, sf_dir)
+    v = _latest_view(spark, sf_dir, runs=True)
     return v.select(
         "case_id",
         report.verdict_badge(F.col("verdict")).alias("verdict_label"),
@@ -288,6 +328,24 @@ def upsert_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.upsert(old, new, "case_id", keep_first=["first_seen_at"])
 
 
+@query("bucket_upsert")
+def bucket_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 in a table filed by key: a new snapshot merged into the buckets of its keys; newest
+    content, first time seen."""
+    old, new = _snapshots(spark, sf_dir)
+
+    def merge(rows: DataFrame) -> DataFrame:
+        content = F.max_by(F.struct("title", "capability"), "last_updated_at")
+        return rows.groupBy("case_id").agg(
+            content.alias("v"), F.min("first_seen_at").alias("first_seen_at"),
+            F.max("last_updated_at").alias("last_updated_at")).select(
+            "case_id", "v.title", "v.capability", "first_seen_at", "last_updated_at")
+    table = BucketTable(spark, scratch_path(spark, "buckets"), "case_id", old.schema, merge, n=16)
+    table.upsert(old, "old")
+    table.upsert(new, "new")
+    return table.read()
+
+
 @query("insert_if_absent")
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open runs that do not exist yet; existing run rows are left alone."""
@@ -326,6 +384,7 @@ def resume_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from casegauge.session import scratch_path  # noqa: E402
 from casegauge.sources import codemaps, files  # noqa: E402
+from casegauge.sources.buckets import BucketTable  # noqa: E402
 
 
 def _nation_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,6 +594,26 @@ def score_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.run_report(spark, base, "20240601_090000")
 
 
+@query("run_stamps")
+def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the one UTC timestamp of a call, as all that it stores carries it: scores, records
+    seen, and the run."""
+    base = scratch_path(spark, "stamped-store")
+    d = fx.documents_as_cases(fx.tables(spark, sf_dir))
+    passed = d.select(F.col("case_id").cast("string").alias("Test Case ID"),
+                      F.col("title").alias("Title"), F.lit("1. Open https://x").alias("Pre Conditions"),
+                      F.lit(None).cast("string").alias("Test Steps"),
+                      F.lit("Shown").alias("Expected Result"))
+    api.validate_cases(spark, passed, base, run_id="r1")
+    at = api.read_runs(spark, base).select(F.col("run_at").alias("at"), "run_id")
+    utc = F.col("at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?\+00:00$")
+    seen = api.read_facts(spark, base).select("case_id", "run_id", "validated_at").join(
+        api.read_records(spark, base), "case_id").join(at, "run_id")
+    return seen.select("case_id", utc.alias("utc"), (F.col("validated_at") == F.col("at")).alias("scored"),
+                       (F.col("first_seen_at") == F.col("at")).alias("first"),
+                       (F.col("last_updated_at") == F.col("at")).alias("last"))
+
+
 @query("score_batch")
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pluggable Python evaluator over Arrow batches; replies parsed natively."""
@@ -585,6 +664,8 @@ def _land_scores(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
     day = F.dayofmonth("validated_at")
     first = F.coalesce(day <= 15, F.lit(False))
     inc.land_files(s.where(first if part == "first" else ~first), src)
+    if part == "second":  # the first half's files arrive again, beside the new ones
+        inc.land_files(s.where(first), src)
 
 
 def _land_results(spark: SparkSession, sf_dir: str, src: str, part: str) -> None:
@@ -610,7 +691,8 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_counters")
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run counters maintained by a streaming aggregate over landed score files
-    (two arrivals, each its own micro-batch); must equal the batch aggregate."""
+    (two arrivals, each its own micro-batch, the second with copies of the first's files); must
+    equal the batch aggregate."""
     base = scratch_path(spark, "stream-counters")
     src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
     for part in ("first", "second"):
@@ -622,7 +704,8 @@ def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_upsert")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores persisted incrementally; the second run resumes from the checkpoint
-    and only processes the new files -- every score stored exactly once."""
+    and only processes the new files, among them copies of those stored before -- every score
+    stored exactly once."""
     base = scratch_path(spark, "stream-upsert")
     src, sink, ckpt = f"{base}/in", f"{base}/facts", f"{base}/ckpt"
     for part in ("first", "second"):
@@ -631,6 +714,48 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).drop("batch_id")
 
 
+def _save_replies(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
+    """Reply lines landed in two arrivals, the second with copies of the first, and saved
+    against the records and runs of the older snapshots."""
+    base = scratch_path(spark, "stream-replies")
+    src, store_dir, ckpt = f"{base}/in", f"{base}/store", f"{base}/ckpt"
+    t = fx.tables(spark, sf_dir)
+    records, _ = _snapshots(spark, sf_dir)
+    runs, _ = _run_snapshots(spark, sf_dir)
+    lines = fx.reply_lines(t)
+    first = lines.where("score_id % 2 = 0").select("value")
+    for part in (first, lines.select("value")):
+        part.write.mode("append").text(src)
+        inc.run_to_completion(inc.save_replies_stream(spark, src, store_dir, ckpt, records, runs))
+    return store_dir, records, runs
+
+
+@query("stream_quarantine")
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed reply line once -- stored, or in the quarantine with its reason
+    (a torn line with its text)."""
+    store_dir, _, _ = _save_replies(spark, sf_dir)
+    facts = spark.read.parquet(f"{store_dir}/facts")
+    lost = spark.read.parquet(f"{store_dir}/quarantine")
+    torn = F.col("reason") == "unreadable line"
+    return facts.select(*inc.SCORE_KEY, "verdict", F.lit("stored").alias("outcome"),
+                        F.lit(None).cast("string").alias("line")).unionByName(
+        lost.select(*inc.SCORE_KEY, F.lit(None).cast("string").alias("verdict"),
+                    F.col("reason").alias("outcome"), F.when(torn, F.col("raw")).alias("line")))
+
+
+@query("stream_readmit")
+def stream_readmit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined replies stored once their records and runs are known; the runs'
+    counters, summed over the parts' own counts."""
+    store_dir, records, runs = _save_replies(spark, sf_dir)
+    t = fx.tables(spark, sf_dir)
+    everyone = t.customer.select(F.col("c_custkey").alias("case_id"))
+    inc.readmit(spark, store_dir, everyone, runs, 0)
+    inc.readmit(spark, store_dir, everyone, fx.runs(t), 1)
+    return inc.read_counters(spark, store_dir)
+
+
 # ------------------------------------------------------------------ ingest & export ----
 
 def _land_responses(spark: SparkSession, sf_dir: str) -> str:
@@ -649,6 +774,20 @@ def ingest_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "Testing Phase")
 
 
+@query("ingest_quarantine")
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a screening run can't use, stored and read back: unreadable response lines with
+    their text, and links without an id."""
+    base = scratch_path(spark, "quarantine")
+    _, torn = files.read_responses(spark, _land_responses(spark, sf_dir))
+    ids = fx.tables(spark, sf_dir).customer.select(
+        F.col("c_custkey").cast("string").alias("ID"),
+        F.when(F.col("c_acctbal") < 0, F.lit("https://cases.example.com/"))
+        .otherwise(text.build_link(F.col("c_name"))).alias("Testrail Link"))
+    _, rejected = files.endpoints_from_source(ids)
+    return files.read_quarantine(spark, files.write_quarantine(torn, rejected, base, "20240601_090000"))
+
+
 @query("ingest_counts")
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G11 + quarantine: fetched ok / failed envelopes and torn lines, in one pass."""

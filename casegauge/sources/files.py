@@ -139,6 +139,21 @@ def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return good, bad
 
 
+QUARANTINE = "reason string, ID string, raw string"
+
+
+def write_quarantine(torn: DataFrame, rejected: DataFrame, base: str, run_ts: str) -> str:
+    """Unreadable lines and rejected links of a run, with the reason and their text."""
+    rows = torn.select(F.lit("unreadable line").alias("reason"),
+                       F.lit(None).cast("string").alias("ID"), F.col("line").alias("raw"))
+    return write_snapshot(rows.unionByName(rejected.select(
+        F.lit("link without an id").alias("reason"), "ID", F.col("link").alias("raw"))), base, run_ts)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE).parquet(path)
+
+
 def ingest_counts(spark: SparkSession, path: str) -> DataFrame:
     """G11 + quarantine in one pass over the landed lines: fetched ok (status 200), failed
     (another or no status) and quarantined (unreadable) lines."""
@@ -197,7 +212,7 @@ def latest_snapshot_path(spark: SparkSession, base: str, by: str = "stamp") -> s
     ``by="name"``: the name that sorts last (the last of the sorted file names). Lists the
     folders of ``base`` only, not what they hold; a folder without files is no snapshot. None
     when there is no snapshot or no ``base``."""
-    names = [(d,) for d in _listed(spark, base, folders=True) if d.startswith("run_ts=")]
+    names = [(d,) for d in listed(spark, base, folders=True) if d.startswith("run_ts=")]
     if not names:
         return None
     name = F.substring_index("dir", "run_ts=", -1)
@@ -206,13 +221,13 @@ def latest_snapshot_path(spark: SparkSession, base: str, by: str = "stamp") -> s
         *([] if by == "name" else [stamp.desc()]), F.desc("dir"))
     for row in newest_first.toLocalIterator():
         path = f"{base.rstrip('/')}/{row['dir']}"
-        if any(not f.startswith(("_", ".")) for f in _listed(spark, path, folders=False)):
+        if any(not f.startswith(("_", ".")) for f in listed(spark, path, folders=False)):
             return path
     return None
 
 
-def _listed(spark: SparkSession, path: str, folders: bool) -> list[str]:
-    """Names of the folders (or the files) directly under ``path``; none if it doesn't exist."""
+def listed(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    """The names of the folders (or the files) directly under ``path``; none if it doesn't exist."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(at):
@@ -223,9 +238,9 @@ def _listed(spark: SparkSession, path: str, folders: bool) -> list[str]:
 def holds_parts(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds at least one written file (names with a leading ``_`` or
     ``.`` belong to writes that aren't finished). Stops at the first one found."""
-    if any(not f.startswith(("_", ".")) for f in _listed(spark, path, folders=False)):
+    if any(not f.startswith(("_", ".")) for f in listed(spark, path, folders=False)):
         return True
-    return any(holds_parts(spark, f"{path}/{d}") for d in _listed(spark, path, folders=True)
+    return any(holds_parts(spark, f"{path}/{d}") for d in listed(spark, path, folders=True)
                if not d.startswith(("_", ".")))
 
 

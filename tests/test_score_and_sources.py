@@ -101,6 +101,49 @@ def test_stream_equals_batch_after_restart(spark):
     assert counters.exceptAll(batch).count() == 0 and batch.exceptAll(counters).count() == 0
 
 
+def test_scores_that_land_again_are_stored_once(spark, tmp_path):
+    """In the same batch, in a later one, after a restart; rows without a whole key are told
+    apart by their content."""
+    def rows(*some):
+        return spark.createDataFrame([(s, c, r, "Passed", None, None, None, None) for s, c, r in some],
+                                     inc.SCORE_SCHEMA)
+    args = (spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    for some in ([(1, 1, "a"), (1, 1, "a"), (2, 1, "a")], [(1, 1, "a"), (3, 1, "a"), (1, 1, "b")],
+                 [(None, 1, "a"), (None, 2, "a"), (None, 2, "a"), (2, 1, "a")]):
+        inc.land_files(rows(*some), f"{tmp_path}/in")
+        inc.run_to_completion(inc.save_scores_stream(*args))
+    got = [(r.score_id, r.case_id, r.run_id) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, "a"), (2, 1, "a"), (3, 1, "a"), (1, 1, "b"),
+                                           (None, 1, "a"), (None, 2, "a")], key=str)
+
+
+def test_replies_go_to_facts_or_to_the_quarantine(spark, tmp_path):
+    lines = ['{"score_id":1,"case_id":1,"reply_case_id":1,"run_id":"a","verdict":"Passed"}',
+             '{"score_id":2,"case_id":1,"reply_case_id":9,"run_id":"a"}', '{"score_id":3,"case',
+             '{"score_id":4,"case_id":7,"run_id":"a"}', '{"score_id":5,"case_id":1,"run_id":"z"}',
+             '{"score_id":6,"run_id":"a"}', '{"score_id":3,"case']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_path}/in")
+    records = spark.createDataFrame([(1,)], "case_id long")
+    runs = spark.createDataFrame([("a",)], "run_id string")
+    out = f"{tmp_path}/store"
+    inc.run_to_completion(inc.save_replies_stream(spark, f"{tmp_path}/in", out, f"{tmp_path}/c",
+                                                  records, runs))
+    assert {r.score_id for r in spark.read.parquet(f"{out}/facts").collect()} == {1, 2}
+    lost = {(r.score_id, r.reason, r.stored) for r in
+            spark.read.parquet(f"{out}/quarantine").collect()}
+    assert lost == {(2, "reply names another record", True), (None, "unreadable line", False),
+                    (4, "unknown record", False), (5, "unknown run", False),
+                    (6, "incomplete key", False)}
+    torn = spark.read.parquet(f"{out}/quarantine").where("reason = 'unreadable line'").collect()
+    assert [r.raw for r in torn] == [lines[2]]
+    assert tuple(inc.read_counters(spark, out).first()) == ("a", 1, 0, 0, 1)
+    # the record becomes known: its reply is stored, once
+    more = spark.createDataFrame([(1,), (7,)], "case_id long")
+    assert [r.score_id for r in inc.readmit(spark, out, more, runs, 0).collect()] == [4]
+    assert inc.readmit(spark, out, more, runs, 1).count() == 0
+    assert tuple(inc.read_counters(spark, out).first()) == ("a", 1, 0, 0, 2)
+
+
 def test_legacy_normalize(spark):
     df = spark.createDataFrame([(True, "s"), (False, None), (None, "x")],
                                "`Overall Passed` boolean, Summary string")
