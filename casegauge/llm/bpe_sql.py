@@ -1,9 +1,9 @@
 """Byte-level BPE by ranks, in DuckDB recursive queries inside each task.
 
 ``encode`` splits the texts of a slice by the pretoken pattern and merges each distinct word
-once. The words' bytes become token-position rows (word, pos, fin, id); a recursion step joins
-each row with its successor and with the merge table, takes every word's lowest rank, and
-contracts that pair from the left. Words without a pair leave with their ids, so the
+once. The words' bytes become token-position rows (word, pos, fin, id: fin is where the next one stands);
+a recursion step joins each row with its successor and with the merge table, takes every word's
+lowest rank, and contracts that pair from the left. Words without a pair leave with their ids, so the
 recursion ends at the fixpoint. Of a word's occurrences of its lowest pair all that don't overlap
 are contracted in one step, leftmost first: with ranks in merge order a contraction never makes
 a pair that goes before it, so one by one gives the same (checked when the file is loaded; for
@@ -44,32 +44,41 @@ from casegauge.llm.bpe import NEWER
 from casegauge.llm.common import text_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-SLICE, WORDS, TOKENS, KEPT = 1 << 21, 1 << 18, 1 << 20, 400_000
+SLICE, WORDS, TOKENS, KEPT = 1 << 21, 1 << 18, 1 << 20, 1_000_000
 
-# {chosen}: the contractions of a step among the hits (rows whose pair is their word's lowest)
+# A word's last symbol has fin -1, so that positions alone lead to the next symbol. {chosen}: the
+# contractions of a step among the hits (rows whose pair is their word's lowest) of equal
+# symbols, the only ones that overlap; {others}: among the other hits.
 MERGE = """
 WITH RECURSIVE state(word, pos, fin, id, live) AS (
   SELECT word, pos, fin, id, true FROM start
   UNION ALL (
   WITH now AS MATERIALIZED (SELECT word, pos, fin, id FROM state WHERE live),
   pairs AS MATERIALIZED (
-    SELECT a.word, a.pos, b.pos AS mid, b.fin, m.made
-    FROM now a JOIN now b ON b.pos = a.fin AND b.word = a.word
-    JOIN merges m ON m.l = a.id AND m.r = b.id),
+    SELECT a.word, a.pos, b.pos AS mid, b.fin, m.made, a.id = b.id AS twin
+    FROM now a JOIN now b ON b.pos = a.fin
+    JOIN merges m ON m.pair = a.id::BIGINT * {size} + b.id),
   best AS MATERIALIZED (SELECT word, min(made) AS made FROM pairs GROUP BY word),
-  hits AS (
+  hits AS MATERIALIZED (SELECT pairs.* FROM pairs JOIN best USING (word, made)),
+  twins AS (
     SELECT *, coalesce(lag(mid) OVER (PARTITION BY word ORDER BY pos) = pos, false) AS goes_on
-    FROM pairs JOIN best USING (word, made)),
+    FROM hits WHERE twin),
   runs AS (
-    SELECT *, count_if(NOT goes_on) OVER (PARTITION BY word ORDER BY pos) AS run FROM hits),
-  chosen AS MATERIALIZED (SELECT * FROM runs QUALIFY {chosen})
-  SELECT n.word, n.pos, coalesce(c.fin, n.fin), coalesce(c.made, n.id),
-    n.word IN (SELECT word FROM best)
-  FROM now n LEFT JOIN chosen c USING (pos) WHERE n.pos NOT IN (SELECT mid FROM chosen)))
+    SELECT *, count_if(NOT goes_on) OVER (PARTITION BY word ORDER BY pos) AS run FROM twins),
+  chosen AS (
+    SELECT pos, mid, fin, made FROM hits WHERE NOT twin {others}
+    UNION ALL SELECT pos, mid, fin, made FROM runs {chosen}),
+  changes AS MATERIALIZED (
+    SELECT pos, fin, made FROM chosen UNION ALL SELECT mid, NULL, -1 FROM chosen)
+  SELECT n.word, n.pos, coalesce(c.fin, n.fin), coalesce(c.made, n.id), b.word IS NOT NULL
+  FROM now n LEFT JOIN changes c USING (pos) LEFT JOIN best b ON b.word = n.word
+  WHERE c.made IS DISTINCT FROM -1))
 SELECT word, id FROM state WHERE NOT live ORDER BY pos
 """
-EVERY_SECOND = "row_number() OVER (PARTITION BY word, run ORDER BY pos) % 2 = 1"
-LEFTMOST = "row_number() OVER (PARTITION BY word ORDER BY pos) = 1"
+FIRST = "QUALIFY row_number() OVER (PARTITION BY word ORDER BY pos) = 1"
+# all that don't overlap, leftmost first; or the leftmost one (a word's hits are all twins or none)
+EVERY = {"others": "", "chosen": "QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY pos) % 2 = 1"}
+LEFTMOST = {"others": FIRST, "chosen": FIRST}
 DECODE = """
 SELECT doc, from_hex(string_agg(hex, '' ORDER BY pos)) AS bytes
 FROM ids JOIN tokens USING (id) GROUP BY doc ORDER BY doc
@@ -113,13 +122,13 @@ class Coder:
         single = set(self.id_of_byte.tolist())
         in_order = all(made > part for *pair, made in merges
                        for part in pair if part not in single)
-        self.merge = MERGE.format(chosen=EVERY_SECOND if in_order else LEFTMOST)
         self.known = np.zeros(max(self.ranks.values()) + 1, bool)
+        self.merge = self.steps(EVERY if in_order else LEFTMOST)
         self.known[list(self.ranks.values())] = True
         self.db = duckdb.connect(config={
             "threads": 1, "memory_limit": "700MB",
             "temp_directory": os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")})
-        self._table("merges", l=[m[0] for m in merges], r=[m[1] for m in merges],
+        self._table("merges", pair=[left * len(self.known) + right for left, right, _ in merges],
                     made=[m[2] for m in merges])
         self._table("tokens", id=list(self.ranks.values()), hex=[t.hex() for t in self.ranks])
         pattern = public_tokenizers.PATTERN
@@ -134,6 +143,9 @@ class Coder:
         self._edge = regex.compile(r"\S(?=\s)").search
         self.kept: dict[str, bytes] = {}
 
+    def steps(self, choice: dict[str, str]) -> str:
+        return MERGE.format(size=len(self.known), **choice)
+
     def _table(self, name: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -158,8 +170,10 @@ class Coder:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.id_of_byte[np.frombuffer(b"".join(words), np.uint8)]
         pos = np.arange(len(symbols))
+        fin = pos + 1
+        fin[np.cumsum(sizes) - 1] = -1
         self.db.register("start", pa.table({
-            "word": np.repeat(np.arange(len(words)), sizes), "pos": pos, "fin": pos + 1,
+            "word": np.repeat(np.arange(len(words)), sizes), "pos": pos, "fin": fin,
             "id": symbols}))
         found = self.db.execute(self.merge).fetchnumpy()
         self.db.unregister("start")

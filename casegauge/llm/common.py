@@ -7,6 +7,7 @@ work above it runs once. ``Scratch`` frees such tables that nothing reads any mo
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,6 +165,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), bounds)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: an idle worker keeps what it doesn't return, while
+    the next stage's tasks need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str,
                  limit: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of Arrow batches holding about ``limit`` bytes of texts at most (a longer
@@ -180,4 +191,4 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str,
             yield part, [x or b"" for x in
                          part.column(column).cast(pa.large_binary()).to_pylist()]
             lo, done = hi, int(ends[hi - 1])
-    pa.default_memory_pool().release_unused()  # idle workers keep what they don't return
+    release_memory()

@@ -15,8 +15,10 @@ Documents are sets of word shingles; two are linked when 100 * |A n B| >= 80 * |
    components (large-star / small-star, joins only).
 6. *Rest*: buckets in which documents of different components still stand side by side
    unseen by each other are compared in blocks: everything outside the bucket's largest
-   component against the bucket, ``BLOCK`` rows a side, with the same posterior test and then
-   the full sets. A block emits no pairs but the few links that join components. So every
+   component against the bucket, ``BLOCK`` rows and ``BLOCK_BYTES`` of sets a side. A pair is
+   tested in the first band that it shares only, with the same posterior test, batch by batch
+   for all pairs of a block, and then on the full sets, by products of 0/1 matrices. A
+   block emits no pairs but the few links that join components. So every
    candidate pair is either tested or already connected, and no link between components
    is missed but by the bands and ``miss``.
 
@@ -41,13 +43,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegauge.llm.common import Scratch, mix64, powers, text_batches, word_hashes
+from casegauge.llm.common import Scratch, few, mix64, powers, text_batches, word_hashes
 from casegauge.operators.joins import broadcast_if_small
 
 ROWS, BANDS = 5, 32
 HASHES = ROWS * BANDS
 BATCH = 32  # signature values compared between two looks at the posterior
-BLOCK = 512
+BLOCK = 512  # documents of a block's side
+BLOCK_BYTES = 16 << 20  # of their sets
+PAIRS, MEMBERS, FEW = 1 << 17, 1 << 12, 32
 MISS = 1e-6
 _U = np.uint64
 
@@ -191,6 +195,64 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def plausible_pairs(sigs: np.ndarray, i: np.ndarray, j: np.ndarray,
+                    least: tuple[int, ...]) -> np.ndarray:
+    """The same for pairs of rows (i, j) of one table; only a batch's values are gathered,
+    for ``PAIRS`` pairs at a time."""
+    out = []
+    for lo in range(0, len(i), PAIRS):
+        a, b = i[lo:lo + PAIRS], j[lo:lo + PAIRS]
+        alive, matches = np.arange(len(a)), np.zeros(len(a), np.int64)
+        for k, m in enumerate(least):
+            part = np.ascontiguousarray(sigs[:, k * BATCH:(k + 1) * BATCH])
+            matches += (part[a[alive]] == part[b[alive]]).sum(1)
+            keep = matches >= m
+            alive, matches = alive[keep], matches[keep]
+        out.append(lo + alive)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def common(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Sizes of all intersections of the row sets with the column sets: products of 0/1
+    matrices over the members that stand on both sides, ``MEMBERS`` of them at a time."""
+    def flat(which):
+        sizes = [len(sets[i]) for i in which]
+        return np.concatenate([sets[i] for i in which]), np.repeat(np.arange(len(which)), sizes)
+    (x, x_row), (y, y_row) = flat(rows), flat(columns)
+    both = np.intersect1d(x, y)
+    out = np.zeros((len(rows), len(columns)), np.float32)
+
+    def placed(values, row):
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        ok = both[at] == values
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], row[ok][order]
+    if not len(both):
+        return out
+    (x, x_row), (y, y_row) = placed(x, x_row), placed(y, y_row)
+    for lo in range(0, len(both), MEMBERS):
+        sides = []
+        for at, row, n in ((x, x_row, len(rows)), (y, y_row, len(columns))):
+            a, b = np.searchsorted(at, [lo, lo + MEMBERS])
+            side = np.zeros((n, min(MEMBERS, len(both) - lo)), np.float32)
+            side[row[a:b], at[a:b] - lo] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T  # at most 2^24 members: exact
+    return out
+
+
+def linked_pairs(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray,
+                 percent: int) -> np.ndarray:
+    """Which pairs of sets (i, j) pass the exact test, all of a block at once."""
+    if len(i) <= FEW:
+        return np.array([linked(sets[a], sets[b], percent) for a, b in zip(i, j)], bool)
+    rows, row = np.unique(i, return_inverse=True)
+    columns, column = np.unique(j, return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    both = common(sets, rows, columns)[row, column].astype(np.int64)
+    return 100 * both >= percent * (sizes[i] + sizes[j] - both)
+
+
 def _filter_pairs(batches: Iterator[pa.RecordBatch], least) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32)
@@ -227,18 +289,22 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
                         .where("u > v").distinct(), "cc")
     state = None
     while True:
+        most = 2 * (state[0] if state else now.count())  # a step doubles the edges at most
+
+        def stage(df: DataFrame, purpose: str) -> DataFrame:
+            return scratch.stage(few(df, most), purpose)
         # large star: neighbours above u go to the smallest of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = scratch.stage(least.select("u", F.least("u", "m").alias("m")), "cc-least")
+        least = stage(least.select("u", F.least("u", "m").alias("m")), "cc-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"),
                                                             F.col("m").alias("v"))
-        large = scratch.stage(large.where("u > v").distinct(), "cc-large")
+        large = stage(large.where("u > v").distinct(), "cc-large")
         # small star: u and its smaller neighbours go to the smallest of them
-        low = scratch.stage(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .unionByName(low.select("u", F.col("m").alias("v")))
-        after = scratch.stage(small.where("u > v").distinct(), "cc")
+        after = stage(small.where("u > v").distinct(), "cc")
         sums = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
                          ).first()
         scratch.drop(now, least, large, low)
@@ -280,17 +346,40 @@ def _groups(batches: Iterator[pa.RecordBatch]):
         yield joined()
 
 
+def candidates(g: dict, sigs: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a block that this bucket has to test: rest against all, of different
+    components and fitting sizes, in the first band that the two share, once."""
+    is_rest = np.array(g["rest"], bool)
+    rest, full = np.flatnonzero(is_rest), np.flatnonzero(~is_rest)
+    keys = band_keys(sigs)
+    band = int((keys[0] == g["key"][0]).argmax())
+    labels, ids = np.array(g["label"]), np.array(g["id"])
+    sizes, main = np.array([len(m) // 8 for m in g["members"]]), np.array(g["main"], bool)
+    open_ = labels[rest][:, None] != labels[full]
+    for b in range(band):
+        open_ &= keys[rest, b][:, None] != keys[full, b]
+    a, c = sizes[rest][:, None], sizes[full]
+    open_ &= 100 * np.minimum(a, c) >= percent * np.maximum(a, c)
+    # two documents of the rest meet as (one, other) and as (other, one)
+    open_ &= main[full] | (ids[rest][:, None] < ids[full])
+    i, j = np.nonzero(open_)
+    return rest[i], full[j]
+
+
 def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int, least):
     """Links that join components within each block: documents of the rest (``rest``)
     against all of the bucket's documents in the block."""
     for g in _groups(batches):
-        rest = [i for i, r in enumerate(g["rest"]) if r]
-        full = [i for i, r in enumerate(g["rest"]) if not r]
-        if not rest or not full:
+        if all(g["rest"]) or not any(g["rest"]):
             continue
         sigs = np.frombuffer(b"".join(g["sig"]), np.uint32).reshape(-1, HASHES)
+        i, j = candidates(g, sigs, percent)
+        keep = plausible_pairs(sigs, i, j, least)
+        i, j = i[keep], j[keep]
+        if not len(i):
+            continue
         sets = [np.frombuffer(m, np.uint64) for m in g["members"]]
-        sizes = np.array([len(s) for s in sets])
+        keep = linked_pairs(sets, i, j, percent)
         group = dict()  # local union of components: label -> root
 
         def root(x):
@@ -299,20 +388,11 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int, least):
             return x
         ids, labels = g["id"], g["label"]
         links: list[tuple[int, int]] = []
-        full_at = np.array(full)
-        for i in rest:
-            other = full_at[[root(labels[j]) != root(labels[i]) for j in full]]
-            if not len(other):
-                continue
-            n = sizes[other]
-            other = other[100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i])]
-            if not len(other):
-                continue
-            ok = plausible(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other], least)
-            for j in other[ok]:
-                if root(labels[j]) != root(labels[i]) and linked(sets[i], sets[j], percent):
-                    group[root(labels[i])] = root(labels[j])
-                    links.append((ids[i], ids[j]))
+        for a, b in zip(i[keep].tolist(), j[keep].tolist()):
+            x, y = root(labels[a]), root(labels[b])
+            if x != y:
+                group[x] = y
+                links.append((ids[a], ids[b]))
         if links:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in links], pa.int64()),
@@ -320,22 +400,28 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], percent: int, least):
 
 
 def _blocks(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (key, id, label) of buckets dealt into blocks (c: part of the bucket, d: part
-    of its rest): a bucket's document stands once in each rest part's row of blocks, a
-    document of the rest also once in each part's column."""
-    per_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    """Rows (key, id, label, n_shingles) of buckets dealt into blocks (c: part of the bucket,
+    d: part of its rest): a bucket's document stands once in each rest part's row of blocks, a
+    document of the rest also once in each part's column. A block's side holds about
+    ``BLOCK`` documents and ``BLOCK_BYTES`` of sets, a larger set alone."""
+    weight = F.greatest(F.lit(1 / BLOCK), F.col("n_shingles") * 8 / BLOCK_BYTES)
+    per_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.sum(weight).alias("w"))
     per_key = per_label.groupBy("key").agg(
-        F.sum("n").alias("n_all"), F.max(F.struct("n", "label")).alias("top"))
+        F.sum("n").alias("n_all"), F.sum("w").alias("w_all"),
+        F.max(F.struct("n", "label", "w")).alias("top"))
     per_key = scratch.stage(per_key.where("top.n < n_all").select(
         F.col("key"), F.col("top.label").alias("main"),
-        F.ceil(F.col("n_all") / BLOCK).cast("int").alias("n_c"),
-        F.ceil((F.col("n_all") - F.col("top.n")) / BLOCK).cast("int").alias("n_d")), "per-key")
-    placed = _by_key(rows, per_key).withColumn("h", F.xxhash64("id"))
-    full = placed.select("key", "id", "label", F.lit(False).alias("rest"),
+        F.ceil("w_all").cast("int").alias("n_c"),
+        F.greatest(F.ceil(F.col("w_all") - F.col("top.w")), F.lit(1)).cast("int").alias("n_d")),
+        "per-key")
+    placed = _by_key(rows, per_key).withColumn("h", F.xxhash64("id")).withColumn(
+        "main", F.col("label") == F.col("main"))
+    full = placed.select("key", "id", "label", "main", F.lit(False).alias("rest"),
                          F.pmod("h", "n_c").cast("int").alias("c"),
                          F.explode(F.sequence(F.lit(0), F.col("n_d") - 1)).alias("d"))
-    rest = placed.where("label != main").select(
-        "key", "id", "label", F.lit(True).alias("rest"),
+    rest = placed.where("not main").select(
+        "key", "id", "label", "main", F.lit(True).alias("rest"),
         F.explode(F.sequence(F.lit(0), F.col("n_c") - 1)).alias("c"),
         F.pmod("h", "n_d").cast("int").alias("d"))
     return full.unionByName(rest)
@@ -366,7 +452,7 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, miss: float =
     copy_links = classes.where("doc_id > rep").select(F.col("doc_id").alias("a"),
                                                       F.col("rep").alias("b"))
 
-    bands = reps.select("id", F.explode("keys").alias("key"))
+    bands = reps.select("id", "n_shingles", F.explode("keys").alias("key"))
     hubs = scratch.stage(bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
                          .where("hub < top").select("key", "hub"), "hubs")
     buckets = scratch.stage(_by_key(bands, hubs), "buckets")
@@ -385,14 +471,14 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, miss: float =
     first = components(links, scratch)
 
     labelled = buckets.join(first, "id", "left") \
-        .select("key", "hub", "id", F.coalesce("component", "id").alias("label"))
+        .select("key", "hub", "id", "n_shingles", F.coalesce("component", "id").alias("label"))
     rest = scratch.stage(_unseen(labelled, scratch), "rest")
     ids = scratch.stage(rest.select("id").distinct(), "ids")
     sets = scratch.stage(sets_of(df, ids, k, id_col, text_col), "sets")
     full = reps.select("id", "sig").join(sets, "id")
     blocks = _blocks(rest, scratch).join(full, "id").repartition("key", "c", "d") \
         .sortWithinPartitions("key", "c", "d") \
-        .select("key", "c", "d", "id", "label", "rest", "sig", "members")
+        .select("key", "c", "d", "id", "label", "main", "rest", "sig", "members")
     more = scratch.stage(blocks.mapInArrow(
         lambda x: _compare_blocks(x, percent, least), "a bigint, b bigint"), "links")
     scratch.drop(sets, ids, rest)
@@ -420,7 +506,7 @@ def _unseen(labelled: DataFrame, scratch: Scratch) -> DataFrame:
         labelled.where("id != hub").groupBy("key").agg(
             F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
         .select("key"), "unseen")
-    return _by_key(labelled.where("id != hub"), others).select("key", "id", "label")
+    return _by_key(labelled.where("id != hub"), others).select("key", "id", "n_shingles", "label")
 
 
 def keep_one(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",

@@ -57,7 +57,7 @@ def test_leftmost_only_gives_the_same():
     coder = bpe_sql.load(PATH)
     words = [w.encode() for t in random_texts()[:40] for w in coder.pretokens(t)]
     all_at_once, plain = coder.merge_words(words), coder.merge
-    coder.merge = bpe_sql.MERGE.format(chosen=bpe_sql.LEFTMOST)
+    coder.merge = coder.steps(bpe_sql.LEFTMOST)
     try:
         assert coder.merge_words(words) == all_at_once
     finally:

@@ -106,3 +106,99 @@ def test_components_of_chains_and_stars(spark):
     got = {r.id: r.component for r in near_dup.components(
         spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark)).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, **{x: 7 for x in range(200, 260)}}
+
+
+def signed_group(n, seed=3):
+    """Near copies of one text: ids, sets, signatures and band keys."""
+    rng = random.Random(seed)
+    base = [rng.randrange(10_000) for _ in range(120)]
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 10)):
+            copy[rng.randrange(len(copy))] = rng.randrange(10_000)
+        texts.append(" ".join(map(str, copy)).encode())
+    sets, _ = near_dup.shingle_sets(texts, 4)
+    sigs = np.array([near_dup.signature(s) for s in sets], np.uint32)
+    return sets, sigs, near_dup.band_keys(sigs)
+
+
+def blocks_of(sets, sigs, keys, labels, side=40):
+    """The blocks of every bucket, as _blocks deals them."""
+    for band in range(near_dup.BANDS):
+        for key in set(keys[:, band].tolist()):
+            members = np.flatnonzero(keys[:, band] == key).tolist()
+            counts = {x: sum(labels[m] == x for m in members) for x in {labels[m] for m in members}}
+            main = max(counts, key=lambda x: (counts[x], x))
+            rest = [m for m in members if labels[m] != main]
+            if not rest:
+                continue
+            for c in range(0, len(members), side):
+                for d in range(0, len(rest), side):
+                    rows = [(m, False) for m in members[c:c + side]] \
+                        + [(m, True) for m in rest[d:d + side]]
+                    yield {"key": [key] * len(rows), "id": [m for m, _ in rows],
+                           "label": [labels[m] for m, _ in rows],
+                           "main": [labels[m] == main for m, _ in rows],
+                           "rest": [r for _, r in rows],
+                           "members": [sets[m].tobytes() for m, _ in rows]}, sigs[[m for m, _ in rows]]
+
+
+def test_blocks_test_every_open_pair_once():
+    """A hot group in components: each pair of different ones that shares a band is tested in
+    exactly one block of one bucket, no pair within a component at all."""
+    sets, sigs, keys = signed_group(400)
+    rng = random.Random(5)
+    labels = [0 if rng.random() < 0.5 else rng.randrange(1, 60) for _ in sets]
+    seen = []
+    for g, s in blocks_of(sets, sigs, keys, labels):
+        i, j = near_dup.candidates(g, s, 80)
+        seen += [tuple(sorted((g["id"][a], g["id"][b]))) for a, b in zip(i, j)]
+    expected = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+                if labels[a] != labels[b] and (keys[a] == keys[b]).any()
+                and 100 * min(len(sets[a]), len(sets[b])) >= 80 * max(len(sets[a]), len(sets[b]))}
+    assert len(seen) == len(set(seen)) and set(seen) == expected
+    assert len(seen) > 10_000
+
+
+def test_matrix_products_equal_the_exact_test(monkeypatch):
+    monkeypatch.setattr(near_dup, "MEMBERS", 64)
+    monkeypatch.setattr(near_dup, "PAIRS", 100)
+    sets, sigs, _ = signed_group(60)
+    sets += [np.empty(0, np.uint64), np.arange(500, dtype=np.uint64), np.arange(450, dtype=np.uint64)]
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    plain = np.array([near_dup.linked(sets[a], sets[b], 80) if len(sets[a]) or len(sets[b]) else True
+                      for a, b in zip(i, j)])
+    some = np.array([len(sets[a]) + len(sets[b]) > 0 for a, b in zip(i, j)])
+    assert (near_dup.linked_pairs(sets, i[some], j[some], 80) == plain[some]).all()
+    least = near_dup.least_matches(80, 1e-6)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    assert set(near_dup.plausible_pairs(sigs, i, j, least)) == set(
+        np.flatnonzero(near_dup.plausible(sigs[i], sigs[j], least)))
+
+
+def test_time_of_a_hot_block_grows_with_its_pairs():
+    """Twice the group, four times the pairs: no more than that per pair, and no Python loop over
+    pairs (a million in seconds)."""
+    import time
+    least = near_dup.least_matches(80, 1e-6)
+    took = []
+    for n in (500, 1000):
+        sets, sigs, keys = signed_group(n)
+        labels = list(range(n))
+        start, pairs = time.perf_counter(), 0
+        for g, s in blocks_of(sets, sigs, keys, labels, near_dup.BLOCK):
+            i, j = near_dup.candidates(g, s, 80)
+            keep = near_dup.plausible_pairs(s, i, j, least)
+            near_dup.linked_pairs([np.frombuffer(m, np.uint64) for m in g["members"]],
+                                  i[keep], j[keep], 80)
+            pairs += len(i)
+        took.append((time.perf_counter() - start) / pairs)
+    assert took[1] < 2.5 * took[0]
+
+
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    """Long sets make more, smaller blocks; the result is the same."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 2000)
+    rows = corpus(30, 60)
+    check(rows, near_dup.near_duplicates(frame(spark, rows), k=4).collect(), 4)
