@@ -17,7 +17,10 @@ to an Arrow-batched pandas UDF built on the standard-library ``html.parser``.
 from __future__ import annotations
 
 import html.entities as _html_entities
+import io
+from collections import Counter
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -216,7 +219,9 @@ for _k, _v in sorted(_html_entities.html5.items()):
 
 
 class _TextCollector(HTMLParser):
-    """Text nodes in document order with the list items that are open around each.
+    """Text nodes in document order, and of each list item which of them it holds: an item is
+    open for one stretch of the document, so it is two places among the nodes, however many
+    items are open at once.
 
     Consecutive character data is one node until the next markup event (tag, comment,
     declaration, processing instruction): the parser may report one run of text in
@@ -229,8 +234,9 @@ class _TextCollector(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.stack: list[tuple[str, int | None]] = []   # (tag, li index or None)
         self.hidden = 0
+        self.open: Counter[str] = Counter()  # tags on the stack
         self.nodes: list[str] = []
-        self.items: list[list[str]] = []
+        self.items: list[list[int]] = []     # first node, node after the last
         self.buf: list[str] = []
 
     def _flush(self):
@@ -241,9 +247,6 @@ class _TextCollector(HTMLParser):
         if self.hidden or not text:
             return
         self.nodes.append(text)
-        for _, li in self.stack:
-            if li is not None:
-                self.items[li].append(text)
 
     def handle_starttag(self, tag, attrs):
         self._flush()
@@ -252,26 +255,31 @@ class _TextCollector(HTMLParser):
         li = None
         if tag == "li":
             li = len(self.items)
-            self.items.append([])
+            self.items.append([len(self.nodes)] * 2)
         if tag in HIDDEN_TAGS:
             self.hidden += 1
+        self.open[tag] += 1
         self.stack.append((tag, li))
 
     def handle_startendtag(self, tag, attrs):
         self._flush()
         if tag == "li":
-            self.items.append([])
+            self.items.append([len(self.nodes)] * 2)
+
+    def _leave(self) -> str:
+        tag, li = self.stack.pop()
+        self.open[tag] -= 1
+        if li is not None:
+            self.items[li][1] = len(self.nodes)
+        if tag in HIDDEN_TAGS:
+            self.hidden -= 1
+        return tag
 
     def handle_endtag(self, tag):
         self._flush()
-        if not any(t == tag for t, _ in self.stack):
-            return
-        while self.stack:
-            t, _ = self.stack.pop()
-            if t in HIDDEN_TAGS:
-                self.hidden -= 1
-            if t == tag:
-                break
+        if self.open[tag]:
+            while self._leave() != tag:
+                pass
 
     def handle_data(self, data):
         self.buf.append(data)
@@ -301,6 +309,8 @@ class _TextCollector(HTMLParser):
     def close(self):
         super().close()
         self._flush()
+        while self.stack:
+            self._leave()
 
 
 def _parse(doc: str) -> _TextCollector:
@@ -321,8 +331,16 @@ def numbered_list_py(doc: str | None) -> str | None:
         return None
     if not doc:
         return ""
-    items = _parse(doc).items
-    return "\n".join(f"{i}. {' '.join(parts)}" for i, parts in enumerate(items, start=1))
+    parsed = _parse(doc)
+    # every item is a slice of one text: the result is as long as nested items make it, but
+    # nothing beside it is
+    text = " ".join(parsed.nodes)
+    at = [0, *accumulate(len(n) + 1 for n in parsed.nodes)]
+    out = io.StringIO()
+    for i, (a, b) in enumerate(parsed.items, start=1):
+        out.write(f"{chr(10) if i > 1 else ''}{i}. ")
+        out.write(text[at[a]:max(at[a], at[b] - 1)])
+    return out.getvalue()
 
 
 @pandas_udf(T.StringType())

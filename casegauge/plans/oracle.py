@@ -6,8 +6,27 @@ functions) rather than calling this package, so it checks the Spark plans from o
 
 from __future__ import annotations
 
-from casegauge.operators.standards import RULES
-from casegauge.sources import codemaps as cm
+# --- Fixed values: code labels, and the codes that pass each rule (stated here anew, so that a
+# wrong entry in the operators shows). ---
+AUTOMATABILITY = {1: "Automated", 2: "Automatable", 3: "Non-Automatable", 4: "To be Determined",
+                  5: "For Migration"}
+AUTOMATION_STATUS = {1: "Not Started", 2: "In Progress", 3: "Blocked Test Data",
+                     4: "Blocked Incomplete Steps", 5: "Blocked Access Issues", 6: "Obsolete",
+                     7: "Blocked Feature Issue", 8: "Blocked Others", 9: "Reviewed = Passed DOR",
+                     10: "Completed", 11: "None"}
+TESTING_TYPE = {1: "api", 2: "api-and-database", 3: "api-and-mobile", 4: "api-and-logs-checking",
+                5: "api-and-sms", 6: "api-and-web", 7: "database", 8: "database-and-logs-checking",
+                9: "database-and-sms", 10: "logs-checking", 11: "mobile", 12: "mobile-and-database",
+                13: "mobile-and-logs-checking", 14: "mobile-and-sms", 15: "sms",
+                16: "sms-and-logs-checking", 17: "web", 18: "web-and-database",
+                19: "web-and-logs-checking", 20: "web-and-mobile", 21: "web-and-sms"}
+STATUS = {2: "New", 3: "Reviewed", 4: "Obsolete", 5: "Inactive", 6: "Active"}
+TESTING_PHASE = {1: "BE Regression", 2: "FE Regression", 3: "FVT", 4: "FE Sanity", 5: "BE Sanity",
+                 6: "Pre-Test", 7: "Post-Test", 8: "Cleanpass Project", 9: "Sprint Testing",
+                 10: "Sanity", 11: "Smoke", 12: "Regression"}
+PASSING = {"Automatability": (2, 4), "Testing Type": (17,), "Automation Status": (1, 9),
+           "Status": (2, 3, 6), "Testing Phase": (1, 2, 12)}
+# --- end of fixed values ---
 
 SQL: dict[str, str] = {}
 
@@ -22,8 +41,7 @@ def _map(mapping: dict[int, str]) -> str:
 
 
 def _ids(rule_name: str) -> str:
-    r = next(r for r in RULES if r.name == rule_name)
-    return ", ".join(str(i) for i in r.allowed_ids)
+    return ", ".join(str(i) for i in PASSING[rule_name])
 
 
 CASES_RAW = """
@@ -44,14 +62,14 @@ DECODED = f""",
 decoded AS (
   SELECT c.*, a.label AS aut_l, s.label AS ast_l, t.label AS tt_l, u.label AS st_l,
     array_to_string(list_transform(coalesce(phases, []::INT[]),
-      lambda p: coalesce({_map(cm.TESTING_PHASE)}[p], CAST(p AS VARCHAR))), ', ') AS phase_l,
+      lambda p: coalesce({_map(TESTING_PHASE)}[p], CAST(p AS VARCHAR))), ', ') AS phase_l,
     coalesce(list_bool_or(list_transform(coalesce(phases, []::INT[]),
       lambda p: p IN ({_ids('Testing Phase')}))), false) AS ok_ph
   FROM cases_raw c
-  LEFT JOIN {_values(cm.AUTOMATABILITY)} a(id, label) ON a.id = c.aut
-  LEFT JOIN {_values(cm.AUTOMATION_STATUS)} s(id, label) ON s.id = c.ast
-  LEFT JOIN {_values(cm.TESTING_TYPE)} t(id, label) ON t.id = c.tt
-  LEFT JOIN {_values(cm.STATUS)} u(id, label) ON u.id = c.st
+  LEFT JOIN {_values(AUTOMATABILITY)} a(id, label) ON a.id = c.aut
+  LEFT JOIN {_values(AUTOMATION_STATUS)} s(id, label) ON s.id = c.ast
+  LEFT JOIN {_values(TESTING_TYPE)} t(id, label) ON t.id = c.tt
+  LEFT JOIN {_values(STATUS)} u(id, label) ON u.id = c.st
 ),
 screen AS (
   SELECT *,

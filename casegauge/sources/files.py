@@ -106,37 +106,42 @@ CORRUPT_COL = "_unparsed_line"
 _ENVELOPE_PARSE = T.StructType(ENVELOPE.fields + [T.StructField(CORRUPT_COL, T.StringType())])
 
 
-def parse_response_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Each landed line parsed once with the envelope schema, plus ``unreadable``:
-    the line is not a JSON object (torn, truncated, or another JSON value), or a success
-    (status 200) without a record. Any other readable
-    envelope whose fields have the wrong type keeps the fields that parsed (the others
-    are NULL), as a record with a mistyped code is still screened -- and fails its rule."""
-    e = F.from_json(F.col(line_col), _ENVELOPE_PARSE,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    parsed = lines.select(line_col, e.alias("__e"))
-    unreadable = (F.col(f"__e.{CORRUPT_COL}").isNotNull() & F.col("__e.ID").isNull()
-                  & F.col("__e.status_code").isNull() & F.col("__e.response").isNull())
-    unreadable |= F.coalesce(F.col("__e.status_code") == 200, F.lit(False)) \
-        & F.col("__e.response").isNull()
-    return parsed.select(line_col, F.col("__e.ID").alias("ID"),
-                         F.col("__e.status_code").alias("status_code"),
-                         F.col("__e.response").alias("response"), unreadable.alias("unreadable"))
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed lines parsed by the scan itself with the envelope schema. A line that isn't
+    a JSON object (torn, truncated, another JSON value) has its text in ``CORRUPT_COL`` and no
+    field; an envelope whose fields have the wrong type keeps the fields that parsed (the others
+    are NULL), as a record with a mistyped code is still screened -- and fails its rule. A
+    line that holds an array of envelopes counts as those envelopes."""
+    env = spark.read.schema(_ENVELOPE_PARSE).option("columnNameOfCorruptRecord", CORRUPT_COL) \
+        .json(path)
+    c = F.col
+    nothing = c("ID").isNull() & c("status_code").isNull() & c("response").isNull()
+    # the scan keeps the fields before a tear: only text that is JSON counts as mistyped
+    torn = c(CORRUPT_COL).isNotNull() & (nothing | F.try_parse_json(CORRUPT_COL).isNull())
+    return env.withColumn("torn", torn).withColumn("empty", _without_record(c("status_code"),
+                                                                            c("response")))
+
+
+def _without_record(status: Column, response: Column) -> Column:
+    """A success (status 200) that holds no record: it can't be screened, nor count as failed."""
+    return F.coalesce(status == 200, F.lit(False)) & response.isNull()
 
 
 def read_responses(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Landed fetch results (JSON lines ``{ID, status_code, response}``).
 
-    Returns ``(envelopes, quarantine)``: every line is parsed once with the fixed envelope
-    schema; unreadable lines land in the quarantine with their raw text instead of
-    aborting the batch.
+    Returns ``(envelopes, quarantine)``: envelopes as the scan parses them; lines that are
+    unreadable, or a success without a record, land in the quarantine with their raw text
+    instead of aborting the batch. The text of the latter is read by a scan of its own, which
+    only the quarantine's reader runs.
     """
-    lines = (spark.read.text(path).select(F.col("value").alias("line"))
-             .where(F.trim("line") != ""))
-    parsed = parse_response_lines(lines)
-    good = parsed.where(~F.col("unreadable")).select("ID", "status_code", "response")
-    bad = parsed.where(F.col("unreadable")).select("line")
-    return good, bad
+    env = _landed(spark, path)
+    good = env.where(~F.col("torn") & ~F.col("empty")).select("ID", "status_code", "response")
+    torn = env.where("torn").select(F.col(CORRUPT_COL).alias("line"))
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    parsed = F.from_json("line", T.ArrayType(ENVELOPE))
+    empty = lines.where(F.exists(parsed, lambda e: _without_record(e["status_code"], e["response"])))
+    return good, torn.unionByName(empty)
 
 
 QUARANTINE = "reason string, ID string, raw string"
@@ -156,15 +161,12 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest_counts(spark: SparkSession, path: str) -> DataFrame:
     """G11 + quarantine in one pass over the landed lines: fetched ok (status 200), failed
-    (another or no status) and quarantined (unreadable) lines."""
-    lines = (spark.read.text(path).select(F.col("value").alias("line"))
-             .where(F.trim("line") != ""))
-    p = parse_response_lines(lines)
-    readable = ~F.col("unreadable")
+    (another or no status) and quarantined (unreadable, or without a record)."""
+    lost = F.col("torn") | F.col("empty")
     is_ok = F.coalesce(F.col("status_code") == 200, F.lit(False))
-    return p.agg(F.count_if(readable & is_ok).alias("ok"),
-                 F.count_if(readable & ~is_ok).alias("failed"),
-                 F.count_if(F.col("unreadable")).alias("quarantined"))
+    return _landed(spark, path).agg(F.count_if(~lost & is_ok).alias("ok"),
+                                    F.count_if(~lost & ~is_ok).alias("failed"),
+                                    F.count_if(lost).alias("quarantined"))
 
 
 def fetched_records(envelopes: DataFrame) -> DataFrame:

@@ -210,3 +210,27 @@ def test_valid_numeric_references_keep_the_native_path(spark):
     df = spark.createDataFrame([("<p>it&#8217;s &#233;t&#xE9; &#128512;</p>",), ("a &#xD800; b",)],
                                "h string")
     assert [r[0] for r in df.select(html.needs_parser_text(F.col("h"))).collect()] == [False, True]
+
+
+def test_many_open_items_cost_what_they_print():
+    """Unclosed items nest, so each prints all that follow; beside that text nothing grows with
+    the square of their number."""
+    import time
+    import tracemalloc
+
+    def peak(doc):
+        tracemalloc.start()
+        start = time.perf_counter()
+        out = html.numbered_list_py(doc)
+        took, most = time.perf_counter() - start, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most, took
+    n = 3000
+    out, most, _ = peak("<ul>" + "".join(f"<li>{i}" for i in range(n)))
+    lines = out.split("\n")
+    assert len(lines) == n and lines[n - 2] == f"{n - 1}. {n - 2} {n - 1}"
+    assert lines[0] == "1. " + " ".join(map(str, range(n)))
+    assert most < 4 * len(out) + (8 << 20)
+    # items that print nothing, and closing tags of other elements, in linear time
+    _, most, took = peak("<li>" * 20_000 + "</b><b></b>" * 20_000)
+    assert most < 64 << 20 and took < 20
