@@ -12,11 +12,11 @@ equal hash ranges, the ranges' word sums (one partial aggregate) tell which rang
 end, and only documents of such ranges are ordered. A source with a third of all rows costs
 what any other costs.
 
-Targets are computed over the table of sources, and a source that overlaps with no other
-takes what its target allows (``min(size, target)`` per repetition), also as a table: any
-number of such sources fits. Only patterns that share sources, and patterns of several
-sources, go through the driver to the flow network, one connected group after the other
-(``max_patterns`` is checked, not cut); documents never do.
+Targets are computed over the table of sources. Patterns that are connected by shared sources
+form a group (stars around each source's first pattern, joined up to components), and every
+group -- also a single source that overlaps with no other -- has its own network, solved in a
+task: any number of groups fits, and only a group of more than ``max_patterns`` patterns, whose
+flow can't be found piece by piece, is refused. Nothing but counts reaches the driver.
 
 Defined results: a null text has size 0; documents of size 0 are taken once if their
 pattern is taken at their place (0 words either way); a null source is a source of its own,
@@ -32,10 +32,12 @@ from collections.abc import Sequence
 from decimal import Decimal
 from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casegauge.llm.common import Scratch, count_words
+from casegauge.llm.near_dup import components
 from casegauge.operators.joins import broadcast_if_small
 
 BUCKETS = 1024
@@ -220,7 +222,7 @@ def targets_table(ranked: DataFrame, cycle: Sequence[int], share: Fraction,
     up = (2 * rest > of) | ((2 * rest == of) & (down % 2 == 1))
     full = F.lit(repeats) * F.col("size")
     return rows.select(
-        "source", "size", "alone",
+        "source", "size",
         F.when(closed, full.cast("double")).otherwise(by.cast("double") / of.cast("double"))
         .alias("target"),
         F.when(closed, full).otherwise(down + up.cast("int")).alias("quota"))
@@ -228,12 +230,10 @@ def targets_table(ranked: DataFrame, cycle: Sequence[int], share: Fraction,
 
 def sources_of(totals: DataFrame, weights, share: Fraction, repeats: int,
                scratch: Scratch) -> DataFrame:
-    """One row per source: size (words), target, quota and ``alone`` (no pattern holds it
-    together with another source). Weights other than ``repeating`` are a function of all
-    sources, which therefore go to the driver."""
-    sources = totals.select(F.explode("pattern").alias("source"), "n",
-                            F.size("pattern").alias("width")).groupBy("source").agg(
-        F.sum("n").alias("size"), (F.max("width") == 1).alias("alone"))
+    """One row per source: size (words), target and quota. Weights other than ``repeating`` are
+    a function of all sources, which therefore go to the driver."""
+    sources = totals.select(F.explode("pattern").alias("source"), "n").groupBy("source").agg(
+        F.sum("n").alias("size"))
     if isinstance(weights, repeating) and all(isinstance(w, int) for w in weights.cycle):
         ranked = scratch.stage(_ranked(sources, scratch), "mix-ranked")
         return scratch.stage(targets_table(ranked, weights.cycle, share, repeats), "mix-sources")
@@ -241,55 +241,57 @@ def sources_of(totals: DataFrame, weights, share: Fraction, repeats: int,
     keys = code_point_order(rows)
     wanted = targets({k: rows[k]["size"] for k in keys}, weights(keys), share, repeats)
     return scratch.stage(totals.sparkSession.createDataFrame(
-        [(k, rows[k]["size"], rows[k]["alone"], float(wanted[k]), round(wanted[k])) for k in keys],
-        "source string, size bigint, alone boolean, target double, quota bigint"), "mix-sources")
-
-
-def groups(patterns: Sequence[Sequence[str]]) -> list[list[int]]:
-    """Patterns (their places) that are connected by shared sources."""
-    root: dict[str, str] = {}
-
-    def find(k: str) -> str:
-        while root.setdefault(k, k) != k:
-            root[k] = k = root[root[k]]
-        return k
-    for p in patterns:
-        for k in p[1:]:
-            root[find(k)] = find(p[0])
-    out = defaultdict(list)
-    for i, p in enumerate(patterns):
-        out[find(p[0])].append(i)
-    return list(out.values())
-
-
-def flows_of(patterns: Sequence[tuple[str, ...]], sizes: Sequence[int], quotas: dict[str, int],
-             repeats: int = REPEATS) -> list[dict[tuple[int, int], int]]:
-    """``min_cost_flow`` of every connected group; sources are places in ``quotas``."""
-    place = {k: i for i, k in enumerate(quotas)}
-    out: list[dict[tuple[int, int], int]] = [{} for _ in patterns]
-    for group in groups(patterns):
-        keys = sorted({k for i in group for k in patterns[i]}, key=place.__getitem__)
-        index = {k: j for j, k in enumerate(keys)}
-        flows = min_cost_flow([sizes[i] for i in group],
-                              [[index[k] for k in patterns[i]] for i in group],
-                              [quotas[k] for k in keys], repeats)
-        for i, f in zip(group, flows):
-            out[i] = {(k, place[keys[j]]): n for (k, j), n in f.items()}
-    return out
+        [(k, rows[k]["size"], float(wanted[k]), round(wanted[k])) for k in keys],
+        "source string, size bigint, target double, quota bigint"), "mix-sources")
+
+
+def grouped(totals: DataFrame, sources: DataFrame, scratch: Scratch) -> DataFrame:
+    """A row per pattern: group, pattern, n (words) and ``quotas`` (its sources with theirs).
+    Patterns are of one group if sources connect them."""
+    parts = totals.select("pattern", "n", F.explode("pattern").alias("source")) \
+        .join(sources.select("source", "quota"), "source")
+    rows = scratch.stage(parts.groupBy("pattern", "n").agg(
+        F.sort_array(F.collect_list(F.struct("source", "quota"))).alias("quotas")).withColumn(
+        "no", F.monotonically_increasing_id()), "mix-patterns")
+    held = rows.select("no", F.explode("quotas.source").alias("source"))
+    hubs = held.groupBy("source").agg(F.min("no").alias("hub"))
+    links = scratch.stage(held.join(hubs, "source").where("no != hub").select(
+        F.col("no").alias("a"), F.col("hub").alias("b")), "mix-links")
+    group = F.col("no")
+    if not links.isEmpty():  # else every pattern stands alone
+        found = components(links, scratch)
+        rows = rows.join(found, F.col("no") == F.col("id"), "left")
+        group = F.coalesce("component", "no")
+    return rows.select(group.alias("group"), "pattern", "n", "quotas")
 
 
 LINE = "array<struct<k:int,from_:bigint,to_:bigint,source:string>>"
 
 
-def _own_lines(alone: DataFrame, repeats: int) -> DataFrame:
-    """Lines of sources that stand alone: each repetition from the start, as far as the
-    quota reaches."""
-    def stretch(k: int) -> Column:
-        to = F.least(F.col("size"), F.col("quota") - k * F.col("size"))
-        return F.struct(F.lit(k).alias("k"), F.lit(0).cast("bigint").alias("from_"),
-                        to.alias("to_"), F.col("source").alias("source"))
-    line = F.filter(F.array(*map(stretch, range(repeats))), lambda x: x["to_"] > 0)
-    return alone.select(F.array("source").alias("pattern"), line.cast(LINE).alias("line"))
+def _solve(rows: pd.DataFrame, repeats: int) -> pd.DataFrame:
+    """One group's lines: its network's flow as stretches of its patterns."""
+    rows = sorted(zip(map(tuple, rows["pattern"]), rows["n"], rows["quotas"]))
+    quotas = {x["source"]: int(x["quota"]) for _, _, q in rows for x in q}
+    keys = code_point_order(quotas)
+    place = {k: i for i, k in enumerate(keys)}
+    flows = min_cost_flow([int(n) for _, n, _ in rows], [[place[k] for k in p] for p, _, _ in rows],
+                          [quotas[k] for k in keys], repeats)
+    return pd.DataFrame({"pattern": [list(p) for p, _, _ in rows], "line": [
+        [{"k": k, "from_": a, "to_": b, "source": keys[s]} for k, a, b, s in _stretches(f)]
+        for f in flows]})
+
+
+def lines_of(totals: DataFrame, sources: DataFrame, repeats: int, max_patterns: int,
+             scratch: Scratch) -> DataFrame:
+    """pattern and line (the stretches that sources take) of every pattern."""
+    rows = scratch.stage(grouped(totals, sources, scratch), "mix-groups")
+    most = rows.groupBy("group").count().agg(F.max("count")).first()[0] or 0
+    if most > max_patterns:
+        raise ValueError(f"{most} membership patterns are connected by shared sources, more than "
+                         f"max_patterns = {max_patterns}: raise it or merge sources")
+    solved = rows.groupBy("group").applyInPandas(lambda r: _solve(r, repeats),
+                                                 f"pattern array<string>, line {LINE}")
+    return scratch.stage(solved, "mix-lines")
 
 
 def _taken(line: Column, middle: Column) -> Column:
@@ -301,9 +303,9 @@ def _taken(line: Column, middle: Column) -> Column:
 def mix(docs: DataFrame, weights, share: Fraction = Fraction(3, 2), repeats: int = REPEATS,
         max_patterns: int = 100_000, scratch: Scratch | None = None) -> tuple[DataFrame, dict]:
     """``placed`` documents with ``taken_by``: the source that takes each copy (empty: the
-    mix leaves the document out), and the plan: ``sources`` (a table: source, size, target,
-    quota, alone) and keys, patterns and flows of what overlaps. More than ``max_patterns``
-    overlapping patterns are refused; sources that stand alone don't count.
+    mix leaves the document out), and the plan, two tables: ``sources`` (source, size, target,
+    quota) and ``lines`` (pattern, line: the stretches that the flow gave to sources). A group of
+    more than ``max_patterns`` connected patterns is refused.
 
     A copy goes to the source in whose stretch the document's middle word lies. A hash
     range without the end of a stretch is decided as a whole, by a join with the ranges'
@@ -311,27 +313,13 @@ def mix(docs: DataFrame, weights, share: Fraction = Fraction(3, 2), repeats: int
     of the few other ranges are ordered within their range, about 1/BUCKETS of a pattern
     each, so only they are shuffled.
     """
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
+    scratch = scratch or Scratch(docs.sparkSession)
     sums = scratch.stage(docs.groupBy("pattern", "bucket").agg(F.sum("size").alias("words")),
                          "mix-sums")
     totals = scratch.stage(sums.groupBy("pattern").agg(F.sum("words").alias("n")), "mix-totals")
     sources = sources_of(totals, weights, share, repeats, scratch)
-    own = _own_lines(sources.where("alone"), repeats)
-    rows = totals.where(F.size("pattern") > 0).join(own, "pattern", "left_anti") \
-        .limit(max_patterns + 1).collect()
-    if len(rows) > max_patterns:
-        raise ValueError(f"more than {max_patterns} overlapping membership patterns: "
-                         "raise max_patterns or merge sources")
-    quotas = {r["source"]: r["quota"] for r in sources.where("not alone").collect()}
-    keys = code_point_order(quotas)
-    rows = sorted((tuple(r["pattern"]), r["n"]) for r in rows)
-    plan = {"sources": sources, "keys": keys, "patterns": [p for p, _ in rows]}
-    plan["flows"] = flows_of(plan["patterns"], [n for _, n in rows],
-                             {k: quotas[k] for k in keys}, repeats)
-    lines = own.unionByName(spark.createDataFrame(
-        [(list(p), [(k, a, b, keys[s]) for k, a, b, s in _stretches(f)])
-         for p, f in zip(plan["patterns"], plan["flows"])], f"pattern array<string>, line {LINE}"))
+    lines = lines_of(totals.where(F.size("pattern") > 0), sources, repeats, max_patterns, scratch)
+    plan = {"sources": sources, "lines": lines}
     before = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket")
                                  .rowsBetween(Window.unboundedPreceding, -1))
     after = F.col("before") + F.col("words")

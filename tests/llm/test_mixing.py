@@ -2,10 +2,11 @@ import random
 from collections import defaultdict
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
 from casegauge.llm import mixing
-from casegauge.llm.common import table
+from casegauge.llm.common import Scratch, table
 from tests.conftest import SF
 from tests.llm.conftest import words
 
@@ -106,24 +107,64 @@ def test_overlapping_sources(spark):
         for s in r.taken_by:
             taken[s] += r.size
     flow = defaultdict(int)
-    for f in plan["flows"]:
-        for (_, s), n in f.items():
-            flow[plan["keys"][s]] += n
-    assert plan["keys"] == ["va", "vb", "n"]
-    for s in plan["keys"]:
-        assert abs(taken[s] - flow[s]) <= 30 * len(plan["patterns"]) * 2
+    lines = plan["lines"].collect()
+    for r in lines:
+        for x in r.line:
+            flow[x.source] += x.to_ - x.from_
+    assert set(flow) == {"va", "vb", "n"}
+    for s in flow:
+        assert abs(taken[s] - flow[s]) <= 30 * len(lines) * 2
+    assert_choice(placed, chosen, lines)
+
+
+def assert_choice(placed, chosen, lines):
+    """Every document's copies by brute force: a pattern's documents on one line, sorted; a copy
+    goes to the source in whose stretch the middle word lies."""
+    line = {tuple(r.pattern): r.line for r in lines}
+    docs = defaultdict(list)
+    for r in placed.collect():
+        docs[tuple(r.pattern)].append((r.bucket, r.place, r.size, r.row))
+    want = defaultdict(list)
+    for pattern, rows in docs.items():
+        at = 0
+        for _, place, size, row in sorted(rows, key=lambda x: x[:3]):
+            middle = 2 * at + size
+            want[pattern, place, size].append(sorted(
+                x.source for x in line.get(pattern, ()) if 2 * x.from_ <= middle < 2 * x.to_))
+            at += size
+    got = defaultdict(list)
+    for r in chosen.collect():
+        got[tuple(r.pattern), r.place, r.size].append(sorted(r.taken_by))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_the_flow_gives_every_stretch(spark):
+    """In the table every source stands alone, and each one's network gives its line; the
+    documents are those that brute force takes from the lines."""
+    docs = table(spark, SF, "documents")
+    placed = mixing.placed(docs, F.array("source"), "doc_id", "text", 5)
+    chosen, plan = mixing.mix(placed, mixing.repeating((5, 2, 1)))
+    sources = {r.source: r for r in plan["sources"].collect()}
+    lines = plan["lines"].collect()
+    assert {tuple(r.pattern) for r in lines} == {(k,) for k in sources}
+    for r in lines:
+        s = sources[r.pattern[0]]
+        flow = mixing.min_cost_flow([s["size"]], [[0]], [s["quota"]])[0]
+        assert [(x.k, x.to_ - x.from_) for x in r.line] == [(k, n) for (k, _), n in sorted(flow.items())]
+        assert sum(x.to_ - x.from_ for x in r.line) == min(s["quota"], 2 * s["size"])
+    assert_choice(placed, chosen, lines)
 
 
 def test_sources_beyond_max_patterns(spark):
-    """One source per document is no overlap: any number of sources is mixed, and none of
-    their totals goes through the flow network."""
+    """One source per document is no overlap: any number of sources is mixed, each through a
+    network of its own; the limit holds for connected patterns."""
     rng = random.Random(7)
     rows = [(i, "w " * rng.randrange(1, 30), rng.choice([None, f"site{i % 3000}é{i % 7}"]))
             for i in range(6000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     placed = mixing.placed(df, F.array("source"), "doc_id", "text", 1)
     chosen, plan = mixing.mix(placed, mixing.repeating((5, 2, 1)), max_patterns=10)
-    assert plan["patterns"] == []
+    assert plan["lines"].count() == plan["sources"].count() > 2500
     sizes, largest, taken = defaultdict(int), defaultdict(int), defaultdict(int)
     for _, text, source in rows:
         key = "n" if source is None else "v" + source
@@ -141,8 +182,9 @@ def test_sources_beyond_max_patterns(spark):
     assert all(abs(taken[s] - want[s]) <= largest[s] for s in sizes)
 
 
-def test_flows_by_group_equal_the_whole_network():
+def test_flows_by_group_equal_the_whole_network(spark):
     rng = random.Random(9)
+    cases = []
     for _ in range(40):
         patterns = sorted({tuple(sorted(rng.sample("abcdefghij", rng.randint(1, 2))))
                            for _ in range(6)})
@@ -151,13 +193,37 @@ def test_flows_by_group_equal_the_whole_network():
         quotas = {k: rng.randrange(30) for k in keys}
         whole = mixing.min_cost_flow(sizes, [[keys.index(k) for k in p] for p in patterns],
                                      list(quotas.values()))
-        parts = mixing.flows_of(patterns, sizes, quotas)
-        for flows in (whole, parts):
-            for p, f in zip(patterns, flows):
-                assert {keys[s] for _, s in f} <= set(p)
-        cost, full = ([sum(w(k) * n for f in flows for (k, _), n in f.items())
-                       for flows in (whole, parts)] for w in (lambda k: 4 ** k, lambda k: 1))
-        assert cost[0] == cost[1] and full[0] == full[1]
+        cases.append((patterns, sizes, quotas, whole))
+    # all cases at once: their sources are kept apart by a prefix, so the groups are too
+    totals, sources = [], []
+    for c, (patterns, sizes, quotas, _) in enumerate(cases):
+        totals += [([f"{c:02d}{k}" for k in p], n) for p, n in zip(patterns, sizes)]
+        sources += [(f"{c:02d}{k}", n) for k, n in quotas.items()]
+    lines = mixing.lines_of(spark.createDataFrame(totals, "pattern array<string>, n bigint"),
+                            spark.createDataFrame(sources, "source string, quota bigint"),
+                            2, 6, Scratch(spark)).collect()
+    cost, full, taken = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in lines:
+        ends = defaultdict(int)
+        for x in r.line:
+            assert x.source in r.pattern and x.from_ == ends[x.k]  # one after the other
+            ends[x.k] = x.to_
+            cost[int(x.source[:2])] += 4 ** x.k * (x.to_ - x.from_)
+            full[int(x.source[:2])] += x.to_ - x.from_
+            taken[x.source] += x.to_ - x.from_
+    assert len(lines) == len(totals) and all(taken[k] <= n for k, n in sources)
+    for c, (*_, whole) in enumerate(cases):
+        assert cost[c] == sum(4 ** k * n for f in whole for (k, _), n in f.items())
+        assert full[c] == sum(n for f in whole for n in f.values())
+
+
+def test_connected_patterns_beyond_the_limit_are_refused(spark):
+    chain = [([f"s{i}", f"s{i + 1}"], 5) for i in range(30)]
+    args = (spark.createDataFrame(chain, "pattern array<string>, n bigint"),
+            spark.createDataFrame([(f"s{i}", 4) for i in range(31)], "source string, quota bigint"), 2)
+    with pytest.raises(ValueError, match="30 membership patterns"):
+        mixing.lines_of(*args, 29, Scratch(spark))
+    assert mixing.lines_of(*args, 30, Scratch(spark)).count() == 30
 
 
 def test_odd_rows(odd, none):
