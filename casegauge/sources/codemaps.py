@@ -187,7 +187,11 @@ def decode_retrieval_fields(records: DataFrame, dim: DataFrame,
                             prefix: str = "__label_") -> DataFrame:
     """J1 for tribe / product / capability: one size-checked dimension join per field,
     adding ``{prefix}Tribe`` etc. (unknown or NULL id -> NULL, as the reference's
-    ``MAP.get``)."""
+    ``MAP.get``). The dictionary is parsed once: its entries are checkpointed before the size
+    checks and joins read them."""
+    from casegauge.operators.joins import materialize
+
+    dim = materialize(dim.where(F.col("map_name").isin(*[m for _, m, _ in RETRIEVAL_FIELDS])))
     out = records
     for code_col, map_name, label in RETRIEVAL_FIELDS:
         out = decode_with_dimension(out, code_col, dim, map_name, f"{prefix}{label}")
