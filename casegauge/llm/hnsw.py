@@ -1,16 +1,20 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
 Vectors are dealt into shards of about ``SHARD`` by hash. A shard's graph is a handful of
-flat arrays: every node's top level, and per level an array of neighbour numbers, a fixed
+flat arrays: per level the nodes that stand there, and an array of neighbour numbers, a fixed
 number per node (-1: none). As a shard is bounded, a level's candidate neighbours are found
 exactly, by blocks of distances, instead of by searching the growing graph; of them each
 node keeps a diverse subset (a candidate nearer to a kept neighbour than to the node is
-left to fill up), and edges are made mutual as far as there is room.
+left to fill up), and edges are made mutual as far as there is room. A node's top level is
+drawn from its id; besides, every connected piece of a level's graph sends one node up, so that
+tight clusters, which link to nothing else, can all be reached from the top.
 
-A search walks greedily down the levels and then widens to a beam of ``ef`` on level 0,
-for a block of queries at once. Each shard gives its best rows for each query, and a window
-with a group limit merges the shards. Distances of results are computed in double precision
-on the vectors as given.
+A search starts from all nodes of the top level (few) and goes down with a beam of ``UPPER``,
+whose nodes are the next level's entries, to a beam of ``ef`` on level 0, for a block of queries
+at once. Each shard gives its best rows for each query, and a window with a group limit merges
+the shards. Graphs are built and searched in double precision, on vectors shifted by their
+componentwise median and scaled into range, so neither a common offset nor the magnitude
+matters; distances of results are computed on the vectors as given.
 
 Equal vectors are one node that lists the smallest ids among them (as many as a result can
 ever show), so a hot group of copies neither fills a shard nor cuts the graph.
@@ -36,11 +40,12 @@ from pyspark.sql import functions as F
 from casegauge.llm.common import Scratch, mix64
 from casegauge.operators.joins import broadcast_if_small
 
-SHARD = 4096
+SHARD = 16384
 QUERY_BLOCK = 4096
+BLOCK = 256  # nodes whose candidates are found together
 LINKS = 16  # per node above level 0; twice as many on level 0, and room for mutual edges
 CANDIDATES = 64
-EF = 160
+EF, UPPER = 160, 32
 SEED = 13
 
 
@@ -48,43 +53,61 @@ SEED = 13
 # One shard's graph
 # ----------------------------------------------------------------------------
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of every row of a to every row of b (32 bits)."""
-    d = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-    return np.maximum(d, 0, out=d)
+def in_range(vectors: np.ndarray) -> tuple[np.ndarray, float]:
+    """What a shard's vectors are shifted by (an outlier doesn't move a median), and the power of
+    two that brings them to about 1."""
+    centre = np.median(vectors, axis=0)
+    # halves: the difference of two finite doubles can overflow
+    reach = np.abs(vectors / 2 - centre / 2).max(initial=0.0)
+    return centre, float(2.0 ** -np.clip(np.frexp(reach)[1] + 1, -1000, 1000)) if reach else 1.0
 
 
-def _diverse(order: np.ndarray, near: np.ndarray, between: np.ndarray, links: int) -> np.ndarray:
+def moved(vectors: np.ndarray, centre: np.ndarray, scale: float) -> np.ndarray:
+    return vectors * scale - centre * scale
+
+
+def _nearest(v: np.ndarray, norms: np.ndarray, lo: int, hi: int, c: int):
+    """The ``c`` nearest other nodes of the nodes lo..hi, nearest first, with distances."""
+    d = norms[lo:hi, None] + norms - 2 * (v[lo:hi] @ v.T)
+    d[np.arange(hi - lo), np.arange(lo, hi)] = np.inf
+    part = np.argpartition(d, c - 1, axis=1)[:, :c]
+    diff = v[part] - v[lo:hi, None]  # candidates' own distances without cancellation
+    exact = np.einsum("ncd,ncd->nc", diff, diff)
+    by = np.argsort(exact, axis=1, kind="stable")
+    return np.take_along_axis(part, by, 1), np.take_along_axis(exact, by, 1)
+
+
+def _diverse(v: np.ndarray, order: np.ndarray, near: np.ndarray, links: int) -> np.ndarray:
     """Of each node's candidates (nearest first), up to ``links``: those nearer to the node
     than to any neighbour kept before, then the nearest of the others."""
     n, c = order.shape
-    kept = np.full((n, links), -1)
-    count = np.zeros(n, np.int64)
+    x = v[order] - v[order[:, :1]]  # small numbers: shifted to the nearest candidate
+    norms = np.einsum("ncd,ncd->nc", x, x)
+    between = norms[:, :, None] + norms[:, None, :] - 2 * (x @ x.transpose(0, 2, 1))
+    to_kept = np.full((n, c), np.inf)  # of each candidate: distance to the nearest kept one
     taken = np.zeros((n, c), bool)
-    rows = np.arange(n)
+    count = np.zeros(n, np.int64)
     for j in range(c):
-        to_kept = between[order[:, j][:, None], np.maximum(kept, 0)]
-        to_kept = np.where(kept >= 0, to_kept, np.inf).min(1)
-        ok = (near[:, j] < to_kept) & (count < links)
-        kept[rows[ok], count[ok]] = order[ok, j]
+        ok = (near[:, j] < to_kept[:, j]) & (count < links)
         taken[:, j] = ok
         count += ok
-    for j in range(c):
-        ok = ~taken[:, j] & (count < links)
-        kept[rows[ok], count[ok]] = order[ok, j]
-        count += ok
-    return kept
+        to_kept[ok] = np.minimum(to_kept[ok], between[ok, j])
+    # kept ones first, the others as they come
+    chosen = np.argsort(~taken, axis=1, kind="stable")[:, :links]
+    return np.take_along_axis(order, chosen, 1)
 
 
-def _mutual(kept: np.ndarray, distances: np.ndarray, room: int) -> np.ndarray:
+def _mutual(v: np.ndarray, kept: np.ndarray, room: int) -> np.ndarray:
     """A node's own links, then the nearest of those that link to it, up to ``room``."""
     n, links = kept.shape
-    a = np.repeat(np.arange(n), links)
-    b = kept.ravel()
-    a, b = a[b >= 0], b[b >= 0]
+    a, b = np.repeat(np.arange(n), links), kept.ravel()
+    length = np.empty(len(a))
+    for lo in range(0, len(a), 1 << 16):
+        diff = v[a[lo:lo + (1 << 16)]] - v[b[lo:lo + (1 << 16)]]
+        length[lo:lo + (1 << 16)] = np.einsum("nd,nd->n", diff, diff)
     node, other = np.concatenate([a, b]), np.concatenate([b, a])
-    back = np.concatenate([np.zeros(len(a), bool), np.ones(len(a), bool)])
-    order = np.lexsort((distances[node, other], back, node))
+    back = np.repeat([False, True], len(a))
+    order = np.lexsort((np.concatenate([length, length]), back, node))
     node, other = node[order], other[order]
     _, first = np.unique(node * n + other, return_index=True)
     first.sort()
@@ -96,33 +119,49 @@ def _mutual(kept: np.ndarray, distances: np.ndarray, room: int) -> np.ndarray:
     return out
 
 
+def _pieces(near: np.ndarray) -> np.ndarray:
+    """The smallest node of each node's piece: nodes from which a walk along links can't leave.
+    Links that lost their way back for want of room count one way only."""
+    low = np.arange(len(near))
+    while True:
+        # a node is led to by ``low`` if a walk from there gets to it
+        a, b = np.repeat(np.arange(len(near)), near.shape[1]), near.ravel()
+        a, b = a[b >= 0], b[b >= 0]
+        after = low.copy()
+        np.minimum.at(after, b, low[a])
+        after = after[after]
+        if (after == low).all():
+            return low
+        low = after
+
+
 def build(vectors: np.ndarray, keys: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Levels from the bottom: (node numbers, neighbour array). Neighbours are node numbers
     of the shard; level 0 holds all nodes. ``keys`` (ids) draw the levels."""
-    v = vectors.astype(np.float32)
+    v = moved(vectors, *in_range(vectors))
     u = ((mix64(keys.astype(np.uint64) + np.uint64(SEED)) >> np.uint64(11)).astype(np.float64)
          + 1) / (1 << 53)
     top = np.floor(-np.log(u) / log(LINKS)).astype(np.int64)
-    levels = []
-    for level in range(int(top.max()) + 1):
-        nodes = np.flatnonzero(top >= level)
-        n = len(nodes)
-        links = 2 * LINKS if level == 0 else LINKS
-        if n == 1:
-            levels.append((nodes, np.full((1, links), -1, np.int32)))
-            continue
-        d = _squared(v[nodes], v[nodes])
-        np.fill_diagonal(d, np.inf)
+    levels, nodes = [], np.arange(len(v))
+    while True:
+        n, links = len(nodes), LINKS if levels else 2 * LINKS
+        here = v[nodes]
+        norms = np.einsum("nd,nd->n", here, here)
         c = min(CANDIDATES, n - 1)
-        order = np.empty((n, c), np.int64)
-        for i in range(0, n, 512):
-            part = np.argpartition(d[i:i + 512], c - 1, axis=1)[:, :c]
-            by = np.argsort(np.take_along_axis(d[i:i + 512], part, 1), axis=1, kind="stable")
-            order[i:i + 512] = np.take_along_axis(part, by, 1)
-        kept = _diverse(order, np.take_along_axis(d, order, 1), d, min(links, c))
-        near = _mutual(kept, d, links + links // 2)
+        kept = np.empty((n, min(links, c)), np.int64)
+        for lo in range(0, n if c else 0, BLOCK):
+            hi = min(lo + BLOCK, n)
+            kept[lo:hi] = _diverse(here, *_nearest(here, norms, lo, hi, c), kept.shape[1])
+        near = _mutual(here, kept, links + links // 2)
         levels.append((nodes, np.where(near >= 0, nodes[np.maximum(near, 0)], -1).astype(np.int32)))
-    return levels
+        if n <= LINKS:
+            return levels
+        up = top[nodes] >= len(levels)
+        low = _pieces(near)
+        up[np.setdiff1d(low, low[up])] = True
+        if up.all():
+            return levels
+        nodes = nodes[up]
 
 
 def _distances(q: np.ndarray, v: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -132,38 +171,23 @@ def _distances(q: np.ndarray, v: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, d, np.inf)
 
 
-def search(vectors: np.ndarray, levels, queries: np.ndarray, ef: int, width: int = 4):
-    """For each query the ``ef`` nearest nodes that the walk found (number, squared
-    distance), nearest first; -1 where there are fewer."""
-    v, q = vectors.astype(np.float32), queries.astype(np.float32)
-    n, rows = len(v), np.arange(len(q))
-    now = np.full(len(q), levels[-1][0][0], np.int64)
-    best = _distances(q, v, now[:, None])[:, 0]
-    for nodes, near in reversed(levels[1:]):
-        where = np.full(n, -1)
-        where[nodes] = np.arange(len(nodes))
-        go = rows
-        while len(go):
-            around = near[where[now[go]]]
-            d = _distances(q[go], v, around)
-            j = d.argmin(1)
-            step = d[np.arange(len(go)), j]
-            better = step < best[go]
-            go = go[better]
-            now[go] = around[better, j[better]]
-            best[go] = step[better]
-    near = levels[0][1]
-    found = np.full((len(q), ef), -1, np.int64)
-    dist = np.full((len(q), ef), np.inf, np.float32)
-    found[:, 0], dist[:, 0] = now, best
-    opened = np.ones((len(q), ef), bool)  # nothing to expand there
-    opened[:, 0] = False
-    seen = np.zeros((len(q), n), bool)
-    seen[rows, now] = True
-    go = rows
+def _beam(v: np.ndarray, q: np.ndarray, near: np.ndarray, where: np.ndarray, entries: np.ndarray,
+          ef: int, width: int = 4) -> tuple[np.ndarray, np.ndarray, int]:
+    """The ``ef`` nearest nodes of a level that the walk from each query's entries found, their
+    distances, and how many were looked at in all. ``where``: a node's row of ``near``."""
+    e = entries.shape[1]
+    size = max(ef, e)
+    found = np.full((len(q), size), -1, np.int64)
+    dist = np.full((len(q), size), np.inf)
+    found[:, :e], dist[:, :e] = entries, _distances(q, v, entries)
+    opened = found < 0  # nothing to expand there
+    seen = np.zeros((len(q), len(near)), bool)
+    a, b = np.nonzero(entries >= 0)
+    seen[a, where[entries[a, b]]] = True
+    looked, go = len(a), np.arange(len(q))
     while len(go):
         waiting = np.where(opened[go], np.inf, dist[go])
-        pick = np.argpartition(waiting, min(width, ef - 1), axis=1)[:, :width]
+        pick = np.argpartition(waiting, min(width, size - 1), axis=1)[:, :width]
         ready = np.take_along_axis(waiting, pick, 1) < np.inf
         some = ready.any(1)
         go, pick, ready = go[some], pick[some], ready[some]
@@ -172,14 +196,15 @@ def search(vectors: np.ndarray, levels, queries: np.ndarray, ef: int, width: int
         line = np.arange(len(go))[:, None]
         opened[go[:, None], pick] = True
         source = np.where(ready, found[go[:, None], pick], -1)
-        around = np.where(source[:, :, None] >= 0, near[np.maximum(source, 0)], -1) \
+        around = np.where(source[:, :, None] >= 0, near[where[np.maximum(source, 0)]], -1) \
             .reshape(len(go), -1).astype(np.int64)
         around = np.sort(around, axis=1)
         new = around >= 0
         new[:, 1:] &= around[:, 1:] != around[:, :-1]
-        new &= ~seen[go[:, None], np.maximum(around, 0)]
+        new &= ~seen[go[:, None], where[np.maximum(around, 0)]]
         a, b = np.nonzero(new)
-        seen[go[a], around[a, b]] = True
+        seen[go[a], where[around[a, b]]] = True
+        looked += len(a)
         fresh = np.where(new, around, -1)
         most = max(1, int(new.sum(1).max()))
         fresh = np.take_along_axis(fresh, np.argsort(~new, axis=1, kind="stable")[:, :most], 1)
@@ -187,10 +212,28 @@ def search(vectors: np.ndarray, levels, queries: np.ndarray, ef: int, width: int
         all_d = np.concatenate([dist[go], d], 1)
         all_f = np.concatenate([found[go], fresh], 1)
         all_o = np.concatenate([opened[go], fresh < 0], 1)
-        keep = np.argpartition(all_d, ef - 1, axis=1)[:, :ef]
+        keep = np.argpartition(all_d, size - 1, axis=1)[:, :size]
         dist[go], found[go], opened[go] = all_d[line, keep], all_f[line, keep], all_o[line, keep]
-    order = np.argsort(dist, axis=1, kind="stable")
-    return np.take_along_axis(found, order, 1), np.take_along_axis(dist, order, 1)
+    order = np.argsort(dist, axis=1, kind="stable")[:, :ef]
+    return np.take_along_axis(found, order, 1), np.take_along_axis(dist, order, 1), looked
+
+
+def search(vectors: np.ndarray, levels, queries: np.ndarray, ef: int):
+    """For each query the ``ef`` nearest nodes that the walk found (number, squared distance
+    in the shard's scale), nearest first, -1 where there are fewer; and the nodes looked at."""
+    centre, scale = in_range(vectors)
+    v = moved(vectors, centre, scale)
+    with np.errstate(over="ignore"):  # a query beyond all range is as far from every node
+        q = np.clip(moved(queries, centre, scale), -1e150, 1e150)
+    entries = np.repeat(levels[-1][0][None, :], len(q), 0).astype(np.int64)
+    looked = 0
+    for nodes, near in reversed(levels):
+        where = np.zeros(len(v), np.int64)
+        where[nodes] = np.arange(len(nodes))
+        last = near is levels[0][1]
+        entries, dist, n = _beam(v, q, near, where, entries, ef if last else UPPER)
+        looked += n
+    return entries, dist, looked
 
 
 # ----------------------------------------------------------------------------
@@ -234,7 +277,7 @@ def _search_unit(index: pd.DataFrame, asked: pd.DataFrame, k: int, ef: int) -> p
         part = asked.iloc[at:at + 512]
         queries = np.array(part["vec"].tolist(), np.float64)
         ids = part["query_id"].to_numpy(np.int64)
-        found, _ = search(vectors, levels, queries, max(ef, k + 6))
+        found = search(vectors, levels, queries, max(ef, k + 6))[0]
         found = found[:, :k + 6]
         exact = np.sqrt(((vectors[np.maximum(found, 0)] - queries[:, None, :]) ** 2).sum(2))
         each = members[np.maximum(found, 0)]

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from casegauge.llm import hnsw
@@ -83,3 +84,72 @@ def test_odd_vectors(spark):
     none = frame(spark, [])
     assert hnsw.nearest(none, none).count() == 0
     assert hnsw.nearest(df, none).count() == 0
+
+
+def clusters(n, m, spread, dim=32, seed=0):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(m, dim))[np.arange(n) % m] + spread * rng.normal(size=(n, dim))
+
+
+def graph_recall(v, asked, k=10):
+    """Recall of one shard's graph against exact distances, and the share of nodes visited."""
+    levels = hnsw.build(v, np.arange(len(v)))
+    found, _, looked = hnsw.search(v, levels, v[asked], hnsw.EF)
+    scale = np.abs(v - np.median(v, 0)).max()
+    x = (v - np.median(v, 0)) / scale
+    hits = 0
+    for i, f in zip(asked, found):
+        hits += len(set(np.argsort(((x - x[i]) ** 2).sum(1), kind="stable")[:k]) & set(f[:k]))
+    return hits / (k * len(asked)), looked / len(asked) / len(v)
+
+
+@pytest.mark.parametrize("change", [lambda x: x + 1e4, lambda x: x * 1e20, lambda x: x * 1e-25,
+                                    lambda x: x * 1e200])
+def test_offset_and_magnitude_don_t_matter(change):
+    assert graph_recall(change(clusters(2000, 40, 0.3)), np.arange(0, 2000, 20))[0] >= 0.99
+
+
+def test_an_outlier_doesn_t_matter():
+    v = clusters(2000, 40, 0.3)
+    v[7] *= 1e20
+    assert graph_recall(v, np.arange(20, 2000, 20))[0] >= 0.99
+
+
+@pytest.mark.parametrize("m", [10, 40, 100])
+def test_tight_clusters_are_all_reached(m):
+    assert graph_recall(clusters(4000, m, 0.01), np.arange(0, 4000, 20))[0] >= 0.95
+
+
+def test_a_search_visits_a_small_part_of_a_large_shard():
+    recall_, share = graph_recall(clusters(12_000, 300, 0.5), np.arange(0, 12_000, 100))
+    assert recall_ >= 0.97 and share <= 0.2
+
+
+def test_every_node_is_reached_from_the_top():
+    v = clusters(1500, 60, 0.001)
+    levels = hnsw.build(v, np.arange(len(v)))
+    reached = set(levels[-1][0].tolist())
+    for nodes, near in reversed(levels):
+        row, waiting = dict(zip(nodes.tolist(), near.tolist())), list(reached)
+        while waiting:
+            for x in row[waiting.pop()]:
+                if x >= 0 and x not in reached:
+                    reached.add(x)
+                    waiting.append(x)
+    assert reached == set(range(len(v)))
+
+
+def test_far_vectors_through_the_operator(spark):
+    """The same table shifted and scaled: float values as stored, recall as before."""
+    base = clusters(900, 30, 0.3, 16)
+    for change in (lambda x: x + 1e4, lambda x: x * 1e20, lambda x: x * 1e-25):
+        rows = [(i, change(v).astype(np.float32).tolist()) for i, v in enumerate(base)]
+        df = frame(spark, rows)
+        got = result(df, df.where(F.col("vec_id") % 50 == 0), shard=300)
+        exact = {}
+        x = np.array([v for _, v in rows], np.float64)
+        for i in range(0, 900, 50):
+            d = np.sqrt((((x - x[i]) / np.abs(x).max()) ** 2).sum(1))
+            d[i] = np.inf
+            exact[i] = [(0.0, int(j)) for j in np.argsort(d, kind="stable")[:10]]
+        assert recall(got, exact) >= 0.97
