@@ -44,7 +44,7 @@ from casegauge.llm.bpe import NEWER
 from casegauge.llm.common import text_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-SLICE, WORDS, TOKENS, KEPT = 1 << 21, 1 << 18, 1 << 20, 1_000_000
+SLICE, WORDS, TOKENS, KEPT = 1 << 21, 1 << 18, 1 << 18, 1_500_000
 
 # A word's last symbol has fin -1, so that positions alone lead to the next symbol. {chosen}: the
 # contractions of a step among the hits (rows whose pair is their word's lowest) of equal
@@ -79,8 +79,9 @@ FIRST = "QUALIFY row_number() OVER (PARTITION BY word ORDER BY pos) = 1"
 # all that don't overlap, leftmost first; or the leftmost one (a word's hits are all twins or none)
 EVERY = {"others": "", "chosen": "QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY pos) % 2 = 1"}
 LEFTMOST = {"others": FIRST, "chosen": FIRST}
+# a token's bytes are text of as many characters, U+0000 to U+00FF
 DECODE = """
-SELECT doc, from_hex(string_agg(hex, '' ORDER BY pos)) AS bytes
+SELECT doc, string_agg(chars, '' ORDER BY pos) AS chars
 FROM ids JOIN tokens USING (id) GROUP BY doc ORDER BY doc
 """
 
@@ -130,7 +131,8 @@ class Coder:
             "temp_directory": os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")})
         self._table("merges", pair=[left * len(self.known) + right for left, right, _ in merges],
                     made=[m[2] for m in merges])
-        self._table("tokens", id=list(self.ranks.values()), hex=[t.hex() for t in self.ranks])
+        self._table("tokens", id=pa.array(self.ranks.values(), pa.int32()),
+                    chars=[t.decode("latin-1") for t in self.ranks])
         pattern = public_tokenizers.PATTERN
         newer = "[" + NEWER.replace(" ", "") + "]"
         self._newer = re.compile(newer).search
@@ -169,12 +171,12 @@ class Coder:
         """Packed ids of each word."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.id_of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        pos = np.arange(len(symbols))
+        pos = np.arange(len(symbols), dtype=np.int32)  # a block of words is far below 2 GB
         fin = pos + 1
         fin[np.cumsum(sizes) - 1] = -1
         self.db.register("start", pa.table({
-            "word": np.repeat(np.arange(len(words)), sizes), "pos": pos, "fin": fin,
-            "id": symbols}))
+            "word": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": pos,
+            "fin": fin, "id": symbols}))
         found = self.db.execute(self.merge).fetchnumpy()
         self.db.unregister("start")
         ids = np.asarray(found["id"]).astype("<u4")
@@ -218,10 +220,13 @@ class Coder:
                 else b"".join(next(packed) for _ in parts) for i, parts in enumerate(split)]
 
     def _packed(self, lists: list[list[str]]) -> list[bytes]:
-        need = set().union(*lists)
+        need: set[str] = set()
+        for words in lists:
+            need.update(set(words).difference(self.kept))
         if len(self.kept) + len(need) > KEPT:
             self.kept.clear()
-        self.learn(need.difference(self.kept))
+            need = set().union(*lists)
+        self.learn(need)
         return [b"".join(map(self.kept.__getitem__, words)) for words in lists]
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
@@ -229,15 +234,15 @@ class Coder:
         ids = np.frombuffer(b"".join(packed), "<u4")
         if len(ids) and (ids.max() >= len(self.known) or not self.known[ids].all()):
             raise ValueError("an id isn't in the vocabulary")
-        doc = np.repeat(np.arange(len(packed)), [len(p) // 4 for p in packed])
+        doc = np.repeat(np.arange(len(packed), dtype=np.int32), [len(p) // 4 for p in packed])
         out: list[list[bytes]] = [[] for _ in packed]
         for lo in range(0, len(ids), TOKENS):
             here = ids[lo:lo + TOKENS]
             self.db.register("ids", pa.table({
-                "doc": doc[lo:lo + TOKENS], "pos": np.arange(len(here)),
-                "id": here.astype(np.int64)}))
-            for i, data in self.db.execute(DECODE).fetchall():
-                out[i].append(data)
+                "doc": doc[lo:lo + TOKENS], "pos": np.arange(len(here), dtype=np.int32),
+                "id": here.astype(np.int32)}))
+            for i, chars in self.db.execute(DECODE).fetchall():
+                out[i].append(chars.encode("latin-1"))
             self.db.unregister("ids")
         return [b"".join(parts) for parts in out]
 

@@ -39,7 +39,9 @@ def op4_lm_score(spark: SparkSession, d: str) -> DataFrame:
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     """The rule ledger of every document, with the base and the current policy's verdict."""
     rows = quality.apply_policy(quality.ledger(table(spark, d, "documents")), quality.POLICY_V1)
-    return rows.withColumn("base_failed", quality.fails(quality.BASE)).drop("policy")
+    return rows.withColumn("base_failed", quality.fails(quality.BASE)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "failed")
 
 
 def op6_sharding(spark: SparkSession, d: str) -> DataFrame:

@@ -146,10 +146,15 @@ def find_base(text: str) -> list[tuple[int, int, int]]:
 
 
 def find_candidates(text: str, base: list[tuple[int, int, int]]):
-    """Tokens outside the base spans, with stratum and p-value bin."""
+    """Tokens outside the base spans, with stratum and p-value bin. Tokens and spans ascend, so
+    both are walked once; a span that starts earlier may end later than the next."""
+    i, reach = 0, 0
     for m in TOKEN.finditer(text):
         a, b = m.span()
-        if any(s < b and a < e for s, e, _ in base):
+        while i < len(base) and base[i][0] < b:  # spans that start before the token's end
+            reach = max(reach, base[i][1])
+            i += 1
+        if a < reach:
             continue
         token = m[0].rstrip("=")
         grouped = GROUPED.fullmatch(token) is not None
@@ -271,8 +276,8 @@ def report(found: DataFrame) -> DataFrame:
         return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long") \
             .alias(f"n_{KINDS[kind]}")
     base = F.filter("spans", lambda x: x["kind"] < 3)
-    return found.select("doc_id", *map(count, range(4)), F.sha2(joined(base), 256).alias("base_sha256"),
-                        joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(count, range(3)), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"), count(3))
 
 
 def _blank_out(batches: Iterator[pa.RecordBatch], marker: str, first: dict[str, int]):

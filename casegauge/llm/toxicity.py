@@ -209,7 +209,8 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[list[str], np.ndarray]:
     """The training sample: bounded numbers of ids per class, the first by hash among rows that
-    aren't held out, then their texts (a join with at most that many ids)."""
+    aren't held out, then a text of each (a join with at most that many ids; of an id that
+    repeats, the text that sorts first)."""
     one = labels.where(F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull()) \
         .where(~held_out(id_col)) \
         .groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.max(f"`{label_col}`").alias("toxic"))
@@ -218,8 +219,8 @@ def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
         ordered.where("toxic = 0").limit(CLEAN_ROWS))
     texts = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("text")) \
         .where(F.length("text").between(1, TRAIN_CHARS))
-    rows = texts.join(broadcast_if_small(ids)[0], "__id").select(
-        "__id", "toxic", "text").orderBy("__id", "text").collect()
+    rows = texts.join(broadcast_if_small(ids)[0], "__id").groupBy("__id", "toxic").agg(
+        F.min("text").alias("text")).orderBy("__id").collect()
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64)
 
 

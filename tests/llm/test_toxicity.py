@@ -56,3 +56,11 @@ def test_slices_do_not_change_scores(spark):
         size=1 << toxicity.BUCKET_BITS).astype(np.float32), 0.1)
     assert np.allclose(model.score(texts), [model.score([t])[0] for t in texts])
     assert frame(spark, []).count() == 0
+
+
+def test_a_repeated_id_gives_one_training_text(spark):
+    rows = [(1, f"text {i}") for i in range(300)] + [(3, "other"), (4, "clean words")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0), (4, 0)], "doc_id bigint, toxic int")
+    texts, toxic = toxicity.sample(docs, labels, "doc_id", "text", "toxic")
+    assert len(texts) <= 3 and sorted(texts)[-1:] in (["text 0"], ["other"]) and len(toxic) == len(texts)
