@@ -17,15 +17,29 @@ from casegauge.llm import bpe, mixing, near_dup, quality, secrets
 from casegauge.llm.common import Scratch, table
 
 
+# rows of whole texts that go to Python at once: by default 10,000, which is hundreds of MB of
+# buffers on both sides where documents are long
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """The session's Arrow batches hold at most ``BATCH_ROWS`` rows from now on."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, quality.POLICY_V1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dup.keep_one(docs, k=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.redact(docs)
 
 
@@ -34,6 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     coded = bpe.round_trip(docs.select("doc_id", "source", "text"), bpe.vocabulary_path())
     return coded.select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
