@@ -131,33 +131,37 @@ EXAMPLE_DETAILS = ("title", "capability", "product", "tribe", "pre_conditions",
                    "test_steps_passed", "test_steps_remarks", "expected_results_passed",
                    "expected_results_remarks", "overall_remarks", "improvements")
 
-# --- Fixed values: layout of the reference-examples section of the evaluator prompt. ---
+# --- Fixed values: layout of the reference-examples section of the evaluator prompt, a template
+# per line; {} is a value. ---
 EXAMPLES_HEADER = "\n## Reference Examples (similar validated cases — for calibration only)\n"
-EXAMPLES_FOOTER = "---"
-EMPTY_TEXT = "(empty)"
-ERROR_VERDICT = "ERROR"
-PASS_ICON = "✓"
-FAIL_ICON = "✗"
-TITLE = "**Title:** "
+EXAMPLE = "### Example {} — {} [{}]  _(context: {})_"
+TITLE = "**Title:** {}"
 PRE = "**Pre Conditions:**"
 STEPS = "**Test Steps:**"
 EXPECTED = "**Expected Result:**"
 EVALUATION = "**Evaluation:**"
-VERDICT_OPEN = "- **Verdict: "
-VERDICT_CLOSE = "**"
-OVERALL = "- Overall Remarks: "
-IMPROVEMENTS = "- Improvements: "
-EXAMPLE = "### Example "
-DASH = " — "
-CONTEXT_OPEN = "]  _(context: "
-CONTEXT_CLOSE = ")_"
-STATE_OPEN = " ["
-NO_TITLE = "None"
-CRITERION = "- {}: "
+CRITERION = "- {}: {}"
+CRITERION_REMARK = "- {}: {} — {}"
+VERDICT = "- **Verdict: {}**"
+OVERALL = "- Overall Remarks: {}"
+IMPROVEMENTS = "- Improvements: {}"
+EXAMPLES_FOOTER = "---"
 CRITERIA = ("Pre Conditions", "Test Steps", "Expected Results")
+PASS_ICON = "✓"
+FAIL_ICON = "✗"
+EMPTY_TEXT = "(empty)"
+ERROR_VERDICT = "ERROR"
+NO_TITLE = "None"
 # --- end of fixed values ---
 
 
+def filled(template: str, *values: Column) -> Column:
+    """A template with its ``{}`` replaced by values, in order; NULL if one of them is."""
+    first, *rest = template.split("{}")
+    return F.concat(F.lit(first), *[x for v, text in zip(values, rest, strict=True)
+                                    for x in (v.cast("string"), F.lit(text))])
+
+
 def example_block(cols: set[str]) -> Column:
     """one example's lines, newline-joined and ending in an empty line. Optional
     lines (a criterion's remark, overall remarks, improvements) appear only when
@@ -171,17 +175,15 @@ def example_block(cols: set[str]) -> Column:
     def criterion(label: str, flag: str, remarks: str) -> Column:
         icon = F.when(F.coalesce(c(flag).cast("boolean"), F.lit(False)), F.lit(PASS_ICON)) \
             .otherwise(F.lit(FAIL_ICON))
-        tail = F.coalesce(F.concat(F.lit(DASH), nonblank(remarks)), F.lit(""))
-        return F.concat(F.lit(CRITERION.format(label)), icon, tail)
+        return F.coalesce(filled(CRITERION_REMARK, F.lit(label), icon, nonblank(remarks)),
+                          filled(CRITERION, F.lit(label), icon))
 
     verdict = F.coalesce(nonblank("verdict"), F.lit(ERROR_VERDICT))
     context = F.coalesce(nonblank("capability"), nonblank("product"), nonblank("tribe"), F.lit(""))
     return F.concat_ws(
         "\n",
-        F.concat(F.lit(EXAMPLE), F.col("ordinal").cast("string"), F.lit(DASH),
-                 F.col("example_id").cast("string"), F.lit(STATE_OPEN), F.upper(verdict),
-                 F.lit(CONTEXT_OPEN), context, F.lit(CONTEXT_CLOSE)),
-        F.concat(F.lit(TITLE), F.coalesce(c("title").cast("string"), F.lit(NO_TITLE))),
+        filled(EXAMPLE, F.col("ordinal"), F.col("example_id"), F.upper(verdict), context),
+        filled(TITLE, F.coalesce(c("title").cast("string"), F.lit(NO_TITLE))),
         F.lit(""),
         F.lit(PRE), F.coalesce(nonblank("pre_conditions"), F.lit(EMPTY_TEXT)),
         F.lit(""),
@@ -193,9 +195,9 @@ def example_block(cols: set[str]) -> Column:
         criterion(CRITERIA[0], "preconditions_passed", "preconditions_remarks"),
         criterion(CRITERIA[1], "test_steps_passed", "test_steps_remarks"),
         criterion(CRITERIA[2], "expected_results_passed", "expected_results_remarks"),
-        F.concat(F.lit(VERDICT_OPEN), verdict, F.lit(VERDICT_CLOSE)),
-        F.concat(F.lit(OVERALL), nonblank("overall_remarks")),
-        F.concat(F.lit(IMPROVEMENTS), nonblank("improvements")),
+        filled(VERDICT, verdict),
+        filled(OVERALL, nonblank("overall_remarks")),
+        filled(IMPROVEMENTS, nonblank("improvements")),
         F.lit(""))
 
 
