@@ -29,19 +29,23 @@ from pyspark.sql import types as T
 
 from casegauge.sources.files import holds_parts, listed
 
+MADE = "_buckets="  # an empty file whose name holds a table's number of buckets
 Merge = Callable[[DataFrame], DataFrame]
-BUCKETS = 64
+# a new table's number of buckets, unless its maker names another (many more for large stores)
+BUCKETS = 16
 COMPACT_AFTER = 8  # deltas
 
 
 class BucketTable:
     """One table. ``schema``: its columns; ``merge``: reduces base and delta rows to the
-    current ones, so that merging in steps gives the same (latest per key, distinct rows)."""
+    current ones, so that merging in steps gives the same (latest per key, distinct rows).
+    ``n``: buckets of a new table; an old one keeps the number that it was made with."""
 
     def __init__(self, spark: SparkSession, path: str, key: str, schema: T.StructType,
                  merge: Merge, n: int = BUCKETS):
         self.spark, self.path, self.key, self.merge = spark, path.rstrip("/"), key, merge
-        self.schema, self.n = schema, n
+        made = [f for f in listed(spark, self.path, folders=False) if f.startswith(MADE)]
+        self.schema, self.n = schema, int(made[0][len(MADE):]) if made else n
         self._stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
         self._delta = T.StructType([*schema.fields, T.StructField("part", T.StringType()),
                                     T.StructField("bucket", T.IntegerType())])
@@ -81,6 +85,9 @@ class BucketTable:
         if unique:
             rows = rows.withColumn("row_key", F.concat(
                 F.lit(f"{part}:"), F.monotonically_increasing_id().cast("string")))
+        fs, made = self._fs(f"{self.path}/{MADE}{self.n}")
+        if not fs.exists(made):
+            fs.create(made, True).close()
         bucketed = rows.select(*self.schema.fieldNames()).withColumn(
             "bucket", self.bucket_of(F.col(self.key)))
         bucketed.repartition("bucket").write.mode("overwrite").partitionBy("bucket") \

@@ -79,6 +79,13 @@ def test_a_key_is_read_from_its_bucket_alone(spark, table):
     assert read
 
 
+def test_a_table_keeps_its_number_of_buckets(spark, table):
+    t = table()
+    t.append(frame(spark, [(f"C{i}", "001", "x") for i in range(50)]), "p0")
+    other = BucketTable(spark, t.path, "case_id", t.schema, newest, n=64)
+    assert other.n == 8 and contents(other.at("C7")) == {"C7": ("001", "x")}
+
+
 def test_a_delta_given_twice_counts_once(spark, table):
     t = table()
     for _ in range(2):
